@@ -78,12 +78,11 @@ def daily_tally(catalog: DataFrame, regions) -> DataFrame:
 def calendar_bounds(tally: DataFrame) -> tuple[Column, Column]:
     """First and last day over all rows, including regions outside the list.
 
-    Returned as scalar subqueries over the (small) tally; Spark merges the two
-    into one subquery and reuses the tally's shuffle.
+    One scalar subquery over the (small, materialized) tally returning both
+    ends, evaluated once and inlined as a constant of the plan.
     """
-    lo = tally.select(F.min("date")).scalar()
-    hi = tally.select(F.max("date")).scalar()
-    return lo, hi
+    b = tally.select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
+    return b.getField("lo"), b.getField("hi")
 
 
 def daily_grid(spark: SparkSession, tally: DataFrame, regions) -> DataFrame:

@@ -21,6 +21,10 @@ from riskgrid.schema import KM_PER_DEGREE
 # Largest reference table folded into the plan as a literal.
 MAX_INLINE_BOXES = 256
 MAX_INLINE_SEGMENTS = 4096
+# Up to this many segments the distance is unrolled into plain arithmetic
+# (least of per-segment distances), which whole-stage codegen compiles;
+# higher-order functions over an array literal are interpreted per row.
+MAX_UNROLLED_SEGMENTS = 64
 
 
 # ---------------------------------------------------------------------------
@@ -88,6 +92,12 @@ def distance_to_line_column(segments, lon: str = "longitude", lat: str = "latitu
         return F.lit(None).cast("double")
     if len(segments) > MAX_INLINE_SEGMENTS:
         raise ValueError("segment list too large to inline; use add_distance_to_fault()")
+    if len(segments) <= MAX_UNROLLED_SEGMENTS:
+        px, py = F.col(lon), F.col(lat)
+        each = [point_segment_degrees(px, py, F.lit(float(s.x1)), F.lit(float(s.y1)),
+                                      F.lit(float(s.x2)), F.lit(float(s.y2))) for s in segments]
+        nearest = each[0] if len(each) == 1 else F.least(*each)
+        return nearest * F.lit(KM_PER_DEGREE)
     return nearest_segment_degrees(F.col(lon), F.col(lat), _segment_literal(segments)) * F.lit(KM_PER_DEGREE)
 
 

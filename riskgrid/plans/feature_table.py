@@ -1,9 +1,11 @@
 """Catalog -> tally -> grid -> windows + label -> drop tail -> split.
 
 Physical shape (check with ``.explain("formatted")``):
-  scan(s) -> [joins of the catalog source] -> HashAggregate(partial) ->
-  Exchange hashpartitioning(region, date) -> HashAggregate(final)     -- events collapse to region-days
-  grid (projection of literals + scalar subquery on the tally) LEFT JOIN tally
+  job 1: scan(s) -> [joins of the catalog source] -> HashAggregate(partial) ->
+         Exchange hashpartitioning(region, date) -> HashAggregate(final) -> write
+         (events collapse to region-days; written once to the checkpoint folder)
+  job 2: grid (projection of literals + scalar subquery on the written tally)
+         LEFT JOIN tally
   Exchange hashpartitioning(region) -> Sort -> Window                 -- features and label, one operator
   Filter(label not null, split not null)
 No stage after the tally sees more rows than regions x days.
@@ -19,6 +21,7 @@ from riskgrid.operators.spatial import add_distance_to_fault
 from riskgrid.operators.split import assign_split, drop_unobservable
 from riskgrid.operators.windows import as_feature_table, window_features
 from riskgrid.schema import PipelineParams
+from riskgrid.session import materialize
 from riskgrid.sources.tables import standin_catalog
 
 
@@ -29,7 +32,7 @@ def enriched_catalog(spark: SparkSession, sf_dir: str, params: PipelineParams) -
 
 def region_days(spark: SparkSession, catalog: DataFrame, params: PipelineParams) -> DataFrame:
     """Gap-filled daily tally on the dense grid (J2 + J3 + A1)."""
-    tally = daily_tally(catalog, params.regions)
+    tally = materialize(daily_tally(catalog, params.regions), "daily_tally")
     grid = daily_grid(spark, tally, params.regions)
     return gap_filled_tally(grid, tally)
 

@@ -68,3 +68,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(local)
         return sc.getCheckpointDir() or local
     raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for it")
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Used after the big -> small reductions (the region-day tally, the feature
+    table): later stages and repeated reads start from the written table, not
+    from the raw events, and a lost executor costs a re-read, not a recompute
+    of the event scan.
+    """
+    import uuid
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/riskgrid-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
