@@ -49,9 +49,18 @@ def build_feature_table(spark: SparkSession, catalog: DataFrame, params: Pipelin
     return as_feature_table(table)
 
 
-def feature_table(spark: SparkSession, sf_dir: str, params: PipelineParams | None = None) -> DataFrame:
+def feature_table(spark: SparkSession, sf_dir: str, params: PipelineParams | None = None,
+                  written: bool = False) -> DataFrame:
+    """The feature table; ``written=True`` materializes it (many consumers read it)."""
     params = params or PipelineParams()
-    return build_feature_table(spark, enriched_catalog(spark, sf_dir, params), params)
+    table = build_feature_table(spark, enriched_catalog(spark, sf_dir, params), params)
+    return materialize(table, "feature_table") if written else table
+
+
+def grid_features(spark: SparkSession, sf_dir: str, params: PipelineParams | None = None) -> DataFrame:
+    """All grid rows with features and nullable label (no tail drop, no split)."""
+    params = params or PipelineParams()
+    return unsplit_features(spark, enriched_catalog(spark, sf_dir, params), params)
 
 
 def positive_rate(table: DataFrame) -> DataFrame:

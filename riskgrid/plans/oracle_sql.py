@@ -159,5 +159,91 @@ ft AS (
   WHERE label_7d IS NOT NULL AND {split_case('date')} IS NOT NULL)"""
 
 
-def with_ft(body: str) -> str:
-    return f"WITH {feature_table_ctes()}\n{body}"
+def with_ft(body: str, ctes: str = "") -> str:
+    extra = f",\n{ctes}" if ctes else ""
+    return f"WITH {feature_table_ctes()}{extra}\n{body}"
+
+
+# ---------------------------------------------------------------------------
+# Scorers and metrics
+# ---------------------------------------------------------------------------
+
+EPS = 2.220446049250313e-16
+
+
+def scored() -> str:
+    act = "quakes_7d / (quakes_7d + CAST(10.0 AS DOUBLE))"
+    keep = "split IN ('train', 'validate')"
+    return f"""prior AS (SELECT AVG(CAST(label_7d AS DOUBLE)) AS p FROM ft WHERE split = 'train'),
+scored AS (
+  SELECT 'prior' AS run, split, region, date, label_7d AS label, p AS score,
+         CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS pred
+  FROM ft CROSS JOIN prior WHERE {keep}
+  UNION ALL
+  SELECT 'persistence', split, region, date, label_7d, large_30d, CAST(large_30d >= 1 AS INTEGER)
+  FROM ft WHERE {keep}
+  UNION ALL
+  SELECT 'activity', split, region, date, label_7d, {act}, CAST({act} >= 0.5 AS INTEGER)
+  FROM ft WHERE {keep})"""
+
+
+def ap_sql(src: str, g: str) -> str:
+    return f"""(SELECT {g}, CASE WHEN SUM(pos) > 0 THEN SUM(pos * (tp / seen)) / SUM(pos) END AS ap FROM (
+     SELECT {g}, pos,
+            SUM(pos) OVER (PARTITION BY {g} ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+            SUM(n) OVER (PARTITION BY {g} ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seen
+     FROM (SELECT {g}, score, COUNT(*) FILTER (WHERE label = 1) AS pos, COUNT(*) AS n
+           FROM {src} GROUP BY {g}, score) d) c
+   GROUP BY {g})"""
+
+
+def confusion_sql(src: str, g: str) -> str:
+    return f"""(SELECT {g}, tp, fp, fn, tn,
+          CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+          CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall,
+          CASE WHEN 2 * tp + fp + fn > 0 THEN (2 * tp) / (2 * tp + fp + fn) ELSE 0.0 END AS f1
+   FROM (SELECT {g},
+                COUNT(*) FILTER (WHERE label = 1 AND pred = 1) AS tp,
+                COUNT(*) FILTER (WHERE label = 0 AND pred = 1) AS fp,
+                COUNT(*) FILTER (WHERE label = 1 AND pred = 0) AS fn,
+                COUNT(*) FILTER (WHERE label = 0 AND pred = 0) AS tn
+         FROM {src} GROUP BY {g}) k)"""
+
+
+def logloss_sql(src: str, g: str) -> str:
+    p = f"least(CAST({1.0 - EPS!r} AS DOUBLE), greatest(CAST({EPS!r} AS DOUBLE), score))"
+    return f"""(SELECT {g}, AVG(CASE WHEN label = 1 THEN -ln({p}) ELSE -ln(1.0 - {p}) END) AS log_loss
+   FROM {src} GROUP BY {g})"""
+
+
+def metric_rows(src: str, with_ll: bool) -> str:
+    """Long metric rows (overall + per region with both classes) for one scored source."""
+    names = ["ap", "f1", "precision", "recall"] + (["log_loss"] if with_ll else [])
+    out = []
+    for by_region in (False, True):
+        g = "run, split, region" if by_region else "run, split"
+        jk = "USING (run, split, region)" if by_region else "USING (run, split)"
+        body = f"{ap_sql(src, g)} a JOIN {confusion_sql(src, g)} c {jk}"
+        if with_ll:
+            body += f" JOIN {logloss_sql(src, g)} l {jk}"
+        if by_region:
+            body += (f" WHERE (run, split, region) IN (SELECT run, split, region FROM {src} "
+                     "GROUP BY run, split, region HAVING MIN(label) <> MAX(label))")
+        reg = "region" if by_region else "CAST(NULL AS VARCHAR) AS region"
+        for m in names:
+            out.append(f"SELECT run, split, {reg}, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM {body}")
+    return "\nUNION ALL\n".join(out)
+
+
+def metrics_cte() -> str:
+    return f"""{scored()},
+prob_scored AS (SELECT * FROM scored WHERE run IN ('prior', 'activity')),
+rank_scored AS (SELECT * FROM scored WHERE run IN ('persistence')),
+metrics AS (
+{metric_rows('prob_scored', True)}
+UNION ALL
+{metric_rows('rank_scored', False)})"""
+
+
+def with_metrics(body: str) -> str:
+    return f"WITH {feature_table_ctes()},\n{metrics_cte()}\n{body}"

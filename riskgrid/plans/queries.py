@@ -80,3 +80,191 @@ def q_gap_filled_tally(spark, sf):
 def q_distance_to_line(spark, sf):
     """Planar distance (x 111 km) from every event to its nearest boundary segment."""
     return enriched_catalog(spark, sf, P).select("id", "longitude", "latitude", "distance_to_fault_km")
+
+
+# --- W1-W8: window operators (all grid rows, before tail drop and split) ----
+
+def _grid_feats(spark, sf):
+    from riskgrid.operators.windows import as_feature_table
+    from riskgrid.plans.feature_table import grid_features
+    return as_feature_table(grid_features(spark, sf, P))
+
+
+def _window_query(name, cols, doc):
+    sql = O.with_ft(f"SELECT region, date, {', '.join(cols)} FROM feats")
+
+    def fn(spark, sf):
+        return _grid_feats(spark, sf).select("region", "date", *cols)
+    fn.__doc__ = doc
+    query(name, sql)(fn)
+
+
+_window_query("window_counts", ["quakes_7d", "quakes_30d"], "W1: trailing 7/30-day event counts (0 when empty).")
+_window_query("window_large", ["large_30d"], "W2: trailing 30-day count of large events.")
+_window_query("window_averages", ["avg_mag_7d", "avg_mag_30d"],
+              "W3: trailing mean magnitude, sum / event count, null when no events.")
+_window_query("window_max", ["max_mag_30d"], "W4: trailing 30-day max magnitude, null when empty.")
+_window_query("window_geology", ["avg_depth_30d", "avg_dist_30d"],
+              "W5: trailing mean depth and distance to boundary (denominator = event count).")
+_window_query("centroid", ["centroid_lat_30d", "centroid_lon_30d"], "W5: trailing 30-day activity centroid.")
+_window_query("trend", ["trend_7d"], "W6: 7-day count minus the count 7 days earlier; null on first 7 days.")
+_window_query("days_since_last", ["days_since_last"],
+              "W7: days since the last event day; 0 on event days, null before the first.")
+_window_query("forward_label", ["label_7d"],
+              "W8: 1 if a large event in D+1..D+7, else 0; null on the last 7 days.")
+
+
+# --- P1-P3 / A4: split -------------------------------------------------------
+
+@query("temporal_split", O.with_ft(
+    f"SELECT region, date, split FROM (SELECT region, date, {O.split_case('date')} AS split FROM feats) "
+    "WHERE split IS NOT NULL"))
+def q_temporal_split(spark, sf):
+    """Embargoed split of every grid row (tail kept, embargo gaps dropped)."""
+    from riskgrid.operators.split import assign_split
+    return assign_split(_grid_feats(spark, sf), P.split, "date").select("region", "date", "split")
+
+
+@query("temporal_split_events", f"WITH {O.CATALOG}\n"
+       f"SELECT id, time, split FROM (SELECT id, time, {O.split_case('time')} AS split FROM catalog) "
+       "WHERE split IS NOT NULL")
+def q_temporal_split_events(spark, sf):
+    """The same split at event grain, on the event timestamp."""
+    from riskgrid.operators.split import assign_split
+    from riskgrid.sources.tables import standin_catalog
+    return assign_split(standin_catalog(spark, sf), P.split, "time").select("id", "time", "split")
+
+
+@query("split_summary", O.with_ft("""
+SELECT s.split, s.rows, CASE WHEN tr + va + te > 0 THEN s.rows / (tr + va + te) ELSE 0.0 END AS share,
+       dropped, rows_in
+FROM agg, (SELECT 'train' AS split, tr AS rows FROM agg UNION ALL SELECT 'validate', va FROM agg
+           UNION ALL SELECT 'test', te FROM agg) s""", f"""kept AS (
+  SELECT {O.split_case('date')} AS split FROM feats WHERE label_7d IS NOT NULL),
+agg AS (SELECT COUNT(*) AS rows_in, COUNT(*) FILTER (WHERE split = 'train') AS tr,
+               COUNT(*) FILTER (WHERE split = 'validate') AS va, COUNT(*) FILTER (WHERE split = 'test') AS te,
+               COUNT(*) FILTER (WHERE split IS NULL) AS dropped FROM kept)"""))
+def q_split_summary(spark, sf):
+    """A4: rows per split, share of kept rows, rows dropped by the embargo."""
+    from riskgrid.operators.split import drop_unobservable, split_summary
+    return split_summary(drop_unobservable(_grid_feats(spark, sf)), P.split, "date")
+
+
+# --- E1-E9 / M3 / M4: closed-form scorers and metrics ----------------------
+
+ROUND = 12
+
+
+def _metrics(spark, sf):
+    from riskgrid.plans.scoring import closed_form_metrics
+    return closed_form_metrics(feature_table(spark, sf, P, written=True))
+
+
+def _r(c):
+    return F.round(F.col(c), ROUND).alias(c)
+
+
+def _rs(c):
+    return f"round({c}, {ROUND}) AS {c}"
+
+
+@query("average_precision", O.with_metrics(
+    f"SELECT run, split, region, {_rs('value')} FROM metrics WHERE metric = 'ap'"))
+def q_average_precision(spark, sf):
+    """Step-wise average precision with tied scores grouped, overall and per region."""
+    m = _metrics(spark, sf)
+    return m.filter(F.col("metric") == "ap").select("run", "split", "region", _r("value"))
+
+
+@query("confusion_metrics", O.with_ft(f"""
+SELECT run, split, region, tp, fp, fn, tn, {_rs('precision')}, {_rs('recall')}, {_rs('f1')}
+FROM {O.confusion_sql('scored', 'run, split, region')} k
+UNION ALL
+SELECT run, split, CAST(NULL AS VARCHAR), tp, fp, fn, tn, {_rs('precision')}, {_rs('recall')}, {_rs('f1')}
+FROM {O.confusion_sql('scored', 'run, split')} k""", O.scored()))
+def q_confusion_metrics(spark, sf):
+    """tp/fp/fn/tn, precision, recall, F1 (0 when undefined), alarm at p >= 0.5."""
+    from riskgrid.operators.metrics import confusion
+    from riskgrid.plans.scoring import closed_form_scores
+    s = closed_form_scores(feature_table(spark, sf, P, written=True))
+    cols = ["tp", "fp", "fn", "tn", _r("precision"), _r("recall"), _r("f1")]
+    by_region = confusion(s, ["run", "split", "region"]).select("run", "split", "region", *cols)
+    overall = confusion(s, ["run", "split"]).select("run", "split", F.lit(None).cast("string").alias("region"),
+                                                   *cols)
+    return by_region.unionByName(overall)
+
+
+@query("log_loss", O.with_metrics(
+    f"SELECT run, split, region, {_rs('value')} FROM metrics WHERE metric = 'log_loss'"))
+def q_log_loss(spark, sf):
+    """Mean log-loss with probabilities clipped by float64 epsilon."""
+    m = _metrics(spark, sf)
+    return m.filter(F.col("metric") == "log_loss").select("run", "split", "region", _r("value"))
+
+
+@query("metrics_by_region", O.with_metrics(
+    f"SELECT run, split, region, metric, {_rs('value')} FROM metrics WHERE region IS NOT NULL"))
+def q_metrics_by_region(spark, sf):
+    """Per-region metrics, present only where the region has both classes."""
+    m = _metrics(spark, sf)
+    return m.filter(F.col("region").isNotNull()).select("run", "split", "region", "metric", _r("value"))
+
+
+@query("baseline_prior", O.with_metrics(
+    f"SELECT region, metric, {_rs('value')} FROM metrics WHERE run = 'prior' AND split = 'validate'"))
+def q_baseline_prior(spark, sf):
+    """M3: no-skill prior on validation (AP ~ base rate, F1 0 when predicting 0)."""
+    m = _metrics(spark, sf)
+    return m.filter((F.col("run") == "prior") & (F.col("split") == "validate")).select(
+        "region", "metric", _r("value"))
+
+
+@query("baseline_persistence", O.with_metrics(
+    f"SELECT region, metric, {_rs('value')} FROM metrics WHERE run = 'persistence' AND split = 'validate'"))
+def q_baseline_persistence(spark, sf):
+    """M4: persistence heuristic (score = large_30d, alarm if >= 1) on validation."""
+    m = _metrics(spark, sf)
+    return m.filter((F.col("run") == "persistence") & (F.col("split") == "validate")).select(
+        "region", "metric", _r("value"))
+
+
+@query("overfit_gap", O.with_metrics(f"""
+SELECT run, region, {_rs('train_value')}, {_rs('validate_value')}, {_rs('gap')} FROM (
+  SELECT run, region, tv AS train_value, vv AS validate_value, tv - vv AS gap FROM (
+    SELECT run, region, MAX(CASE WHEN split = 'train' THEN value END) AS tv,
+           MAX(CASE WHEN split = 'validate' THEN value END) AS vv
+    FROM metrics WHERE metric = 'ap' GROUP BY run, region) x) y"""))
+def q_overfit_gap(spark, sf):
+    """Train AP minus validation AP per run and region."""
+    from riskgrid.operators.metrics import overfit_gap
+    g = overfit_gap(_metrics(spark, sf))
+    return g.select("run", "region", _r("train_value"), _r("validate_value"), _r("gap"))
+
+
+@query("best_per_region", O.with_metrics(f"""
+SELECT region, run, {_rs('ap')} FROM (
+  SELECT region, run, value AS ap,
+         ROW_NUMBER() OVER (PARTITION BY region ORDER BY value DESC, run) AS rk
+  FROM metrics WHERE metric = 'ap' AND split = 'validate' AND region IS NOT NULL) t WHERE rk = 1"""))
+def q_best_per_region(spark, sf):
+    """Best run per region by validation AP (ties broken by run name)."""
+    from riskgrid.operators.metrics import best_per_region
+    return best_per_region(_metrics(spark, sf)).select("region", "run", _r("ap"))
+
+
+def _leader_sql():
+    regs = ", ".join(
+        f"round(MAX(CASE WHEN region = '{r.name}' AND metric = 'ap' THEN value END), {ROUND}) "
+        f"AS ap_{r.name.lower().replace(' ', '_')}" for r in P.regions)
+    overall = ", ".join(
+        f"round(MAX(CASE WHEN region IS NULL AND metric = '{x}' THEN value END), {ROUND}) AS val_{x}"
+        for x in ("ap", "f1", "log_loss"))
+    return O.with_metrics(f"SELECT run, {overall}, {regs} FROM metrics WHERE split = 'validate' GROUP BY run")
+
+
+@query("leaderboard", _leader_sql())
+def q_leaderboard(spark, sf):
+    """One row per run with validation AP/F1/log-loss and per-region AP, ranked by AP."""
+    from riskgrid.operators.metrics import leaderboard
+    lb = leaderboard(_metrics(spark, sf), [r.name for r in P.regions])
+    return lb.select("run", *[_r(c) for c in lb.columns if c != "run"])
