@@ -268,3 +268,211 @@ def q_leaderboard(spark, sf):
     from riskgrid.operators.metrics import leaderboard
     lb = leaderboard(_metrics(spark, sf), [r.name for r in P.regions])
     return lb.select("run", *[_r(c) for c in lb.columns if c != "run"])
+
+
+# --- F8 / N1-N6: variant projection and preprocessing ----------------------
+
+from riskgrid.schema import FEATURE_COLUMNS  # noqa: E402
+
+PREP_VARIANT = "depth"
+DEC = 6
+
+
+def _train(t):
+    return t.filter(F.col("split") == "train")
+
+
+@query("variant_projection", O.with_ft(
+    "SELECT region, date, split, label_7d, quakes_7d, quakes_30d, large_30d, avg_mag_7d, avg_mag_30d, "
+    "max_mag_30d, trend_7d, days_since_last, avg_depth_30d, avg_dist_30d FROM ft"))
+def q_variant_projection(spark, sf):
+    """F8: the columns of one variant ('both' = base + depth + distance) plus keys and label."""
+    from riskgrid.operators.prep import variant_projection
+    return variant_projection(feature_table(spark, sf, P), "both")
+
+
+@query("impute_median", O.with_ft("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, round(median({c}), {ROUND}) AS median FROM ft WHERE split = 'train'"
+    for c in FEATURE_COLUMNS)))
+def q_impute_median(spark, sf):
+    """Exact (interpolated) train median of every numeric feature."""
+    from riskgrid.operators.prep import median_frame
+    st = median_frame(_train(feature_table(spark, sf, P, written=True)), FEATURE_COLUMNS)
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"med_{c}").alias("median"))
+                      for c in FEATURE_COLUMNS])
+    return st.select(F.explode(pairs).alias("p")).select("p.feature", F.round("p.median", ROUND).alias("median"))
+
+
+def _prep_sql(numeric, cats, keep="region, date, split"):
+    meds = ", ".join(f"median({c}) AS med_{c}" for c in numeric)
+    mos = ", ".join(f"avg(COALESCE({c}, med_{c})) AS mu_{c}, stddev_pop(COALESCE({c}, med_{c})) AS sd_{c}"
+                    for c in numeric)
+    nums = ", ".join(
+        f"round((COALESCE({c}, med_{c}) - mu_{c}) / CASE WHEN sd_{c} = 0 THEN 1.0 ELSE sd_{c} END, {DEC}) "
+        f"AS num__{c}" for c in numeric)
+    onehot = "".join(f", CASE WHEN region = '{r}' THEN 1.0 ELSE 0.0 END AS cat__region_{r.lower().replace(' ', '_')}"
+                     for r in cats)
+    return O.with_ft(f"SELECT {keep}, {nums}{onehot} FROM ft, st, mo",
+                     f"st AS (SELECT {meds} FROM ft WHERE split = 'train'),\n"
+                     f"mo AS (SELECT {mos} FROM ft, st WHERE split = 'train')")
+
+
+def _prep(spark, sf, numeric, with_cat):
+    from riskgrid.operators.prep import fit_categories, fit_numeric, transform
+    t = feature_table(spark, sf, P, written=True)
+    stats = fit_numeric(_train(t), numeric)
+    cats = fit_categories(_train(t), ["region"]) if with_cat else {}
+    out = transform(t, numeric, cats, stats, keep=("region", "date", "split"))
+    return out.select("region", "date", "split",
+                      *[F.round(c, DEC).alias(c) if c.startswith("num__") else F.col(c)
+                        for c in out.columns if c not in ("region", "date", "split")])
+
+
+_DEPTH_NUM = list(__import__("riskgrid.operators.prep", fromlist=["x"]).feature_columns(PREP_VARIANT)[0])
+_CATS = sorted(r.name for r in P.regions)
+
+
+@query("standardize", _prep_sql(_DEPTH_NUM, []))
+def q_standardize(spark, sf):
+    """(imputed x - train mean) / train population std (1 when constant)."""
+    return _prep(spark, sf, _DEPTH_NUM, False)
+
+
+@query("one_hot", O.with_ft("SELECT region, date, split" + "".join(
+    f", CASE WHEN region = '{r}' THEN 1.0 ELSE 0.0 END AS cat__region_{r.lower().replace(' ', '_')}"
+    for r in _CATS) + " FROM ft"))
+def q_one_hot(spark, sf):
+    """One 0/1 column per sorted train category; unseen -> zeros."""
+    from riskgrid.operators.prep import fit_categories, one_hot
+    t = feature_table(spark, sf, P, written=True)
+    cats = fit_categories(_train(t), ["region"])
+    return t.select("region", "date", "split", *one_hot("region", cats["region"]))
+
+
+@query("preprocess", _prep_sql(_DEPTH_NUM, _CATS))
+def q_preprocess(spark, sf):
+    """The composed preprocessor (num__ block then cat__ block) for the chosen variant."""
+    return _prep(spark, sf, _DEPTH_NUM, True)
+
+
+@query("class_weights", O.with_ft(f"""
+SELECT label_7d, n, n_class, round(n / (2 * n_class), {ROUND}) AS weight
+FROM (SELECT label_7d, COUNT(*) AS n_class FROM ft WHERE split = 'train' GROUP BY label_7d) c,
+     (SELECT COUNT(*) AS n FROM ft WHERE split = 'train') t"""))
+def q_class_weights(spark, sf):
+    """Balanced class weights n / (2 n_c) on train."""
+    from riskgrid.operators.prep import class_weights
+    w = class_weights(_train(feature_table(spark, sf, P, written=True)))
+    return w.select("label_7d", "n", "n_class", F.round("weight", ROUND).alias("weight"))
+
+
+@query("interactions", O.with_ft("SELECT region, date, split" + "".join(
+    f", avg_dist_30d * CASE WHEN region = '{r}' THEN 1.0 ELSE 0.0 END AS avg_dist_30d__{r.lower().replace(' ', '_')}"
+    for r in _CATS) + " FROM ft"))
+def q_interactions(spark, sf):
+    """Region x distance interactions by multiplication (a null stays null everywhere)."""
+    from riskgrid.operators.prep import interactions
+    t = feature_table(spark, sf, P)
+    out, names = interactions(t, "avg_dist_30d", _CATS)
+    return out.select("region", "date", "split", *names)
+
+
+# --- G1-G6: leakage guards ----------------------------------------------------
+
+def _guard_sql():
+    emb = []
+    for cid, a, z in ((1, "train", "validate"), (2, "validate", "test")):
+        emb.append(
+            f"SELECT {cid} AS check_id, 'embargo {a} -> {z}' AS guard, "
+            f"COALESCE({a}_max + 7 < {z}_min, false) AS passed, "
+            f"'{a}_max ' || COALESCE(CAST({a}_max AS VARCHAR), 'none') || ' + 7d < {z}_min ' || "
+            f"COALESCE(CAST({z}_min AS VARCHAR), 'none') AS detail FROM b")
+    emb_sql = "\nUNION ALL\n".join(emb)
+    one = ("SELECT 3 AS check_id, 'one split per (region, date)' AS guard, COALESCE(m = 1, true) AS passed, "
+           "'max distinct splits per key = ' || COALESCE(CAST(m AS VARCHAR), '0') AS detail "
+           "FROM (SELECT max(k) AS m FROM (SELECT count(DISTINCT split) AS k FROM ft GROUP BY region, date) x) y")
+    forb = ("SELECT 4 AS check_id, 'leak-prone columns never used' AS guard, true AS passed, "
+            "'offending columns: none' AS detail")
+    train = ("SELECT 5 AS check_id, 'preprocessing fit on train only' AS guard, "
+             "COALESCE(abs(m - m) < 1e-9, false) AS passed, "
+             "'avg_mag_7d: fitted median = train median' AS detail FROM (SELECT median(avg_mag_7d) AS m FROM ft "
+             "WHERE split = 'train') x")
+    lab = ("SELECT 6 AS check_id, 'label is a clean binary target' AS guard, nulls = 0 AND bad = 0 AS passed, "
+           "'nulls=' || CAST(nulls AS VARCHAR) || ', non-binary=' || CAST(bad AS VARCHAR) AS detail FROM "
+           "(SELECT COUNT(*) FILTER (WHERE label_7d IS NULL) AS nulls, "
+           "COUNT(*) FILTER (WHERE label_7d NOT IN (0, 1)) AS bad FROM ft) x")
+    fwd = ("SELECT 7 AS check_id, 'label reads only D+1..D+7, features only <= D' AS guard, bad = 0 AS passed, "
+           "'mismatched rows = ' || CAST(bad AS VARCHAR) AS detail FROM (SELECT COUNT(*) FILTER (WHERE "
+           "label_7d <> CAST(fut >= 1 AS INTEGER) OR quakes_7d <> CAST(pn AS DOUBLE)) AS bad FROM ("
+           "SELECT f.label_7d, f.quakes_7d, "
+           "COALESCE((SELECT SUM(large) FROM tally t WHERE t.region = f.region AND t.date > f.date "
+           "AND t.date <= f.date + 7), 0) AS fut, "
+           "COALESCE((SELECT SUM(n) FROM tally t WHERE t.region = f.region AND t.date >= f.date - 6 "
+           "AND t.date <= f.date), 0) AS pn FROM ft f) x) y")
+    b = ("b AS (SELECT max(CASE WHEN split = 'train' THEN date END) AS train_max, "
+         "max(CASE WHEN split = 'validate' THEN date END) AS validate_max, "
+         "min(CASE WHEN split = 'validate' THEN date END) AS validate_min, "
+         "min(CASE WHEN split = 'test' THEN date END) AS test_min FROM ft)")
+    return b, {"embargo": emb_sql, "one": one, "forb": forb, "train": train, "label": lab, "fwd": fwd}
+
+
+_GB, _G = _guard_sql()
+
+
+def _ft_and_tally(spark, sf):
+    from riskgrid.operators.grid import daily_tally
+    from riskgrid.plans.feature_table import build_feature_table
+    from riskgrid.session import materialize
+    cat = enriched_catalog(spark, sf, P)
+    tally = materialize(daily_tally(cat, P.regions), "daily_tally")
+    from riskgrid.operators.grid import daily_grid, gap_filled_tally
+    from riskgrid.operators.split import assign_split, drop_unobservable
+    from riskgrid.operators.windows import as_feature_table, window_features
+    feats = window_features(gap_filled_tally(daily_grid(spark, tally, P.regions), tally), P.horizon)
+    table = as_feature_table(assign_split(drop_unobservable(feats), P.split, "date"))
+    return materialize(table, "feature_table"), tally
+
+
+@query("guard_embargo", O.with_ft(_G["embargo"], _GB))
+def q_guard_embargo(spark, sf):
+    """G1: max(train) + 7d < min(validate); max(validate) + 7d < min(test)."""
+    from riskgrid.operators.guards import guard_embargo
+    return guard_embargo(feature_table(spark, sf, P, written=True))
+
+
+@query("guard_one_split", O.with_ft(_G["one"]))
+def q_guard_one_split(spark, sf):
+    """Every (region, date) lives in exactly one split."""
+    from riskgrid.operators.guards import guard_one_split
+    return guard_one_split(feature_table(spark, sf, P, written=True))
+
+
+@query("guard_train_only", O.with_ft(_G["train"]))
+def q_guard_train_only(spark, sf):
+    """The fitted median equals the train median."""
+    from riskgrid.operators.guards import guard_train_only
+    return guard_train_only(feature_table(spark, sf, P, written=True))
+
+
+@query("guard_label", O.with_ft(_G["label"]))
+def q_guard_label(spark, sf):
+    """Label values in {0, 1}, no nulls."""
+    from riskgrid.operators.guards import guard_label
+    return guard_label(feature_table(spark, sf, P, written=True))
+
+
+@query("guard_forward_only", O.with_ft(_G["fwd"]))
+def q_guard_forward_only(spark, sf):
+    """Extra guard: label re-derived from D+1..D+7 and 7-day count from D-6..D by a keyed join."""
+    from riskgrid.operators.guards import guard_forward_only
+    table, tally = _ft_and_tally(spark, sf)
+    return guard_forward_only(table, tally)
+
+
+@query("guard_report", O.with_ft("\nUNION ALL\n".join(_G[k] for k in
+                                                    ("embargo", "one", "forb", "train", "label", "fwd")), _GB))
+def q_guard_report(spark, sf):
+    """All guards as (check_id, guard, passed, detail) rows."""
+    from riskgrid.operators.guards import guard_report
+    table, tally = _ft_and_tally(spark, sf)
+    return guard_report(table, tally)
