@@ -476,3 +476,141 @@ def q_guard_report(spark, sf):
     from riskgrid.operators.guards import guard_report
     table, tally = _ft_and_tally(spark, sf)
     return guard_report(table, tally)
+
+
+# --- S1-S11 / F1-F7 / J1 / A6: ingest, catalog predicates, box join --------
+
+from riskgrid.schema import REFERENCE_REGIONS  # noqa: E402
+from riskgrid.sources import ingest as ING  # noqa: E402
+from riskgrid.sources.tables import events as _events, standin_catalog as _catalog  # noqa: E402
+
+_EV = "CAST(event_id AS VARCHAR)"
+
+
+@query("ingest_flatten", f"""
+SELECT 'ev' || {_EV} AS id, event_type AS region, make_timestamp((epoch_us(ts) // 1000) * 1000) AS time, props AS place,
+       CASE WHEN isnan(value) THEN NULL ELSE value END AS magnitude, 'ml' AS mag_type,
+       CAST((event_id * 37) % 3600 AS DOUBLE) / 10 - 180 AS longitude,
+       CAST((event_id * 53) % 1800 AS DOUBLE) / 10 - 90 AS latitude, value AS depth_km,
+       CAST(json_extract(props, '$.k') AS INTEGER) AS nst, CAST(NULL AS DOUBLE) AS gap,
+       CAST(NULL AS DOUBLE) AS dmin, CAST(NULL AS DOUBLE) AS rms, event_type AS type, 'reviewed' AS status
+FROM events""")
+def q_ingest_flatten(spark, sf):
+    """Events re-shaped as feature collections (JSON), parsed with the fixed schema and flattened."""
+    flat = ING.parse_collections(ING.events_as_collections(_events(spark, sf)))
+    return flat.withColumn("time", F.col("time").cast("timestamp_ntz"))
+
+
+_CAT_OUT = ["id", "region", "time", "magnitude", "depth_km", "longitude", "latitude", "type", "status"]
+
+
+@query("scan_union", f"WITH {O.CATALOG}\nSELECT {', '.join(_CAT_OUT)} FROM catalog")
+def q_scan_union(spark, sf):
+    """Write the catalog as CSV, one folder per region sorted by time; scan all back with a schema."""
+    from pyspark.sql import types as T
+
+    from riskgrid.session import checkpoint_dir
+    import uuid
+    path = f"{checkpoint_dir(spark).rstrip('/')}/riskgrid-tables/catalog-csv-{uuid.uuid4().hex}"
+    cat = _catalog(spark, sf).select(*_CAT_OUT)
+    ING.write_by_region(cat, path, fmt="csv")
+    schema = T.StructType([f for f in cat.schema.fields if f.name != "region"])
+    back = ING.read_catalog(spark, path, schema, fmt="csv")
+    ING.check_sources(back, [r.name for r in P.regions])
+    return back.select(*_CAT_OUT)
+
+
+@query("load_verify", f"WITH {O.CATALOG}\nSELECT region, COUNT(*) AS n FROM catalog GROUP BY ROLLUP (region)")
+def q_load_verify(spark, sf):
+    """Total (region null) and per-region row counts of the loaded catalog."""
+    return ING.load_verify(_catalog(spark, sf))
+
+
+@query("recent_snapshot", """
+WITH a AS (SELECT max(ts) AS asof FROM events),
+r AS (SELECT e.* FROM events e, a WHERE e.ts >= a.asof - INTERVAL 24 HOURS AND e.ts <= a.asof AND e.value >= 2.0)
+SELECT COUNT(*) AS n_recent, max(ts) AS latest_ts, arg_max(event_id, ts) AS latest_event_id,
+       max(value) AS max_value FROM r""")
+def q_recent_snapshot(spark, sf):
+    """Events of the last 24 h before the newest event, magnitude floor 2.0: count and newest row."""
+    return ING.recent_snapshot(_events(spark, sf))
+
+
+_JAPAN = REFERENCE_REGIONS[1]
+FILTER_YEAR, FILTER_FLOOR = 1996, 150000.0
+
+
+@query("catalog_filter", f"""WITH {O.CATALOG}
+SELECT id, region, time, magnitude, latitude, longitude FROM catalog
+WHERE magnitude >= {O._d(FILTER_FLOOR)} AND time >= TIMESTAMP '{FILTER_YEAR}-01-01'
+  AND time < TIMESTAMP '{FILTER_YEAR + 1}-01-01'
+  AND latitude BETWEEN {O._d(_JAPAN.min_lat)} AND {O._d(_JAPAN.max_lat)}
+  AND longitude BETWEEN {O._d(_JAPAN.min_lon)} AND {O._d(_JAPAN.max_lon)}""")
+def q_catalog_filter(spark, sf):
+    """one year (half-open), one lat/lon box, a magnitude floor; pushed to the scan."""
+    from riskgrid.operators.clean import catalog_filter
+    return catalog_filter(_catalog(spark, sf), box=_JAPAN, year=FILTER_YEAR,
+                          min_magnitude=FILTER_FLOOR).select("id", "region", "time", "magnitude",
+                                                             "latitude", "longitude")
+
+
+KEEP_TYPE = "F"
+
+
+@query("clean_catalog", f"WITH {O.CATALOG}\nSELECT id, region, date, magnitude, type, lower(status) AS status "
+                        f"FROM catalog WHERE type = '{KEEP_TYPE}'")
+def q_clean_catalog(spark, sf):
+    """keep one event type (null dropped) and lower-case the status."""
+    from riskgrid.operators.clean import clean
+    return clean(_catalog(spark, sf), KEEP_TYPE).select("id", "region", "date", "magnitude", "type", "status")
+
+
+@query("clean_report", f"""WITH {O.CATALOG}
+SELECT COUNT(*) AS rows_before, COUNT(*) FILTER (WHERE NOT COALESCE(type = '{KEEP_TYPE}', false)) AS rows_removed,
+       COUNT(*) FILTER (WHERE type = '{KEEP_TYPE}') AS rows_after,
+       array_to_string(list_sort(list_distinct(list(lower(status)) FILTER (WHERE type = '{KEEP_TYPE}'))), ',')
+         AS statuses
+FROM catalog""")
+def q_clean_report(spark, sf):
+    """rows before / removed / after and the sorted distinct statuses."""
+    from riskgrid.operators.clean import clean_report
+    return clean_report(_catalog(spark, sf), KEEP_TYPE)
+
+
+@query("role_projection", f"WITH {O.CATALOG},\n{O.enriched()}\n"
+                          "SELECT id, region, time, date, magnitude, depth_km, longitude, latitude, type, status, "
+                          "distance_to_fault_km FROM enriched")
+def q_role_projection(spark, sf):
+    """only allow-listed feature and metadata columns pass."""
+    from riskgrid.operators.clean import role_projection
+    return role_projection(enriched_catalog(spark, sf, P))
+
+
+@query("large_flag", f"WITH {O.CATALOG}\nSELECT id, region, magnitude, "
+                     f"COALESCE(magnitude >= {O.threshold_case('region')}, false) AS is_large FROM catalog")
+def q_large_flag(spark, sf):
+    """magnitude >= the region's threshold (NaN/null not large)."""
+    from riskgrid.operators.grid import with_large_flag
+    return with_large_flag(_catalog(spark, sf), P.regions).select("id", "region", "magnitude", "is_large")
+
+
+def _box_values():
+    rows = ", ".join(f"('{r.name}', {O._d(r.min_lat)}, {O._d(r.max_lat)}, {O._d(r.min_lon)}, {O._d(r.max_lon)})"
+                     for r in REFERENCE_REGIONS)
+    return f"(VALUES {rows}) b(name, min_lat, max_lat, min_lon, max_lon)"
+
+
+@query("box_join", f"""WITH {O.CATALOG}
+SELECT c.id, c.latitude, c.longitude, b.name AS box_region FROM catalog c JOIN {_box_values()}
+  ON c.latitude BETWEEN b.min_lat AND b.max_lat AND c.longitude BETWEEN b.min_lon AND b.max_lon""")
+def q_box_join(spark, sf):
+    """Assign each event to every region box containing it (inclusive bounds)."""
+    from riskgrid.operators.spatial import box_join
+    return box_join(_catalog(spark, sf), REFERENCE_REGIONS).select("id", "latitude", "longitude", "box_region")
+
+
+@query("chunk_audit", f"WITH {O.CATALOG}\nSELECT region, year(time) AS year, COUNT(*) AS n, "
+                      "COUNT(*) >= 20000 AS at_limit FROM catalog GROUP BY region, year(time)")
+def q_chunk_audit(spark, sf):
+    """Events per (region, year) and whether a yearly pull would hit the 20,000 page limit."""
+    return ING.chunk_audit(_catalog(spark, sf))
