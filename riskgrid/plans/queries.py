@@ -614,3 +614,181 @@ def q_box_join(spark, sf):
 def q_chunk_audit(spark, sf):
     """Events per (region, year) and whether a yearly pull would hit the 20,000 page limit."""
     return ING.chunk_audit(_catalog(spark, sf))
+
+
+# --- D1-D14: profiling --------------------------------------------------------
+
+from riskgrid.operators import profile as PR  # noqa: E402
+
+FLAT_THRESHOLD = 490000.0
+BIG_MAGNITUDE = 495000.0
+_NULL_COLS = ["quakes_7d", "avg_mag_7d", "avg_mag_30d", "max_mag_30d", "avg_depth_30d", "avg_dist_30d",
+              "trend_7d", "days_since_last", "label_7d"]
+
+
+@query("profile_nulls", O.with_ft("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, COUNT(*) AS rows, COUNT(*) FILTER (WHERE {c} IS NULL"
+    + (f" OR isnan({c})" if c != "label_7d" else "") + ") AS nulls, "
+    f"CASE WHEN COUNT(*) > 0 THEN (COUNT(*) FILTER (WHERE {c} IS NULL"
+    + (f" OR isnan({c})" if c != "label_7d" else "") + ")) / COUNT(*) END AS null_rate FROM feats"
+    for c in _NULL_COLS)))
+def q_profile_nulls(spark, sf):
+    """Null share per column of the region-day features (quiet-day blanks)."""
+    return PR.null_rates(_grid_feats(spark, sf), _NULL_COLS)
+
+
+@query("profile_duplicates", f"""WITH {O.CATALOG}
+SELECT (SELECT COUNT(*) FROM catalog) AS n_rows,
+       (SELECT COUNT(*) FROM (SELECT id FROM catalog GROUP BY id HAVING COUNT(*) > 1) x) AS duplicate_ids,
+       (SELECT COUNT(*) FROM (SELECT id, region, time, date, magnitude, depth_km, longitude, latitude, type, status
+                               FROM catalog GROUP BY ALL HAVING COUNT(*) > 1) y) AS duplicate_rows""")
+def q_profile_duplicates(spark, sf):
+    """Duplicate ids and fully duplicated rows."""
+    return PR.duplicates(_catalog(spark, sf))
+
+
+@query("magnitude_summary", f"""WITH {O.CATALOG}
+SELECT region, COUNT(*) AS n, round(median(magnitude), {ROUND}) AS median, min(magnitude) AS min,
+       max(magnitude) AS max,
+       AVG(CAST(magnitude >= {O.threshold_case('region')} AS DOUBLE)) AS share_large,
+       AVG(CAST(magnitude >= {O._d(FLAT_THRESHOLD)} AS DOUBLE)) AS share_flat
+FROM catalog GROUP BY region""")
+def q_magnitude_summary(spark, sf):
+    """D3: magnitude median/min/max and large shares (regional and flat threshold) by region."""
+    m = PR.magnitude_summary(_catalog(spark, sf), P.regions, FLAT_THRESHOLD)
+    return m.withColumn("median", F.round("median", ROUND))
+
+
+@query("anomaly_counts", f"""WITH {O.CATALOG}
+SELECT COUNT(*) FILTER (WHERE depth_km < 0) AS negative_depths, min(depth_km) AS min_depth,
+       max(depth_km) AS max_depth, max(magnitude) AS max_magnitude,
+       COUNT(*) FILTER (WHERE magnitude >= {O._d(BIG_MAGNITUDE)}) AS n_big FROM catalog""")
+def q_anomaly_counts(spark, sf):
+    """Negative depths, depth range, largest magnitude, count above a high mark."""
+    return PR.anomaly_counts(_catalog(spark, sf), BIG_MAGNITUDE)
+
+
+@query("removed_by_region", f"""WITH {O.CATALOG}
+SELECT region, COUNT(*) AS rows_before,
+       COUNT(*) FILTER (WHERE NOT COALESCE(type = '{KEEP_TYPE}', false)) AS rows_removed,
+       COUNT(*) FILTER (WHERE COALESCE(type = '{KEEP_TYPE}', false)) AS rows_after
+FROM catalog GROUP BY region""")
+def q_removed_by_region(spark, sf):
+    """Rows before / removed / after the type filter, by region."""
+    return PR.removed_by_region(_catalog(spark, sf), KEEP_TYPE)
+
+
+@query("catalog_shift", f"""WITH {O.CATALOG},
+y AS (SELECT region, year(time) AS year, COUNT(*) AS n FROM catalog GROUP BY region, year(time))
+SELECT region, year, n, prev_n, CASE WHEN prev_n > 0 THEN n / prev_n END AS ratio,
+       COALESCE(CASE WHEN prev_n > 0 THEN n / prev_n END < 0.5, false) AS sharp_drop
+FROM (SELECT *, LAG(n) OVER (PARTITION BY region ORDER BY year) AS prev_n FROM y) x""")
+def q_catalog_shift(spark, sf):
+    """Year-over-year event counts per region with sharp-drop flags."""
+    return PR.catalog_shift(_catalog(spark, sf))
+
+
+@query("status_mix", f"""WITH {O.CATALOG},
+s AS (SELECT region, lower(status) AS status, COUNT(*) AS n FROM catalog GROUP BY region, lower(status))
+SELECT region, status, n, n / SUM(n) OVER (PARTITION BY region) AS share FROM s""")
+def q_status_mix(spark, sf):
+    """Status counts and within-region shares."""
+    return PR.status_mix(_catalog(spark, sf))
+
+
+CORR_DEC = 9
+
+
+@query("simpson_check", f"""WITH {O.CATALOG}
+SELECT 'pooled' AS scope, COUNT(*) AS n, round(corr(magnitude, depth_km), {CORR_DEC}) AS r FROM catalog
+UNION ALL
+SELECT region, COUNT(*), round(corr(magnitude, depth_km), {CORR_DEC}) FROM catalog GROUP BY region""")
+def q_simpson_check(spark, sf):
+    """Pooled vs within-region correlation of magnitude and depth."""
+    c = PR.correlations(_catalog(spark, sf), "magnitude", "depth_km")
+    return c.select("scope", "n", F.round("r", CORR_DEC).alias("r"))
+
+
+@query("correlation_tests", f"""WITH {O.CATALOG},
+c AS (SELECT region AS scope, COUNT(*) AS n, corr(magnitude, depth_km) AS r FROM catalog GROUP BY region
+      UNION ALL SELECT 'pooled', COUNT(*), corr(magnitude, depth_km) FROM catalog)
+SELECT scope, n, round(r, {CORR_DEC}) AS r,
+       round(CASE WHEN n > 2 AND abs(r) < 1 THEN r * sqrt((n - 2) / (1.0 - r * r)) END, 6) AS t_stat FROM c""")
+def q_correlation_tests(spark, sf):
+    """Correlation with n and t statistic (p-values are left to the few result rows)."""
+    c = PR.correlations(_catalog(spark, sf), "magnitude", "depth_km")
+    return c.select("scope", "n", F.round("r", CORR_DEC).alias("r"), F.round("t_stat", 6).alias("t_stat"))
+
+
+@query("inter_event_time", f"""WITH {O.CATALOG},
+g AS (SELECT region, epoch_us(time) - LAG(epoch_us(time)) OVER (PARTITION BY region ORDER BY epoch_us(time)) AS gap
+      FROM catalog)
+SELECT region, COUNT(gap) AS n_gaps, AVG(gap) / 3600000000.0 AS mean_gap_h,
+       median(gap) / 3600000000.0 AS median_gap_h FROM g GROUP BY region""")
+def q_inter_event_time(spark, sf):
+    """Number of gaps, mean and exact median gap (hours) between consecutive events per region."""
+    return PR.inter_event_time(_catalog(spark, sf))
+
+
+@query("surge_ratio", O.with_ft("""
+SELECT region, max(ratio) AS max_surge, arg_min(date, (-ratio, date)) AS surge_date FROM (
+  SELECT region, date, CASE WHEN prior > 0 THEN (n * 30.0) / prior END AS ratio FROM (
+    SELECT region, date, COALESCE(n, 0) AS n,
+           SUM(COALESCE(n, 0)) OVER (PARTITION BY region ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)
+             AS prior FROM filled) a) b
+WHERE ratio IS NOT NULL GROUP BY region"""))
+def q_surge_ratio(spark, sf):
+    """Largest day count relative to the previous 30-day mean, per region."""
+    from riskgrid.plans.feature_table import region_days
+    return PR.surge(region_days(spark, enriched_catalog(spark, sf, P), P))
+
+
+@query("seasonality", f"""WITH {O.CATALOG},
+m AS (SELECT region, month(time) AS month, year(time) AS year, COUNT(*) AS n FROM catalog GROUP BY ALL),
+mo AS (SELECT region, month, SUM(n) AS n FROM m GROUP BY region, month),
+mo2 AS (SELECT *, SUM(n) OVER (PARTITION BY region) / 12.0 AS e FROM mo),
+chi AS (SELECT region, round(SUM((n - e) * (n - e) / e), 9) AS chi2, COUNT(*) AS months_seen,
+               arg_min(month, (-n, month)) AS top_month, max(n) AS top_month_n FROM mo2 GROUP BY region),
+ty AS (SELECT m.region, arg_min(year, (-n, year)) AS top_year, max(n) AS top_year_n
+       FROM m JOIN chi ON m.region = chi.region AND m.month = chi.top_month GROUP BY m.region)
+SELECT chi.*, ty.top_year, ty.top_year_n FROM chi JOIN ty USING (region)""")
+def q_seasonality(spark, sf):
+    """Month-profile chi-square per region, the top month and the year dominating it."""
+    s = PR.seasonality(_catalog(spark, sf))
+    return s.withColumn("chi2", F.round("chi2", 9)).select(
+        "region", "chi2", "months_seen", "top_month", "top_month_n", "top_year", "top_year_n")
+
+
+@query("threshold_compare", f"""WITH {O.CATALOG},
+{O.enriched()},
+{O.tally()},
+{O.grid()},
+t2 AS (SELECT region, date, COUNT(*) FILTER (WHERE magnitude >= {O._d(FLAT_THRESHOLD)}) AS large_flat
+       FROM catalog GROUP BY region, date),
+f2 AS (SELECT f.region, f.date, f.large, t2.large_flat FROM filled f LEFT JOIN t2 USING (region, date)),
+l AS (SELECT region,
+        CASE WHEN COUNT(*) OVER w = 7 THEN CAST(SUM(COALESCE(large, 0)) OVER w >= 1 AS DOUBLE) END AS l_regional,
+        CASE WHEN COUNT(*) OVER w = 7 THEN CAST(SUM(COALESCE(large_flat, 0)) OVER w >= 1 AS DOUBLE) END AS l_flat
+      FROM f2 WINDOW w AS (PARTITION BY region ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 7 FOLLOWING))
+SELECT region, AVG(l_regional) AS rate_regional, AVG(l_flat) AS rate_flat, COUNT(l_regional) AS n
+FROM l GROUP BY region""")
+def q_threshold_compare(spark, sf):
+    """7-day positive rate with regional thresholds vs one flat threshold."""
+    from riskgrid.operators.grid import daily_grid, daily_tally, gap_filled_tally
+    from riskgrid.session import materialize
+    cat = _catalog(spark, sf)
+    tally = (daily_tally(cat.withColumn("distance_to_fault_km", F.lit(None).cast("double")), P.regions)
+             .join(cat.groupBy("region", "date").agg(
+                 F.count_if(F.col("magnitude") >= F.lit(FLAT_THRESHOLD)).alias("large_flat")),
+                 ["region", "date"]))
+    tally = materialize(tally, "tally_two_thresholds")
+    return PR.threshold_compare(gap_filled_tally(daily_grid(spark, tally, P.regions), tally))
+
+
+@query("spatial_bins", f"""WITH {O.CATALOG}
+SELECT floor(latitude / 10.0) * 10.0 AS lat_bin, floor(longitude / 10.0) * 10.0 AS lon_bin, COUNT(*) AS n
+FROM catalog GROUP BY ALL""")
+def q_spatial_bins(spark, sf):
+    """Event counts on a 10-degree lat/lon grid."""
+    return PR.spatial_bins(_catalog(spark, sf)).select(
+        F.col("lat_bin").cast("double").alias("lat_bin"), F.col("lon_bin").cast("double").alias("lon_bin"), "n")
