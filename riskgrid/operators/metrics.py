@@ -27,7 +27,7 @@ def decision(p: Column, threshold: float = 0.5) -> Column:
 # ---------------------------------------------------------------------------
 
 def average_precision(scored: DataFrame, keys=(), score: str = "score", label: str = "label",
-                      buckets: int = AP_BUCKETS) -> DataFrame:
+                      buckets: int = AP_BUCKETS, sets=None) -> DataFrame:
     """AP = sum over distinct scores (descending) of (R_k - R_{k-1}) * P_k.
 
     Ties are one step. Null when a group has no positive.
@@ -37,18 +37,27 @@ def average_precision(scored: DataFrame, keys=(), score: str = "score", label: s
     (3) per-range totals and a window over the few ranges give each range's
     offset; (4) a window inside each (group, range) gives exact cumulative
     counts. No ordered window spans a whole group.
+
+    ``sets`` (a list of key lists, each a subset of ``keys``; string keys)
+    computes several grouping levels in one pass; a key a level does not group
+    by comes out null.
     """
     keys = list(keys)
-    k = keys or ["_all"]
-    base = scored if keys else scored.withColumn("_all", F.lit(0))
-    dist = (base.groupBy(*k, score)
-            .agg(F.count_if(F.col(label) == 1).alias("_pos"), F.count(F.lit(1)).alias("_n")))
+    if sets is not None:
+        dist = (scored.groupingSets([list(s) + [score] for s in sets], *keys, score)
+                .agg(F.count_if(F.col(label) == 1).alias("_pos"), F.count(F.lit(1)).alias("_n")))
+        dist = _mark(dist, keys)
+        k = keys
+    else:
+        k = keys or ["_all"]
+        base = scored if keys else scored.withColumn("_all", F.lit(0))
+        dist = (base.groupBy(*k, score)
+                .agg(F.count_if(F.col(label) == 1).alias("_pos"), F.count(F.lit(1)).alias("_n")))
     probs = [i / buckets for i in range(1, buckets)]
     cuts = dist.groupBy(*k).agg(F.percentile_approx(score, probs, 1000).alias("_cuts"))
     # Range 0 holds the highest scores.
     ranged = (dist.join(cuts, k)
-              .withColumn("_b", F.size(F.filter("_cuts", lambda c: c > F.col(score))))
-              .drop("_cuts"))
+              .withColumn("_b", F.size(F.filter("_cuts", lambda c: c > F.col(score)))).drop("_cuts"))
     totals = ranged.groupBy(*k, "_b").agg(F.sum("_pos").alias("_bpos"), F.sum("_n").alias("_bn"))
     before = Window.partitionBy(*k).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*k, "_b",
@@ -64,9 +73,25 @@ def average_precision(scored: DataFrame, keys=(), score: str = "score", label: s
         F.sum(F.col("_pos") * (F.col("_tp") / F.col("_seen"))).alias("_s"),
         F.sum("_pos").alias("_p"))
     out = out.select(*k, F.when(F.col("_p") > 0, F.col("_s") / F.col("_p")).alias("ap"))
+    if sets is not None:
+        return _unmark(out, keys)
     return out.drop("_all") if not keys else out
 
 
+# Stand-in for "not grouped by this key" so grouping-set rows join by name.
+_ALL = "\u0000all"
+
+
+def _mark(df: DataFrame, keys) -> DataFrame:
+    return df.select(*[F.coalesce(F.col(c), F.lit(_ALL)).alias(c) if c in keys else F.col(c)
+                       for c in df.columns])
+
+
+def _unmark(df: DataFrame, keys) -> DataFrame:
+    return df.select(*[F.when(F.col(c) != F.lit(_ALL), F.col(c)).alias(c) if c in keys else F.col(c)
+                       for c in df.columns])
+
+
 # ---------------------------------------------------------------------------
 # E2-E5 confusion metrics and log-loss
 # ---------------------------------------------------------------------------
@@ -109,24 +134,33 @@ def metric_table(scored: DataFrame, keys=("run", "split"), with_log_loss: bool =
                  label: str = "label") -> DataFrame:
     """Long metric rows: overall per ``keys`` and per region where both classes occur.
 
-    Columns: keys..., region (null = overall), metric, value.
+    Columns: keys..., region (null = overall), metric, value. Both levels come
+    from grouping sets: one aggregate pass for the counts and log-loss, one AP
+    pass.
     """
     keys = list(keys)
+    cols = keys + ["region"]
+    sets = [keys, cols]
+    y, p = F.col(label), F.col("pred")
+    pr = F.least(F.lit(1.0 - LOGLOSS_EPS), F.greatest(F.lit(LOGLOSS_EPS), F.col("score")))
+    ll = F.when(y == 1, -F.ln(pr)).otherwise(-F.ln(F.lit(1.0) - pr))
+    counts = scored.groupingSets(sets, *cols).agg(
+        F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
+        F.count_if((y == 1) & (p == 0)).alias("fn"),
+        F.avg(ll).alias("log_loss"), F.min(label).alias("_lo"), F.max(label).alias("_hi"))
+    # Per-region rows exist only when the region has both classes.
+    counts = counts.filter(F.col("region").isNull() | (F.col("_lo") != F.col("_hi")))
+    ap = _mark(average_precision(scored, cols, label=label, sets=sets), cols)
+    m = _unmark(_mark(counts, cols).join(ap, cols), cols) \
+        .select(*cols, "tp", "fp", "fn", "log_loss", "ap")
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    zero = F.lit(0.0)
+    m = m.select(*cols, "ap", "log_loss",
+                 F.when(tp + fp > 0, tp / (tp + fp)).otherwise(zero).alias("precision"),
+                 F.when(tp + fn > 0, tp / (tp + fn)).otherwise(zero).alias("recall"),
+                 F.when(2 * tp + fp + fn > 0, (2 * tp) / (2 * tp + fp + fn)).otherwise(zero).alias("f1"))
     names = ["ap", "f1", "precision", "recall"] + (["log_loss"] if with_log_loss else [])
-    parts = []
-    for by_region in (False, True):
-        g = keys + (["region"] if by_region else [])
-        m = average_precision(scored, g, label=label).join(confusion(scored, g, label=label), g)
-        if with_log_loss:
-            m = m.join(log_loss(scored, g, label=label), g)
-        if by_region:
-            both = scored.groupBy(*g).agg(F.min(label).alias("_lo"), F.max(label).alias("_hi")) \
-                         .filter(F.col("_lo") != F.col("_hi")).select(*g)
-            m = m.join(both, g, "left_semi")
-        else:
-            m = m.withColumn("region", F.lit(None).cast("string"))
-        parts.append(_long(m, keys + ["region"], names))
-    return parts[0].unionByName(parts[1])
+    return _long(m, cols, names)
 
 
 # ---------------------------------------------------------------------------

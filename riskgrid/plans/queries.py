@@ -792,3 +792,108 @@ def q_spatial_bins(spark, sf):
     """Event counts on a 10-degree lat/lon grid."""
     return PR.spatial_bins(_catalog(spark, sf)).select(
         F.col("lat_bin").cast("double").alias("lat_bin"), F.col("lon_bin").cast("double").alias("lon_bin"), "n")
+
+
+# --- M1, M2, M5-M9, E10, X3: model fits (rows-only checks; no SQL oracle) ----
+
+CHOSEN_VARIANT = "depth"
+
+
+def _model_table(spark, sf):
+    return feature_table(spark, sf, P, written=True)
+
+
+@query("logreg_scores")
+def q_logreg_scores(spark, sf):
+    """M1: weighted L2 logistic regression (chosen variant) scores on train + validate."""
+    from riskgrid.plans import models as M
+    scored, _ = M.ablation(_model_table(spark, sf), [CHOSEN_VARIANT], "logreg")
+    return scored
+
+
+@query("rf_scores")
+def q_rf_scores(spark, sf):
+    """M2: balanced random forest (300 trees, min 20 per leaf) scores on train + validate."""
+    from riskgrid.plans import models as M
+    scored, _ = M.ablation(_model_table(spark, sf), [CHOSEN_VARIANT], "forest")
+    return scored
+
+
+@query("gbt_scores")
+def q_gbt_scores(spark, sf):
+    """Gradient-boosted trees on the same design, scores on train + validate."""
+    from riskgrid.plans import models as M
+    scored, _ = M.ablation(_model_table(spark, sf), [CHOSEN_VARIANT], "gbt")
+    return scored
+
+
+@query("per_region_scores")
+def q_per_region_scores(spark, sf):
+    """M5: one logistic regression per (region, variant); validation metrics per run."""
+    from riskgrid.plans import models as M
+    from riskgrid.session import materialize
+    scored, _ = M.per_region(_model_table(spark, sf), [r.name for r in P.regions])
+    m = M.evaluate(materialize(scored, "per_region_scores"))
+    return m.filter(F.col("region").isNull() & (F.col("split") == "validate")).select(
+        F.split("run", r"\|")[0].alias("region"), F.split("run", r"\|")[1].alias("variant"), "metric", "value")
+
+
+@query("best_variant_per_region")
+def q_best_variant_per_region(spark, sf):
+    """M5 + E8: best variant per region by validation AP of the per-region models."""
+    from riskgrid.operators.metrics import best_per_region
+    m = q_per_region_scores(spark, sf).filter(F.col("metric") == "ap")
+    return best_per_region(m.select(F.col("variant").alias("run"), "region", F.lit("validate").alias("split"),
+                                    "metric", "value"))
+
+
+@query("interaction_scores")
+def q_interaction_scores(spark, sf):
+    """M6: region x distance and region x (distance, activity) interaction models; metric rows."""
+    from riskgrid.plans import models as M
+    from riskgrid.session import materialize
+    scored, _ = M.interaction_runs(_model_table(spark, sf), [r.name for r in P.regions])
+    return M.evaluate(materialize(scored, "interaction_scores"))
+
+
+@query("ablation")
+def q_ablation(spark, sf):
+    """M9 + E9: five pooled variants, leaderboard on validation (AP, F1, log-loss, per-region AP)."""
+    from riskgrid.operators.metrics import leaderboard
+    from riskgrid.plans import models as M
+    from riskgrid.session import materialize
+    scored, _ = M.ablation(_model_table(spark, sf))
+    return leaderboard(M.evaluate(materialize(scored, "ablation_scores")), [r.name for r in P.regions])
+
+
+@query("rf_overfit_gap")
+def q_rf_overfit_gap(spark, sf):
+    """E7 on the forest: train AP minus validation AP."""
+    from riskgrid.operators.metrics import overfit_gap
+    from riskgrid.plans import models as M
+    scored, _ = M.ablation(_model_table(spark, sf), [CHOSEN_VARIANT], "forest")
+    return overfit_gap(M.evaluate(scored))
+
+
+@query("coefficients")
+def q_coefficients(spark, sf):
+    """M7: standardized LR coefficients of the chosen variant, by absolute size."""
+    from riskgrid.plans import models as M
+    _, fitted = M.ablation(_model_table(spark, sf), [CHOSEN_VARIANT], "logreg")
+    return M.coefficients(spark, fitted[0])
+
+
+@query("importances")
+def q_importances(spark, sf):
+    """M8: forest Gini importances of the chosen variant, descending."""
+    from riskgrid.plans import models as M
+    _, fitted = M.ablation(_model_table(spark, sf), [CHOSEN_VARIANT], "forest")
+    return M.importances(spark, fitted[0])
+
+
+@query("run_log")
+def q_run_log(spark, sf):
+    """Params + train_/val_ metric rows for the LR ablation (append-ready)."""
+    from riskgrid.plans import models as M
+    scored, fitted = M.ablation(_model_table(spark, sf))
+    return M.run_log(M.evaluate(scored), fitted)
