@@ -79,6 +79,18 @@ def _box_join_cells(events, regions, lat, lon, spark, cell_deg: float = 1.0):
 # Nearest polyline
 # ---------------------------------------------------------------------------
 
+def _segment_sql(px: str, py: str, s) -> str:
+    """The planar point-to-segment distance of ``point_segment_degrees`` as SQL text
+    (one expression handed to Spark at once instead of one call per node)."""
+    x1, y1, x2, y2 = (f"{float(v)!r}D" for v in (s.x1, s.y1, s.x2, s.y2))
+    dx, dy = f"({x2} - {x1})", f"({y2} - {y1})"
+    len2 = f"({dx} * {dx} + {dy} * {dy})"
+    t = (f"(CASE WHEN {len2} = 0 THEN 0.0D ELSE least(1.0D, greatest(0.0D, "
+         f"(({px} - {x1}) * {dx} + ({py} - {y1}) * {dy}) / {len2})) END)")
+    cx, cy = f"({x1} + {t} * {dx})", f"({y1} + {t} * {dy})"
+    return f"sqrt(({px} - {cx}) * ({px} - {cx}) + ({py} - {cy}) * ({py} - {cy}))"
+
+
 def _segment_literal(segments) -> Column:
     return F.array(*[
         F.struct(F.lit(float(s.x1)).alias("x1"), F.lit(float(s.y1)).alias("y1"),
@@ -93,11 +105,9 @@ def distance_to_line_column(segments, lon: str = "longitude", lat: str = "latitu
     if len(segments) > MAX_INLINE_SEGMENTS:
         raise ValueError("segment list too large to inline; use add_distance_to_fault()")
     if len(segments) <= MAX_UNROLLED_SEGMENTS:
-        px, py = F.col(lon), F.col(lat)
-        each = [point_segment_degrees(px, py, F.lit(float(s.x1)), F.lit(float(s.y1)),
-                                      F.lit(float(s.x2)), F.lit(float(s.y2))) for s in segments]
-        nearest = each[0] if len(each) == 1 else F.least(*each)
-        return nearest * F.lit(KM_PER_DEGREE)
+        each = [_segment_sql(f"`{lon}`", f"`{lat}`", s) for s in segments]
+        nearest = each[0] if len(each) == 1 else f"least({', '.join(each)})"
+        return F.expr(f"{nearest} * {KM_PER_DEGREE!r}D")
     return nearest_segment_degrees(F.col(lon), F.col(lat), _segment_literal(segments)) * F.lit(KM_PER_DEGREE)
 
 
