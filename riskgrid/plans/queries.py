@@ -897,3 +897,21 @@ def q_run_log(spark, sf):
     from riskgrid.plans import models as M
     scored, fitted = M.ablation(_model_table(spark, sf))
     return M.run_log(M.evaluate(scored), fitted)
+
+
+# --- Streaming form of the tally (section 7.4) -------------------------------
+
+_STREAM_COLS = ["region", "date", "n", "mag_sum", "mag_max", "large", "depth_sum", "lat_sum", "lon_sum"]
+
+
+@query("streaming_tally", f"WITH {O.CATALOG},\n{O.tally(source='(SELECT *, NULL::DOUBLE AS distance_to_fault_km FROM catalog)')}\n"
+                          f"SELECT {', '.join(_STREAM_COLS)} FROM tally")
+def q_streaming_tally(spark, sf):
+    """Structured Streaming: landed files -> watermark -> 1-day windows (update mode) ->
+    foreachBatch changelog -> newest row per key; equals the batch tally."""
+    from riskgrid.streaming import tally as ST
+    cat = _catalog(spark, sf).select("id", "region", "time", "magnitude", "depth_km", "latitude", "longitude")
+    src, log, state = ST.scratch(spark, "src"), ST.scratch(spark, "changelog"), ST.scratch(spark, "state")
+    ST.land_in_time_order(cat, src)
+    ST.run_to_changelog(spark, src, cat.schema, P.regions, log, state)
+    return ST.current_tally(spark, log).select(*_STREAM_COLS)
