@@ -915,3 +915,141 @@ def q_streaming_tally(spark, sf):
     ST.land_in_time_order(cat, src)
     ST.run_to_changelog(spark, src, cat.schema, P.regions, log, state)
     return ST.current_tally(spark, log).select(*_STREAM_COLS)
+
+
+# --- Planned in the reference docs: X1, X2, X4, X5, X8, X9, X11 --
+
+import datetime as _dt  # noqa: E402
+
+from riskgrid.operators import planned as PL  # noqa: E402
+
+
+def _filled(spark, sf):
+    from riskgrid.plans.feature_table import region_days
+    return region_days(spark, enriched_catalog(spark, sf, P), P)
+
+
+def _long_sql():
+    w = "PARTITION BY region ORDER BY date"
+    cols = []
+    for y in (1, 3, 5):
+        k = 365 * y
+        n = f"(cn - COALESCE(LAG(cn, {k}) OVER ({w}), 0))"
+        s = f"(cs - COALESCE(LAG(cs, {k}) OVER ({w}), 0))"
+        cols.append(f"CASE WHEN {n} <> 0 THEN CAST({s} AS DOUBLE) / CAST({n} AS DOUBLE) / 1000000.0 END "
+                    f"AS avg_mag_{y}y")
+    run = f"OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return O.with_ft(f"SELECT region, date, max_mag_all, {', '.join(cols)} FROM r",
+                     f"r AS (SELECT region, date, SUM(COALESCE(n, 0)) {run} AS cn, "
+                     f"SUM(COALESCE(mag_sum, 0)) {run} AS cs, MAX(mag_max) {run} AS max_mag_all FROM filled)")
+
+
+@query("long_windows", _long_sql())
+def q_long_windows(spark, sf):
+    """1/3/5-year mean magnitude (prefix-sum differences) and all-time max per region-day."""
+    return PL.long_windows(_filled(spark, sf))
+
+
+def _val_activity(spark, sf):
+    from riskgrid.plans.scoring import activity_scores
+    t = feature_table(spark, sf, P, written=True)
+    return activity_scores(t.filter(F.col("split") == "validate"))
+
+
+_ACT = "quakes_7d / (quakes_7d + CAST(10.0 AS DOUBLE))"
+
+
+@query("region_thresholds", O.with_ft("""
+SELECT run, region, arg_max(score, (f1, score)) AS threshold, max(f1) AS f1 FROM (
+  SELECT run, region, score, (2 * tp) / (tp + fp + P) AS f1 FROM (
+    SELECT run, region, score,
+           SUM(pos) OVER (PARTITION BY run, region ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
+           SUM(neg) OVER (PARTITION BY run, region ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp,
+           SUM(pos) OVER (PARTITION BY run, region) AS P
+    FROM (SELECT 'activity' AS run, region, """ + _ACT + """ AS score,
+                 COUNT(*) FILTER (WHERE label_7d = 1) AS pos, COUNT(*) FILTER (WHERE label_7d = 0) AS neg
+          FROM ft WHERE split = 'validate' GROUP BY ALL) d) c WHERE P > 0) x
+GROUP BY run, region"""))
+def q_region_thresholds(spark, sf):
+    """Per-region alarm threshold maximizing validation F1 (closed-form activity score)."""
+    return PL.best_thresholds(_val_activity(spark, sf))
+
+
+@query("asof_refresh", O.with_ft(
+    "SELECT " + ", ".join(["region", "date"] + list(__import__("riskgrid.schema", fromlist=["x"]).FEATURE_COLUMNS))
+    + " FROM feats WHERE date = (SELECT max(date) FROM feats)"))
+def q_asof_refresh(spark, sf):
+    """The newest region-day of each region with its features (the rows a refresh scores)."""
+    return PL.asof_rows(_grid_feats(spark, sf)).select("region", "date", *FEATURE_COLUMNS)
+
+
+_CUTOFFS = [_dt.date(1997, 12, 31), _dt.date(1998, 12, 31), _dt.date(1999, 12, 31)]
+
+
+def _expanding_sql():
+    from riskgrid.schema import SplitSpec
+    parts = []
+    for end in _CUTOFFS:
+        ve = end + _dt.timedelta(days=365)
+        spec = SplitSpec(end, end + _dt.timedelta(days=1), ve, ve + _dt.timedelta(days=1), 7)
+        parts.append(f"SELECT DATE '{end}' AS train_end, split, COUNT(*) AS rows FROM "
+                     f"(SELECT {O.split_case('date', spec)} AS split FROM feats WHERE label_7d IS NOT NULL) s "
+                     "WHERE split IS NOT NULL GROUP BY split")
+    return O.with_ft("\nUNION ALL\n".join(parts))
+
+
+@query("expanding_splits", _expanding_sql())
+def q_expanding_splits(spark, sf):
+    """Split sizes for an expanding list of train cutoffs (1-year validation, 7-day embargo)."""
+    from riskgrid.operators.split import drop_unobservable
+    return PL.expanding_splits(drop_unobservable(_grid_feats(spark, sf)), _CUTOFFS, 365)
+
+
+@query("calibration", O.with_ft(f"""
+SELECT 'activity' AS run, CAST(LEAST(floor(s * 10), 9) AS INTEGER) AS bin, COUNT(*) AS n,
+       round(AVG(s), {ROUND}) AS mean_score, AVG(CAST(label_7d AS DOUBLE)) AS observed_rate
+FROM (SELECT {_ACT} AS s, label_7d FROM ft WHERE split = 'validate') x GROUP BY ALL"""))
+def q_calibration(spark, sf):
+    """Ten equal-width score bins: mean score vs observed positive rate."""
+    c = PL.calibration(_val_activity(spark, sf))
+    return c.withColumn("mean_score", F.round("mean_score", ROUND))
+
+
+@query("risk_tiers", O.with_ft(f"""
+SELECT 'activity' AS run, f.region,
+       CASE WHEN s >= b.base_rate * 2.0 THEN 'high' WHEN s >= b.base_rate * 1.0 THEN 'elevated' ELSE 'low' END
+         AS tier, COUNT(*) AS n, AVG(CAST(label_7d AS DOUBLE)) AS observed_rate
+FROM (SELECT region, {_ACT} AS s, label_7d FROM ft WHERE split = 'validate') f
+JOIN (SELECT region, AVG(CAST(label_7d AS DOUBLE)) AS base_rate FROM ft WHERE split = 'train' GROUP BY region) b
+  USING (region)
+GROUP BY ALL"""))
+def q_risk_tiers(spark, sf):
+    """Low / elevated / high tiers relative to each region's train base rate."""
+    t = feature_table(spark, sf, P, written=True)
+    base = t.filter(F.col("split") == "train").groupBy("region").agg(
+        F.avg(F.col("label_7d").cast("double")).alias("base_rate"))
+    return PL.risk_tiers(_val_activity(spark, sf), base)
+
+
+@query("other_types_30d", f"""WITH {O.CATALOG},
+{O.enriched()},
+{O.tally()},
+{O.grid()},
+o AS (SELECT region, date, COUNT(*) AS n_other FROM catalog
+      WHERE NOT COALESCE(type = '{KEEP_TYPE}', false) GROUP BY region, date)
+SELECT g.region, g.date, CAST(SUM(COALESCE(o.n_other, 0)) OVER (PARTITION BY g.region ORDER BY g.date
+         ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS BIGINT) AS other_30d
+FROM grid g LEFT JOIN o USING (region, date)""")
+def q_other_types_30d(spark, sf):
+    """X11: trailing 30-day count of the event types the cleaning step removes (a covariate)."""
+    from pyspark.sql import Window
+    from riskgrid.operators.grid import daily_grid, daily_tally
+    from riskgrid.session import materialize
+    cat = _catalog(spark, sf)
+    tally = materialize(daily_tally(cat.withColumn("distance_to_fault_km", F.lit(None).cast("double")),
+                                    P.regions), "daily_tally")
+    grid = daily_grid(spark, tally, P.regions)
+    other = PL.other_type_counts(cat, KEEP_TYPE)
+    w = Window.partitionBy("region").orderBy("date").rowsBetween(-29, 0)
+    return grid.join(other, ["region", "date"], "left").select(
+        "region", "date", F.sum(F.coalesce("n_other", F.lit(0))).over(w).cast("bigint").alias("other_30d"))
