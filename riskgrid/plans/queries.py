@@ -310,7 +310,7 @@ def _prep_sql(numeric, cats, keep="region, date, split"):
     nums = ", ".join(
         f"round((COALESCE({c}, med_{c}) - mu_{c}) / CASE WHEN sd_{c} = 0 THEN 1.0 ELSE sd_{c} END, {DEC}) "
         f"AS num__{c}" for c in numeric)
-    onehot = "".join(f", CASE WHEN region = '{r}' THEN 1.0 ELSE 0.0 END AS cat__region_{r.lower().replace(' ', '_')}"
+    onehot = "".join(f", CAST(CASE WHEN region = '{r}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS cat__region_{r.lower().replace(' ', '_')}"
                      for r in cats)
     return O.with_ft(f"SELECT {keep}, {nums}{onehot} FROM ft, st, mo",
                      f"st AS (SELECT {meds} FROM ft WHERE split = 'train'),\n"
@@ -339,7 +339,7 @@ def q_standardize(spark, sf):
 
 
 @query("one_hot", O.with_ft("SELECT region, date, split" + "".join(
-    f", CASE WHEN region = '{r}' THEN 1.0 ELSE 0.0 END AS cat__region_{r.lower().replace(' ', '_')}"
+    f", CAST(CASE WHEN region = '{r}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS cat__region_{r.lower().replace(' ', '_')}"
     for r in _CATS) + " FROM ft"))
 def q_one_hot(spark, sf):
     """One 0/1 column per sorted train category; unseen -> zeros."""
@@ -609,7 +609,7 @@ def q_box_join(spark, sf):
     return box_join(_catalog(spark, sf), REFERENCE_REGIONS).select("id", "latitude", "longitude", "box_region")
 
 
-@query("chunk_audit", f"WITH {O.CATALOG}\nSELECT region, year(time) AS year, COUNT(*) AS n, "
+@query("chunk_audit", f"WITH {O.CATALOG}\nSELECT region, CAST(year(time) AS INTEGER) AS year, COUNT(*) AS n, "
                       "COUNT(*) >= 20000 AS at_limit FROM catalog GROUP BY region, year(time)")
 def q_chunk_audit(spark, sf):
     """Events per (region, year) and whether a yearly pull would hit the 20,000 page limit."""
@@ -679,7 +679,7 @@ def q_removed_by_region(spark, sf):
 
 
 @query("catalog_shift", f"""WITH {O.CATALOG},
-y AS (SELECT region, year(time) AS year, COUNT(*) AS n FROM catalog GROUP BY region, year(time))
+y AS (SELECT region, CAST(year(time) AS INTEGER) AS year, COUNT(*) AS n FROM catalog GROUP BY region, year(time))
 SELECT region, year, n, prev_n, CASE WHEN prev_n > 0 THEN n / prev_n END AS ratio,
        COALESCE(CASE WHEN prev_n > 0 THEN n / prev_n END < 0.5, false) AS sharp_drop
 FROM (SELECT *, LAG(n) OVER (PARTITION BY region ORDER BY year) AS prev_n FROM y) x""")
@@ -744,8 +744,9 @@ def q_surge_ratio(spark, sf):
 
 
 @query("seasonality", f"""WITH {O.CATALOG},
-m AS (SELECT region, month(time) AS month, year(time) AS year, COUNT(*) AS n FROM catalog GROUP BY ALL),
-mo AS (SELECT region, month, SUM(n) AS n FROM m GROUP BY region, month),
+m AS (SELECT region, CAST(month(time) AS INTEGER) AS month, CAST(year(time) AS INTEGER) AS year, COUNT(*) AS n
+      FROM catalog GROUP BY ALL),
+mo AS (SELECT region, month, CAST(SUM(n) AS BIGINT) AS n FROM m GROUP BY region, month),
 mo2 AS (SELECT *, SUM(n) OVER (PARTITION BY region) / 12.0 AS e FROM mo),
 chi AS (SELECT region, round(SUM((n - e) * (n - e) / e), 9) AS chi2, COUNT(*) AS months_seen,
                arg_min(month, (-n, month)) AS top_month, max(n) AS top_month_n FROM mo2 GROUP BY region),
