@@ -112,3 +112,27 @@ def other_type_counts(catalog: DataFrame, keep_type: str, days: int = 30) -> Dat
     """Daily count of non-kept event types and its trailing ``days`` sum (on event days)."""
     other = catalog.filter(~F.coalesce(F.col("type") == F.lit(keep_type), F.lit(False)))
     return other.groupBy("region", "date").agg(F.count(F.lit(1)).alias("n_other"))
+
+
+# X7 ------------------------------------------------------------------------
+def geodesic_distance_to_fault(events: DataFrame, segments, lat: str = "latitude",
+                               lon: str = "longitude") -> DataFrame:
+    """Great-circle km to the nearest boundary segment (the planar x111 rule's geodesic variant)."""
+    from riskgrid.functions.geo import great_circle_segment_sql
+    each = [great_circle_segment_sql(f"`{lat}`", f"`{lon}`", s) for s in segments]
+    expr = each[0] if len(each) == 1 else f"least({', '.join(each)})"
+    return events.withColumn("geodesic_km", F.expr(expr))
+
+
+# X6 ------------------------------------------------------------------------
+def drift_flags(scored_by_year: DataFrame, yearly_counts: DataFrame, drop_ratio: float = 0.5,
+                ap_drop: float = 0.1) -> DataFrame:
+    """Per (region, year): event-count ratio to the previous year and the yearly AP of a
+    fixed scorer with its change; flag a sharp count drop or an AP fall."""
+    from riskgrid.operators.metrics import average_precision
+    ap = average_precision(scored_by_year, ["region", "year"])
+    j = yearly_counts.join(ap, ["region", "year"], "left")
+    o = Window.partitionBy("region").orderBy("year")
+    return (j.withColumn("ap_prev", F.lag("ap").over(o))
+            .withColumn("drift", F.coalesce(F.col("ratio") < F.lit(drop_ratio), F.lit(False))
+                        | F.coalesce(F.col("ap_prev") - F.col("ap") > F.lit(ap_drop), F.lit(False))))

@@ -1054,3 +1054,38 @@ def q_other_types_30d(spark, sf):
     w = Window.partitionBy("region").orderBy("date").rowsBetween(-29, 0)
     return grid.join(other, ["region", "date"], "left").select(
         "region", "date", F.sum(F.coalesce("n_other", F.lit(0))).over(w).cast("bigint").alias("other_30d"))
+
+
+def _gc_sql():
+    from riskgrid.functions.geo import great_circle_segment_sql
+    each = [great_circle_segment_sql("latitude", "longitude", s, dialect="duckdb") for s in P.segments]
+    return (f"WITH {O.CATALOG}\nSELECT id, latitude, longitude, "
+            f"round(least({', '.join(each)}), 6) AS geodesic_km FROM catalog")
+
+
+@query("geodesic_distance", _gc_sql())
+def q_geodesic_distance(spark, sf):
+    """Great-circle km from every event to its nearest boundary segment."""
+    g = PL.geodesic_distance_to_fault(_catalog(spark, sf), P.segments)
+    return g.select("id", "latitude", "longitude", F.round("geodesic_km", 6).alias("geodesic_km"))
+
+
+@query("drift_check", O.with_ft(f"""
+SELECT y.region, y.year, y.n, y.ratio, round(a.ap, {ROUND}) AS ap, round(a.ap_prev, {ROUND}) AS ap_prev,
+       COALESCE(y.ratio < 0.5, false) OR COALESCE(a.ap_prev - a.ap > 0.1, false) AS drift
+FROM (SELECT region, year, n, CASE WHEN prev_n > 0 THEN n / prev_n END AS ratio FROM (
+        SELECT *, LAG(n) OVER (PARTITION BY region ORDER BY year) AS prev_n FROM (
+          SELECT region, CAST(year(time) AS INTEGER) AS year, COUNT(*) AS n FROM catalog GROUP BY ALL) c) d) y
+LEFT JOIN (SELECT region, year, ap, LAG(ap) OVER (PARTITION BY region ORDER BY year) AS ap_prev FROM
+   {O.ap_sql("(SELECT region, CAST(year(date) AS INTEGER) AS year, large_30d AS score, label_7d AS label FROM ft)",
+             "region, year")} q) a USING (region, year)"""))
+def q_drift_check(spark, sf):
+    """Yearly count ratio (D6) with the yearly AP of the persistence scorer; drift flags."""
+    from riskgrid.operators.profile import catalog_shift
+    t = feature_table(spark, sf, P, written=True)
+    scored = t.select("region", F.year("date").alias("year"), F.col("large_30d").alias("score"),
+                      F.col("label_7d").alias("label"))
+    counts = catalog_shift(_catalog(spark, sf)).select("region", "year", "n", "ratio")
+    d = PL.drift_flags(scored, counts)
+    return d.select("region", "year", "n", "ratio", F.round("ap", ROUND).alias("ap"),
+                    F.round("ap_prev", ROUND).alias("ap_prev"), "drift")

@@ -241,3 +241,16 @@ def test_nearest_segment_cell_index_equals_brute_force(spark):
         return math.hypot(px - (s.x1 + t * dx), py - (s.y1 + t * dy))
     for i, px, py in pts:
         assert fast[i] == pytest.approx(min(seg_d(px, py, s) for s in segs) * 111.0, rel=1e-12)
+
+
+def test_geodesic_segment_distance(spark):
+    from riskgrid.operators.planned import geodesic_distance_to_fault
+    from riskgrid.schema import Segment
+    seg = [Segment(0, 0, 10.0, -10.0, 10.0, 10.0)]   # a meridian piece at lon 10
+    pts = spark.createDataFrame([(1, 0.0, 0.0), (2, 20.0, 10.0), (3, 0.0, 10.0)],
+                                "id int, latitude double, longitude double")
+    got = {r["id"]: r["geodesic_km"] for r in geodesic_distance_to_fault(pts, seg).collect()}
+    deg = 6371.0 * math.pi / 180.0
+    assert got[1] == pytest.approx(10 * deg, rel=1e-9)      # cross-track
+    assert got[2] == pytest.approx(10 * deg, rel=1e-9)      # beyond the north end: distance to (10, 10)
+    assert got[3] == pytest.approx(0.0, abs=1e-6)           # on the segment
