@@ -137,32 +137,45 @@ def score_splits(fitted: FittedModel, table: DataFrame, names=("train", "validat
 # M9 ablation, M5 per region, M6 interactions
 # ---------------------------------------------------------------------------
 
+# Independent fits are submitted from a few driver threads; each fit is itself
+# a set of distributed jobs, so the cluster scheduler interleaves them.
+FIT_THREADS = 4
+
+
+def _fit_all(tasks) -> list:
+    """Run (fn, args) fit tasks concurrently; results in task order."""
+    from concurrent.futures import ThreadPoolExecutor
+    if len(tasks) <= 1:
+        return [fn(*args) for fn, args in tasks]
+    with ThreadPoolExecutor(max_workers=min(FIT_THREADS, len(tasks))) as pool:
+        return list(pool.map(lambda t: t[0](*t[1]), tasks))
+
+
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def ablation(table: DataFrame, variants=PARITY_VARIANTS, kind: str = "logreg") -> tuple[DataFrame, list]:
     """Fit one model per variant on train; score train + validate. Returns (scores, fitted)."""
     train = table.filter(F.col("split") == "train").cache()
-    scored, fitted = None, []
-    for v in variants:
-        num, cat = feature_columns(v)
-        m = FITTERS[kind](train, num, cat, f"{kind}_{v}")
-        fitted.append(m)
-        s = score_splits(m, table)
-        scored = s if scored is None else scored.unionByName(s)
-    return scored, fitted
+    tasks = [(FITTERS[kind], (train, *feature_columns(v), f"{kind}_{v}")) for v in variants]
+    fitted = _fit_all(tasks)
+    return _union([score_splits(m, table) for m in fitted]), fitted
 
 
 def per_region(table: DataFrame, regions, variants=PARITY_VARIANTS) -> tuple[DataFrame, list]:
     """M5: one logistic regression per (region, variant), no one-hot."""
-    scored, fitted = None, []
+    tasks, parts = [], {}
     for r in regions:
-        part = table.filter(F.col("region") == r)
-        train = part.filter(F.col("split") == "train").cache()
+        parts[r] = table.filter(F.col("region") == r)
+        train = parts[r].filter(F.col("split") == "train").cache()
         for v in variants:
-            num, _ = feature_columns(v)
-            m = fit_logreg(train, num, [], f"{r}|{v}")
-            fitted.append(m)
-            s = score_splits(m, part)
-            scored = s if scored is None else scored.unionByName(s)
-    return scored, fitted
+            tasks.append((fit_logreg, (train, feature_columns(v)[0], [], f"{r}|{v}")))
+    fitted = _fit_all(tasks)
+    return _union([score_splits(m, parts[m.run.split("|")[0]]) for m in fitted]), fitted
 
 
 INTERACTION_EXPERIMENTS = [(["avg_dist_30d"], "base+dist_x_region"),
@@ -171,18 +184,16 @@ INTERACTION_EXPERIMENTS = [(["avg_dist_30d"], "base+dist_x_region"),
 
 def interaction_runs(table: DataFrame, regions, experiments=INTERACTION_EXPERIMENTS) -> tuple[DataFrame, list]:
     """M6: base features + region x feature interactions (imputed and scaled like the rest)."""
-    scored, fitted = None, []
+    tasks, frames = [], []
     for feats, run in experiments:
         t, numeric = table, list(BASE_NUMERIC)
         for f in feats:
             t, names = interactions(t, f, regions)
             numeric += names
-        train = t.filter(F.col("split") == "train")
-        m = fit_logreg(train, numeric, list(BASE_CATEGORICAL), run)
-        fitted.append(m)
-        s = score_splits(m, t)
-        scored = s if scored is None else scored.unionByName(s)
-    return scored, fitted
+        frames.append(t)
+        tasks.append((fit_logreg, (t.filter(F.col("split") == "train"), numeric, list(BASE_CATEGORICAL), run)))
+    fitted = _fit_all(tasks)
+    return _union([score_splits(m, t) for m, t in zip(fitted, frames)]), fitted
 
 
 # ---------------------------------------------------------------------------
