@@ -51,7 +51,13 @@ def box_join(events: DataFrame, regions, lat: str = "latitude", lon: str = "long
         boxes = _box_literal(regions)
         hits = F.filter(boxes, lambda b: in_box(F.col(lat), F.col(lon), b["min_lat"], b["max_lat"],
                                                 b["min_lon"], b["max_lon"]))
-        return (events.withColumn("_box", F.explode(hits))
+        # Plain OR of the boxes first: a codegen'd filter Catalyst pushes below
+        # joins (and into the scan when lat/lon are stored columns), so events
+        # in no box never reach the shuffle.
+        anywhere = F.lit(False)
+        for r in regions:
+            anywhere = anywhere | in_box(F.col(lat), F.col(lon), r.min_lat, r.max_lat, r.min_lon, r.max_lon)
+        return (events.filter(anywhere).withColumn("_box", F.explode(hits))
                 .withColumn("box_region", F.col("_box.name")).drop("_box"))
     return _box_join_cells(events, regions, lat, lon, spark or events.sparkSession)
 
