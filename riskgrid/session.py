@@ -32,7 +32,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.master(master)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", os.environ.get("RISKGRID_DRIVER_MEMORY", "8g"))
+    conf.setdefault("spark.driver.memory", os.environ.get("RISKGRID_DRIVER_MEMORY", _driver_memory()))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -42,6 +42,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def _driver_memory() -> str:
+    """Half the machine's RAM, between 1 and 8 GiB (local mode: the driver is the executor)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    gib = max(1, min(8, int(total * 0.5) >> 30))
+    return f"{gib}g"
+
+
 def use_utc(spark: SparkSession) -> None:
     """Every query judges days in UTC; set it on whatever session we are given."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
