@@ -1089,3 +1089,16 @@ def q_drift_check(spark, sf):
     d = PL.drift_flags(scored, counts)
     return d.select("region", "year", "n", "ratio", F.round("ap", ROUND).alias("ap"),
                     F.round("ap_prev", ROUND).alias("ap_prev"), "drift")
+
+
+@query("correlation_pvalues")
+def q_correlation_pvalues(spark, sf):
+    """Two-sided p-value of each correlation (t with n-2 dof), on the few result rows."""
+    c = PR.correlations(_catalog(spark, sf), "magnitude", "depth_km")
+    return PR.attach_p_values(c, "t")
+
+
+@query("seasonality_test")
+def q_seasonality_test(spark, sf):
+    """Chi-square goodness-of-fit p-value of the month profile per region."""
+    return PR.attach_p_values(PR.seasonality(_catalog(spark, sf)), "chi2")
