@@ -51,16 +51,62 @@ def build_feature_table(spark: SparkSession, catalog: DataFrame, params: Pipelin
 
 def feature_table(spark: SparkSession, sf_dir: str, params: PipelineParams | None = None,
                   written: bool = False) -> DataFrame:
-    """The feature table; ``written=True`` materializes it (many consumers read it)."""
+    """The feature table.
+
+    ``written=False`` builds it from the raw tables (the P4 job itself).
+    ``written=True`` is what downstream consumers (prep, models, metrics, guards) read: the
+    stored table (S9/S10), built and written once per input state and parameters and then
+    scanned, as the training and guard steps read the stored feature table.
+    """
+    params = params or PipelineParams()
+    if not written:
+        return build_feature_table(spark, enriched_catalog(spark, sf_dir, params), params)
+    tally = stored_tally(spark, sf_dir, params)
+    return _stored(spark, sf_dir, params, "feature_table",
+                   lambda: _from_tally(spark, tally, params))
+
+
+def stored_tally(spark: SparkSession, sf_dir: str, params: PipelineParams | None = None) -> DataFrame:
+    """The written daily tally (A1) for this input and parameters."""
     params = params or PipelineParams()
-    table = build_feature_table(spark, enriched_catalog(spark, sf_dir, params), params)
-    return materialize(table, "feature_table") if written else table
+    return _stored(spark, sf_dir, params, "daily_tally",
+                   lambda: daily_tally(enriched_catalog(spark, sf_dir, params), params.regions))
+
+
+def _from_tally(spark: SparkSession, tally: DataFrame, params: PipelineParams) -> DataFrame:
+    filled = gap_filled_tally(daily_grid(spark, tally, params.regions), tally)
+    feats = window_features(filled, params.horizon)
+    return as_feature_table(assign_split(drop_unobservable(feats), params.split, "date"))
+
+
+_STORED: dict = {}
+SOURCE_TABLES = ("orders", "customer", "nation", "region")
+
+
+def _stored(spark: SparkSession, sf_dir: str, params: PipelineParams, name: str, build) -> DataFrame:
+    """Write once per (session, input files' modification times, parameters); then scan."""
+    from riskgrid.session import modification_stamp, write_table
+    inputs = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCE_TABLES]
+    key = (spark.sparkContext.applicationId, name, sf_dir.rstrip("/"), repr(params),
+           modification_stamp(spark, inputs))
+    path = _STORED.get(key)
+    if path is None:
+        path = write_table(build(), name)
+        _STORED[key] = path
+    return spark.read.parquet(path)
 
 
 def grid_features(spark: SparkSession, sf_dir: str, params: PipelineParams | None = None) -> DataFrame:
-    """All grid rows with features and nullable label (no tail drop, no split)."""
+    """All grid rows with features and nullable label (no tail drop, no split), from the stored tally."""
+    params = params or PipelineParams()
+    return window_features(stored_region_days(spark, sf_dir, params), params.horizon)
+
+
+def stored_region_days(spark: SparkSession, sf_dir: str, params: PipelineParams | None = None) -> DataFrame:
+    """Gap-filled region-days from the stored tally."""
     params = params or PipelineParams()
-    return unsplit_features(spark, enriched_catalog(spark, sf_dir, params), params)
+    tally = stored_tally(spark, sf_dir, params)
+    return gap_filled_tally(daily_grid(spark, tally, params.regions), tally)
 
 
 def positive_rate(table: DataFrame) -> DataFrame:

@@ -420,17 +420,8 @@ _GB, _G = _guard_sql()
 
 
 def _ft_and_tally(spark, sf):
-    from riskgrid.operators.grid import daily_tally
-    from riskgrid.plans.feature_table import build_feature_table
-    from riskgrid.session import materialize
-    cat = enriched_catalog(spark, sf, P)
-    tally = materialize(daily_tally(cat, P.regions), "daily_tally")
-    from riskgrid.operators.grid import daily_grid, gap_filled_tally
-    from riskgrid.operators.split import assign_split, drop_unobservable
-    from riskgrid.operators.windows import as_feature_table, window_features
-    feats = window_features(gap_filled_tally(daily_grid(spark, tally, P.regions), tally), P.horizon)
-    table = as_feature_table(assign_split(drop_unobservable(feats), P.split, "date"))
-    return materialize(table, "feature_table"), tally
+    from riskgrid.plans.feature_table import stored_tally
+    return feature_table(spark, sf, P, written=True), stored_tally(spark, sf, P)
 
 
 @query("guard_embargo", O.with_ft(_G["embargo"], _GB))
@@ -739,8 +730,8 @@ SELECT region, max(ratio) AS max_surge, arg_min(date, (-ratio, date)) AS surge_d
 WHERE ratio IS NOT NULL GROUP BY region"""))
 def q_surge_ratio(spark, sf):
     """Largest day count relative to the previous 30-day mean, per region."""
-    from riskgrid.plans.feature_table import region_days
-    return PR.surge(region_days(spark, enriched_catalog(spark, sf, P), P))
+    from riskgrid.plans.feature_table import stored_region_days
+    return PR.surge(stored_region_days(spark, sf, P))
 
 
 @query("seasonality", f"""WITH {O.CATALOG},
@@ -926,8 +917,8 @@ from riskgrid.operators import planned as PL  # noqa: E402
 
 
 def _filled(spark, sf):
-    from riskgrid.plans.feature_table import region_days
-    return region_days(spark, enriched_catalog(spark, sf, P), P)
+    from riskgrid.plans.feature_table import stored_region_days
+    return stored_region_days(spark, sf, P)
 
 
 def _long_sql():

@@ -88,12 +88,27 @@ def materialize(df, name: str):
     from the raw events, and a lost executor costs a re-read, not a recompute
     of the event scan.
     """
+    return df.sparkSession.read.parquet(write_table(df, name))
+
+
+def write_table(df, name: str) -> str:
     import uuid
-    spark = df.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
+    base = checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/riskgrid-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return path
+
+
+def modification_stamp(spark: SparkSession, paths) -> tuple:
+    """Modification times of input paths (any Hadoop file system), to key stored tables."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        out.append(int(fs.getFileStatus(hp).getModificationTime()) if fs.exists(hp) else -1)
+    return tuple(out)
 
 
 def sizing_conf(input_bytes: int, executor_cores: int, executors: int,
