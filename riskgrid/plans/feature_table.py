@@ -90,7 +90,7 @@ def _stored(spark: SparkSession, sf_dir: str, params: PipelineParams, name: str,
     key = (spark.sparkContext.applicationId, name, sf_dir.rstrip("/"), repr(params),
            modification_stamp(spark, inputs))
     path = _STORED.get(key)
-    if path is None:
+    if path is None or modification_stamp(spark, [path])[0] < 0:
         path = write_table(build(), name)
         _STORED[key] = path
     return spark.read.parquet(path)
