@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskgrid.operators.ranking import prefix_sums
+
 # Fixed value: probabilities are clipped this far from 0 and 1 in the log-loss
 # (float64 machine epsilon).
 LOGLOSS_EPS = 2.220446049250313e-16
@@ -31,12 +33,10 @@ def average_precision(scored: DataFrame, keys=(), score: str = "score", label: s
     """AP = sum over distinct scores (descending) of (R_k - R_{k-1}) * P_k.
 
     Ties are one step. Null when a group has no positive.
-    Plan: (1) collapse to distinct scores per group with positive/total counts
-    (map-side combined); (2) cut each group's distinct scores into ranges at
-    approximate quantiles (the cut only decides parallelism, never the result);
-    (3) per-range totals and a window over the few ranges give each range's
-    offset; (4) a window inside each (group, range) gives exact cumulative
-    counts. No ordered window spans a whole group.
+    Plan: collapse to distinct scores per group with positive/total counts
+    (map-side combined), then exact cumulative counts in descending score
+    order from ``ranking.prefix_sums`` (range offsets + per-range windows).
+    No ordered window spans a whole group.
 
     ``sets`` (a list of key lists, each a subset of ``keys``; string keys)
     computes several grouping levels in one pass; a key a level does not group
@@ -53,22 +53,8 @@ def average_precision(scored: DataFrame, keys=(), score: str = "score", label: s
         base = scored if keys else scored.withColumn("_all", F.lit(0))
         dist = (base.groupBy(*k, score)
                 .agg(F.count_if(F.col(label) == 1).alias("_pos"), F.count(F.lit(1)).alias("_n")))
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = dist.groupBy(*k).agg(F.percentile_approx(score, probs, 1000).alias("_cuts"))
-    # Range 0 holds the highest scores.
-    ranged = (dist.join(cuts, k)
-              .withColumn("_b", F.size(F.filter("_cuts", lambda c: c > F.col(score)))).drop("_cuts"))
-    totals = ranged.groupBy(*k, "_b").agg(F.sum("_pos").alias("_bpos"), F.sum("_n").alias("_bn"))
-    before = Window.partitionBy(*k).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*k, "_b",
-                            F.coalesce(F.sum("_bpos").over(before), F.lit(0)).alias("_opos"),
-                            F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_on"))
-    inside = Window.partitionBy(*k, "_b").orderBy(F.col(score).desc()).rowsBetween(
-        Window.unboundedPreceding, 0)
-    steps = (ranged.join(offsets, k + ["_b"])
-             .select(*k, "_pos",
-                     (F.col("_opos") + F.sum("_pos").over(inside)).alias("_tp"),
-                     (F.col("_on") + F.sum("_n").over(inside)).alias("_seen")))
+    steps = prefix_sums(dist, k, score, ["_pos", "_n"], descending=True, ranges=buckets) \
+        .select(*k, "_pos", F.col("cum__pos").alias("_tp"), F.col("cum__n").alias("_seen"))
     out = steps.groupBy(*k).agg(
         F.sum(F.col("_pos") * (F.col("_tp") / F.col("_seen"))).alias("_s"),
         F.sum("_pos").alias("_p"))

@@ -53,10 +53,10 @@ def best_thresholds(scored: DataFrame, keys=("run", "region")) -> DataFrame:
     keys = list(keys)
     d = scored.groupBy(*keys, "score").agg(F.count_if(F.col("label") == 1).alias("pos"),
                                            F.count_if(F.col("label") == 0).alias("neg"))
-    w = Window.partitionBy(*keys).orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy(*keys)
-    c = d.select(*keys, "score", F.sum("pos").over(w).alias("tp"), F.sum("neg").over(w).alias("fp"),
-                 F.sum("pos").over(tot).alias("P"))
+    from riskgrid.operators.ranking import prefix_sums
+    P = d.groupBy(*keys).agg(F.sum("pos").alias("P"))
+    c = prefix_sums(d, keys, "score", ["pos", "neg"], descending=True).join(P, keys) \
+        .select(*keys, "score", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"), "P")
     c = c.withColumn("f1", F.when(F.col("P") > 0, (2 * F.col("tp")) / (F.col("tp") + F.col("fp") + F.col("P"))))
     return c.filter(F.col("P") > 0).groupBy(*keys).agg(
         F.max_by("score", F.struct("f1", "score")).alias("threshold"), F.max("f1").alias("f1"))

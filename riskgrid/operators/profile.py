@@ -117,14 +117,18 @@ def inter_event_gaps(df: DataFrame, time_col: str = "time", bucket: str = "hour"
 
 
 def exact_median(values: DataFrame, keys, value: str) -> DataFrame:
-    """Exact (interpolated) median per group via a histogram of distinct values."""
+    """Exact (interpolated) median per group via a histogram of distinct values.
+
+    Positions come from range-bucketed prefix sums (``ranking.prefix_sums``), so a
+    group with many distinct values is spread over many tasks.
+    """
+    from riskgrid.operators.ranking import prefix_sums
     h = values.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys).orderBy(value)
-    h = h.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))) \
-         .withColumn("_tot", F.sum("_c").over(Window.partitionBy(*keys)))
+    tot = h.groupBy(*keys).agg(F.sum("_c").alias("_tot"))
+    h = prefix_sums(h, keys, value, ["_c"]).join(tot, list(keys))
     lo_pos = F.floor((F.col("_tot") + 1) / 2)
     hi_pos = F.floor(F.col("_tot") / 2) + 1
-    hit = lambda pos: (F.col("_cum") - F.col("_c") < pos) & (F.col("_cum") >= pos)
+    hit = lambda pos: (F.col("cum__c") - F.col("_c") < pos) & (F.col("cum__c") >= pos)
     return h.groupBy(*keys).agg(
         ((F.max(F.when(hit(lo_pos), F.col(value))).cast("double")
           + F.max(F.when(hit(hi_pos), F.col(value))).cast("double")) / 2).alias("median"))
