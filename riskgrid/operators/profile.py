@@ -2,9 +2,9 @@
 
 All are aggregates; event-grain work is map-side combined before any shuffle.
 No ordered window runs over a whole region's raw events: inter-event gaps are
-taken inside (region, time bucket) partitions plus one boundary gap between
-consecutive non-empty buckets, and exact medians come from value histograms
-(one row per distinct value, not per event).
+taken inside (region, time range) partitions of distinct timestamps plus one
+boundary gap per range, and exact medians come from value histograms with
+range-bucketed prefix sums (``operators.ranking``).
 """
 
 from __future__ import annotations
@@ -99,31 +99,39 @@ def _micros(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
-def inter_event_gaps(df: DataFrame, time_col: str = "time", bucket: str = "hour") -> DataFrame:
-    """Every gap (microseconds) between consecutive events of a region.
+def inter_event_gaps(df: DataFrame, time_col: str = "time") -> DataFrame:
+    """Every gap (microseconds) between consecutive events of a region, as (region, gap, w).
 
-    Within a (region, bucket) partition: lag. Across buckets: first event of a
-    bucket minus the last event of the previous non-empty bucket, taken from
-    per-bucket min/max (one row per bucket).
+    Events collapse to distinct timestamps with counts first (c events at one
+    instant give c-1 zero gaps), so a burst of identical times is one row. Each
+    region's distinct timestamps are cut into quantile ranges; gaps are lags
+    inside a (region, range) partition plus one boundary gap per range (its
+    first timestamp minus the previous non-empty range's last). No task holds
+    more than one range of one region.
     """
-    t = _micros(F.col(time_col))
-    e = df.select("region", t.alias("us"), F.date_trunc(bucket, F.col(time_col).cast("timestamp")).alias("b"))
-    inside = e.withColumn("gap", F.col("us") - F.lag("us").over(Window.partitionBy("region", "b").orderBy("us"))) \
-              .filter(F.col("gap").isNotNull()).select("region", "gap")
-    per = e.groupBy("region", "b").agg(F.min("us").alias("lo"), F.max("us").alias("hi"))
-    across = per.withColumn("gap", F.col("lo") - F.lag("hi").over(Window.partitionBy("region").orderBy("b"))) \
-                .filter(F.col("gap").isNotNull()).select("region", "gap")
-    return inside.unionByName(across)
-
-
-def exact_median(values: DataFrame, keys, value: str) -> DataFrame:
+    from riskgrid.operators.ranking import with_ranges
+    d = df.groupBy("region", _micros(F.col(time_col)).alias("us")).agg(F.count(F.lit(1)).alias("c"))
+    zeros = d.filter(F.col("c") > 1).select("region", F.lit(0).cast("bigint").alias("gap"),
+                                             (F.col("c") - 1).alias("w"))
+    r = with_ranges(d, ["region"], "us")
+    inside = (r.withColumn("gap", F.col("us") - F.lag("us").over(Window.partitionBy("region", "_r").orderBy("us")))
+              .filter(F.col("gap").isNotNull()).select("region", "gap", F.lit(1).cast("bigint").alias("w")))
+    per = r.groupBy("region", "_r").agg(F.min("us").alias("lo"), F.max("us").alias("hi"))
+    across = (per.withColumn("gap", F.col("lo") - F.lag("hi").over(Window.partitionBy("region").orderBy("_r")))
+              .filter(F.col("gap").isNotNull()).select("region", "gap", F.lit(1).cast("bigint").alias("w")))
+    return zeros.unionByName(inside).unionByName(across)
+
+
+def exact_median(values: DataFrame, keys, value: str, weight: str | None = None) -> DataFrame:
     """Exact (interpolated) median per group via a histogram of distinct values.
 
-    Positions come from range-bucketed prefix sums (``ranking.prefix_sums``), so a
-    group with many distinct values is spread over many tasks.
+    ``weight`` (optional) is a per-row multiplicity. Positions come from
+    range-bucketed prefix sums (``ranking.prefix_sums``), so a group with many
+    distinct values is spread over many tasks.
     """
     from riskgrid.operators.ranking import prefix_sums
-    h = values.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    w = F.sum(weight) if weight else F.count(F.lit(1))
+    h = values.groupBy(*keys, value).agg(w.alias("_c"))
     tot = h.groupBy(*keys).agg(F.sum("_c").alias("_tot"))
     h = prefix_sums(h, keys, value, ["_c"]).join(tot, list(keys))
     lo_pos = F.floor((F.col("_tot") + 1) / 2)
@@ -141,7 +149,7 @@ def inter_event_time(df: DataFrame, time_col: str = "time") -> DataFrame:
     mean = span.select("region", (F.col("n") - 1).alias("n_gaps"),
                        F.when(F.col("n") > 1, (F.col("hi") - F.col("lo")) / (F.col("n") - 1) / F.lit(3.6e9))
                        .alias("mean_gap_h"))
-    med = exact_median(inter_event_gaps(df, time_col), ["region"], "gap") \
+    med = exact_median(inter_event_gaps(df, time_col), ["region"], "gap", "w") \
         .select("region", (F.col("median") / F.lit(3.6e9)).alias("median_gap_h"))
     return mean.join(med, "region", "left")
 

@@ -22,6 +22,18 @@ from pyspark.sql import functions as F
 RANGES = 64
 
 
+def with_ranges(df: DataFrame, keys, order: str, descending: bool = False,
+                ranges: int = RANGES) -> DataFrame:
+    """Add ``_r``: the quantile range of ``order`` within ``keys`` (0 = first in order)."""
+    k = list(keys)
+    if not k:
+        raise ValueError("with_ranges needs at least one key column")
+    probs = [i / ranges for i in range(1, ranges)]
+    cuts = df.groupBy(*k).agg(F.percentile_approx(order, probs, 1000).alias("_cuts"))
+    cmp = (lambda c: c > F.col(order)) if descending else (lambda c: c < F.col(order))
+    return df.join(cuts, k).withColumn("_r", F.size(F.filter("_cuts", cmp))).drop("_cuts")
+
+
 def prefix_sums(df: DataFrame, keys, order: str, sums, descending: bool = False,
                 ranges: int = RANGES) -> DataFrame:
     """Add ``cum_<c>`` (running total including the row) for each column in ``sums``.
@@ -32,10 +44,7 @@ def prefix_sums(df: DataFrame, keys, order: str, sums, descending: bool = False,
     keys = list(keys) or []
     k = keys or ["_all"]
     base = df if keys else df.withColumn("_all", F.lit(0))
-    probs = [i / ranges for i in range(1, ranges)]
-    cuts = base.groupBy(*k).agg(F.percentile_approx(order, probs, 1000).alias("_cuts"))
-    cmp = (lambda c: c > F.col(order)) if descending else (lambda c: c < F.col(order))
-    ranged = base.join(cuts, k).withColumn("_r", F.size(F.filter("_cuts", cmp))).drop("_cuts")
+    ranged = with_ranges(base, k, order, descending, ranges)
     totals = ranged.groupBy(*k, "_r").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     earlier = Window.partitionBy(*k).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*k, "_r", *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_o_{c}")

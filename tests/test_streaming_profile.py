@@ -61,3 +61,15 @@ def test_p_values_known_points(spark):
     assert attach_p_values(t, "t").collect()[0]["p_value"] == pytest.approx(0.05, abs=1e-9)
     c = spark.createDataFrame([("r", 19.67513757268249, 12)], "region string, chi2 double, months_seen bigint")
     assert attach_p_values(c, "chi2").collect()[0]["p_value"] == pytest.approx(0.05, abs=1e-9)
+
+
+def test_inter_event_gaps_with_a_burst_of_identical_times(spark):
+    import datetime as dt
+    from riskgrid.operators.profile import inter_event_time
+    burst = [dt.datetime(2020, 1, 1, 5, 0)] * 5
+    ts = burst + [dt.datetime(2020, 1, 1, 7, 0), dt.datetime(2020, 1, 1, 13, 0)]
+    df = spark.createDataFrame([("r", t) for t in ts], "region string, time timestamp_ntz")
+    r = inter_event_time(df).collect()[0]
+    # gaps: 0, 0, 0, 0, 2h, 6h -> median (0 + 0) / 2 = 0, mean 8h / 6
+    assert r["n_gaps"] == 6 and r["median_gap_h"] == 0.0
+    assert r["mean_gap_h"] == pytest.approx(8 / 6)
