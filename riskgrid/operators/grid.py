@@ -93,8 +93,10 @@ def daily_grid(spark: SparkSession, tally: DataFrame, regions) -> DataFrame:
     """
     lo, hi = calendar_bounds(tally)
     names = F.array(*[F.lit(r.name) for r in regions])
-    return (spark.range(1)
-            .select(F.explode(names).alias("region"))
+    # One row per region spread over tasks; each task explodes its own regions' days.
+    parts = max(1, min(len(regions), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return (spark.range(0, len(regions), 1, parts)
+            .select(F.element_at(names, (F.col("id") + 1).cast("int")).alias("region"))
             .select("region", F.explode(F.sequence(lo, hi)).alias("date")))
 
 
