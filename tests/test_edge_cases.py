@@ -254,3 +254,44 @@ def test_geodesic_segment_distance(spark):
     assert got[1] == pytest.approx(10 * deg, rel=1e-9)      # cross-track
     assert got[2] == pytest.approx(10 * deg, rel=1e-9)      # beyond the north end: distance to (10, 10)
     assert got[3] == pytest.approx(0.0, abs=1e-6)           # on the segment
+
+
+def test_box_join_cell_path_equals_inline(spark, monkeypatch):
+    import random
+    from riskgrid.operators import spatial
+    from riskgrid.schema import Region
+    rnd = random.Random(5)
+    boxes = []
+    for i in range(12):
+        la, lo = rnd.uniform(-60, 50), rnd.uniform(-170, 150)
+        boxes.append(Region(f"b{i}", 1.0, la, la + rnd.uniform(0.5, 15), lo, lo + rnd.uniform(0.5, 20)))
+    boxes.append(Region("edge", 1.0, 10.0, 20.0, 30.0, 40.0))
+    pts = [(i, rnd.uniform(-70, 70), rnd.uniform(-180, 180)) for i in range(3000)]
+    pts += [(9001, 10.0, 30.0), (9002, 20.0, 40.0), (9003, 15.0, 40.0)]     # on box edges
+    df = spark.createDataFrame(pts, "id int, latitude double, longitude double")
+    inline = sorted((r["id"], r["box_region"]) for r in spatial.box_join(df, boxes).collect())
+    monkeypatch.setattr(spatial, "MAX_INLINE_BOXES", 0)
+    cells = sorted((r["id"], r["box_region"]) for r in spatial.box_join(df, boxes).collect())
+    assert cells == inline and len(inline) > 50
+    assert (9001, "edge") in cells and (9002, "edge") in cells and (9003, "edge") in cells
+
+
+def test_segment_hof_path_equals_brute_force(spark):
+    import random
+    from riskgrid.operators.spatial import MAX_UNROLLED_SEGMENTS, add_distance_to_fault
+    from riskgrid.schema import Segment
+    rnd = random.Random(9)
+    segs = [Segment(i, 0, *(rnd.uniform(-170, 170), rnd.uniform(-80, 80)) * 1, 0.0, 0.0)
+            for i in range(MAX_UNROLLED_SEGMENTS + 6)]
+    segs = [Segment(s.line_id, 0, s.x1, s.y1, s.x1 + rnd.uniform(-5, 5), s.y1 + rnd.uniform(-5, 5)) for s in segs]
+    pts = [(i, rnd.uniform(-180, 180), rnd.uniform(-90, 90)) for i in range(300)]
+    df = spark.createDataFrame(pts, "id int, longitude double, latitude double")
+    got = {r["id"]: r["distance_to_fault_km"] for r in add_distance_to_fault(df, segs).collect()}
+
+    def seg_d(px, py, s):
+        dx, dy = s.x2 - s.x1, s.y2 - s.y1
+        l2 = dx * dx + dy * dy
+        t = 0.0 if l2 == 0 else min(1.0, max(0.0, ((px - s.x1) * dx + (py - s.y1) * dy) / l2))
+        return math.hypot(px - (s.x1 + t * dx), py - (s.y1 + t * dy))
+    for i, px, py in pts:
+        assert got[i] == pytest.approx(min(seg_d(px, py, s) for s in segs) * 111.0, rel=1e-12)
