@@ -1093,3 +1093,22 @@ def q_correlation_pvalues(spark, sf):
 def q_seasonality_test(spark, sf):
     """Chi-square goodness-of-fit p-value of the month profile per region."""
     return PR.attach_p_values(PR.seasonality(_catalog(spark, sf)), "chi2")
+
+
+@query("guard_forbidden", O.with_ft(_G["forb"] + " FROM (SELECT COUNT(*) AS n FROM ft) x"))
+def q_guard_forbidden(spark, sf):
+    """No variant uses a leak-prone detection column (nst, gap, dmin, rms)."""
+    from riskgrid.operators.guards import guard_forbidden
+    return guard_forbidden(feature_table(spark, sf, P, written=True))
+
+
+@query("inter_event_time_events", """
+WITH g AS (SELECT event_type AS region,
+                  epoch_us(ts) - LAG(epoch_us(ts)) OVER (PARTITION BY event_type ORDER BY epoch_us(ts)) AS gap
+           FROM events)
+SELECT region, COUNT(gap) AS n_gaps, AVG(gap) / 3600000000.0 AS mean_gap_h,
+       median(gap) / 3600000000.0 AS median_gap_h FROM g GROUP BY region""")
+def q_inter_event_time_events(spark, sf):
+    """D10 on the events stream (microsecond timestamps): gaps per event type."""
+    ev = _events(spark, sf).select(F.col("event_type").alias("region"), F.col("ts").alias("time"))
+    return PR.inter_event_time(ev)
