@@ -8,7 +8,10 @@ The current tally is the newest row per (region, day) of the changelog, so a
 replayed batch (after a failure) rewrites the same keys and the view stays
 exact. Trailing row frames are not allowed on streams, so the windows and the
 label run as a batch job on the tally (``plans.feature_table``). Events later
-than the watermark are dropped by Spark and need a batch rebuild.
+than the watermark are dropped by Spark and need a batch rebuild, so the delay
+must cover how far out of order files can arrive (a day's landing: days; a
+replay of yearly slices: more than a year). State is one row per (region, day)
+inside the delay, so a long delay stays small.
 """
 
 from __future__ import annotations
@@ -49,7 +52,7 @@ def streaming_tally(events: DataFrame, regions, watermark: str = "30 days") -> D
 
 
 def run_to_changelog(spark: SparkSession, source_dir: str, schema, regions, changelog: str,
-                     state_dir: str, files_per_batch: int = 1, watermark: str = "30 days") -> None:
+                     state_dir: str, files_per_batch: int = 8, watermark: str = "30 days") -> None:
     """Drain everything landed in ``source_dir`` (availableNow) into the changelog."""
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
            .parquet(source_dir))
@@ -73,15 +76,18 @@ def current_tally(spark: SparkSession, changelog: str) -> DataFrame:
 
 
 def land_in_time_order(events: DataFrame, source_dir: str, time_col: str = "time",
-                       unit: str = "year") -> int:
+                       unit: str = "year", files_per_slice: int | None = None) -> int:
     """Test harness: land events as files, one append per ``unit`` slice, oldest first,
-    so file arrival order follows event time as a live feed's would. (A real
-    deployment lands files from outside; this only replays the given table.)"""
+    so file arrival order follows event time as a live feed's would. Each slice is
+    written with its own parallelism (range-partitioned by time), never funnelled
+    through one task. (A real deployment lands files from outside; this only
+    replays the given table.)"""
+    n = files_per_slice or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slices = [r[0] for r in events.select(F.date_trunc(unit, F.col(time_col)).alias("s"))
               .distinct().orderBy("s").collect()]
     for s in slices:
         (events.filter(F.date_trunc(unit, F.col(time_col)) == F.lit(s))
-         .coalesce(1).write.mode("append").parquet(source_dir))
+         .repartitionByRange(n, time_col).write.mode("append").parquet(source_dir))
     return len(slices)
 
 
