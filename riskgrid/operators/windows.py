@@ -5,9 +5,9 @@ dense grid one row is one day, so the frames are exact day windows. The current
 day is included and only the past is read, except by the label, which reads
 D+1..D+horizon and is null unless that future is fully observed.
 
-All expressions share one window spec, so Spark evaluates the features and the
-label in a single Window operator after one shuffle of region-days (no join
-of features to labels).
+All expressions share one partitioning and ordering, so Spark evaluates the
+features, the trend and the label in a single Window operator after one
+shuffle of region-days (no join of features to labels).
 """
 
 from __future__ import annotations
@@ -65,10 +65,23 @@ def window_features(filled: DataFrame, horizon: int = 7, with_label: bool = True
     exprs = [F.col("region"), F.col("date")] + [c.alias(k) for k, c in cols.items()]
     if with_label:
         exprs.append(forward_label(horizon).alias("label_7d"))
-    step = filled.select(*exprs)
-    # trend = this week's count minus the count 7 rows earlier (lag of a window value).
-    trend = F.col("quakes_7d") - F.lag("quakes_7d", 7).over(_spec())
-    return step.withColumn("trend_7d", trend)
+    exprs.append(trend_column().alias("trend_7d"))
+    return filled.select(*exprs)
+
+
+def trend_column(partition=("region",)) -> Column:
+    """This week's count minus the count 7 days earlier; null while day D-7 is before the calendar.
+
+    The earlier count is the trailing 7-day sum at D-7, i.e. the sum over rows
+    D-13..D-7 (partial near the start, as the rolling count there is), so the
+    trend shares the frame-based Window operator instead of lagging a computed
+    column in a second one.
+    """
+    n = _zero("n")
+    now = F.sum(n).over(trailing(7, partition))
+    before = F.sum(n).over(_spec(partition).rowsBetween(-13, -7))
+    exists = F.count(F.lit(1)).over(_spec(partition).rowsBetween(-7, -7)) == 1
+    return F.when(exists, now - before)
 
 
 def as_feature_table(df: DataFrame) -> DataFrame:
