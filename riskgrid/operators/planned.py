@@ -136,3 +136,12 @@ def drift_flags(scored_by_year: DataFrame, yearly_counts: DataFrame, drop_ratio:
     return (j.withColumn("ap_prev", F.lag("ap").over(o))
             .withColumn("drift", F.coalesce(F.col("ratio") < F.lit(drop_ratio), F.lit(False))
                         | F.coalesce(F.col("ap_prev") - F.col("ap") > F.lit(ap_drop), F.lit(False))))
+
+
+# X10 -----------------------------------------------------------------------
+def hashed_split(df: DataFrame, train: float = 0.70, validate: float = 0.15) -> DataFrame:
+    """Replace ``split`` by a deterministic pseudo-random one (a hash of region and day),
+    ignoring time: the 'shuffled' control for the embargoed date split."""
+    h = ((F.unix_date("date").cast("bigint") * 7919 + F.ascii("region").cast("bigint") * 104729) % 1000) / 1000.0
+    s = F.when(h < train, "train").when(h < train + validate, "validate").otherwise("test")
+    return df.withColumn("split", s)

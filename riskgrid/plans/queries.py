@@ -1113,3 +1113,38 @@ def q_inter_event_time_events(spark, sf):
     """D10 on the events stream (microsecond timestamps): gaps per event type."""
     ev = _events(spark, sf).select(F.col("event_type").alias("region"), F.col("ts").alias("time"))
     return PR.inter_event_time(ev)
+
+
+@query("shuffled_split_control")
+def q_shuffled_split_control(spark, sf):
+    """The chosen LR evaluated under the embargoed date split and under a hashed
+    (shuffled) split of the same region-days; the gap shows what shuffling leaks."""
+    from riskgrid.plans import models as M
+    t = feature_table(spark, sf, P, written=True)
+    out = []
+    for kind, table in (("date", t), ("shuffled", PL.hashed_split(t))):
+        scored, _ = M.ablation(table, [CHOSEN_VARIANT])
+        m = M.evaluate(scored).filter(F.col("region").isNull() & (F.col("metric") == "ap"))
+        out.append(m.select(F.lit(kind).alias("split_kind"), "split", "value"))
+    return out[0].unionByName(out[1])
+
+
+@query("expanding_retrain")
+def q_expanding_retrain(spark, sf):
+    """Retrain the chosen LR at each expanding cutoff; AP on the following year."""
+    from riskgrid.operators.split import split_of
+    from riskgrid.plans import models as M
+    from riskgrid.schema import SplitSpec
+    base = feature_table(spark, sf, P, written=True).drop("split")
+    parts = []
+    for end in _CUTOFFS:
+        ve = end + _dt.timedelta(days=365)
+        spec = SplitSpec(end, end + _dt.timedelta(days=1), ve, ve + _dt.timedelta(days=1), P.horizon)
+        t = base.withColumn("split", split_of(F.col("date"), spec)).filter(F.col("split").isNotNull())
+        scored, _ = M.ablation(t, [CHOSEN_VARIANT])
+        m = M.evaluate(scored).filter(F.col("region").isNull() & (F.col("metric") == "ap"))
+        parts.append(m.select(F.lit(end).alias("train_end"), "split", "value"))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out

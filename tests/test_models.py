@@ -64,3 +64,12 @@ def test_forest_quality_and_importances(spark, table):
     assert m[("train", "ap")] > m[("validate", "ap")] > 0.0
     imp = M.importances(spark, fitted[0]).collect()
     assert sum(r["importance"] for r in imp) == pytest.approx(1.0)
+
+
+def test_hashed_split_assigns_every_row(spark, table):
+    from riskgrid.operators.planned import hashed_split
+    h = hashed_split(table)
+    counts = {r["split"]: r["count"] for r in h.groupBy("split").count().collect()}
+    assert set(counts) == {"train", "validate", "test"}
+    assert sum(counts.values()) == table.count()
+    assert counts["train"] > counts["validate"] > 0
