@@ -162,19 +162,27 @@ def ablation(table: DataFrame, variants=PARITY_VARIANTS, kind: str = "logreg") -
     """Fit one model per variant on train; score train + validate. Returns (scores, fitted)."""
     train = table.filter(F.col("split") == "train").cache()
     tasks = [(FITTERS[kind], (train, *feature_columns(v), f"{kind}_{v}")) for v in variants]
-    fitted = _fit_all(tasks)
+    try:
+        fitted = _fit_all(tasks)
+    finally:
+        train.unpersist()
     return _union([score_splits(m, table) for m in fitted]), fitted
 
 
 def per_region(table: DataFrame, regions, variants=PARITY_VARIANTS) -> tuple[DataFrame, list]:
     """M5: one logistic regression per (region, variant), no one-hot."""
-    tasks, parts = [], {}
+    tasks, parts, cached = [], {}, []
     for r in regions:
         parts[r] = table.filter(F.col("region") == r)
         train = parts[r].filter(F.col("split") == "train").cache()
+        cached.append(train)
         for v in variants:
             tasks.append((fit_logreg, (train, feature_columns(v)[0], [], f"{r}|{v}")))
-    fitted = _fit_all(tasks)
+    try:
+        fitted = _fit_all(tasks)
+    finally:
+        for c in cached:
+            c.unpersist()
     return _union([score_splits(m, parts[m.run.split("|")[0]]) for m in fitted]), fitted
 
 
