@@ -93,8 +93,11 @@ def materialize(df, name: str):
 
 def write_table(df, name: str) -> str:
     import uuid
-    base = checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/riskgrid-tables/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    # One folder per application, so a retention policy can expire a run's tables as a unit.
+    app = spark.sparkContext.applicationId
+    path = f"{base}/riskgrid-tables/{app}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return path
 
