@@ -1148,3 +1148,19 @@ def q_expanding_retrain(spark, sf):
     for p_ in parts[1:]:
         out = out.unionByName(p_)
     return out
+
+
+@query("model_comparison")
+def q_model_comparison(spark, sf):
+    """The published comparison table's shape: no-skill prior, persistence heuristic, the five
+    pooled LR variants and the forest, one validation row each (AP, F1, log-loss, per-region AP)."""
+    from riskgrid.operators.metrics import leaderboard
+    from riskgrid.plans import models as M
+    from riskgrid.plans.scoring import closed_form_metrics
+    from riskgrid.session import materialize
+    t = feature_table(spark, sf, P, written=True)
+    lr, _ = M.ablation(t)
+    rf, _ = M.ablation(t, [CHOSEN_VARIANT], "forest")
+    fitted = M.evaluate(materialize(lr.unionByName(rf), "comparison_scores"))
+    closed = closed_form_metrics(t).filter(F.col("run") != "activity")
+    return leaderboard(fitted.unionByName(closed), [r.name for r in P.regions])
