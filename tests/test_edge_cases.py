@@ -140,7 +140,15 @@ def _scored(spark, scores, labels, region="r"):
     return spark.createDataFrame(rows, "run string, split string, region string, score double, label int, pred int")
 
 
-def test_c11_average_precision_with_tie(spark):
+@pytest.fixture(params=["plain", "ranged"])
+def ranking_path(request, monkeypatch):
+    """Run a test on both prefix-sum plans (small-input window and range-bucketed)."""
+    from riskgrid.operators import ranking
+    monkeypatch.setattr(ranking, "SMALL_INPUT_BYTES", (1 << 62) if request.param == "plain" else 0)
+    return request.param
+
+
+def test_c11_average_precision_with_tie(spark, ranking_path):
     from riskgrid.operators.metrics import average_precision
     s = _scored(spark, [.9, .8, .7, .7, .3, .1], [1, 0, 1, 0, 1, 0])
     assert average_precision(s, ["run"]).collect()[0]["ap"] == pytest.approx(0.7)
@@ -149,7 +157,7 @@ def test_c11_average_precision_with_tie(spark):
     assert average_precision(s, ["run"], buckets=2).collect()[0]["ap"] == pytest.approx(0.7)
 
 
-def test_ap_matches_brute_force_many_buckets(spark):
+def test_ap_matches_brute_force_many_buckets(spark, ranking_path):
     import random
     from riskgrid.operators.metrics import average_precision
     rnd = random.Random(7)
@@ -176,7 +184,7 @@ def test_c12_threshold_tie_is_positive(spark):
     assert spark.range(1).select(decision(F.lit(0.5))).collect()[0][0] == 1
 
 
-def test_c13_single_class_region_absent(spark):
+def test_c13_single_class_region_absent(spark, ranking_path):
     from riskgrid.operators.metrics import metric_table
     s = _scored(spark, [.9, .2, .6], [1, 0, 1], "mixed").unionByName(_scored(spark, [.4, .3], [0, 0], "flat"))
     rows = metric_table(s).collect()

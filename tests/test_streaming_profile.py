@@ -28,7 +28,14 @@ def test_streaming_tally_equals_batch(spark):
     assert sorted(tuple(r) for r in ST.current_tally(spark, log).select(*cols).collect()) == want
 
 
-def test_exact_median_histogram(spark):
+@pytest.fixture(params=["plain", "ranged"])
+def ranking_path(request, monkeypatch):
+    from riskgrid.operators import ranking
+    monkeypatch.setattr(ranking, "SMALL_INPUT_BYTES", (1 << 62) if request.param == "plain" else 0)
+    return request.param
+
+
+def test_exact_median_histogram(spark, ranking_path):
     from riskgrid.operators.profile import exact_median
     df = spark.createDataFrame([("a", v) for v in (1, 2, 3, 10)] + [("b", v) for v in (5, 5, 7)],
                                "k string, v bigint")
@@ -36,7 +43,7 @@ def test_exact_median_histogram(spark):
     assert got == {"a": 2.5, "b": 5.0}
 
 
-def test_inter_event_gaps_cross_buckets(spark):
+def test_inter_event_gaps_cross_buckets(spark, ranking_path):
     import datetime as dt
     from riskgrid.operators.profile import inter_event_time
     ts = [dt.datetime(2020, 1, 1, 0, 10), dt.datetime(2020, 1, 1, 0, 40), dt.datetime(2020, 1, 1, 3, 40),
@@ -63,7 +70,7 @@ def test_p_values_known_points(spark):
     assert attach_p_values(c, "chi2").collect()[0]["p_value"] == pytest.approx(0.05, abs=1e-9)
 
 
-def test_inter_event_gaps_with_a_burst_of_identical_times(spark):
+def test_inter_event_gaps_with_a_burst_of_identical_times(spark, ranking_path):
     import datetime as dt
     from riskgrid.operators.profile import inter_event_time
     burst = [dt.datetime(2020, 1, 1, 5, 0)] * 5
