@@ -99,7 +99,9 @@ def calibration(scored: DataFrame, bins: int = 10, keys=("run",)) -> DataFrame:
 # X9 ------------------------------------------------------------------------
 def risk_tiers(scored: DataFrame, base_rates: DataFrame, elevated: float = 1.0, high: float = 2.0) -> DataFrame:
     """low / elevated / high relative to the region's train base rate; counts and observed rates."""
-    j = scored.join(F.broadcast(base_rates), "region")
+    # One row per region; Spark's size estimate (autoBroadcastJoinThreshold) decides the
+    # broadcast, and a shuffle join remains the plan beyond it.
+    j = scored.join(base_rates, "region")
     tier = (F.when(F.col("score") >= F.col("base_rate") * high, F.lit("high"))
             .when(F.col("score") >= F.col("base_rate") * elevated, F.lit("elevated"))
             .otherwise(F.lit("low")))
