@@ -142,13 +142,31 @@ def score_splits(fitted: FittedModel, table: DataFrame, names=("train", "validat
 FIT_THREADS = 4
 
 
+# Fitted models per (application, training plan, fitter, features): several queries
+# (scores, rankings, gaps, comparison tables) reuse one fit instead of refitting. The
+# key uses the training DataFrame's semantic hash; stored tables have unique paths,
+# so a rebuilt table never hits an old entry.
+_FITTED: dict = {}
+
+
+def _fit_key(fn, args):
+    train, rest = args[0], args[1:]
+    return (train.sparkSession.sparkContext.applicationId, train.semanticHash(), fn.__name__, repr(rest))
+
+
 def _fit_all(tasks) -> list:
-    """Run (fn, args) fit tasks concurrently; results in task order."""
+    """Run (fn, args) fit tasks concurrently (cached ones are reused); results in task order."""
     from concurrent.futures import ThreadPoolExecutor
-    if len(tasks) <= 1:
-        return [fn(*args) for fn, args in tasks]
-    with ThreadPoolExecutor(max_workers=min(FIT_THREADS, len(tasks))) as pool:
-        return list(pool.map(lambda t: t[0](*t[1]), tasks))
+    keys = [_fit_key(fn, args) for fn, args in tasks]
+    todo = [(i, t) for i, (k, t) in enumerate(zip(keys, tasks)) if k not in _FITTED]
+    if len(todo) == 1:
+        i, (fn, args) = todo[0]
+        _FITTED[keys[i]] = fn(*args)
+    elif todo:
+        with ThreadPoolExecutor(max_workers=min(FIT_THREADS, len(todo))) as pool:
+            for (i, _), m in zip(todo, pool.map(lambda it: it[1][0](*it[1][1]), todo)):
+                _FITTED[keys[i]] = m
+    return [_FITTED[k] for k in keys]
 
 
 def _union(frames):
