@@ -57,3 +57,7 @@ def test_pipeline_steps(spark):
     board = PL.train(spark, f"{root}/features", f"{root}/runs", ["base", "depth"]).collect()
     assert [r["run"] for r in board] and all(0 <= r["val_ap"] <= 1 for r in board)
     assert spark.read.parquet(f"{root}/runs").select("run").distinct().count() == 2
+    # The command-line entry point runs the same steps.
+    PL.main(["features", "--clean", f"{root}/clean", "--out", f"{root}/features_cli"])
+    PL.main(["check", "--features", f"{root}/features_cli"])
+    assert spark.read.parquet(f"{root}/features_cli").count() == feats.count()
