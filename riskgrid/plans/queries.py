@@ -272,6 +272,7 @@ def q_leaderboard(spark, sf):
 
 # --- F8 / N1-N6: variant projection and preprocessing ----------------------
 
+from riskgrid.operators.prep import feature_columns as _feature_columns  # noqa: E402
 from riskgrid.schema import FEATURE_COLUMNS  # noqa: E402
 
 PREP_VARIANT = "depth"
@@ -328,7 +329,7 @@ def _prep(spark, sf, numeric, with_cat):
                         for c in out.columns if c not in ("region", "date", "split")])
 
 
-_DEPTH_NUM = list(__import__("riskgrid.operators.prep", fromlist=["x"]).feature_columns(PREP_VARIANT)[0])
+_DEPTH_NUM = list(_feature_columns(PREP_VARIANT)[0])
 _CATS = sorted(r.name for r in P.regions)
 
 
@@ -969,7 +970,7 @@ def q_region_thresholds(spark, sf):
 
 
 @query("asof_refresh", O.with_ft(
-    "SELECT " + ", ".join(["region", "date"] + list(__import__("riskgrid.schema", fromlist=["x"]).FEATURE_COLUMNS))
+    "SELECT " + ", ".join(["region", "date"] + list(FEATURE_COLUMNS))
     + " FROM feats WHERE date = (SELECT max(date) FROM feats)"))
 def q_asof_refresh(spark, sf):
     """The newest region-day of each region with its features (the rows a refresh scores)."""
