@@ -303,3 +303,16 @@ def test_segment_hof_path_equals_brute_force(spark):
         return math.hypot(px - (s.x1 + t * dx), py - (s.y1 + t * dy))
     for i, px, py in pts:
         assert got[i] == pytest.approx(min(seg_d(px, py, s) for s in segs) * 111.0, rel=1e-12)
+
+
+def test_train_medians_histogram_path_equals_aggregate(spark, monkeypatch):
+    import random
+    from riskgrid.operators import prep, ranking
+    rnd = random.Random(4)
+    rows = [(rnd.choice([None, round(rnd.uniform(0, 5), 1)]), float(rnd.randint(0, 30))) for _ in range(501)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    small = prep.train_medians(df, ["a", "b"])
+    monkeypatch.setattr(ranking, "SMALL_INPUT_BYTES", 0)
+    big = prep.train_medians(df, ["a", "b"])
+    assert big == pytest.approx(small)
+    assert prep.fit_numeric(df, ["a", "b"])["a"][0] == pytest.approx(small["a"])
