@@ -767,13 +767,13 @@ SELECT region, AVG(l_regional) AS rate_regional, AVG(l_flat) AS rate_flat, COUNT
 FROM l GROUP BY region""")
 def q_threshold_compare(spark, sf):
     """7-day positive rate with regional thresholds vs one flat threshold."""
-    from riskgrid.operators.grid import daily_grid, daily_tally, gap_filled_tally
+    from riskgrid.operators.grid import daily_grid, gap_filled_tally, large_flag
     from riskgrid.session import materialize
     cat = _catalog(spark, sf)
-    tally = (daily_tally(cat.withColumn("distance_to_fault_km", F.lit(None).cast("double")), P.regions)
-             .join(cat.groupBy("region", "date").agg(
-                 F.count_if(F.col("magnitude") >= F.lit(FLAT_THRESHOLD)).alias("large_flat")),
-                 ["region", "date"]))
+    # One pass: both large counts per (region, day) in the same aggregate.
+    tally = cat.groupBy("region", "date").agg(
+        F.count_if(large_flag(F.col("region"), F.col("magnitude"), P.regions)).alias("large"),
+        F.count_if(F.coalesce(F.col("magnitude") >= F.lit(FLAT_THRESHOLD), F.lit(False))).alias("large_flat"))
     tally = materialize(tally, "tally_two_thresholds")
     return PR.threshold_compare(gap_filled_tally(daily_grid(spark, tally, P.regions), tally))
 
@@ -1037,12 +1037,11 @@ FROM grid g LEFT JOIN o USING (region, date)""")
 def q_other_types_30d(spark, sf):
     """X11: trailing 30-day count of the event types the cleaning step removes (a covariate)."""
     from pyspark.sql import Window
-    from riskgrid.operators.grid import daily_grid, daily_tally
-    from riskgrid.session import materialize
+    from riskgrid.operators.grid import daily_grid
+    from riskgrid.plans.feature_table import stored_tally
     cat = _catalog(spark, sf)
-    tally = materialize(daily_tally(cat.withColumn("distance_to_fault_km", F.lit(None).cast("double")),
-                                    P.regions), "daily_tally")
-    grid = daily_grid(spark, tally, P.regions)
+    # The calendar comes from the stored tally (same catalog rows); one pass for the counts.
+    grid = daily_grid(spark, stored_tally(spark, sf, P), P.regions)
     other = PL.other_type_counts(cat, KEEP_TYPE)
     w = Window.partitionBy("region").orderBy("date").rowsBetween(-29, 0)
     return grid.join(other, ["region", "date"], "left").select(
