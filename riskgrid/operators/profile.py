@@ -107,6 +107,11 @@ def _micros(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
+def distinct_times(df: DataFrame, time_col: str = "time") -> DataFrame:
+    """(region, us, c): distinct event instants per region with their multiplicity."""
+    return df.groupBy("region", _micros(F.col(time_col)).alias("us")).agg(F.count(F.lit(1)).alias("c"))
+
+
 def inter_event_gaps(df: DataFrame, time_col: str = "time") -> DataFrame:
     """Every gap (microseconds) between consecutive events of a region, as (region, gap, w).
 
@@ -118,7 +123,7 @@ def inter_event_gaps(df: DataFrame, time_col: str = "time") -> DataFrame:
     more than one range of one region.
     """
     from riskgrid.operators.ranking import with_ranges
-    d = df.groupBy("region", _micros(F.col(time_col)).alias("us")).agg(F.count(F.lit(1)).alias("c"))
+    d = distinct_times(df, time_col)
     zeros = d.filter(F.col("c") > 1).select("region", F.lit(0).cast("bigint").alias("gap"),
                                              (F.col("c") - 1).alias("w"))
     r = with_ranges(d, ["region"], "us")
@@ -152,8 +157,10 @@ def exact_median(values: DataFrame, keys, value: str, weight: str | None = None)
 
 def inter_event_time(df: DataFrame, time_col: str = "time") -> DataFrame:
     """Per region: number of gaps, mean and median gap in hours."""
-    t = _micros(F.col(time_col))
-    span = df.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi"))
+    # Count and span from the distinct-instant table the gaps use (the same aggregate,
+    # so Spark reuses its exchange instead of scanning the events again).
+    span = distinct_times(df, time_col).groupBy("region").agg(
+        F.sum("c").alias("n"), F.min("us").alias("lo"), F.max("us").alias("hi"))
     mean = span.select("region", (F.col("n") - 1).alias("n_gaps"),
                        F.when(F.col("n") > 1, (F.col("hi") - F.col("lo")) / (F.col("n") - 1) / F.lit(3.6e9))
                        .alias("mean_gap_h"))
