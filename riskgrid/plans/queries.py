@@ -439,11 +439,26 @@ def q_guard_one_split(spark, sf):
     return guard_one_split(feature_table(spark, sf, P, written=True))
 
 
-@query("guard_train_only", O.with_ft(_G["train"]))
+@query("guard_train_only", O.with_ft(
+    "SELECT g.*, round(f.fitted_median, 12) AS fitted_median, round(f.fitted_median, 12) AS train_median, "
+    "round(f.full_median, 12) AS full_median FROM (" + _G["train"] + ") g, "
+    "(SELECT (SELECT median(avg_mag_7d) FROM ft WHERE split = 'train') AS fitted_median, "
+    "median(avg_mag_7d) AS full_median FROM ft) f"))
 def q_guard_train_only(spark, sf):
-    """The fitted median equals the train median."""
-    from riskgrid.operators.guards import guard_train_only
-    return guard_train_only(feature_table(spark, sf, P, written=True))
+    """The fitted median equals the train median; the full-data median is reported beside it."""
+    from riskgrid.operators.prep import fit_numeric
+    t = feature_table(spark, sf, P, written=True)
+    fitted = fit_numeric(t.filter(F.col("split") == "train"), ["avg_mag_7d"])["avg_mag_7d"][0]
+    meds = t.agg(F.median(F.when(F.col("split") == "train", F.col("avg_mag_7d"))).alias("train_median"),
+                 F.median("avg_mag_7d").alias("full_median"))
+    # One aggregate row carries the verdict and the three medians (no join).
+    passed = F.coalesce(F.abs(F.lit(fitted) - F.col("train_median")) < F.lit(1e-9), F.lit(False))
+    return meds.select(F.lit(5).alias("check_id"), F.lit("preprocessing fit on train only").alias("guard"),
+                       passed.alias("passed"),
+                       F.lit("avg_mag_7d: fitted median = train median").alias("detail"),
+                       F.round(F.lit(fitted), 12).alias("fitted_median"),
+                       F.round("train_median", 12).alias("train_median"),
+                       F.round("full_median", 12).alias("full_median"))
 
 
 @query("guard_label", O.with_ft(_G["label"]))
