@@ -1,8 +1,8 @@
 """Leakage guards (G1-G6 and a forward-only check) as one DataFrame of verdicts.
 
 Each check is an aggregate over the feature table; the report is a small
-``(check, passed, detail)`` DataFrame, and ``assert_guards`` turns any failure
-into an exception (the failing exit of the pipeline).
+``(check_id, guard, passed, detail)`` DataFrame, and ``assert_guards`` turns any
+failure into an exception (the failing exit of the pipeline).
 """
 
 from __future__ import annotations
