@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskgrid.llm.common import arrow_map, materialize
+from riskgrid.llm.common import KEY, arrow_map, key_columns, materialize
 
 FOLDS = 5
 THRESHOLD = 0.3
@@ -68,15 +68,16 @@ N_FEATURES = len(features(""))
 
 
 def feature_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Per row: key and measures."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [features(t or "") for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float32()))], names=["doc_id", "x"])
+            x = [features(t or "") for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.list_(pa.float32()))], names=[*KEY, "x"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return arrow_map(rows, run, f"doc_id {id_type}, x array<float>")
+    rows = docs.select(*key_columns(id_col, text_col), F.col(text_col).cast("string").alias("text"))
+    return arrow_map(rows, run, f"{KEY[0]} {id_type}, {KEY[1]} long, x array<float>")
 
 
 def summed(rows: DataFrame, fn, size: int) -> np.ndarray:
@@ -163,8 +164,9 @@ def fit(rows: DataFrame, prior: float) -> Model:
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             label_id: str = "doc_id", label_col: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every row."""
+             label_id: str = "doc_id", label_col: str = "quality", threshold: float = THRESHOLD,
+             keyed: bool = False) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` for every row; with ``keyed``, the key columns come first."""
     known = (labels.where(~held_out(F.col(label_id)) & F.col(label_id).isNotNull() & F.col(label_col).isin(0, 1))
              .groupBy(F.col(label_id).alias("__id")).agg(F.min(label_col).alias("lo"), F.max(label_col).alias("hi"))
              .where("lo = hi").select("__id", F.col("lo").alias("y")))
@@ -172,16 +174,16 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     prior = ((c["y"] or 0) + 1) / (c["n"] + 2)
     table = materialize(feature_table(docs, id_col, text_col), "quality-features")
     positives = known.where("y = 1")
-    rows = materialize(table.join(positives, table["doc_id"] == positives["__id"], "left")
-                       .select("doc_id", "x", F.col("__id").isNotNull().alias("p")), "quality-rows")
+    rows = materialize(table.join(positives, table[KEY[0]] == positives["__id"], "left")
+                       .select(*KEY, "x", F.col("__id").isNotNull().alias("p")), "quality-rows")
     model = fit(rows, prior)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES).astype(float)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(x), pa.float64())], names=["doc_id", "score"])
+            x = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES).astype(float)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(model.score(x), pa.float64())], names=[*KEY, "score"])
 
-    scored = rows.select("doc_id", "x").mapInArrow(run, f"doc_id {id_type}, score double")
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+    scored = rows.select(*KEY, "x").mapInArrow(run, f"{KEY[0]} {id_type}, {KEY[1]} long, score double")
+    return scored.select(*KEY[:2 * keyed], F.col(KEY[0]).alias("doc_id"), held_out(F.col(KEY[0])).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))

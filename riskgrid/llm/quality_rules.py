@@ -1,8 +1,8 @@
 """Quality rules under weak supervision.
 
 Each rule votes good (1) or bad (-1) or abstains (0) on a document's measures. Expectation-
-maximisation over the counts of all vote patterns (at most 3^9, whatever the corpus holds)
-estimates how often each rule votes each way on good and on bad documents, and the share of good
+maximisation over the counts of all vote patterns (at most 3^10, whatever the corpus holds)
+estimates how accurate each rule's votes are on good and on bad documents, and the share of good
 ones. A document is kept if its posterior probability of being good is at least one half, in
 place of passing every rule; documents that fail the base test are never kept.
 
@@ -35,7 +35,7 @@ TRUST = 0.02
 ROUNDS = 100
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters",
-            "n_distinct", "n_top", "n_stops", "n_marks")
+            "n_distinct", "n_top", "n_odd", "n_marks")
 
 
 def measure(text: str) -> tuple[int, ...]:
@@ -61,7 +61,7 @@ def measure(text: str) -> tuple[int, ...]:
         repeated = int((np.cumsum(cover[:n]) > 0).sum())
     return (n, sum(map(len, words)), sum(text.count(c) for c in SYMBOLS), len(lines) - len(set(lines)), repeated, len(lines),
             sum(map(str.isupper, text)), sum(map(str.isalpha, text)), len(counted), max(counted.values(), default=0),
-            sum(w[-1] in ".,;:" for w in words), text.count("!") + text.count("|"))
+            sum(not w.strip(".,;:!?'\"()-").isalnum() for w in words), text.count("!") + text.count("|"))
 
 
 def _numbered(values: np.ndarray) -> np.ndarray:
@@ -90,7 +90,7 @@ def rules() -> dict[str, Column]:
     length, lines = per_word("word_chars"), F.greatest(F.col("n_lines"), F.lit(1))
     upper = F.col("n_upper") / F.greatest(F.col("n_letters"), F.lit(1))
     return {
-        "word_count": _vote(n < 20, n >= 60),
+        "word_count": _vote(n < MIN_WORDS, n >= 60),
         "word_length": _vote((length < 2.5) | (length > 12), (length >= 3.5) & (length <= 9)),
         "symbols": _vote(per_word("n_symbols") > 0.1, (per_word("n_symbols") <= 0.01) & (n >= 20)),
         "duplicate_lines": _vote(F.col("n_dup_lines") * 10 > lines * 3, (F.col("n_dup_lines") == 0) & (F.col("n_lines") >= 3)),
@@ -98,7 +98,8 @@ def rules() -> dict[str, Column]:
         "capitals": _vote(upper > 0.4, (upper <= 0.12) & (n >= 20)),
         "variety": _vote((per_word("n_distinct") < 0.15) & (n >= 30) & (n < 5000), (per_word("n_distinct") >= 0.35) & (n >= 30)),
         "top_word": _vote((per_word("n_top") > 0.2) & (n >= 10), (per_word("n_top") <= 0.1) & (n >= 30)),
-        "marks": _vote(per_word("n_marks") > 0.15, (per_word("n_marks") <= 0.02) & (per_word("n_stops") >= 0.02) & (n >= 20)),
+        "marks": _vote(per_word("n_marks") > 0.15, (per_word("n_marks") <= 0.02) & (n >= 20)),
+        "plain_words": _vote((per_word("n_odd") > 0.2) & (n >= 20), (per_word("n_odd") <= 0.05) & (n >= 20)),
     }
 
 
@@ -106,18 +107,18 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], n_rules: int) -> tuple[floa
     """EM on pattern counts: the log odds of the prior, and per rule those of votes -1, 0 and 1."""
     votes = np.array([p for p, _ in patterns], int).reshape(-1, n_rules)
     weight = np.array([c for _, c in patterns], float)
-    good = 1 / (1 + np.exp(-2.0 * votes.sum(axis=1)))
+    good = np.where((votes < 0).any(axis=1), 0.1, 0.95)  # at first, any vote against makes a document doubtful
     total = weight.sum()
     prior, odds = 0.0, np.zeros((n_rules, 3))
-    belief = np.array([[0.7, 0.2, 0.1], [0.05, 0.25, 0.7]])  # of votes -1, 0, 1 on bad and on good documents
+    belief = np.array([[0.6, 0.4], [0.02, 0.98]])  # of votes -1 and 1 on bad and on good documents
     for _ in range(ROUNDS if total else 0):
         share = (good @ weight + 1) / (total + 2)
         prior = math.log(share / (1 - share))
         for r in range(n_rules):
-            seen = np.array([[(weight * side)[votes[:, r] == v].sum() for v in (-1, 0, 1)] for side in (1 - good, good)])
+            seen = np.array([[(weight * side)[votes[:, r] == v].sum() for v in (-1, 1)] for side in (1 - good, good)])
             p = seen + belief * (TRUST * total + 1)
             p /= p.sum(axis=1, keepdims=True)
-            odds[r] = np.log(p[1] / p[0])
+            odds[r, [0, 2]] = np.log(p[1] / p[0])  # abstaining tells nothing
         before, good = good, 1 / (1 + np.exp(-np.clip(prior + sum(odds[r][votes[:, r] + 1] for r in range(n_rules)), -500, 500)))
         if np.abs(before - good).max() < 1e-9:
             break

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskgrid.llm import decontaminate, line_templates, mixing, pu_classifier, quality_rules, secrets, token_counts
+from riskgrid.llm import decontaminate, line_templates, mixing, near_dup, paragraph_dedup, pu_classifier, quality_rules, secrets, token_counts
 from riskgrid.llm.common import read
 
 
@@ -29,10 +29,19 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(read(spark, sf_dir, "documents"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_dup.near_duplicates(read(spark, sf_dir, "documents"), size=4, percent=80)
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op7_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.report(read(spark, sf_dir, "documents"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
@@ -48,7 +57,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_quality_classifier, op3_token_counts, op4_secret_scan, op6_benchmark_decontamination, op8_source_mixing, op9_line_dedup,
+    op2_quality_classifier, op3_token_counts, op4_secret_scan, op5_minhash_near_dedup, op6_benchmark_decontamination, op7_paragraph_dedup, op8_source_mixing, op9_line_dedup,
     op10_quality_rules)}
 SQL = {
     "op6_benchmark_decontamination": decontaminate.sql(),

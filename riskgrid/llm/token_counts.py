@@ -67,7 +67,7 @@ class PrefixCounter(dict):
         specials = [t["content"] for t in spec.get("added_tokens", [])]
         special_set = set(specials)
         self.vocab = {as_bytes(t) for t in spec["model"]["vocab"] if t not in special_set and all(c in alphabet for c in t)}
-        self.longest = max(map(len, self.vocab))
+        self.begins = {t[:k] for t in self.vocab for k in range(1, len(t) + 1)}
         self.known: dict[tuple, bool] = {}
         self.edges: dict[tuple, list] = {}
         self.cut = re.compile(PIECES.format(**LATIN))
@@ -119,14 +119,19 @@ class PrefixCounter(dict):
         return known
 
     def counts(self, data: bytes) -> list[int]:
-        """Token counts of all byte prefixes of a piece."""
+        """Token counts of all byte prefixes of a piece, from left to right."""
         n, count, last = len(data), [0] * (len(data) + 1), [None] * (len(data) + 1)
-        for i in range(1, n + 1):
-            for size in range(min(i, self.longest), 0, -1):
-                token = data[i - size:i]
-                if token in self.vocab and self.stays(last[i - size], token):
-                    last[i], count[i] = token, count[i - size] + 1
+        begins, vocab, known = self.begins, self.vocab, self.known
+        for start in range(n):
+            before, more = last[start], count[start] + 1
+            for end in range(start + 1, n + 1):
+                token = data[start:end]
+                if token not in begins:
                     break
+                if last[end] is None and token in vocab:
+                    fits = known.get((before, token))
+                    if fits if fits is not None else self.stays(before, token):
+                        last[end], count[end] = token, more
         return count
 
     def __missing__(self, piece: str) -> bytes:
