@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskgrid.session import materialize
 
-__all__ = ["KEY", "arrow_map", "empty_text", "key_columns", "key_match", "materialize", "split_lines"]
+__all__ = ["KEY", "arrow_map", "empty_text", "if_small", "key_columns", "key_match", "materialize", "read", "split_lines"]
 
 #: A row's key: its id and a hash of its text. Repeated rows share a key and get the same result.
 KEY = ("__key_id", "__key_text")
@@ -49,17 +47,16 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
-def table(sf_dir: str, name: str) -> str:
-    return f"{sf_dir.rstrip('/')}/{name}.parquet"
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table(sf_dir, name))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def fresh_name(prefix: str) -> str:
-    return f"{prefix}-{uuid.uuid4().hex[:8]}"
+#: Rows, or items of their arrays, of a join side that is broadcast, after a count (some 50 bytes each);
+#: larger sides are joined by shuffle.
+BROADCAST_ITEMS = 500_000
 
 
-def as_json(obj) -> str:
-    return json.dumps(obj, sort_keys=True)
+def if_small(df: DataFrame, items: Column | None = None) -> DataFrame:
+    """``df`` (a written table), marked for broadcast if it holds few rows and items; so long texts need not be shuffled to meet it."""
+    weight = df.agg(F.sum(F.lit(1) if items is None else 1 + items)).first()[0] or 0
+    return F.broadcast(df) if weight <= BROADCAST_ITEMS else df

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskgrid.llm.common import KEY, empty_text, key_columns, key_match, materialize, split_lines
+from riskgrid.llm.common import KEY, empty_text, if_small, key_columns, key_match, materialize, split_lines
 
 PARTS = 4
 DEPTH = 5
@@ -104,7 +104,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
                          min_docs: int = MIN_DOCS, min_words: int = MIN_WORDS) -> DataFrame:
     """All columns of ``docs`` in a struct ``row``, with ``text_kept``, ``n_lines`` and ``n_dropped``."""
-    drops = dropped_lines(docs, id_col, text_col, depth, min_docs, min_words)
+    drops = if_small(materialize(dropped_lines(docs, id_col, text_col, depth, min_docs, min_words), "dropped-lines"), F.size("__drops"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), empty_text(text_col).alias("__text"),
                        *key_columns(id_col, text_col))
     joined = rows.join(drops, key_match(rows, drops), "left")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskgrid.llm.common import KEY, arrow_map, empty_text, key_columns, key_match, materialize
+from riskgrid.llm.common import KEY, arrow_map, empty_text, if_small, key_columns, key_match, materialize
 
 #: 40 bands of 6: a pair at similarity 0.8 is missed with a chance of 5e-6.
 BANDS, ROWS = 40, 6
@@ -237,10 +237,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
 
     def texts(wanted: DataFrame) -> DataFrame:
         """Each wanted set's text, from one of its documents."""
-        place = nodes.select("node", "one.*").join(wanted, "node")
+        place = if_small(materialize(nodes.select("node", "one.*").join(wanted, "node"), "wanted"))
         rows_ = docs.select(*key_columns(id_col, text_col), empty_text(text_col).alias("text"))
-        return place.join(rows_, key_match(place, rows_)).drop(*KEY).dropDuplicates(["node"]) if has_repeats else place.join(
-            rows_, key_match(place, rows_)).drop(*KEY)
+        found = rows_.join(place, key_match(rows_, place)).select(*wanted.columns, "text")
+        return found.dropDuplicates(["node"]) if has_repeats else found
 
     has_repeats = not signed.groupBy(*KEY).count().where("count > 1").isEmpty()
     roots = link_components(nodes, texts, size, percent)

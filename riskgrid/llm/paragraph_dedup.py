@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskgrid.llm.common import KEY, arrow_map, empty_text, key_columns, key_match, materialize
+from riskgrid.llm.common import KEY, arrow_map, empty_text, if_small, key_columns, key_match, materialize
 from riskgrid.llm.near_dup import describe, link_components
 
 SHINGLE, PERCENT = 5, 80
@@ -89,9 +89,9 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             F.first("buckets").alias("buckets"), F.count("*").alias("copies")), "paragraph-sets")
 
     def texts(wanted: DataFrame) -> DataFrame:
-        place = nodes.select("node", "one.*").join(wanted, "node")
+        place = if_small(materialize(nodes.select("node", "one.*").join(wanted, "node"), "wanted"))
         rows = docs.select(*key_columns(id_col, text_col), empty_text(text_col).alias("__doc"))
-        cut = place.join(rows, key_match(place, rows)).select(
+        cut = rows.join(place, key_match(rows, place)).select(
             *wanted.columns, F.substring(F.col("__doc"), F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
         return cut.dropDuplicates(["node"]) if repeats else cut
 

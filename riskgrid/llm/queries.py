@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskgrid.llm import decontaminate, line_templates, mixing, near_dup, paragraph_dedup, pu_classifier, quality_rules, secrets, token_counts
+from riskgrid.llm import decontaminate, line_templates, mixing, near_dup, paragraph_dedup, pu_classifier, quality_rules, secrets, suffix_dedup, token_counts
 from riskgrid.llm.common import read
 
 
@@ -16,6 +16,10 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_classifier.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -57,7 +61,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_quality_classifier, op3_token_counts, op4_secret_scan, op5_minhash_near_dedup, op6_benchmark_decontamination, op7_paragraph_dedup, op8_source_mixing, op9_line_dedup,
+    op1_suffix_array_dedup, op2_quality_classifier, op3_token_counts, op4_secret_scan, op5_minhash_near_dedup, op6_benchmark_decontamination, op7_paragraph_dedup, op8_source_mixing, op9_line_dedup,
     op10_quality_rules)}
 SQL = {
     "op6_benchmark_decontamination": decontaminate.sql(),
