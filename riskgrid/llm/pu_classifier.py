@@ -33,6 +33,7 @@ from riskgrid.llm.common import KEY, arrow_map, key_columns, materialize
 FOLDS = 5
 THRESHOLD = 0.3
 STEPS = 20
+#: Weight of the squared weights, beside 16 over the number of positives: a few positives allow no large weights.
 RIDGE = 1e-4
 SYMBOLS = "#*$%&<>{}[]\\/_=~^@"
 
@@ -127,6 +128,8 @@ def fit(rows: DataFrame, prior: float) -> Model:
     if not n_p:
         return model
 
+    strength = RIDGE + 16 / n_p
+
     def at(weights: np.ndarray):
         now = Model(mean, scale, weights, prior)
 
@@ -139,8 +142,8 @@ def fit(rows: DataFrame, prior: float) -> Model:
 
         v = summed(rows, sums, 3 + 2 * d + d * d)
         negative = v[0] / n - prior * v[1] / n_p
-        risk = prior * v[2] / n_p + max(0.0, negative) + RIDGE / 2 * (weights[:-1] ** 2).sum()
-        ridge = np.append(np.full(d - 1, RIDGE), 1e-9)
+        risk = prior * v[2] / n_p + max(0.0, negative) + strength / 2 * (weights[:-1] ** 2).sum()
+        ridge = np.append(np.full(d - 1, strength), 1e-9)
         gradient = v[3 + d:3 + 2 * d] / n - prior * v[3:3 + d] / n_p + ridge * weights
         return negative, risk, gradient, v[3 + 2 * d:].reshape(d, d) / n + np.diag(ridge)
 
