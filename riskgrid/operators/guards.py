@@ -37,10 +37,10 @@ def guard_embargo(table: DataFrame, horizon: int = HORIZON_DAYS) -> DataFrame:
 
 
 def guard_one_split(table: DataFrame) -> DataFrame:
-    """Every (region, date) is in exactly one split."""
+    """Every (region, date) is in exactly one split; an empty table fails."""
     per_key = table.groupBy("region", "date").agg(F.count_distinct("split").alias("k"))
     m = per_key.agg(F.max("k").alias("m"))
-    return m.select(_row(3, "one split per (region, date)", F.coalesce(F.col("m") == 1, F.lit(True)),
+    return m.select(_row(3, "one split per (region, date)", F.coalesce(F.col("m") == 1, F.lit(False)),
                          F.concat(F.lit("max distinct splits per key = "),
                                   F.coalesce(F.col("m").cast("string"), F.lit("0")))).alias("r")).select("r.*")
 

@@ -66,6 +66,8 @@ def average_precision(scored: DataFrame, keys=(), score: str = "score", label: s
 
 # Stand-in for "not grouped by this key" so grouping-set rows join by name.
 _ALL = "\u0000all"
+# Stand-in for a missing region, so that it is not taken for "overall".
+_NO_REGION = "\u0000none"
 
 
 def _mark(df: DataFrame, keys) -> DataFrame:
@@ -122,9 +124,10 @@ def metric_table(scored: DataFrame, keys=("run", "split"), with_log_loss: bool =
 
     Columns: keys..., region (null = overall), metric, value. Both levels come
     from grouping sets: one aggregate pass for the counts and log-loss, one AP
-    pass.
+    pass. Rows without a region count overall only; they are no region.
     """
     keys = list(keys)
+    scored = scored.withColumn("region", F.coalesce("region", F.lit(_NO_REGION)))
     cols = keys + ["region"]
     sets = [keys, cols]
     y, p = F.col(label), F.col("pred")
@@ -138,7 +141,8 @@ def metric_table(scored: DataFrame, keys=("run", "split"), with_log_loss: bool =
     counts = counts.filter(F.col("region").isNull() | (F.col("_lo") != F.col("_hi")))
     ap = _mark(average_precision(scored, cols, label=label, sets=sets), cols)
     m = _unmark(_mark(counts, cols).join(ap, cols), cols) \
-        .select(*cols, "tp", "fp", "fn", "log_loss", "ap")
+        .select(*cols, "tp", "fp", "fn", "log_loss", "ap") \
+        .filter(F.col("region").isNull() | (F.col("region") != _NO_REGION))
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     zero = F.lit(0.0)
     m = m.select(*cols, "ap", "log_loss",

@@ -30,7 +30,7 @@ def long_windows(filled: DataFrame, years=(1, 3, 5), days_per_year: int = 365) -
     run = o.rowsBetween(Window.unboundedPreceding, 0)
     base = filled.select("region", "date",
                          F.sum(F.coalesce("n", F.lit(0))).over(run).alias("_cn"),
-                         F.sum(F.coalesce("mag_sum", F.lit(0))).over(run).alias("_cs"),
+                         F.sum(F.coalesce("mag_sum", F.lit(0)).cast("decimal(38,0)")).over(run).alias("_cs"),
                          F.max("mag_max").over(run).alias("max_mag_all"))
     cols = [F.col("region"), F.col("date"), F.col("max_mag_all")]
     for y in years:
@@ -144,6 +144,6 @@ def drift_flags(scored_by_year: DataFrame, yearly_counts: DataFrame, drop_ratio:
 def hashed_split(df: DataFrame, train: float = 0.70, validate: float = 0.15) -> DataFrame:
     """Replace ``split`` by a deterministic pseudo-random one (a hash of region and day),
     ignoring time: the 'shuffled' control for the embargoed date split."""
-    h = ((F.unix_date("date").cast("bigint") * 7919 + F.ascii("region").cast("bigint") * 104729) % 1000) / 1000.0
+    h = F.pmod(F.xxhash64("region", "date"), F.lit(100_000)) / 100_000.0
     s = F.when(h < train, "train").when(h < train + validate, "validate").otherwise("test")
     return df.withColumn("split", s)

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskgrid.functions.columns import nan_to_null
 from riskgrid.operators.grid import threshold_of
 
 
@@ -60,12 +61,15 @@ def magnitude_summary(df: DataFrame, regions, flat: float) -> DataFrame:
 
 
 # D4
-def anomaly_counts(df: DataFrame, big: float) -> DataFrame:
+def anomaly_counts(df: DataFrame, big: float, wide_gap: float = 320.0) -> DataFrame:
+    """Implausible values; the azimuthal gap is judged where the catalog has one."""
+    gaps = [F.count_if(F.col("gap") > F.lit(wide_gap)).alias("n_wide_gap")] if "gap" in df.columns else []
     return df.agg(
+        *gaps,
         F.count_if(F.col("depth_km") < 0).alias("negative_depths"),
         F.min("depth_km").alias("min_depth"), F.max("depth_km").alias("max_depth"),
-        F.max("magnitude").alias("max_magnitude"),
-        F.count_if(F.col("magnitude") >= F.lit(big)).alias("n_big"))
+        F.max(nan_to_null("magnitude")).alias("max_magnitude"),
+        F.count_if(nan_to_null("magnitude") >= F.lit(big)).alias("n_big"))
 
 
 # D5
@@ -78,8 +82,17 @@ def removed_by_region(df: DataFrame, keep_type: str) -> DataFrame:
 
 # D6
 def catalog_shift(df: DataFrame, drop_ratio: float = 0.5, time_col: str = "time") -> DataFrame:
-    """Events per (region, year) and the ratio to the previous year; flags sharp drops."""
-    y = df.groupBy("region", F.year(time_col).alias("year")).agg(F.count(F.lit(1)).alias("n"))
+    """Events per (region, year) and the ratio to the previous year; flags sharp drops.
+
+    Every year from a region's first to the catalog's last has a row, so a silent
+    year counts 0 and is a drop.
+    """
+    seen = df.groupBy("region", F.year(time_col).alias("year")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("year").isNotNull())
+    last = seen.select(F.max("year")).scalar()
+    years = seen.groupBy("region").agg(F.explode(F.sequence(F.min("year"), last)).alias("year"))
+    y = years.join(seen.withColumnRenamed("region", "_region").withColumnRenamed("year", "_year"),
+                   F.col("region").eqNullSafe(F.col("_region")) & (F.col("year") == F.col("_year")), "left") \
+        .select("region", "year", F.coalesce("n", F.lit(0)).alias("n"))
     prev = F.lag("n").over(Window.partitionBy("region").orderBy("year"))
     return (y.withColumn("prev_n", prev)
             .withColumn("ratio", F.when(F.col("prev_n") > 0, F.col("n") / F.col("prev_n")))
@@ -94,9 +107,14 @@ def status_mix(df: DataFrame) -> DataFrame:
 
 # D8 / D9
 def correlations(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Pooled and within-region Pearson r, with n and the t statistic."""
-    pooled = df.agg(F.lit("pooled").alias("scope"), F.count(F.lit(1)).alias("n"), F.corr(x, y).alias("r"))
-    within = df.groupBy(F.col("region").alias("scope")).agg(F.count(F.lit(1)).alias("n"), F.corr(x, y).alias("r"))
+    """Pooled and within-region Pearson r, with the number of pairs and the t statistic.
+
+    A pair needs both values: rows with a null or NaN on either side count for nothing.
+    """
+    pairs = df.select("region", nan_to_null(x).alias("_x"), nan_to_null(y).alias("_y"))
+    n = F.count_if(F.col("_x").isNotNull() & F.col("_y").isNotNull()).alias("n")
+    pooled = pairs.agg(F.lit("pooled").alias("scope"), n, F.corr("_x", "_y").alias("r"))
+    within = pairs.groupBy(F.col("region").alias("scope")).agg(n, F.corr("_x", "_y").alias("r"))
     both = pooled.unionByName(within)
     t = F.col("r") * F.sqrt((F.col("n") - 2) / (F.lit(1.0) - F.col("r") * F.col("r")))
     return both.withColumn("t_stat", F.when((F.col("n") > 2) & (F.abs(F.col("r")) < 1), t))
@@ -184,14 +202,18 @@ def surge(filled: DataFrame, days: int = 30) -> DataFrame:
 
 # D12
 def seasonality(df: DataFrame, time_col: str = "time") -> DataFrame:
-    """Month counts -> chi-square against a flat month profile; the top month and its top year."""
+    """Month counts -> chi-square against a flat profile of twelve months; the top month and its top year.
+
+    A month without events has no row: it adds its whole expected count.
+    """
     m = df.groupBy("region", F.month(time_col).alias("month"), F.year(time_col).alias("year")) \
           .agg(F.count(F.lit(1)).alias("n"))
     months = m.groupBy("region", "month").agg(F.sum("n").alias("n"))
     tot = F.sum("n").over(Window.partitionBy("region"))
     months = months.withColumn("e", tot / F.lit(12.0))
     chi = months.groupBy("region").agg(
-        F.sum((F.col("n") - F.col("e")) * (F.col("n") - F.col("e")) / F.col("e")).alias("chi2"),
+        (F.sum((F.col("n") - F.col("e")) * (F.col("n") - F.col("e")) / F.col("e"))
+         + (F.lit(12) - F.count(F.lit(1))) * F.max("e")).alias("chi2"),
         F.count(F.lit(1)).alias("months_seen"),
         F.min_by("month", F.struct(-F.col("n"), F.col("month"))).alias("top_month"),
         F.max("n").alias("top_month_n"))

@@ -150,7 +150,8 @@ def _nearest_by_cells(events, segments, lon, lat, id_col, cell_deg):
     with segments outside its ring.
     """
     spark = events.sparkSession
-    keyed = events.select(F.col(id_col).alias("_eid"), F.col(lon).alias("_px"), F.col(lat).alias("_py"))
+    # The distance depends on the place alone, so places are the keys: ids may repeat or be null.
+    keyed = events.select(F.col(lon).alias("_px"), F.col(lat).alias("_py")).distinct()
     ring = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"))
                      for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
     d = point_segment_degrees(F.col("_px"), F.col("_py"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
@@ -162,21 +163,20 @@ def _nearest_by_cells(events, segments, lon, lat, id_col, cell_deg):
         seg_cells = spark.createDataFrame(list(_segment_cells(segments, size)),
                                           "cy int, cx int, x1 double, y1 double, x2 double, y2 double")
         probes = (pending.withColumn("_r", F.explode(ring))
-                  .select("_eid", "_px", "_py",
+                  .select("_px", "_py",
                           (F.floor(F.col("_py") / size).cast("int") + F.col("_r.dy")).alias("cy"),
                           (F.floor(F.col("_px") / size).cast("int") + F.col("_r.dx")).alias("cx")))
-        best = probes.join(seg_cells, ["cy", "cx"]).groupBy("_eid").agg(F.min(d).alias("_deg"))
+        best = probes.join(seg_cells, ["cy", "cx"]).groupBy("_px", "_py").agg(F.min(d).alias("_deg"))
         last = i == len(levels) - 1
         done = best if last else best.filter(F.col("_deg") <= size)
         found.append(done)
         if not last:
-            pending = pending.join(done, "_eid", "left_anti")
+            pending = pending.join(done, ["_px", "_py"], "left_anti")
     dist = found[0]
     for part in found[1:]:
         dist = dist.unionByName(part)
-    dist = dist.select(F.col("_eid").alias(id_col),
-                       (F.col("_deg") * F.lit(KM_PER_DEGREE)).alias("distance_to_fault_km"))
-    return events.join(dist, id_col, "left")
+    dist = dist.select("_px", "_py", (F.col("_deg") * F.lit(KM_PER_DEGREE)).alias("distance_to_fault_km"))
+    return events.join(dist, (events[lon] == dist["_px"]) & (events[lat] == dist["_py"]), "left").drop("_px", "_py")
 
 
 SEGMENT_SCHEMA = T.StructType([

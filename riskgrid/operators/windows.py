@@ -26,6 +26,11 @@ def trailing(days: int, partition=("region",)):
     return _spec(partition).rowsBetween(-(days - 1), 0)
 
 
+def _wide(c: str) -> Column:
+    """Fixed-point day sums are added up as DECIMAL(38, 0): BIGINT would end at some 9e12 units."""
+    return F.sum(F.col(c).cast("decimal(38,0)"))
+
+
 def _zero(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(0))
 
@@ -41,13 +46,13 @@ def window_feature_columns(horizon: int = 7, partition=("region",)) -> dict[str,
         "quakes_7d": n7,
         "quakes_30d": n30,
         "large_30d": F.sum(_zero("large")).over(w30),
-        "avg_mag_7d": from_fixed(F.sum("mag_sum").over(w7), n7),
-        "avg_mag_30d": from_fixed(F.sum("mag_sum").over(w30), n30),
+        "avg_mag_7d": from_fixed(_wide("mag_sum").over(w7), n7),
+        "avg_mag_30d": from_fixed(_wide("mag_sum").over(w30), n30),
         "max_mag_30d": F.max("mag_max").over(w30),
-        "avg_depth_30d": from_fixed(F.sum("depth_sum").over(w30), n30),
-        "avg_dist_30d": from_fixed(F.sum("dist_sum").over(w30), n30),
-        "centroid_lat_30d": from_fixed(F.sum("lat_sum").over(w30), n30),
-        "centroid_lon_30d": from_fixed(F.sum("lon_sum").over(w30), n30),
+        "avg_depth_30d": from_fixed(_wide("depth_sum").over(w30), n30),
+        "avg_dist_30d": from_fixed(_wide("dist_sum").over(w30), n30),
+        "centroid_lat_30d": from_fixed(_wide("lat_sum").over(w30), n30),
+        "centroid_lon_30d": from_fixed(_wide("lon_sum").over(w30), n30),
         "days_since_last": F.datediff(F.col("date"), last_event_day),
     }
 

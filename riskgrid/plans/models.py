@@ -75,7 +75,7 @@ def _assembled(train_w: DataFrame, numeric, cats, stats, names) -> DataFrame:
 
 
 def fit_logreg(train: DataFrame, numeric, categorical, run: str, C: float = 1.0,
-               max_iter: int = 1000, tol: float = 1e-8) -> FittedModel:
+               max_iter: int = 1000, tol: float = 1e-9) -> FittedModel:
     """M1: weighted L2 logistic regression on the preprocessed train rows."""
     stats, cats, names = _design(train, numeric, categorical)
     train_w, n = balanced(train)
@@ -98,7 +98,7 @@ def fit_forest(train: DataFrame, numeric, categorical, run: str, trees: int = 30
     data = _assembled(train_w, numeric, cats, stats, names).cache()
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                                 numTrees=trees, minInstancesPerNode=min_leaf, maxDepth=max_depth,
-                                maxBins=64, featureSubsetStrategy="sqrt", seed=seed,
+                                maxBins=256, featureSubsetStrategy="sqrt", seed=seed,
                                 maxMemoryInMB=1024, cacheNodeIds=True,
                                 subsamplingRate=1.0, bootstrap=True)
     model = rf.fit(data)

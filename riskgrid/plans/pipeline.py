@@ -44,7 +44,7 @@ def ingest(spark: SparkSession, src: str, out: str) -> DataFrame:
 def load_segments(path: str | None):
     """Boundary polylines from a GeoJSON file (only ``features[].geometry`` is read)."""
     if not path:
-        return []
+        raise ValueError("a boundary map is needed: without one every distance would count as 0 km")
     with open(path, encoding="utf-8") as f:
         doc = json.load(f)
     lines = []
@@ -54,6 +54,8 @@ def load_segments(path: str | None):
             lines.append(g["coordinates"])
         elif g.get("type") == "MultiLineString":
             lines.extend(g["coordinates"])
+        elif g:
+            raise ValueError(f"boundary geometry {g.get('type')!r} is not a line")
     return segments_from_lines(lines)
 
 

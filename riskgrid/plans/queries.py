@@ -686,7 +686,9 @@ def q_removed_by_region(spark, sf):
 
 
 @query("catalog_shift", f"""WITH {O.CATALOG},
-y AS (SELECT region, CAST(year(time) AS INTEGER) AS year, COUNT(*) AS n FROM catalog GROUP BY region, year(time))
+s AS (SELECT region, CAST(year(time) AS INTEGER) AS year, COUNT(*) AS n FROM catalog GROUP BY region, year(time)),
+g AS (SELECT region, CAST(unnest(range(min(year), (SELECT max(year) FROM s) + 1)) AS INTEGER) AS year FROM s GROUP BY region),
+y AS (SELECT g.region, g.year, COALESCE(s.n, 0) AS n FROM g LEFT JOIN s ON g.region IS NOT DISTINCT FROM s.region AND g.year = s.year)
 SELECT region, year, n, prev_n, CASE WHEN prev_n > 0 THEN n / prev_n END AS ratio,
        COALESCE(CASE WHEN prev_n > 0 THEN n / prev_n END < 0.5, false) AS sharp_drop
 FROM (SELECT *, LAG(n) OVER (PARTITION BY region ORDER BY year) AS prev_n FROM y) x""")
@@ -707,9 +709,10 @@ CORR_DEC = 9
 
 
 @query("simpson_check", f"""WITH {O.CATALOG}
-SELECT 'pooled' AS scope, COUNT(*) AS n, round(corr(magnitude, depth_km), {CORR_DEC}) AS r FROM catalog
+SELECT 'pooled' AS scope, COUNT(*) FILTER (WHERE magnitude + depth_km IS NOT NULL) AS n,
+       round(corr(magnitude, depth_km), {CORR_DEC}) AS r FROM catalog
 UNION ALL
-SELECT region, COUNT(*), round(corr(magnitude, depth_km), {CORR_DEC}) FROM catalog GROUP BY region""")
+SELECT region, COUNT(*) FILTER (WHERE magnitude + depth_km IS NOT NULL), round(corr(magnitude, depth_km), {CORR_DEC}) FROM catalog GROUP BY region""")
 def q_simpson_check(spark, sf):
     """Pooled vs within-region correlation of magnitude and depth."""
     c = PR.correlations(_catalog(spark, sf), "magnitude", "depth_km")
@@ -717,8 +720,9 @@ def q_simpson_check(spark, sf):
 
 
 @query("correlation_tests", f"""WITH {O.CATALOG},
-c AS (SELECT region AS scope, COUNT(*) AS n, corr(magnitude, depth_km) AS r FROM catalog GROUP BY region
-      UNION ALL SELECT 'pooled', COUNT(*), corr(magnitude, depth_km) FROM catalog)
+c AS (SELECT region AS scope, COUNT(*) FILTER (WHERE magnitude + depth_km IS NOT NULL) AS n, corr(magnitude, depth_km) AS r
+      FROM catalog GROUP BY region
+      UNION ALL SELECT 'pooled', COUNT(*) FILTER (WHERE magnitude + depth_km IS NOT NULL), corr(magnitude, depth_km) FROM catalog)
 SELECT scope, n, round(r, {CORR_DEC}) AS r,
        round(CASE WHEN n > 2 AND abs(r) < 1 THEN r * sqrt((n - 2) / (1.0 - r * r)) END, 6) AS t_stat FROM c""")
 def q_correlation_tests(spark, sf):
@@ -755,7 +759,7 @@ m AS (SELECT region, CAST(month(time) AS INTEGER) AS month, CAST(year(time) AS I
       FROM catalog GROUP BY ALL),
 mo AS (SELECT region, month, CAST(SUM(n) AS BIGINT) AS n FROM m GROUP BY region, month),
 mo2 AS (SELECT *, SUM(n) OVER (PARTITION BY region) / 12.0 AS e FROM mo),
-chi AS (SELECT region, round(SUM((n - e) * (n - e) / e), 9) AS chi2, COUNT(*) AS months_seen,
+chi AS (SELECT region, round(SUM((n - e) * (n - e) / e) + (12 - COUNT(*)) * max(e), 9) AS chi2, COUNT(*) AS months_seen,
                arg_min(month, (-n, month)) AS top_month, max(n) AS top_month_n FROM mo2 GROUP BY region),
 ty AS (SELECT m.region, arg_min(year, (-n, year)) AS top_year, max(n) AS top_year_n
        FROM m JOIN chi ON m.region = chi.region AND m.month = chi.top_month GROUP BY m.region)

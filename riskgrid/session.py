@@ -20,18 +20,22 @@ BASE_CONF = {
 }
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8,
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "riskgrid", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the engine's settings.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; size
-    ``shuffle_partitions`` to the input (AQE coalesces small ones anyway).
+    On a cluster pass ``master=None``: master and ``spark.sql.shuffle.partitions``
+    are then what spark-submit was given (see ``sizing_conf``). A local master
+    without ``shuffle_partitions`` gets 8.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is None and master and master.startswith("local"):
+        shuffle_partitions = 8
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", os.environ.get("RISKGRID_DRIVER_MEMORY", _driver_memory()))
     conf.update(extra or {})
     for k, v in conf.items():
