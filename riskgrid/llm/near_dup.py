@@ -62,46 +62,84 @@ def shingles(text: str, size: int) -> np.ndarray:
     return np.unique(out)
 
 
+def _coordinates(hashes: np.ndarray, coordinates: int) -> np.ndarray:
+    """Each hash's value at each coordinate: spread by the first permutation, shifted round, then permuted."""
+    x = (_mix64(hashes) >> np.uint64(32)).astype(np.uint32)[:, None] + np.arange(coordinates, dtype=np.uint32)
+    x ^= x >> np.uint32(16)
+    x *= np.uint32(0x85EBCA6B)
+    x ^= x >> np.uint32(13)
+    x *= np.uint32(0xC2B2AE35)
+    x ^= x >> np.uint32(16)
+    return x
+
+
 def signature(hashes: np.ndarray, coordinates: int) -> np.ndarray:
     """The circulant MinHash signature of a set that isn't empty."""
-    place = (_mix64(hashes) >> np.uint64(32)).astype(np.uint32)
-    shift = np.arange(coordinates, dtype=np.uint32)
     out = np.full(coordinates, 0xFFFFFFFF, np.uint32)
-    for i in range(0, len(place), 512):
-        x = place[i:i + 512, None] + shift
-        x ^= x >> np.uint32(16)
-        x *= np.uint32(0x85EBCA6B)
-        x ^= x >> np.uint32(13)
-        x *= np.uint32(0xC2B2AE35)
-        x ^= x >> np.uint32(16)
-        np.minimum(out, x.min(axis=0), out=out)
+    for i in range(0, len(hashes), 512):
+        np.minimum(out, _coordinates(hashes[i:i + 512], coordinates).min(axis=0), out=out)
     return out
 
 
-def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """A 64-bit bucket key for each band, with the band's number in it."""
-    parts = sig[:bands * rows].reshape(bands, rows).astype(np.uint64)
-    key = np.arange(bands, dtype=np.uint64)
+def _band_table(sigs: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """A 64-bit bucket key for each signature and band, with the band's number in it."""
+    parts = sigs[:, :bands * rows].reshape(len(sigs), bands, rows).astype(np.uint64)
+    key = np.tile(np.arange(bands, dtype=np.uint64), (len(sigs), 1))
     for k in range(rows):
-        key = _mix64((key << np.uint64(32)) ^ key ^ parts[:, k]) + np.uint64(k + 1)
+        key = _mix64((key << np.uint64(32)) ^ key ^ parts[:, :, k]) + np.uint64(k + 1)
     return key.view(np.int64)
 
 
-def describe(texts: list[str | None], size: int, bands: int, rows: int, least: int = 1):
-    """For a batch: set sizes, set keys (128 bits) and bucket keys; sets under ``least`` shingles have no keys."""
-    counts, keys, buckets = [], [], []
-    memo: dict[str, tuple] = {}
-    for t in texts:
-        t = t or ""
-        known = memo.get(t)
-        if known is None:
-            s = shingles(t, size)
-            known = (len(s), hashlib.md5(s.tobytes()).digest(), band_keys(signature(s, bands * rows), bands, rows) if bands else None) if len(s) >= least else (len(s), None, None)
-            memo[t] = known
-        counts.append(known[0])
-        keys.append(known[1])
-        buckets.append(known[2])
-    return counts, keys, buckets
+def describe(texts: list[str | None], size: int, bands: int, rows: int):
+    """For a batch: set sizes, set keys (128 bits; None: no set) and bucket keys (None without bands).
+
+    The same as ``shingles``, ``signature`` and ``band_keys`` text by text, but over all texts at once.
+    """
+    seen: dict[bytes, int] = {}
+    number: dict[str, int] = {}
+    words, lengths, short = [], [], {}
+    of = [number.setdefault(t or "", len(number)) for t in texts]
+    for i, t in enumerate(number):
+        own = t.encode().lower().split()
+        if 0 < len(own) < size:
+            short[i] = shingles(t, size)
+        words += own
+        lengths.append(len(own))
+    h = np.array([seen[w] if w in seen else seen.setdefault(w, xxhash.xxh3_64_intdigest(w)) for w in words], np.uint64)
+    length = np.array(lengths, np.int64)
+    out = np.full(max(len(h) - size + 1, 0), size, np.uint64)
+    for k in range(size):
+        out = _mix64(out ^ h[k:k + len(out)]) + np.uint64(k + 1)
+    text = np.repeat(np.arange(len(length)), length)[:len(out)]
+    inside = np.arange(len(out)) + size <= np.cumsum(length)[text]
+    values = np.concatenate([out[inside], *short.values()])
+    text = np.concatenate([text[inside], *(np.full(len(v), i) for i, v in short.items())]).astype(np.int64)
+    order = np.lexsort((values, text))
+    values, text = values[order], text[order]
+    if len(values):
+        first = np.append(True, (values[1:] != values[:-1]) | (text[1:] != text[:-1]))
+        values, text = values[first], text[first]
+    counts = np.bincount(text, minlength=len(length))
+    end = np.cumsum(counts)
+    data, ends = values.tobytes(), end.tolist()
+    keys = [hashlib.md5(data[8 * (e - n):8 * e]).digest() if n else None for e, n in zip(ends, counts.tolist())]
+    held: list = [None] * len(length)
+    if bands:
+        full = np.flatnonzero(counts)
+        lo = 0
+        while lo < len(full):
+            # Whole texts of about 1000 shingles together: the block stays in the cache.
+            hi = max(lo + 1, int(np.searchsorted(end[full], end[full[lo]] - counts[full[lo]] + 1000, side="right")))
+            start = end[full[lo:hi]] - counts[full[lo:hi]]
+            if hi == lo + 1:
+                sig = signature(values[start[0]:end[full[lo]]], bands * rows)[None]
+            else:
+                sig = np.minimum.reduceat(_coordinates(values[start[0]:end[full[hi - 1]]], bands * rows), start - start[0], axis=0)
+            for i, keys_ in zip(full[lo:hi].tolist(), _band_table(sig, bands, rows)):
+                held[i] = keys_
+            lo = hi
+    sizes = counts.tolist()
+    return [sizes[i] for i in of], [keys[i] for i in of], [held[i] for i in of]
 
 
 def signatures(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -34,6 +34,7 @@ MIN_WORDS = 8
 #: Lines of more words are cut at one in SENTENCES of their sentence ends.
 LONG_LINE, SENTENCES = 60, 3
 
+SPACES = " \t\n\r\x0b\x0c"
 _LINE = re.compile(r"[^\n]+")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -42,12 +43,17 @@ def paragraphs(text: str) -> list[tuple[int, int]]:
     """(start, end) of the paragraphs that take part, in code points."""
     out = []
     for m in _LINE.finditer(text):
+        line = m[0]
+        n = len(line.encode().split())
+        if n < MIN_WORDS:
+            continue
+        if n <= LONG_LINE:
+            out.append((m.end() - len(line.lstrip(SPACES)), m.start() + len(line.rstrip(SPACES))))
+            continue
         words = [w.span() for w in _WORD.finditer(text, m.start(), m.end())]
-        cuts = [0, len(words)]
-        if len(words) > LONG_LINE:
-            ends = [i + 1 for i, (a, b) in enumerate(words) if text[b - 1] in ".!?" and i
-                    and xxhash.xxh3_64_intdigest(text[words[i - 1][0]:b].encode()) % SENTENCES == 0]
-            cuts = sorted({0, len(words), *ends})
+        ends = [i + 1 for i, (a, b) in enumerate(words) if text[b - 1] in ".!?" and i
+                and xxhash.xxh3_64_intdigest(text[words[i - 1][0]:b].encode()) % SENTENCES == 0]
+        cuts = sorted({0, len(words), *ends})
         out += [(words[a][0], words[b - 1][1]) for a, b in zip(cuts, cuts[1:]) if b - a >= MIN_WORDS]
     return out
 
