@@ -17,10 +17,11 @@ first place, it stays in each of them. Extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-import re
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -72,18 +73,20 @@ def paragraph_table(docs: DataFrame, id_col: str, text_col: str, buckets: bool)
                 start += [0, *(a for a, _ in spans)]
                 end += [0, *(b for _, b in spans)]
                 texts += ["", *(text[a:b] for a, b in spans)]
-            counts, keys, held = describe(texts, SHINGLE, BANDS if buckets else 0, ROWS)
+            # Equal words, equal node; other texts with an equal set are linked by the search.
+            keys = [hashlib.md5(b" ".join(t.encode().lower().split())).digest() if t else None for t in texts]
             at = pa.array(rows, pa.int32())
             columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(place, pa.int32()), pa.array(start, pa.int32()),
-                       pa.array(end, pa.int32()), pa.array(counts, pa.int32()), pa.array(keys, pa.binary())]
-            names = [*KEY, "place", "start", "end", "n_shingles", "node"]
+                       pa.array(end, pa.int32()), pa.array(keys, pa.binary())]
+            names = [*KEY, "place", "start", "end", "node"]
             if buckets:
-                columns, names = [*columns, pa.array(held, pa.list_(pa.int64()))], [*names, "buckets"]
+                counts, _, held = describe(texts, SHINGLE, BANDS, ROWS)
+                columns, names = [*columns, pa.array(counts, pa.int32()), pa.array(held, pa.list_(pa.int64()))], [*names, "n_shingles", "buckets"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return arrow_map(docs.select(*key_columns(id_col, text_col), F.col(text_col).cast("string").alias("text")), run,
-                     f"{KEY[0]} {id_type}, {KEY[1]} long, place int, start int, end int, n_shingles int, node binary"
-                     + ", buckets array<long>" * buckets)
+                     f"{KEY[0]} {id_type}, {KEY[1]} long, place int, start int, end int, node binary"
+                     + ", n_shingles int, buckets array<long>" * buckets)
 
 
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
