@@ -3,8 +3,10 @@
 Group g holds n_g of N documents and shall hold the share w_g of the mix, so each of its
 documents is repeated a Poisson number of times with mean rate w_g * total / n_g. The number is
 the inverse of that distribution at a uniform value hashed from the seed and the id: the same
-on every run, and independent of partitioning. Each copy then gets its own hash, by which all
-copies are dealt out and sorted: a global shuffle.
+on every run, and independent of partitioning. A mean above ``PART_RATE`` is split into equal parts,
+each drawn with a hash of its own: sums of Poisson numbers are Poisson, and no table of the distribution
+grows with the rate. Each copy then gets its own hash, by which all copies are dealt out and sorted:
+a global shuffle.
 
 A null group is a group of its own; a null id is hashed by its text. Rows that repeat an id repeat
 its count. Without weights all groups weigh the same. Groups with no weight, or without documents,
@@ -18,6 +20,10 @@ from pyspark.sql import functions as F
 
 SEED = 42
 BITS = 52
+#: A larger mean rate is drawn in parts of at most so much.
+PART_RATE = 64.0
+#: Copies of one document are exploded in blocks of so many.
+BLOCK = 1024
 #: Tables of so many groups are broadcast (about 1 kB each); more are joined by shuffle, in salted parts.
 BROADCAST_GROUPS = 20_000
 SALTS = 64
@@ -41,7 +47,7 @@ def _cdf(rate: Column) -> Column:
 
 def group_rates(docs: DataFrame, group_col: str = "source", weights: dict[str, float] | None = None,
                 total: int | None = None) -> DataFrame:
-    """Per group: its size, its mean repetition rate and the cumulative distribution."""
+    """Per group: its size, its mean repetition rate, the parts it is drawn in and the cumulative distribution of one part."""
     sizes = docs.groupBy(F.col(group_col).cast("string").alias("__group")).agg(F.count("*").alias("__n"))
     if weights is None:
         weighted = sizes.withColumn("__w", F.lit(1.0))
@@ -51,7 +57,8 @@ def group_rates(docs: DataFrame, group_col: str = "source", weights: dict[str, f
     sums = weighted.agg(F.sum("__w").alias("w"), F.sum("__n").alias("n")).first()
     mass, rows = float(sums["w"] or 0), total if total is not None else int(sums["n"] or 0)
     rate = F.col("__w") * F.lit(float(rows)) / (F.lit(mass or 1.0) * F.col("__n"))
-    return weighted.withColumn("__rate", rate).where("__rate > 0").withColumn("__cdf", _cdf(F.col("__rate")))
+    rated = weighted.withColumn("__rate", rate).where("__rate > 0").withColumn("__parts", F.ceil(F.col("__rate") / PART_RATE))
+    return rated.withColumn("__cdf", _cdf(F.col("__rate") / F.col("__parts")))
 
 
 def mix(docs: DataFrame, group_col: str = "source", weights: dict[str, float] | None = None, total: int | None = None,
@@ -68,10 +75,13 @@ def mix(docs: DataFrame, group_col: str = "source", weights: dict[str, float] |
         salted = rows.withColumn("__salt", F.pmod(F.xxhash64("__id"), F.lit(SALTS)))
         spread = rates.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
         rated = salted.join(spread, salted["__group"].eqNullSafe(spread["__group"]) & (salted["__salt"] == spread["__salt"]))
-    u = _unit(F.lit(f"{seed}|count"), F.col("__id"))
-    counted = rated.select("row", "__id", u.alias("__u"), "__cdf").select(
-        "row", "__id", F.size(F.filter("__cdf", lambda c: c < F.col("__u"))).alias("__count")).where("__count > 0")
-    copies = counted.select("row", "__id", F.explode(F.sequence(F.lit(1), F.col("__count"))).alias("copy"))
+    drawn = F.transform(F.sequence(F.lit(0).cast("long"), F.col("__parts") - 1), lambda d: _unit(
+        F.concat(F.lit(f"{seed}|count"), F.when(d > 0, F.concat(F.lit("."), d.cast("string"))).otherwise("")), F.col("__id")))
+    count = F.aggregate(drawn, F.lit(0), lambda n, u: n + F.size(F.filter("__cdf", lambda c: c < u)))
+    counted = rated.select("row", "__id", count.alias("__count")).where("__count > 0")
+    blocks = counted.select("row", "__id", "__count", F.explode(F.sequence(F.lit(1), F.col("__count"), F.lit(BLOCK))).alias("__first"))
+    last = F.least(F.col("__count"), F.col("__first") + (BLOCK - 1))
+    copies = blocks.select("row", "__id", F.explode(F.sequence(F.col("__first"), last)).alias("copy"))
     keyed = copies.select("row", "copy", F.md5(F.concat_ws("|", F.lit(f"{seed}|order"), F.col("__id"), F.col("copy").cast("string")).cast("binary")).alias("shuffle_key"))
     dealt = keyed.repartition(F.col("shuffle_key")).sortWithinPartitions("shuffle_key", "copy")
     extra = [c for c in ("copy", "shuffle_key")]
@@ -85,11 +95,14 @@ def sql(group_col: str = "source", seed: int = SEED) -> str:
     return f"""
 WITH g AS (SELECT {group_col} AS grp, count(*) AS n FROM documents GROUP BY ALL),
 r AS (SELECT grp, (SELECT CAST(sum(n) AS DOUBLE) FROM g) / ((SELECT CAST(count(*) AS DOUBLE) FROM g) * n) AS rate FROM g),
-k AS (SELECT grp, rate, unnest(range(0, CAST(ceil(rate + 12 * sqrt(rate) + 40) AS BIGINT) + 1)) AS k FROM r),
+m AS (SELECT grp, CAST(ceil(rate / {PART_RATE}) AS BIGINT) AS parts, rate / ceil(rate / {PART_RATE}) AS rate FROM r),
+k AS (SELECT grp, rate, unnest(range(0, CAST(ceil(rate + 12 * sqrt(rate) + 40) AS BIGINT) + 1)) AS k FROM m),
 p AS (SELECT grp, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY grp ORDER BY k) AS cdf FROM k),
-d AS (SELECT *, coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(coalesce(text, ''))) AS ident FROM documents),
-u AS (SELECT *, (CAST({hexa.format(f"'{seed}|count|' || ident")} AS DOUBLE) + 0.5) / {float(2**BITS)!r} AS u FROM d),
-c AS (SELECT u.*, (SELECT count(*) FROM p WHERE p.grp IS NOT DISTINCT FROM u.{group_col} AND p.cdf < u.u) AS n FROM u),
+d AS (SELECT *, coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(coalesce(text, ''))) AS ident, row_number() OVER () AS line FROM documents),
+t AS (SELECT d.line, d.ident, d.{group_col} AS grp, unnest(range(parts)) AS part FROM d JOIN m ON m.grp IS NOT DISTINCT FROM d.{group_col}),
+u AS (SELECT line, grp, (CAST({hexa.format(f"'{seed}|count' || CASE WHEN part > 0 THEN '.' || CAST(part AS VARCHAR) ELSE '' END || '|' || ident")} AS DOUBLE) + 0.5) / {float(2**BITS)!r} AS u FROM t),
+n AS (SELECT line, CAST(sum((SELECT count(*) FROM p WHERE p.grp IS NOT DISTINCT FROM u.grp AND p.cdf < u.u)) AS BIGINT) AS n FROM u GROUP BY line),
+c AS (SELECT * FROM d JOIN n USING (line)),
 x AS (SELECT c.*, unnest(range(1, n + 1)) AS copy FROM c WHERE n > 0)
 SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INT) AS copy,
        md5('{seed}|order|' || ident || '|' || CAST(copy AS VARCHAR)) AS shuffle_key
