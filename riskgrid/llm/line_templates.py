@@ -3,7 +3,8 @@
 A line is cut into words at white space; words with a digit become ``<*>``. The tree's
 path is the word count and the first ``depth`` words; what follows is the variable part,
 summarised in ``PARTS`` equal parts. Lines on one path form one template if, counted over
-the documents that vote, at least half of the parts have one value in half of the lines.
+the documents that vote, at least half of the parts have one value in more than half of the lines
+(so that two values never tie).
 
 * A document that is itself a copy, with more than two thirds of its lines on recurring
   paths, does not vote: copies are for the near-duplicate stage, and copying a document
@@ -78,7 +79,7 @@ def templates(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     fixed = parts.groupBy(*path).agg(*[
         F.max(F.when(F.col("part") == i, F.col("top"))).alias(f"t{i}") for i in range(PARTS)])
     return (docs.join(fixed, path).select(*path, *[
-        F.when(F.col(f"t{i}.n") * 2 >= F.col("docs"), F.col(f"t{i}.value")).alias(f"f{i}") for i in range(PARTS)])
+        F.when(F.col(f"t{i}.n") * 2 > F.col("docs"), F.col(f"t{i}.value")).alias(f"f{i}") for i in range(PARTS)])
         .where(_count([F.col(f"f{i}").isNotNull() for i in range(PARTS)]) * 2 >= PARTS)), hot
 
 
@@ -126,7 +127,7 @@ def sql(depth: int = DEPTH, min_docs: int = MIN_DOCS, min_words: int = MIN_WORDS
     votes = " UNION ALL ".join(f"SELECT n, path, {i} AS part, p{i} AS value FROM first_line" for i in range(PARTS))
     fixed = " + ".join(f"CAST(f{i} IS NOT NULL AS INT)" for i in range(PARTS))
     same = " + ".join(f"CAST(coalesce(f{i} = p{i}, false) AS INT)" for i in range(PARTS))
-    tops = ",".join(f"max(CASE WHEN part = {i} AND c * 2 >= docs THEN value END) AS f{i}" for i in range(PARTS))
+    tops = ",".join(f"max(CASE WHEN part = {i} AND c * 2 > docs THEN value END) AS f{i}" for i in range(PARTS))
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 cut AS (SELECT doc_id, text, unnest(range(len(string_split(text, chr(10))))) AS line_no,
