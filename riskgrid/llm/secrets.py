@@ -19,8 +19,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -57,10 +59,11 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 def candidates(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
     """Random-looking strings outside the base spans, with lower case, upper case and digits."""
     out = []
+    starts, furthest = [s for s, *_ in base], [0, *accumulate((e for _, _, e, _ in base), max)]
     for m in TOKEN.finditer(text):
         v = m[0]
         if (any(c.isdigit() for c in v) and any(c.islower() for c in v) and any(c.isupper() for c in v)
-                and entropy(v) >= MIN_ENTROPY and not any(s < m.end() and m.start() < e for s, _, e, _ in base)):
+                and entropy(v) >= MIN_ENTROPY and furthest[bisect_left(starts, m.end())] <= m.start()):
             out.append((m.start(), 3, m.end(), v))
     return out
 

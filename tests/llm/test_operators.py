@@ -316,3 +316,33 @@ def test_pipeline_stages_by_brute_force(spark, edges, nothing, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing, sf).count() == 0
         stage(spark, edges, sf).collect()
+
+
+def test_mix_draws_large_rates_in_parts(spark):
+    rare, common = 2, 4000
+    rows = [(i, f"t{i}", "en", "rare" if i < rare else "common", 2) for i in range(rare + common)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    rates = {r["__group"]: r for r in mixing.group_rates(df).collect()}
+    assert rates["rare"]["__parts"] == 16 and max(len(r["__cdf"]) for r in rates.values()) < 300
+    out = mixing.mix(df)
+    got = {r["source"]: r["n"] for r in out.groupBy("source").agg(F.count("*").alias("n")).collect()}
+    assert abs(got["rare"] - 2001) < 5 * 2001 ** 0.5 and abs(got["common"] - 2001) < 5 * 2001 ** 0.5
+    per = out.groupBy("doc_id").agg(F.count("*").alias("n"), F.countDistinct("copy").alias("d"), F.max("copy").alias("top")).collect()
+    assert all(r["n"] == r["d"] == r["top"] for r in per)
+    import duckdb
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    own = con.execute(mixing.sql()).fetchall()
+    assert sorted(own) == sorted(tuple(r) for r in out.collect())
+
+
+def test_candidates_keep_clear_of_base_spans():
+    rnd = random.Random(3)
+    for _ in range(300):
+        text = "".join(rnd.choice(["password=", "Zx9abcdef123QwErTy77uIoPlK", " ", "AKIA" + "Q" * 20, "0123456789abcdef" * 2, "/", "\n"]) for _ in range(12))
+        base = secrets.base_spans(text)
+        got = [(s, e) for s, _, e, _ in secrets.candidates(text, base)]
+        assert not any(s < e2 and s2 < e for s, e in got for s2, _, e2, _ in base)
+        free = [(m.start(), m.end()) for m in secrets.TOKEN.finditer(text) if not any(s < m.end() and m.start() < e for s, _, e, _ in base)]
+        assert set(got) <= set(free) and all((a, b) in got for a, b, v in ((a, b, text[a:b]) for a, b in free)
+                                            if any(map(str.isdigit, v)) and any(map(str.islower, v)) and any(map(str.isupper, v)) and secrets.entropy(v) >= secrets.MIN_ENTROPY)
