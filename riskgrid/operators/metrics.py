@@ -16,7 +16,6 @@ from riskgrid.operators.ranking import prefix_sums
 # (float64 machine epsilon).
 LOGLOSS_EPS = 2.220446049250313e-16
 # Distinct-score ranges per group for the AP prefix sums.
-AP_BUCKETS = 64
 
 
 def decision(p: Column, threshold: float = 0.5) -> Column:
@@ -29,7 +28,7 @@ def decision(p: Column, threshold: float = 0.5) -> Column:
 # ---------------------------------------------------------------------------
 
 def average_precision(scored: DataFrame, keys=(), score: str = "score", label: str = "label",
-                      buckets: int = AP_BUCKETS, sets=None) -> DataFrame:
+                      buckets: int | None = None, sets=None) -> DataFrame:
     """AP = sum over distinct scores (descending) of (R_k - R_{k-1}) * P_k.
 
     Ties are one step. Null when a group has no positive.

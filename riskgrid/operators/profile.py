@@ -140,11 +140,18 @@ def inter_event_gaps(df: DataFrame, time_col: str = "time") -> DataFrame:
     first timestamp minus the previous non-empty range's last). No task holds
     more than one range of one region.
     """
+    return _gaps(ranged_times(df, time_col))
+
+
+def ranged_times(df: DataFrame, time_col: str = "time") -> DataFrame:
+    """``distinct_times``, written, with the quantile range ``_r`` of each instant in its region."""
     from riskgrid.operators.ranking import with_ranges
-    d = distinct_times(df, time_col)
-    zeros = d.filter(F.col("c") > 1).select("region", F.lit(0).cast("bigint").alias("gap"),
+    return with_ranges(distinct_times(df, time_col), ["region"], "us")
+
+
+def _gaps(r: DataFrame) -> DataFrame:
+    zeros = r.filter(F.col("c") > 1).select("region", F.lit(0).cast("bigint").alias("gap"),
                                              (F.col("c") - 1).alias("w"))
-    r = with_ranges(d, ["region"], "us")
     inside = (r.withColumn("gap", F.col("us") - F.lag("us").over(Window.partitionBy("region", "_r").orderBy("us")))
               .filter(F.col("gap").isNotNull()).select("region", "gap", F.lit(1).cast("bigint").alias("w")))
     per = r.groupBy("region", "_r").agg(F.min("us").alias("lo"), F.max("us").alias("hi"))
@@ -175,14 +182,14 @@ def exact_median(values: DataFrame, keys, value: str, weight: str | None = None)
 
 def inter_event_time(df: DataFrame, time_col: str = "time") -> DataFrame:
     """Per region: number of gaps, mean and median gap in hours."""
-    # Count and span from the distinct-instant table the gaps use (the same aggregate,
-    # so Spark reuses its exchange instead of scanning the events again).
-    span = distinct_times(df, time_col).groupBy("region").agg(
+    # Count and span from the written table that the gaps use: one scan of the events.
+    times = ranged_times(df, time_col)
+    span = times.groupBy("region").agg(
         F.sum("c").alias("n"), F.min("us").alias("lo"), F.max("us").alias("hi"))
     mean = span.select("region", (F.col("n") - 1).alias("n_gaps"),
                        F.when(F.col("n") > 1, (F.col("hi") - F.col("lo")) / (F.col("n") - 1) / F.lit(3.6e9))
                        .alias("mean_gap_h"))
-    med = exact_median(inter_event_gaps(df, time_col), ["region"], "gap", "w") \
+    med = exact_median(_gaps(times), ["region"], "gap", "w") \
         .select("region", (F.col("median") / F.lit(3.6e9)).alias("median_gap_h"))
     return mean.join(med, "region", "left")
 

@@ -140,11 +140,11 @@ def _scored(spark, scores, labels, region="r"):
     return spark.createDataFrame(rows, "run string, split string, region string, score double, label int, pred int")
 
 
-@pytest.fixture(params=["plain", "ranged"])
+@pytest.fixture(params=["one", "many"])
 def ranking_path(request, monkeypatch):
-    """Run a test on both prefix-sum plans (small-input window and range-bucketed)."""
+    """Run a test with one range per group and with many."""
     from riskgrid.operators import ranking
-    monkeypatch.setattr(ranking, "SMALL_INPUT_BYTES", (1 << 62) if request.param == "plain" else 0)
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", 1_000_000 if request.param == "one" else 3)
     return request.param
 
 
@@ -311,8 +311,10 @@ def test_train_medians_histogram_path_equals_aggregate(spark, monkeypatch):
     rnd = random.Random(4)
     rows = [(rnd.choice([None, round(rnd.uniform(0, 5), 1)]), float(rnd.randint(0, 30))) for _ in range(501)]
     df = spark.createDataFrame(rows, "a double, b double")
-    small = prep.train_medians(df, ["a", "b"])
-    monkeypatch.setattr(ranking, "SMALL_INPUT_BYTES", 0)
+    row = prep.median_frame(df, ["a", "b"]).collect()[0]
+    small = {c: row[f"med_{c}"] for c in "ab"}
+    assert prep.train_medians(df, ["a", "b"]) == pytest.approx(small)
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", 3)
     big = prep.train_medians(df, ["a", "b"])
     assert big == pytest.approx(small)
     assert prep.fit_numeric(df, ["a", "b"])["a"][0] == pytest.approx(small["a"])

@@ -34,14 +34,14 @@ def brute_best(pairs):
     return best
 
 
-@pytest.mark.parametrize("path", ["plain", "ranged"])
+@pytest.mark.parametrize("path", ["one", "many"])
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(pairs=scores_labels)
 def test_ap_and_threshold_match_direct_computation(spark, monkeypatch, path, pairs):
     from riskgrid.operators import ranking
     from riskgrid.operators.metrics import average_precision
     from riskgrid.operators.planned import best_thresholds
-    monkeypatch.setattr(ranking, "SMALL_INPUT_BYTES", (1 << 62) if path == "plain" else 0)
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", 1_000_000 if path == "one" else 3)
     df = spark.createDataFrame([("r", "g", float(s), y) for s, y in pairs],
                                "run string, region string, score double, label int")
     got = average_precision(df, ["run"], buckets=4).collect()[0]["ap"]

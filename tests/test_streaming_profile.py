@@ -28,10 +28,10 @@ def test_streaming_tally_equals_batch(spark):
     assert sorted(tuple(r) for r in ST.current_tally(spark, log).select(*cols).collect()) == want
 
 
-@pytest.fixture(params=["plain", "ranged"])
+@pytest.fixture(params=["one", "many"])
 def ranking_path(request, monkeypatch):
     from riskgrid.operators import ranking
-    monkeypatch.setattr(ranking, "SMALL_INPUT_BYTES", (1 << 62) if request.param == "plain" else 0)
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", 1_000_000 if request.param == "one" else 3)
     return request.param
 
 

@@ -78,3 +78,16 @@ def test_a_preset_partition_count_survives(spark):
         assert get_spark().conf.get("spark.sql.shuffle.partitions") == "17"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_prefix_sums_with_null_keys_and_null_values(spark):
+    from riskgrid.operators.ranking import prefix_sums
+    rows = [(k, v, 1) for k in ("a", None) for v in [None, *map(float, range(40))]]
+    df = spark.createDataFrame(rows, "k string, v double, c bigint")
+    for descending in (False, True):
+        for ranges in (1, 7):
+            got = prefix_sums(df, ["k"], "v", ["c"], descending, ranges).collect()
+            assert len(got) == len(rows)
+            for r in got:
+                place = 0 if r["v"] is None else int(r["v"]) + 1
+                assert r["cum_c"] == (41 - place if descending else place + 1)
