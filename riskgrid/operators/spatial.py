@@ -1,189 +1,129 @@
 """Spatial joins: region boxes (J1) and nearest boundary segment.
 
-Both reference tables are parameters built on the driver from a Python list,
-so their size is known before the plan is built. Up to a checked size they are
-folded into the plan as array literals and evaluated per row with higher-order
-functions (no join, no shuffle, no broadcast exchange). Beyond it, the events
-join a cell index of the reference geometry on an integer cell key.
+Both reference tables are parameters held on the driver as Python lists. Each is indexed once over
+a fixed grid of ``CELL``-degree cells (16,200, and one for all places off the globe), whatever its
+size: a cell holds what can matter to a point inside it. Events meet their cell's list in one
+equi-join whose other side has a row per cell; no shuffle of events, no key but the place.
 """
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from riskgrid.functions.geo import in_box, nearest_segment_degrees, point_segment_degrees
+from riskgrid.functions.geo import in_box, nearest_segment_degrees
 from riskgrid.schema import KM_PER_DEGREE
 
-# Largest reference table folded into the plan as a literal.
-MAX_INLINE_BOXES = 256
-MAX_INLINE_SEGMENTS = 4096
-# Up to this many segments the distance is unrolled into plain arithmetic
-# (least of per-segment distances), which whole-stage codegen compiles;
-# higher-order functions over an array literal are interpreted per row.
-MAX_UNROLLED_SEGMENTS = 64
+CELL = 2.0
+COLUMNS, ROWS = 180, 90
+#: Side lengths of the squares that are refined down to cells, from one square around the globe.
+LEVELS = (360.0, 60.0, 10.0, CELL)
+#: The cell of places off the globe, NaN included.
+OUTSIDE = -1
+#: Wider than the rounding of a place to its cell.
+SLACK = 1e-9
+
+
+def cell_of(lat: Column, lon: Column) -> Column:
+    """The grid cell of a place; null if a coordinate is null."""
+    column = F.least(F.floor((lon + 180.0) / CELL), F.lit(COLUMNS - 1))
+    row = F.least(F.floor((lat + 90.0) / CELL), F.lit(ROWS - 1))
+    return (F.when(in_box(lat, lon, -90.0, 90.0, -180.0, 180.0), row * COLUMNS + column)
+            .when(lat.isNotNull() & lon.isNotNull(), F.lit(OUTSIDE)).cast("int"))
+
+
+def _cell_number(x: float, y: float) -> int:
+    """The cell whose lower left corner is (x, y)."""
+    return round((y + 90.0) / CELL) * COLUMNS + round((x + 180.0) / CELL)
+
+
+def _index(spark: SparkSession, lists: dict, items: pa.StructArray) -> DataFrame:
+    """``__cell, __items``: one row per cell that has a list (of positions in ``items``)."""
+    sizes = [len(v) for v in lists.values()]
+    flat = np.concatenate(list(lists.values())) if lists else np.empty(0, np.int64)
+    held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), items.take(pa.array(flat, pa.int64())))
+    return spark.createDataFrame(pa.table({"__cell": pa.array(list(lists), pa.int32()), "__items": held}))
 
 
 # ---------------------------------------------------------------------------
 # Box range join
 # ---------------------------------------------------------------------------
 
-def _box_literal(regions) -> Column:
-    return F.array(*[
-        F.struct(F.lit(r.name).alias("name"), F.lit(float(r.min_lat)).alias("min_lat"),
-                 F.lit(float(r.max_lat)).alias("max_lat"), F.lit(float(r.min_lon)).alias("min_lon"),
-                 F.lit(float(r.max_lon)).alias("max_lon"))
-        for r in regions])
-
-
-def box_join(events: DataFrame, regions, lat: str = "latitude", lon: str = "longitude",
-             spark: SparkSession | None = None) -> DataFrame:
+def box_join(events: DataFrame, regions, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """Inner theta join: one output row per (event, box containing it), bounds inclusive.
 
     An event inside two overlapping boxes appears once per box, as a per-box
     pull would return it twice; an event in no box is dropped.
     """
-    regions = [r for r in regions if r.min_lat is not None]
-    if len(regions) <= MAX_INLINE_BOXES:
-        boxes = _box_literal(regions)
-        hits = F.filter(boxes, lambda b: in_box(F.col(lat), F.col(lon), b["min_lat"], b["max_lat"],
-                                                b["min_lon"], b["max_lon"]))
-        # Plain OR of the boxes first: a codegen'd filter Catalyst pushes below
-        # joins (and into the scan when lat/lon are stored columns), so events
-        # in no box never reach the shuffle.
-        anywhere = F.lit(False)
-        for r in regions:
-            anywhere = anywhere | in_box(F.col(lat), F.col(lon), r.min_lat, r.max_lat, r.min_lon, r.max_lon)
-        return (events.filter(anywhere).withColumn("_box", F.explode(hits))
-                .withColumn("box_region", F.col("_box.name")).drop("_box"))
-    return _box_join_cells(events, regions, lat, lon, spark or events.sparkSession)
-
-
-def _box_join_cells(events, regions, lat, lon, spark, cell_deg: float = 1.0):
-    """Equi-join on 1-degree cells, then the exact inclusive test."""
-    rows = []
-    for r in regions:
-        for cy in range(math.floor(r.min_lat / cell_deg), math.floor(r.max_lat / cell_deg) + 1):
-            for cx in range(math.floor(r.min_lon / cell_deg), math.floor(r.max_lon / cell_deg) + 1):
-                rows.append((cy, cx, r.name, r.min_lat, r.max_lat, r.min_lon, r.max_lon))
-    cells = spark.createDataFrame(rows, "cy int, cx int, box_region string, b_min_lat double, "
-                                        "b_max_lat double, b_min_lon double, b_max_lon double")
-    keyed = events.withColumn("cy", F.floor(F.col(lat) / cell_deg).cast("int")) \
-                  .withColumn("cx", F.floor(F.col(lon) / cell_deg).cast("int"))
-    joined = keyed.join(cells, ["cy", "cx"])
-    # A point on a cell edge belongs to one cell only; boxes whose edge lies on
-    # the cell line still cover it because their cell range includes that cell.
-    return (joined.filter(in_box(F.col(lat), F.col(lon), F.col("b_min_lat"), F.col("b_max_lat"),
-                                 F.col("b_min_lon"), F.col("b_max_lon")))
-            .drop("cy", "cx", "b_min_lat", "b_max_lat", "b_min_lon", "b_max_lon"))
+    unboxed = [r.name for r in regions if None in (r.min_lat, r.max_lat, r.min_lon, r.max_lon)]
+    if unboxed:
+        raise ValueError(f"regions without a box: {unboxed}")
+    sides = {k: np.array([float(getattr(r, k)) for r in regions]) for k in ("min_lat", "max_lat", "min_lon", "max_lon")}
+    lists = {OUTSIDE: np.arange(len(regions))}
+    for y in np.arange(-90.0, 90.0, CELL):
+        across = np.flatnonzero((sides["min_lat"] <= y + CELL + SLACK) & (sides["max_lat"] >= y - SLACK))
+        for x in np.arange(-180.0, 180.0, CELL) if len(across) else ():
+            touched = across[(sides["min_lon"][across] <= x + CELL + SLACK) & (sides["max_lon"][across] >= x - SLACK)]
+            if len(touched):
+                lists[_cell_number(x, y)] = touched
+    boxes = pa.StructArray.from_arrays([pa.array([r.name for r in regions], pa.string()), *map(pa.array, sides.values())], names=["name", *sides])
+    met = events.withColumn("__cell", cell_of(F.col(lat), F.col(lon))).join(_index(events.sparkSession, lists, boxes), "__cell")
+    hits = F.filter("__items", lambda b: in_box(F.col(lat), F.col(lon), b["min_lat"], b["max_lat"], b["min_lon"], b["max_lon"]))
+    return (met.withColumn("__box", F.explode(hits)).withColumn("box_region", F.col("__box.name"))
+            .drop("__cell", "__items", "__box"))
 
 
 # ---------------------------------------------------------------------------
 # Nearest polyline
 # ---------------------------------------------------------------------------
 
-def _segment_sql(px: str, py: str, s) -> str:
-    """The planar point-to-segment distance of ``point_segment_degrees`` as SQL text
-    (one expression handed to Spark at once instead of one call per node)."""
-    x1, y1, x2, y2 = (f"{float(v)!r}D" for v in (s.x1, s.y1, s.x2, s.y2))
-    dx, dy = f"({x2} - {x1})", f"({y2} - {y1})"
-    len2 = f"({dx} * {dx} + {dy} * {dy})"
-    t = (f"(CASE WHEN {len2} = 0 THEN 0.0D ELSE least(1.0D, greatest(0.0D, "
-         f"(({px} - {x1}) * {dx} + ({py} - {y1}) * {dy}) / {len2})) END)")
-    cx, cy = f"({x1} + {t} * {dx})", f"({y1} + {t} * {dy})"
-    return f"sqrt(({px} - {cx}) * ({px} - {cx}) + ({py} - {cy}) * ({py} - {cy}))"
-
+def _distances(x: float, y: float, ends: np.ndarray) -> np.ndarray:
+    """Planar degrees from one point to each segment (rows x1, y1, x2, y2)."""
+    x1, y1, dx, dy = ends[:, 0], ends[:, 1], ends[:, 2] - ends[:, 0], ends[:, 3] - ends[:, 1]
+    length = dx * dx + dy * dy
+    t = np.clip(((x - x1) * dx + (y - y1) * dy) / np.where(length == 0, 1.0, length), 0.0, 1.0)
+    return np.hypot(x - x1 - t * dx, y - y1 - t * dy)
 
-def _segment_literal(segments) -> Column:
-    return F.array(*[
-        F.struct(F.lit(float(s.x1)).alias("x1"), F.lit(float(s.y1)).alias("y1"),
-                 F.lit(float(s.x2)).alias("x2"), F.lit(float(s.y2)).alias("y2"))
-        for s in segments])
 
+def _nearest_lists(ends: np.ndarray) -> dict:
+    """Per cell, every segment that is nearest to some point of it.
 
-def distance_to_line_column(segments, lon: str = "longitude", lat: str = "latitude") -> Column:
-    """Planar degrees x 111 to the nearest segment (the segment list inlined)."""
-    if not segments:
-        return F.lit(None).cast("double")
-    if len(segments) > MAX_INLINE_SEGMENTS:
-        raise ValueError("segment list too large to inline; use add_distance_to_fault()")
-    if len(segments) <= MAX_UNROLLED_SEGMENTS:
-        each = [_segment_sql(f"`{lon}`", f"`{lat}`", s) for s in segments]
-        nearest = each[0] if len(each) == 1 else f"least({', '.join(each)})"
-        return F.expr(f"{nearest} * {KM_PER_DEGREE!r}D")
-    return nearest_segment_degrees(F.col(lon), F.col(lat), _segment_literal(segments)) * F.lit(KM_PER_DEGREE)
-
-
-def add_distance_to_fault(events: DataFrame, segments, lon: str = "longitude",
-                          lat: str = "latitude", id_col: str = "id",
-                          cell_deg: float = 5.0) -> DataFrame:
-    """Add ``distance_to_fault_km``: exactly one distance per event.
-
-    Small maps: inline literal + ``array_min`` (a projection). Large maps: see
-    ``_nearest_by_cells``.
+    With d the distance from a square's centre to the nearest segment and r its half diagonal, the
+    segment nearest to any point of the square is at most d + 2 r from the centre. So a square
+    keeps the segments within that, and hands them down to the squares that it is cut into.
     """
-    if len(segments) <= MAX_INLINE_SEGMENTS:
-        return events.withColumn("distance_to_fault_km", distance_to_line_column(segments, lon, lat))
-    return _nearest_by_cells(events, segments, lon, lat, id_col, cell_deg)
+    level = [(-180.0, -180.0, np.arange(len(ends)))]
+    for size, part in zip(LEVELS, LEVELS[1:]):
+        steps = np.arange(round(size / part)) * part
+        finer = []
+        for x0, y0, held in level:
+            for y in y0 + steps:
+                if y >= 90.0 or y + part <= -90.0:
+                    continue
+                for x in x0 + steps:
+                    d = _distances(x + part / 2, y + part / 2, ends[held])
+                    finer.append((x, y, held[d <= d.min() + part * 2**0.5 + SLACK]))
+        level = finer
+    return {OUTSIDE: np.arange(len(ends))} | {_cell_number(x, y): held for x, y, held in level}
 
 
-def _segment_cells(segments, cell_deg):
-    """Every cell a segment's bounding box touches."""
-    for s in segments:
-        for cy in range(math.floor(min(s.y1, s.y2) / cell_deg), math.floor(max(s.y1, s.y2) / cell_deg) + 1):
-            for cx in range(math.floor(min(s.x1, s.x2) / cell_deg), math.floor(max(s.x1, s.x2) / cell_deg) + 1):
-                yield (cy, cx, float(s.x1), float(s.y1), float(s.x2), float(s.y2))
-
-
-def _nearest_by_cells(events, segments, lon, lat, id_col, cell_deg):
-    """Exact nearest segment with a multi-level cell index, for maps too large to inline.
+def add_distance_to_fault(events: DataFrame, segments, lon: str = "longitude",
+                          lat: str = "latitude") -> DataFrame:
+    """Add ``distance_to_fault_km``: planar degrees x 111 to the nearest segment, one per event.
 
-    At each level every still-unresolved event meets the segments indexed in its
-    3x3 cell ring (an equi-join on the cell key). A best distance d <= the
-    level's cell size is exact: a closer segment would have a point inside the
-    ring, and a segment is indexed in every cell its bounding box touches.
-    Events left over go to the next, 4x coarser level; the last level's cells
-    cover the globe, so every event is resolved there. No level pairs an event
-    with segments outside its ring.
+    Ids play no part, so they may repeat or be null. A null coordinate, or a map without
+    segments, gives null.
     """
-    spark = events.sparkSession
-    # The distance depends on the place alone, so places are the keys: ids may repeat or be null.
-    keyed = events.select(F.col(lon).alias("_px"), F.col(lat).alias("_py")).distinct()
-    ring = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"))
-                     for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
-    d = point_segment_degrees(F.col("_px"), F.col("_py"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
-    levels = [cell_deg]
-    while levels[-1] < 360.0:
-        levels.append(min(levels[-1] * 4, 360.0))
-    pending, found = keyed, []
-    for i, size in enumerate(levels):
-        seg_cells = spark.createDataFrame(list(_segment_cells(segments, size)),
-                                          "cy int, cx int, x1 double, y1 double, x2 double, y2 double")
-        probes = (pending.withColumn("_r", F.explode(ring))
-                  .select("_px", "_py",
-                          (F.floor(F.col("_py") / size).cast("int") + F.col("_r.dy")).alias("cy"),
-                          (F.floor(F.col("_px") / size).cast("int") + F.col("_r.dx")).alias("cx")))
-        best = probes.join(seg_cells, ["cy", "cx"]).groupBy("_px", "_py").agg(F.min(d).alias("_deg"))
-        last = i == len(levels) - 1
-        done = best if last else best.filter(F.col("_deg") <= size)
-        found.append(done)
-        if not last:
-            pending = pending.join(done, ["_px", "_py"], "left_anti")
-    dist = found[0]
-    for part in found[1:]:
-        dist = dist.unionByName(part)
-    dist = dist.select("_px", "_py", (F.col("_deg") * F.lit(KM_PER_DEGREE)).alias("distance_to_fault_km"))
-    return events.join(dist, (events[lon] == dist["_px"]) & (events[lat] == dist["_py"]), "left").drop("_px", "_py")
-
-
-SEGMENT_SCHEMA = T.StructType([
-    T.StructField("line_id", T.IntegerType()), T.StructField("seg_id", T.IntegerType()),
-    T.StructField("x1", T.DoubleType()), T.StructField("y1", T.DoubleType()),
-    T.StructField("x2", T.DoubleType()), T.StructField("y2", T.DoubleType()),
-])
+    if not segments:
+        return events.withColumn("distance_to_fault_km", F.lit(None).cast("double"))
+    ends = np.array([[s.x1, s.y1, s.x2, s.y2] for s in segments], float)
+    items = pa.StructArray.from_arrays([pa.array(ends[:, i]) for i in range(4)], names=["x1", "y1", "x2", "y2"])
+    index = _index(events.sparkSession, _nearest_lists(ends), items)
+    met = events.withColumn("__cell", cell_of(F.col(lat), F.col(lon))).join(index, "__cell", "left")
+    nearest = nearest_segment_degrees(F.col(lon), F.col(lat), F.col("__items")) * F.lit(KM_PER_DEGREE)
+    return met.withColumn("distance_to_fault_km", nearest).drop("__cell", "__items")
 
 
 def segments_from_lines(lines) -> list:

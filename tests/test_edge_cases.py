@@ -227,7 +227,7 @@ def test_c16_nearest_segment(spark):
 
 
 def test_nearest_segment_cell_index_equals_brute_force(spark):
-    """The multi-level cell index (large maps) gives exactly the brute-force minimum."""
+    """The cell index gives exactly the brute-force minimum, off the globe too."""
     import random
     from riskgrid.operators import spatial
     from riskgrid.schema import Segment
@@ -238,9 +238,10 @@ def test_nearest_segment_cell_index_equals_brute_force(spark):
         segs.append(Segment(i, 0, x, y, x + rnd.uniform(-8, 8), y + rnd.uniform(-8, 8)))
     segs.append(Segment(99, 0, 10.0, 10.0, 10.0, 10.0))
     pts = [(i, rnd.uniform(-180, 180), rnd.uniform(-90, 90)) for i in range(400)]
+    pts += [(400, 180.0, 90.0), (401, -180.0, -90.0), (402, 0.0, 0.0), (403, 300.0, 10.0), (404, 20.0, -100.0)]
     df = spark.createDataFrame(pts, "id int, longitude double, latitude double")
     fast = {r["id"]: r["distance_to_fault_km"]
-            for r in spatial._nearest_by_cells(df, segs, "longitude", "latitude", "id", 5.0).collect()}
+            for r in spatial.add_distance_to_fault(df, segs).collect()}
 
     def seg_d(px, py, s):
         dx, dy = s.x2 - s.x1, s.y2 - s.y1
@@ -264,7 +265,7 @@ def test_geodesic_segment_distance(spark):
     assert got[3] == pytest.approx(0.0, abs=1e-6)           # on the segment
 
 
-def test_box_join_cell_path_equals_inline(spark, monkeypatch):
+def test_box_join_equals_brute_force(spark):
     import random
     from riskgrid.operators import spatial
     from riskgrid.schema import Region
@@ -276,21 +277,24 @@ def test_box_join_cell_path_equals_inline(spark, monkeypatch):
     boxes.append(Region("edge", 1.0, 10.0, 20.0, 30.0, 40.0))
     pts = [(i, rnd.uniform(-70, 70), rnd.uniform(-180, 180)) for i in range(3000)]
     pts += [(9001, 10.0, 30.0), (9002, 20.0, 40.0), (9003, 15.0, 40.0)]     # on box edges
-    df = spark.createDataFrame(pts, "id int, latitude double, longitude double")
-    inline = sorted((r["id"], r["box_region"]) for r in spatial.box_join(df, boxes).collect())
-    monkeypatch.setattr(spatial, "MAX_INLINE_BOXES", 0)
-    cells = sorted((r["id"], r["box_region"]) for r in spatial.box_join(df, boxes).collect())
-    assert cells == inline and len(inline) > 50
-    assert (9001, "edge") in cells and (9002, "edge") in cells and (9003, "edge") in cells
-
-
-def test_segment_hof_path_equals_brute_force(spark):
+    pts.append((9004, 95.0, 35.0))                                          # off the globe, in a box
+    boxes.append(Region("beyond", 1.0, 80.0, 100.0, 30.0, 40.0))
+    df = spark.createDataFrame([*pts, (9005, None, 35.0)], "id int, latitude double, longitude double")
+    got = sorted((r["id"], r["box_region"]) for r in spatial.box_join(df, boxes).collect())
+    assert got == sorted((i, b.name) for i, la, lo in pts for b in boxes
+                         if b.min_lat <= la <= b.max_lat and b.min_lon <= lo <= b.max_lon)
+    assert len(got) > 50 and {(9001, "edge"), (9002, "edge"), (9003, "edge"), (9004, "beyond")} <= set(got)
+    with pytest.raises(ValueError, match="without a box: .'open'"):
+        spatial.box_join(df, [*boxes, Region("open", 1.0)])
+
+
+def test_dense_map_equals_brute_force(spark):
     import random
-    from riskgrid.operators.spatial import MAX_UNROLLED_SEGMENTS, add_distance_to_fault
+    from riskgrid.operators.spatial import add_distance_to_fault
     from riskgrid.schema import Segment
     rnd = random.Random(9)
     segs = [Segment(i, 0, *(rnd.uniform(-170, 170), rnd.uniform(-80, 80)) * 1, 0.0, 0.0)
-            for i in range(MAX_UNROLLED_SEGMENTS + 6)]
+            for i in range(5000)]
     segs = [Segment(s.line_id, 0, s.x1, s.y1, s.x1 + rnd.uniform(-5, 5), s.y1 + rnd.uniform(-5, 5)) for s in segs]
     pts = [(i, rnd.uniform(-180, 180), rnd.uniform(-90, 90)) for i in range(300)]
     df = spark.createDataFrame(pts, "id int, longitude double, latitude double")
