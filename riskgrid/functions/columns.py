@@ -1,4 +1,4 @@
-"""Scalar column helpers (null/NaN rules, exact sums, day truncation)."""
+"""Scalar column helpers (null/NaN rules, exact sums)."""
 
 from __future__ import annotations
 
@@ -17,11 +17,6 @@ def nan_to_null(c: Column | str) -> Column:
     return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
 
 
-def safe_div(num: Column, den: Column) -> Column:
-    """num / den, null when den is 0 or null (ANSI mode raises on x/0)."""
-    return F.when(den != 0, num.cast("double") / den.cast("double"))
-
-
 def fixed_point(c: Column | str) -> Column:
     """Value in millionths as BIGINT (round half up)."""
     c = F.col(c) if isinstance(c, str) else c
@@ -31,9 +26,3 @@ def fixed_point(c: Column | str) -> Column:
 def from_fixed(total: Column, count: Column) -> Column:
     """Mean from a fixed-point sum and an event count; null when count is 0."""
     return F.when(count != 0, total.cast("double") / count.cast("double") / F.lit(float(FIXED_SCALE)))
-
-
-def utc_day(c: Column | str) -> Column:
-    """Calendar day of a timestamp (UTC session), an NTZ timestamp or a date."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.to_date(c)

@@ -41,16 +41,6 @@ def in_box(lat: Column, lon: Column, min_lat, max_lat, min_lon, max_lon) -> Colu
     return lat.between(min_lat, max_lat) & lon.between(min_lon, max_lon)
 
 
-def haversine_km(lat1: Column, lon1: Column, lat2, lon2, radius_km: float = 6371.0) -> Column:
-    """Great-circle distance in km."""
-    rad = math.pi / 180.0
-    dlat = (lat2 - lat1) * rad
-    dlon = (lon2 - lon1) * rad
-    a = (F.sin(dlat / 2) * F.sin(dlat / 2)
-         + F.cos(lat1 * rad) * F.cos(lat2 * rad) * F.sin(dlon / 2) * F.sin(dlon / 2))
-    return F.lit(2.0 * radius_km) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
-
-
 def great_circle_segment_sql(plat: str, plon: str, s, radius_km: float = 6371.0,
                              dialect: str = "spark") -> str:
     """Great-circle distance (km) from a point to a great-circle segment, as SQL text.

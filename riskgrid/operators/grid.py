@@ -11,25 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskgrid.functions.columns import fixed_point, nan_to_null
 
-REGION_DIM_SCHEMA = T.StructType([
-    T.StructField("region", T.StringType(), False),
-    T.StructField("threshold", T.DoubleType(), False),
-    T.StructField("min_lat", T.DoubleType()),
-    T.StructField("max_lat", T.DoubleType()),
-    T.StructField("min_lon", T.DoubleType()),
-    T.StructField("max_lon", T.DoubleType()),
-])
-
-
-def regions_frame(spark: SparkSession, regions) -> DataFrame:
-    """The region dimension as a (driver-built, parameter-sized) DataFrame."""
-    rows = [(r.name, float(r.threshold), r.min_lat, r.max_lat, r.min_lon, r.max_lon) for r in regions]
-    return spark.createDataFrame(rows, REGION_DIM_SCHEMA)
-
 
 def threshold_of(region: Column, regions) -> Column:
     """Threshold looked up from a literal map: a projection, not a join."""

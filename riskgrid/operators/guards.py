@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskgrid.operators.prep import feature_columns, fit_numeric
-from riskgrid.schema import HORIZON_DAYS, LEAKAGE_COLUMNS, VARIANTS
+from riskgrid.operators.prep import fit_numeric
+from riskgrid.schema import HORIZON_DAYS, ROLE_EXCLUDED, VARIANTS, role_of
 
 REPORT_COLUMNS = ["check_id", "guard", "passed", "detail"]
 
@@ -46,15 +46,11 @@ def guard_one_split(table: DataFrame) -> DataFrame:
 
 
 def guard_forbidden(table: DataFrame, variants=VARIANTS) -> DataFrame:
-    """No variant uses a leak-prone detection column (a check on the plan's columns)."""
-    used = set()
-    for v in variants:
-        num, cat = feature_columns(v, variants)
-        used.update(num + cat)
-    leaked = sorted(c for c in LEAKAGE_COLUMNS if c in used)
-    detail = "offending columns: " + (", ".join(leaked) if leaked else "none")
-    return table.sparkSession.range(1).select(_row(4, "leak-prone columns never used", F.lit(not leaked),
-                                      F.lit(detail)).alias("r")).select("r.*")
+    """Neither the table nor any variant holds a column whose role is excluded. Reads the table's own columns."""
+    inputs = {c for v in variants.values() for part in v.columns() for c in part}
+    excluded = ", ".join(sorted(c for c in inputs.union(table.columns) if role_of(c) == ROLE_EXCLUDED))
+    verdict = _row(4, "leak-prone columns never used", F.lit(not excluded), F.lit(f"offending columns: {excluded or 'none'}"))
+    return table.agg(F.count(F.lit(1)).alias("n")).select(verdict.alias("r")).select("r.*")
 
 
 def guard_train_only(table: DataFrame, column: str = "avg_mag_7d") -> DataFrame:

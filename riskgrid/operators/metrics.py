@@ -101,12 +101,6 @@ def confusion(scored: DataFrame, keys=(), label: str = "label", pred: str = "pre
     )
 
 
-def log_loss(scored: DataFrame, keys=(), label: str = "label", prob: str = "score") -> DataFrame:
-    p = F.least(F.lit(1.0 - LOGLOSS_EPS), F.greatest(F.lit(LOGLOSS_EPS), F.col(prob)))
-    per_row = F.when(F.col(label) == 1, -F.ln(p)).otherwise(-F.ln(F.lit(1.0) - p))
-    return scored.groupBy(*keys).agg(F.avg(per_row).alias("log_loss"))
-
-
 # ---------------------------------------------------------------------------
 # E6 per-region metrics (absent unless both classes are present)
 # ---------------------------------------------------------------------------

@@ -84,13 +84,13 @@ SOURCE_TABLES = ("orders", "customer", "nation", "region")
 
 
 def _stored(spark: SparkSession, sf_dir: str, params: PipelineParams, name: str, build) -> DataFrame:
-    """Write once per (session, input files' modification times, parameters); then scan."""
-    from riskgrid.session import modification_stamp, write_table
+    """Write once per (session, input files' names, sizes and times, parameters); then scan."""
+    from riskgrid.session import file_stamp, write_table
     inputs = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCE_TABLES]
     key = (spark.sparkContext.applicationId, name, sf_dir.rstrip("/"), repr(params),
-           modification_stamp(spark, inputs))
+           file_stamp(spark, inputs))
     path = _STORED.get(key)
-    if path is None or modification_stamp(spark, [path])[0] < 0:
+    if path is None or not file_stamp(spark, [path])[0]:
         path = write_table(build(), name)
         _STORED[key] = path
     return spark.read.parquet(path)

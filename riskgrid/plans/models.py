@@ -23,9 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskgrid.operators.metrics import decision, metric_table
-from riskgrid.operators.prep import (feature_columns, fit_categories, fit_numeric, interactions,
-                                     output_names, transform)
-from riskgrid.schema import BASE_CATEGORICAL, BASE_NUMERIC, PARITY_VARIANTS, TARGET
+from riskgrid.operators.prep import fit_categories, fit_numeric, interactions, output_names, transform
+from riskgrid.schema import BASE_CATEGORICAL, BASE_NUMERIC, PARITY_VARIANTS, TARGET, VARIANTS
 
 KEYS = ("region", "date", "split", TARGET)
 SEED = 42
@@ -179,7 +178,7 @@ def _union(frames):
 def ablation(table: DataFrame, variants=PARITY_VARIANTS, kind: str = "logreg") -> tuple[DataFrame, list]:
     """Fit one model per variant on train; score train + validate. Returns (scores, fitted)."""
     train = table.filter(F.col("split") == "train").cache()
-    tasks = [(FITTERS[kind], (train, *feature_columns(v), f"{kind}_{v}")) for v in variants]
+    tasks = [(FITTERS[kind], (train, *VARIANTS[v].columns(), f"{kind}_{v}")) for v in variants]
     try:
         fitted = _fit_all(tasks)
     finally:
@@ -195,7 +194,7 @@ def per_region(table: DataFrame, regions, variants=PARITY_VARIANTS) -> tuple[Dat
         train = parts[r].filter(F.col("split") == "train").cache()
         cached.append(train)
         for v in variants:
-            tasks.append((fit_logreg, (train, feature_columns(v)[0], [], f"{r}|{v}")))
+            tasks.append((fit_logreg, (train, VARIANTS[v].columns()[0], [], f"{r}|{v}")))
     try:
         fitted = _fit_all(tasks)
     finally:
@@ -245,7 +244,7 @@ def evaluate(scored: DataFrame) -> DataFrame:
 
 
 def run_log(metrics: DataFrame, fitted: list) -> DataFrame:
-    """Params + train_/val_ metrics per run, as one append-ready DataFrame."""
+    """Params + train_/val_ metrics per run, as one DataFrame."""
     spark = metrics.sparkSession
     params = spark.createDataFrame(
         [(m.run, {k: str(v) for k, v in m.params.items()} | {"features": ", ".join(m.names)}) for m in fitted],
@@ -258,4 +257,5 @@ def run_log(metrics: DataFrame, fitted: list) -> DataFrame:
 
 
 def write_run_log(log: DataFrame, path: str) -> None:
-    log.write.mode("append").parquet(path)
+    """One partition per run: logging a run again replaces its rows, and leaves the others."""
+    log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path)

@@ -272,8 +272,7 @@ def q_leaderboard(spark, sf):
 
 # --- F8 / N1-N6: variant projection and preprocessing ----------------------
 
-from riskgrid.operators.prep import feature_columns as _feature_columns  # noqa: E402
-from riskgrid.schema import FEATURE_COLUMNS  # noqa: E402
+from riskgrid.schema import FEATURE_COLUMNS, VARIANTS  # noqa: E402
 
 PREP_VARIANT = "depth"
 DEC = 6
@@ -329,7 +328,7 @@ def _prep(spark, sf, numeric, with_cat):
                         for c in out.columns if c not in ("region", "date", "split")])
 
 
-_DEPTH_NUM = list(_feature_columns(PREP_VARIANT)[0])
+_DEPTH_NUM = list(VARIANTS[PREP_VARIANT].columns()[0])
 _CATS = sorted(r.name for r in P.regions)
 
 

@@ -106,15 +106,19 @@ def write_table(df, name: str) -> str:
     return path
 
 
-def modification_stamp(spark: SparkSession, paths) -> tuple:
-    """Modification times of input paths (any Hadoop file system), to key stored tables."""
-    jvm = spark.sparkContext._jvm
+def file_stamp(spark: SparkSession, paths) -> tuple:
+    """Name, size and modification time of every file under each path (any Hadoop file
+    system), to key stored tables; a missing path has no files."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     out = []
     for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        fs = hp.getFileSystem(conf)
-        out.append(int(fs.getFileStatus(hp).getModificationTime()) if fs.exists(hp) else -1)
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        fs = at.getFileSystem(conf)
+        files, found = fs.listFiles(at, True) if fs.exists(at) else None, []
+        while files and files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        out.append(tuple(sorted(found)))
     return tuple(out)
 
 

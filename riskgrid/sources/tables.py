@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskgrid.session import file_stamp
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -14,10 +16,10 @@ _READS: dict = {}
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of one driver table. The DataFrame (a plan, not data) is
-    reused per session so repeated queries skip the file listing and footer
-    read; Catalyst still prunes columns and pushes filters per query."""
+    reused per session, while the files stay the same, so repeated queries skip the
+    footer read; Catalyst still prunes columns and pushes filters per query."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (spark.sparkContext.applicationId, path, file_stamp(spark, [path]))
     df = _READS.get(key)
     if df is None:
         df = spark.read.parquet(path)

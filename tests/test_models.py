@@ -32,10 +32,11 @@ def newton(X, y, w, C=1.0):
 
 
 def test_logreg_matches_newton_optimum(spark, table):
-    from riskgrid.operators.prep import feature_columns, transform
+    from riskgrid.operators.prep import transform
+    from riskgrid.schema import VARIANTS
     from riskgrid.plans import models as M
     train = table.filter(F.col("split") == "train")
-    num, cat = feature_columns("depth")
+    num, cat = VARIANTS["depth"].columns()
     m = M.fit_logreg(train, num, cat, "t")
     tw, n = M.balanced(train)
     pdf = transform(tw, num, m.categories, m.stats, keep=("label_7d", "weight")).toPandas()
