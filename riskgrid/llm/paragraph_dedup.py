@@ -1,4 +1,4 @@
-"""Substring dedup: paragraph MinHash banding, exact check, removal by components.
+"""Substring dedup: paragraph MinHash banding, exact check, removal by components; repeated passages by windows of words.
 
 A paragraph is a line; a long line is cut further at sentence ends chosen by a hash of their last
 words, so that equal passages are cut alike wherever they stand. Paragraphs of at least
@@ -7,12 +7,20 @@ words, so that equal passages are cut alike wherever they stand. Paragraphs of a
 similarity of their sets of five-word shingles, and linked paragraphs form components. The first
 paragraph of a component (by document, then place) stays; the others are removed.
 
+Passages that are no paragraph, standing inside longer lines, over several lines or on lines wrapped
+elsewhere, are found by windows of ``WINDOW`` words over all words of a text, whatever its line
+ends: of each ``SPREAD`` neighbouring windows the one with the smallest hash is taken, so two texts
+with ``PASSAGE`` equal words in a row (A-Z in lower case) take a window alike. Of equal windows the
+first (by document, then place) stays; the words of the others are removed, with the line ends
+between them. At most ``SPREAD`` - 1 words at either end of a repeated passage stay.
+
 Equal paragraphs are one node of the search, however many documents hold them; large candidate
 groups are cut into blocks as in ``near_dup``, whose search this uses.
 
 Nulls and empty texts have no paragraphs: zeros and empty lists. Null ids match each other and come
 first. Repeated rows share a result: their paragraphs count as repeated, and where theirs is the
-first place, it stays in each of them. Extra columns are ignored.
+first place, it stays in each of them. Extra columns are ignored. ``n_paragraphs``, ``n_repeated``
+and ``n_removed`` count paragraphs; ``removed`` and ``first_docs`` hold the passages too.
 """
 
 from __future__ import annotations
@@ -21,23 +29,30 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskgrid.llm.common import KEY, arrow_map, empty_text, if_small, key_columns, key_match, materialize
-from riskgrid.llm.near_dup import describe, link_components
+from riskgrid.llm.near_dup import _mix64, describe, link_components
 
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 7, 2
 MIN_WORDS = 8
 #: Lines of more words are cut at one in SENTENCES of their sentence ends.
 LONG_LINE, SENTENCES = 60, 3
+#: Passages of over 50 words: of SPREAD neighbouring windows of WINDOW words, one is taken.
+WINDOW, SPREAD = 32, 20
+PASSAGE = WINDOW + SPREAD - 1
 
 SPACES = " \t\n\r\x0b\x0c"
 _LINE = re.compile(r"[^\n]+")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Odd factors of the two rolling hashes, and their inverses mod 2^64.
+_FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def paragraphs(text: str) -> list[tuple[int, int]]:
@@ -89,6 +104,75 @@ def paragraph_table(docs: DataFrame, id_col: str, text_col: str, buckets: bool)
                      + ", n_shingles int, buckets array<long>" * buckets)
 
 
+def _powers(factor: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers, at least, of a factor and of its inverse mod 2^64."""
+    if factor not in _POWERS or len(_POWERS[factor][0]) < n:
+        _POWERS[factor] = tuple(np.cumprod(np.append(np.uint64(1), np.full(2 * n, f, np.uint64))) for f in (factor, pow(factor, -1, 1 << 64)))
+    return _POWERS[factor]
+
+
+def windows(text: str, seen: dict[str, int]) -> tuple[list[int], list[int], np.ndarray, np.ndarray]:
+    """(start, end) in code points of the windows taken, and their 128-bit hashes in two halves. ``seen`` holds words' hashes."""
+    spans = [m.span() for m in _WORD.finditer(text)] if len(text) >= 2 * PASSAGE - 1 else []
+    n = len(spans)
+    if n < PASSAGE:
+        return [], [], np.empty(0, np.int64), np.empty(0, np.int64)
+    words = [text[a:b] for a, b in spans]
+    h = np.array([seen[w] if w in seen else seen.setdefault(w, xxhash.xxh3_64_intdigest(w.encode().lower())) for w in words], np.uint64)
+    halves = []
+    for factor in _FACTORS:
+        power, inverse = _powers(factor, n)
+        total = np.append(np.uint64(0), np.cumsum(h * power[:n]))
+        halves.append(_mix64((total[WINDOW:] - total[:-WINDOW]) * inverse[:n - WINDOW + 1]))
+        h = _mix64(h)
+    near = np.lib.stride_tricks.sliding_window_view(halves[0], SPREAD)
+    taken = np.unique(np.arange(len(near)) + near.argmin(axis=1))
+    at = taken.tolist()
+    return [spans[i][0] for i in at], [spans[i + WINDOW - 1][1] for i in at], halves[0][taken].view(np.int64), halves[1][taken].view(np.int64)
+
+
+def passage_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """A row for each window taken: key, ``start``, ``end``, and its hash ``a, b``."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: dict[str, int] = {}
+            held = [windows(text or "", seen) for text in batch.column(2).to_pylist()]
+            at = pa.array(np.repeat(np.arange(len(held)), [len(x[0]) for x in held]), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array([i for x in held for i in x[0]], pa.int32()),
+                 pa.array([i for x in held for i in x[1]], pa.int32()),
+                 *(pa.array(np.concatenate([np.empty(0, np.int64), *(x[k] for x in held)]), pa.int64()) for k in (2, 3))],
+                names=[*KEY, "start", "end", "a", "b"])
+
+    return arrow_map(docs.select(*key_columns(id_col, text_col), F.col(text_col).cast("string").alias("text")), run,
+                     f"{KEY[0]} {id_type}, {KEY[1]} long, start int, end int, a long, b long")
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Key, ``start, end`` of the windows that repeat an earlier one, and that one's id as ``first_doc``."""
+    taken = materialize(passage_table(docs, id_col, text_col), "passages")
+    again = if_small(materialize(taken.groupBy("a", "b").count().where("count > 1").select("a", "b"), "repeated-windows"))
+    hits = materialize(taken.join(again, ["a", "b"]), "passage-places")
+    first = if_small(materialize(hits.groupBy("a", "b").agg(F.min(F.struct(*KEY, "start", "end")).alias("first")), "first-windows"))
+    own = F.col(KEY[0]).eqNullSafe(F.col(f"first.{KEY[0]}")) & (F.col(KEY[1]) == F.col(f"first.{KEY[1]}"))
+    # A window may overlap its own first place, whose words stay.
+    return hits.join(first, ["a", "b"]).where(~(own & (F.col("start") == F.col("first.start")))).select(
+        *KEY, F.when(own, F.greatest("start", "first.end")).otherwise(F.col("start")).alias("start"), "end",
+        F.col(f"first.{KEY[0]}").alias("first_doc")).where("start < end")
+
+
+def _disjoint(spans: str) -> Column:
+    """Sorted spans, with those that overlap or touch made one."""
+    def add(out: Column, s: Column) -> Column:
+        last = F.try_element_at(out, F.lit(-1))
+        joined = F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end")))
+        return F.when(s["start"] <= last["end"], F.concat(F.slice(out, F.lit(1), F.size(out) - 1), joined)).otherwise(F.concat(out, F.array(s)))
+
+    return F.aggregate(spans, F.array().cast("array<struct<start:int,end:int>>"), add)
+
+
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document key: ``n_paragraphs, n_repeated, n_removed, removed`` (spans) and ``first_docs`` (ids)."""
     held = materialize(paragraph_table(docs, id_col, text_col, buckets=False), "paragraphs")
@@ -114,11 +198,16 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     seen = held.join(marks, "node", "left")
     stays = F.col(KEY[0]).eqNullSafe(F.col(f"first.{KEY[0]}")) & (F.col(KEY[1]) == F.col(f"first.{KEY[1]}")) & (F.col("place") == F.col("first.place"))
     gone = F.col("first").isNotNull() & ~stays
-    return seen.groupBy(*KEY).agg(
+    span = F.struct("start", "end")
+    cuts = seen.select(*KEY, "place", F.when(F.col("first").isNotNull(), F.col("place")).alias("again"), F.when(gone, F.col("place")).alias("gone"),
+                       F.when(gone, span).alias("cut"), F.col("first").isNotNull().alias("repeats"), F.col(f"first.{KEY[0]}").alias("first_doc"))
+    passages = repeated_passages(docs, id_col, text_col).select(*KEY, span.alias("cut"), F.lit(True).alias("repeats"), "first_doc")
+    found = cuts.unionByName(passages, allowMissingColumns=True).groupBy(*KEY).agg(
         F.count_if(F.col("place") < 0).alias("copies"), (F.max("place") + 1).cast("long").alias("n_paragraphs"),
-        F.size(F.collect_set(F.when(F.col("first").isNotNull(), F.col("place")))).cast("long").alias("n_repeated"),
-        F.array_sort(F.collect_set(F.when(gone, F.struct("start", "end")))).alias("removed"),
-        F.array_sort(F.collect_set(F.when(F.col("first").isNotNull(), F.col(f"first.{KEY[0]}")))).alias("first_docs"))
+        F.size(F.collect_set("again")).cast("long").alias("n_repeated"), F.size(F.collect_set("gone")).cast("long").alias("n_removed"),
+        F.array_sort(F.collect_set("cut")).alias("removed"),
+        F.array_sort(F.collect_set(F.when(F.col("repeats"), F.col("first_doc")))).alias("first_docs"))
+    return found.withColumn("removed", _disjoint("removed"))
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -126,12 +215,12 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     found = repeated_paragraphs(docs, id_col, text_col)
     spans = F.array_join(F.transform("removed", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
     return found.select(
-        F.col(KEY[0]).alias("doc_id"), "n_paragraphs", "n_repeated", F.size("removed").cast("long").alias("n_removed"), spans.alias("removed"),
+        F.col(KEY[0]).alias("doc_id"), "n_paragraphs", "n_repeated", "n_removed", spans.alias("removed"),
         "first_docs", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("__copy")).drop("__copy")
 
 
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the removed paragraphs cut out of the text; their line ends stay."""
+    """``docs`` with the removed paragraphs and passages cut out of the text; line ends outside of them stay."""
     found = repeated_paragraphs(docs, id_col, text_col).where(F.size("removed") > 0).select(*KEY, "removed")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), empty_text(text_col).alias("__doc"), *key_columns(id_col, text_col))
     joined = rows.join(found, key_match(rows, found), "left")

@@ -221,6 +221,59 @@ def test_removed_paragraphs_leave_the_rest(spark):
     assert left == {1: f"{own[0]}\n{same}", 2: f"\n{own[1]}"}
 
 
+def removed_spans(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id: [tuple(map(int, s.split(":"))) for s in r.removed.split(",") if s] for r in paragraph_dedup.report(df).collect()}
+
+
+def check_windows(texts, removed, n=51):
+    """Of each run of n words that an earlier text or place holds, at least a window is removed; the first copy of each stays."""
+    first, repeats = {}, 0
+    for i, t in enumerate(texts):
+        spans = [m.span() for m in paragraph_dedup._WORD.finditer(t)]
+        for k in range(len(spans) - n + 1):
+            at = (i, spans[k][0], spans[k + n - 1][1])
+            if first.setdefault(tuple(t[a:b].lower() for a, b in spans[k:k + n]), at) != at:
+                repeats += 1
+                inside = sum(len(t[max(a, at[1]):min(b, at[2])].split()) for a, b in removed[i] if a < at[2] and b > at[1])
+                assert inside >= paragraph_dedup.WINDOW, (i, at)
+    assert all(b <= c for spans in removed.values() for (_, b), (c, _) in zip(spans, spans[1:]))
+    return repeats
+
+
+def test_passages_at_random_offsets_inside_long_lines_are_caught(spark):
+    rnd = random.Random(6)
+
+    def sentences(n, least, most):
+        w = words(rnd, n).split()
+        at = 0
+        while (at := at + rnd.randint(least, most)) < n:
+            w[at] += rnd.choice(['."', ".)", "!", "?", "."])
+        return " ".join(w)
+
+    texts, planted = [], []
+    for n in (51, 55, 80, 200):
+        for kind in (None, (4, 9), (18, 30)):
+            for _ in range(6):
+                p = sentences(n, *kind) if kind else words(rnd, n)
+                planted.append(p)
+                texts += [f"{words(rnd, rnd.randint(5, 90))} {p} {words(rnd, rnd.randint(5, 90))}" for _ in range(2)]
+    removed = removed_spans(spark, texts)
+    assert check_windows(texts, removed) >= 72
+    assert all(not removed[i] for i in range(0, len(texts), 2))
+    for i, p in enumerate(planted):
+        t = texts[2 * i + 1]
+        a = t.index(p)
+        assert removed[2 * i + 1] and all(a <= s and e <= a + len(p) for s, e in removed[2 * i + 1])
+
+
+def test_a_text_that_repeats_itself_keeps_its_first_window(spark):
+    period = "a b c d e f g"
+    text = " ".join([period] * 30)
+    left = [r.text for r in paragraph_dedup.remove_repeated(spark.createDataFrame([(0, f"x {text} y")], "doc_id long, text string")).collect()][0]
+    assert left.split()[:33] == f"x {text}".split()[:33] and len(left.split()) < 80
+
+
 def test_secrets_of_one_owner_are_added_and_copied_ones_are_not(spark):
     live, copied = "aB3dE5gH7jK9mN1pQ2rS4tU6", "zY8xW6vU4tS2rQ0pO9nM7lK5"
     rows = [(1, f"use {live} here", "en", "a"), *[(i, f"use {copied} here", "en", f"o{i}") for i in range(2, 6)],
