@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskgrid.llm import decontaminate, line_templates, mixing, near_dup, pu_classifier
-from riskgrid.llm.common import KEY, key_columns, key_match, materialize, read
+from riskgrid.llm.common import KEY, if_small, key_columns, key_match, materialize, read
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -38,10 +38,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest id, once."""
-    found = near_dup.near_duplicates(docs, size=5, percent=80).where("NOT coalesce(kept, false) AND n_shingles > 0").select(*KEY).distinct()
+    """One row of each group stays: that with the smallest id, then text hash (null ids last); of equal rows, one."""
+    found = materialize(near_dup.near_duplicates(docs, size=5, percent=80, groups=True).where("n_shingles > 0").select(*KEY, "group"), "groups")
+    order = F.struct(F.col(KEY[0]).isNull(), *KEY)
+    first = if_small(materialize(found.groupBy("group").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1"), "group-firsts"))
+    gone = found.join(first, "group").where(order != F.col("first")).select(*KEY).distinct()
     rows = _rows(docs)
-    kept = rows.join(found, key_match(rows, found), "left_anti")
+    kept = rows.join(gone, key_match(rows, gone), "left_anti")
     repeated = docs.select(*key_columns("doc_id", "text")).groupBy(*KEY).count().where("count > 1")
     return (kept if repeated.isEmpty() else kept.dropDuplicates(list(KEY))).select("row.*")
 

@@ -266,8 +266,11 @@ def link_components(nodes: DataFrame, texts, size: int, percent: int) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the key columns, ``doc_id, n_shingles, component_id, kept``."""
+                    id_col: str = "doc_id", text_col: str = "text", groups: bool = False) -> DataFrame:
+    """Per row: the key columns, ``doc_id, n_shingles, component_id, kept``; with ``groups``, also ``group``.
+
+    ``group`` names the component by its root set, whatever the ids (null: no set).
+    """
     signed = materialize(signatures(docs, size, bands, rows, id_col, text_col), "signatures")
     nodes = materialize(signed.where("set_key IS NOT NULL").groupBy(F.col("set_key").alias("node")).agg(
         F.min(F.struct(*KEY)).alias("one"), F.min(KEY[0]).alias("least"), F.first("n_shingles").alias("n_shingles"),
@@ -284,8 +287,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     roots = link_components(nodes, texts, size, percent)
     smallest = nodes.join(roots, "node").groupBy("root").agg(F.min("least").alias("component_id"))
     named = nodes.join(roots, "node", "left").join(smallest, "root", "left").select(
-        F.col("node").alias("set_key"), F.coalesce("component_id", "least").alias("component_id"))
+        F.col("node").alias("set_key"), F.coalesce("component_id", "least").alias("component_id"), F.coalesce("root", "node").alias("group"))
     out = signed.drop("buckets").join(named, "set_key", "left")
     component = F.when(F.col("set_key").isNull(), F.col(KEY[0])).otherwise(F.col("component_id"))
     return out.select(*KEY, F.col(KEY[0]).alias("doc_id"), "n_shingles", component.alias("component_id"),
-                      (F.col(KEY[0]) == component).alias("kept"))
+                      (F.col(KEY[0]) == component).alias("kept"), *["group"] * groups)

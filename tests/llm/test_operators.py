@@ -371,6 +371,23 @@ def test_pipeline_stages_by_brute_force(spark, edges, nothing, tmp_path):
         stage(spark, edges, sf).collect()
 
 
+def test_near_duplicate_stage_keeps_one_row_of_each_group_with_null_and_repeated_ids(spark, edges):
+    rnd = random.Random(8)
+    own = [words(rnd, 40) for _ in range(8)]
+    near = [own[2] + " end", own[3] + " end"]
+    rows = [(None, own[0]), (None, own[1]), (None, own[1]), (None, own[2]), (None, near[0]), (5, own[3]), (5, near[1]), (5, own[4]),
+            (6, own[5]), (None, own[5]), (7, own[5]), (None, None), (None, ""), (8, own[6])]
+    out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF001).collect()
+    got = sorted(r.text or "" for r in out)
+    assert own[0] in got and got.count(own[1]) == 1
+    assert got.count(own[2]) + got.count(near[0]) == 1 and got.count(own[3]) + got.count(near[1]) == 1
+    assert [r.doc_id for r in out if r.text == own[5]] == [6] and own[4] in got and own[6] in got
+    left = corpus_pipeline.near_duplicates(spark, edges, SF001).collect()
+    prose = edge_rows()[0][1]
+    assert [r.doc_id for r in left if r.text == prose] == [1]
+    assert sum(len((r.text or "").split()) > 1000 for r in left) == 1
+
+
 def test_mix_draws_large_rates_in_parts(spark):
     rare, common = 2, 4000
     rows = [(i, f"t{i}", "en", "rare" if i < rare else "common", 2) for i in range(rare + common)]
