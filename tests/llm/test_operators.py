@@ -267,6 +267,22 @@ def test_passages_at_random_offsets_inside_long_lines_are_caught(spark):
         assert removed[2 * i + 1] and all(a <= s and e <= a + len(p) for s, e in removed[2 * i + 1])
 
 
+def test_passages_on_short_lines_and_wrapped_at_other_widths_are_caught(spark):
+    rnd = random.Random(7)
+
+    def wrap(text, n):
+        w = text.split()
+        return "\n".join(" ".join(w[i:i + n]) for i in range(0, len(w), n))
+
+    texts = []
+    for n, first, second in ((51, 5, 5), (63, 3, 4), (148, 2, 7), (80, 7, 60), (200, 12, 9)):
+        p = words(rnd, n)
+        texts += [f"{words(rnd, 6)}\n{wrap(p, first)}\n{words(rnd, 4)}", f"{words(rnd, 9)} {wrap(p, second)}\n{words(rnd, 20)}"]
+    removed = removed_spans(spark, texts)
+    assert check_windows(texts, removed) >= 5
+    assert not any(removed[i] for i in range(0, len(texts), 2)) and all(removed[i] for i in range(1, len(texts), 2))
+
+
 def test_a_text_that_repeats_itself_keeps_its_first_window(spark):
     period = "a b c d e f g"
     text = " ".join([period] * 30)
