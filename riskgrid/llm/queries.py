@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskgrid.llm import decontaminate, line_templates, mixing, near_dup, paragraph_dedup, pu_classifier, quality_rules, secrets, suffix_dedup, token_counts
+from riskgrid.llm import (
+    alignment, decontaminate, hard_negatives, language_id, line_templates, mixing, near_dup, paragraph_dedup, pu_classifier, quality_rules, secrets, suffix_dedup, token_counts)
 from riskgrid.llm.common import read
 
 
@@ -60,11 +61,26 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"), vocabulary(), vocabulary("piece_bpe_32k.model"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.select("vec_id", label.alias("label"), "embedding"), F.col("id") % 50 == 0, scale=256.0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_quality_classifier, op3_token_counts, op4_secret_scan, op5_minhash_near_dedup, op6_benchmark_decontamination, op7_paragraph_dedup, op8_source_mixing, op9_line_dedup,
-    op10_quality_rules)}
+    op10_quality_rules, op11_cross_tokenizer_alignment, op12_language_id, op13_hard_negatives)}
 SQL = {
     "op6_benchmark_decontamination": decontaminate.sql(),
     "op8_source_mixing": mixing.sql(),
     "op9_line_dedup": line_templates.sql(),
+    "op13_hard_negatives": hard_negatives.sql(),
 }
