@@ -73,7 +73,7 @@ def mix(docs: DataFrame, group_col: str = "source", weights: dict[str, float] |
         rated = rows.join(F.broadcast(rates), rows["__group"].eqNullSafe(rates["__group"]))
     else:  # a hot group is dealt over the salts
         salted = rows.withColumn("__salt", F.pmod(F.xxhash64("__id"), F.lit(SALTS)))
-        spread = rates.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+        spread = rates.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
         rated = salted.join(spread, salted["__group"].eqNullSafe(spread["__group"]) & (salted["__salt"] == spread["__salt"]))
     drawn = F.transform(F.sequence(F.lit(0).cast("long"), F.col("__parts") - 1), lambda d: _unit(
         F.concat(F.lit(f"{seed}|count"), F.when(d > 0, F.concat(F.lit("."), d.cast("string"))).otherwise("")), F.col("__id")))

@@ -432,3 +432,12 @@ def test_candidates_keep_clear_of_base_spans():
         free = [(m.start(), m.end()) for m in secrets.TOKEN.finditer(text) if not any(s < m.end() and m.start() < e for s, _, e, _ in base)]
         assert set(got) <= set(free) and all((a, b) in got for a, b, v in ((a, b, text[a:b]) for a, b in free)
                                             if any(map(str.isdigit, v)) and any(map(str.islower, v)) and any(map(str.isupper, v)) and secrets.entropy(v) >= secrets.MIN_ENTROPY)
+
+
+def test_mix_of_many_groups_joined_in_salted_parts_is_the_same(edges, sample, monkeypatch):
+    for docs in (edges, sample):
+        got = []
+        for groups in (mixing.BROADCAST_GROUPS, 0):
+            monkeypatch.setattr(mixing, "BROADCAST_GROUPS", groups)
+            got.append(sorted(map(str, mixing.mix(docs).select("doc_id", "copy", "shuffle_key").collect())))
+        assert got[0] == got[1] and got[0]
