@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskgrid.operators.metrics import decision, metric_table
-from riskgrid.operators.prep import fit_categories, fit_numeric, interactions, output_names, transform
+from riskgrid.operators.prep import fit_categories, fit_numeric, interactions, one_hot, output_names, standardize, transform
 from riskgrid.schema import BASE_CATEGORICAL, BASE_NUMERIC, PARITY_VARIANTS, TARGET, VARIANTS
 
 KEYS = ("region", "date", "split", TARGET)
@@ -42,12 +42,15 @@ class FittedModel:
 
     def score(self, df: DataFrame) -> DataFrame:
         """(run, split, region, date, label, score, pred) for every row of ``df``."""
-        x = transform(df, self.numeric, self.categories, self.stats, keep=KEYS)
+        return self.predict(df, KEYS).select(F.lit(self.run).alias("run"), "split", "region", "date",
+                                             F.col(TARGET).alias("label"), "score", "pred")
+
+    def predict(self, df: DataFrame, keep) -> DataFrame:
+        """The columns ``keep``, then score and pred; labels and splits are not needed."""
+        x = transform(df, self.numeric, self.categories, self.stats, keep=keep)
         x = VectorAssembler(inputCols=self.names, outputCol="features").transform(x)
         p = vector_to_array(F.col("probability"))[1]
-        out = self.model.transform(x)
-        return out.select(F.lit(self.run).alias("run"), "split", "region", "date",
-                          F.col(TARGET).alias("label"), p.alias("score"), decision(p).alias("pred"))
+        return self.model.transform(x).select(*keep, p.alias("score"), decision(p).alias("pred"))
 
 
 def balanced(train: DataFrame, label: str = TARGET) -> tuple[DataFrame, int]:
@@ -221,6 +224,55 @@ def interaction_runs(table: DataFrame, regions, experiments=INTERACTION_EXPERIME
     return _union([score_splits(m, t) for m, t in zip(fitted, frames)]), fitted
 
 
+# ---------------------------------------------------------------------------
+# Certificates: is a fitted logistic regression the optimum of its objective?
+# ---------------------------------------------------------------------------
+
+#: Largest gradient component that counts as zero. A coefficient that is off by 0.01 gives some 1e-3.
+RESIDUAL = 1e-5
+
+
+def residuals(train: DataFrame, fitted: list) -> DataFrame:
+    """``run, residual``: the largest component of the gradient of each model's objective at its coefficients.
+
+    Models fitted on the same rows share one aggregate over them: a sum per model input, combined
+    in the tasks before the shuffle, whatever the number of rows.
+    """
+    weighted, n = balanced(train)
+    sums = []
+    for k, m in enumerate(fitted):
+        beta, bias = m.model.coefficients.toArray(), float(m.model.intercept)
+        inputs = dict(zip(m.names, _design_columns(m)))
+        z = F.lit(bias)
+        for name, b in zip(m.names, beta):
+            z = z + inputs[name] * F.lit(float(b))
+        off = F.col("weight") * (1 / (1 + F.exp(-z)) - F.col(TARGET).cast("double"))
+        lam = 1.0 / (m.params["C"] * n)
+        parts = [F.abs(F.sum(off * inputs[name]) / n + F.lit(lam * float(b))) for name, b in zip(m.names, beta)]
+        sums.append(F.greatest(F.abs(F.sum(off) / n), *parts).alias(f"r{k}"))
+    row = weighted.agg(*sums)
+    each = F.array(*[F.struct(F.lit(m.run).alias("run"), F.col(f"r{k}").alias("residual")) for k, m in enumerate(fitted)])
+    return row.select(F.explode(each).alias("r")).select("r.*")
+
+
+def _design_columns(m: FittedModel) -> list:
+    """The model's inputs as columns of the feature table, in the order of its names."""
+    return [standardize(c, m.stats) for c in m.numeric] + [x for c, values in m.categories.items() for x in one_hot(c, values)]
+
+
+def certificates(groups, bound: float = RESIDUAL) -> DataFrame:
+    """``run, split, rows, residual_ok`` for ``(table, fitted models)`` pairs: each model is checked on the
+    train rows of its table; rows are what it scores, by split."""
+    out = []
+    for table, fitted in groups:
+        known = table.filter(F.col("split").isin("train", "validate"))
+        rows = known.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
+        ok = residuals(known.filter(F.col("split") == "train"), fitted).select("run", (F.col("residual") <= bound).alias("residual_ok"))
+        runs = F.explode(F.array(*[F.lit(m.run) for m in fitted])).alias("run")
+        out.append(rows.select("*", runs).join(ok, "run").select("run", "split", "rows", "residual_ok"))
+    return _union(out)
+
+
 # ---------------------------------------------------------------------------
 # M7 / M8 rankings, E10 run log
 # ---------------------------------------------------------------------------

@@ -1182,3 +1182,6 @@ def q_model_comparison(spark, sf):
     fitted = M.evaluate(materialize(lr.unionByName(rf), "comparison_scores"))
     closed = closed_form_metrics(t).filter(F.col("run") != "activity")
     return leaderboard(fitted.unionByName(closed), [r.name for r in P.regions])
+
+
+from riskgrid.plans import model_queries  # noqa: E402, F401  (registers its queries)
