@@ -1,9 +1,7 @@
-"""Planar and spherical geometry as native column arithmetic."""
+"""Planar geometry as native column arithmetic."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,36 +37,3 @@ def nearest_segment_degrees(px: Column, py: Column, segments: Column) -> Column:
 def in_box(lat: Column, lon: Column, min_lat, max_lat, min_lon, max_lon) -> Column:
     """Inclusive lat/lon rectangle test."""
     return lat.between(min_lat, max_lat) & lon.between(min_lon, max_lon)
-
-
-def great_circle_segment_sql(plat: str, plon: str, s, radius_km: float = 6371.0,
-                             dialect: str = "spark") -> str:
-    """Great-circle distance (km) from a point to a great-circle segment, as SQL text.
-
-    Cross-track distance when the point projects inside the segment, else the
-    nearer end; a zero-length segment is a point. Coordinates in degrees.
-    ``dialect`` only changes how double literals are spelled.
-    """
-    def d(x: float) -> str:
-        return f"{float(x)!r}D" if dialect == "spark" else f"CAST({float(x)!r} AS DOUBLE)"
-    r = d(math.pi / 180.0)
-    one, neg = d(1.0), d(-1.0)
-    la1, lo1, la2, lo2 = (f"({d(v)} * {r})" for v in (s.y1, s.x1, s.y2, s.x2))
-    la3, lo3 = f"({plat} * {r})", f"({plon} * {r})"
-
-    def hav(a_la, a_lo, b_la, b_lo):
-        a = (f"(sin(({b_la} - {a_la}) / 2) * sin(({b_la} - {a_la}) / 2) + cos({a_la}) * cos({b_la}) * "
-             f"sin(({b_lo} - {a_lo}) / 2) * sin(({b_lo} - {a_lo}) / 2))")
-        return f"(2 * asin(sqrt(least({one}, {a}))))"
-
-    def bearing(a_la, a_lo, b_la, b_lo):
-        return (f"atan2(sin({b_lo} - {a_lo}) * cos({b_la}), "
-                f"cos({a_la}) * sin({b_la}) - sin({a_la}) * cos({b_la}) * cos({b_lo} - {a_lo}))")
-    d13 = hav(la1, lo1, la3, lo3)
-    d23 = hav(la2, lo2, la3, lo3)
-    d12 = hav(la1, lo1, la2, lo2)
-    dth = f"({bearing(la1, lo1, la3, lo3)} - {bearing(la1, lo1, la2, lo2)})"
-    xt = f"asin(least({one}, greatest({neg}, sin({d13}) * sin({dth}))))"
-    at = f"acos(least({one}, greatest({neg}, cos({d13}) / cos({xt}))))"
-    return (f"(CASE WHEN {d12} = 0 THEN {d13} WHEN cos({dth}) < 0 THEN {d13} "
-            f"WHEN {at} > {d12} THEN {d23} ELSE abs({xt}) END) * {d(radius_km)}")

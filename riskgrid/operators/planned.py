@@ -120,10 +120,9 @@ def other_type_counts(catalog: DataFrame, keep_type: str, days: int = 30) -> Dat
 def geodesic_distance_to_fault(events: DataFrame, segments, lat: str = "latitude",
                                lon: str = "longitude") -> DataFrame:
     """Great-circle km to the nearest boundary segment (the planar x111 rule's geodesic variant)."""
-    from riskgrid.functions.geo import great_circle_segment_sql
-    each = [great_circle_segment_sql(f"`{lat}`", f"`{lon}`", s) for s in segments]
-    expr = each[0] if len(each) == 1 else f"least({', '.join(each)})"
-    return events.withColumn("geodesic_km", F.expr(expr))
+    from riskgrid.operators.sphere import nearest_segment_km
+    rows = events.sparkSession.createDataFrame([(s.x1, s.y1, s.x2, s.y2) for s in segments], "x1 double, y1 double, x2 double, y2 double")
+    return nearest_segment_km(events, rows, lat, lon)
 
 
 # X6 ------------------------------------------------------------------------

@@ -9,6 +9,8 @@ equal to the last bit regardless of summation order.
 
 from __future__ import annotations
 
+import math
+
 from riskgrid.schema import STANDIN_REGIONS, STANDIN_SEGMENTS, STANDIN_SPLIT, SplitSpec
 
 SCALE = "1000000.0"
@@ -92,6 +94,26 @@ filled AS (SELECT g.region, g.date, t.n, t.mag_sum, t.mag_max, t.large, t.depth_
            FROM grid g LEFT JOIN tally t ON g.region = t.region AND g.date = t.date)"""
 
 
+def arc_sql(px: str, py: str, radius_km: float = 6371.0) -> str:
+    """Great-circle km from (px, py) to the segment ``x1, y1, x2, y2``, by spherical trigonometry on bearings (for DuckDB)."""
+    r = f"CAST({math.pi / 180!r} AS DOUBLE)"
+
+    def part(lat1, lon1, lat2, lon2):
+        """Angle by the haversine, and bearing, from the first to the second place."""
+        dla, dlo = f"(({lat2}) - ({lat1})) * {r}", f"(({lon2}) - ({lon1})) * {r}"
+        h = f"(pow(sin({dla} / 2), 2) + cos({lat1} * {r}) * cos({lat2} * {r}) * pow(sin({dlo} / 2), 2))"
+        bearing = f"atan2(sin({dlo}) * cos({lat2} * {r}), cos({lat1} * {r}) * sin({lat2} * {r}) - sin({lat1} * {r}) * cos({lat2} * {r}) * cos({dlo}))"
+        return f"(2 * asin(sqrt(least(1.0, {h}))))", bearing
+
+    to_p, way_p = part("y1", "x1", py, px)
+    to_b, way_b = part("y1", "x1", "y2", "x2")
+    end, way_end = part("y2", "x2", py, px)
+    _, way_back = part("y2", "x2", "y1", "x1")
+    turn, turn_back = f"(({way_p}) - ({way_b}))", f"(({way_end}) - ({way_back}))"
+    return (f"(CASE WHEN x1 = x2 AND y1 = y2 THEN {to_p} WHEN cos({turn}) < 0 THEN {to_p} WHEN cos({turn_back}) < 0 THEN {end} "
+            f"ELSE abs(asin(greatest(-1.0, least(1.0, sin({to_p}) * sin({turn}))))) END * {radius_km!r})")
+
+
 W = "PARTITION BY region ORDER BY date"
 
 

@@ -1066,18 +1066,43 @@ def q_other_types_30d(spark, sf):
         "region", "date", F.sum(F.coalesce("n_other", F.lit(0))).over(w).cast("bigint").alias("other_30d"))
 
 
-def _gc_sql():
-    from riskgrid.functions.geo import great_circle_segment_sql
-    each = [great_circle_segment_sql("latitude", "longitude", s, dialect="duckdb") for s in P.segments]
-    return (f"WITH {O.CATALOG}\nSELECT id, latitude, longitude, "
-            f"round(least({', '.join(each)}), 6) AS geodesic_km FROM catalog")
+#: Boundary map of the stand-in: one short segment per customer, all around the globe, poles and date line included.
+_MAP_SQL = """seg AS (
+  SELECT x1, y1, x1 + (c_custkey * 29 % 41) / 8.0 - 2.5 AS x2, greatest(-90.0, least(90.0, y1 + (c_custkey * 31 % 37) / 9.0 - 2.0)) AS y2
+  FROM (SELECT c_custkey, CAST((c_custkey * 7919) % 3600 AS DOUBLE) / 10 - 180 AS x1,
+               CAST((c_custkey * 104729) % 1801 AS DOUBLE) / 10 - 90 AS y1 FROM customer) c)"""
 
 
-@query("geodesic_distance", _gc_sql())
+def _boundary_map(spark, sf):
+    from riskgrid.sources.tables import read_table
+    key = F.col("c_custkey")
+    start = read_table(spark, sf, "customer").select(key, ((key * 7919) % 3600).cast("double").alias("a"), ((key * 104729) % 1801).cast("double").alias("b"))
+    start = start.select(key, (F.col("a") / 10 - 180).alias("x1"), (F.col("b") / 10 - 90).alias("y1"))
+    y2 = F.col("y1") + (key * 31 % 37) / 9.0 - 2.0
+    return start.select("x1", "y1", (F.col("x1") + (key * 29 % 41) / 8.0 - 2.5).alias("x2"), F.greatest(F.lit(-90.0), F.least(F.lit(90.0), y2)).alias("y2"))
+
+
+def _gc_sql(segments):
+    return f"""WITH {O.CATALOG},
+{segments},
+near AS (SELECT longitude, latitude, min({O.arc_sql('longitude', 'latitude')}) AS km
+         FROM (SELECT DISTINCT longitude, latitude FROM catalog) p CROSS JOIN seg GROUP BY ALL)
+SELECT id, latitude, longitude, round(km, 4) AS geodesic_km FROM catalog JOIN near USING (longitude, latitude)"""
+
+
+@query("geodesic_distance", _gc_sql(O.segment_values()))
 def q_geodesic_distance(spark, sf):
     """Great-circle km from every event to its nearest boundary segment."""
     g = PL.geodesic_distance_to_fault(_catalog(spark, sf), P.segments)
-    return g.select("id", "latitude", "longitude", F.round("geodesic_km", 6).alias("geodesic_km"))
+    return g.select("id", "latitude", "longitude", F.round("geodesic_km", 4).alias("geodesic_km"))
+
+
+@query("geodesic_distance_map", _gc_sql(_MAP_SQL))
+def q_geodesic_distance_map(spark, sf):
+    """The same for a map with a segment per customer."""
+    from riskgrid.operators.sphere import nearest_segment_km
+    g = nearest_segment_km(_catalog(spark, sf), _boundary_map(spark, sf))
+    return g.select("id", "latitude", "longitude", F.round("geodesic_km", 4).alias("geodesic_km"))
 
 
 @query("drift_check", O.with_ft(f"""
