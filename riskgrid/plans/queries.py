@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid as _uuid
+
 from pyspark.sql import functions as F
 
 from riskgrid.operators.grid import daily_grid, daily_tally, gap_filled_tally
@@ -493,14 +495,17 @@ from riskgrid.sources.tables import events as _events, standin_catalog as _catal
 _EV = "CAST(event_id AS VARCHAR)"
 
 
-@query("ingest_flatten", f"""
+_FLAT_SQL = f"""
 SELECT 'ev' || {_EV} AS id, event_type AS region, make_timestamp((epoch_us(ts) // 1000) * 1000) AS time, props AS place,
        CASE WHEN isnan(value) THEN NULL ELSE value END AS magnitude, 'ml' AS mag_type,
        CAST((event_id * 37) % 3600 AS DOUBLE) / 10 - 180 AS longitude,
        CAST((event_id * 53) % 1800 AS DOUBLE) / 10 - 90 AS latitude, value AS depth_km,
        CAST(json_extract(props, '$.k') AS INTEGER) AS nst, CAST(NULL AS DOUBLE) AS gap,
        CAST(NULL AS DOUBLE) AS dmin, CAST(NULL AS DOUBLE) AS rms, event_type AS type, 'reviewed' AS status
-FROM events""")
+FROM events"""
+
+
+@query("ingest_flatten", _FLAT_SQL)
 def q_ingest_flatten(spark, sf):
     """Events re-shaped as feature collections (JSON), parsed with the fixed schema and flattened."""
     flat = ING.parse_collections(ING.events_as_collections(_events(spark, sf)))
@@ -510,6 +515,15 @@ def q_ingest_flatten(spark, sf):
 _CAT_OUT = ["id", "region", "time", "magnitude", "depth_km", "longitude", "latitude", "type", "status"]
 
 
+@query("ingest_landed", _FLAT_SQL)
+def q_ingest_landed(spark, sf):
+    """Events landed as files of multi-feature collections, cut at feature borders and flattened."""
+    from riskgrid.session import checkpoint_dir
+    path = f"{checkpoint_dir(spark).rstrip('/')}/riskgrid-landed/{_uuid.uuid4().hex}"
+    ING.land_collections(_events(spark, sf), path)
+    return ING.read_features(spark, path)
+
+
 @query("scan_union", f"WITH {O.CATALOG}\nSELECT {', '.join(_CAT_OUT)} FROM catalog")
 def q_scan_union(spark, sf):
     """Write the catalog as CSV, one folder per region sorted by time; scan all back with a schema."""

@@ -9,6 +9,8 @@ prune time ranges the way the reference's (region, time) index did.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,15 +52,69 @@ def flatten_features(collections: DataFrame, region: Column | str) -> DataFrame:
     )
 
 
-def read_feature_collections(spark: SparkSession, path: str, region: str | None = None) -> DataFrame:
+def read_feature_collections(spark: SparkSession, path: str | list, region: str | None = None) -> DataFrame:
     """Landed feature-collection files (one JSON document per file), schema given.
 
-    Without ``region`` the tag is the ``region=<name>`` folder of each file.
+    Without ``region`` the tag is the ``region=<name>`` folder of each file. A document is one
+    task's work here; ``read_features`` cuts large ones.
     """
     raw = (spark.read.schema(FEATURE_COLLECTION).option("multiLine", True).json(path)
            .select("features", F.col("_metadata.file_path").alias("_path")))
-    tag = F.lit(region) if region else F.regexp_extract("_path", r"region=([^/]+)", 1)
-    return flatten_features(raw, tag)
+    return flatten_features(raw, _tag(region))
+
+
+def _tag(region: str | None) -> Column:
+    """The given region, or the ``region=<name>`` folder in ``_path`` (a URL: blanks stand as %20, a plus for itself)."""
+    if region:
+        return F.lit(region)
+    return F.url_decode(F.regexp_replace(F.regexp_extract("_path", r"region=([^/]+)", 1), r"\+", "%2B"))
+
+
+#: What separates the features of a collection: each begins ``{"type": "Feature"``, with any white space.
+BORDER = '"Feature"'
+_NEXT, _FIRST = r',\s*\{\s*"type"\s*:\s*$', r'"features"\s*:\s*\[\s*\{\s*"type"\s*:\s*$'
+_DOCUMENT, _EMPTY = '"FeatureCollection"', r'"features"\s*:\s*\[\s*\]'
+
+
+def read_features(spark: SparkSession, path: str, region: str | None = None) -> DataFrame:
+    """The same rows as ``read_feature_collections``, from documents of any size.
+
+    Files are read as text records that end at ``"Feature"``, so Spark cuts one large document over many tasks
+    at feature borders, and no task holds more than a feature or two. Strings of a document hold no bare quote, so
+    the border is only ever a whole string; a record must end in the opening of the first or the next feature of a
+    collection. Features between two borders (without a type) are read with the one before them. Files may hold several
+    documents. A file is read whole instead (one document, one task, as ``read_feature_collections`` does) if a feature of
+    it has its type elsewhere, holds a bare ``"Feature"`` inside or does not parse; one pass over the records finds such files.
+    """
+    text = spark.read.option("lineSep", BORDER).text(path).select("value", F.col("_metadata.file_path").alias("_path"))
+    follows = F.col("value").rlike(r"^\s*,")
+    body = F.concat(F.lit(f'[{{"type":{BORDER}'), F.regexp_replace("value", _NEXT, "]"))  # a collection's last feature brings its own end
+    records = text.select("_path", follows.alias("follows"), F.col("value").rlike(_FIRST).alias("first"), F.col("value").rlike(_NEXT).alias("next"),
+                          (F.regexp_count("value", F.lit(_DOCUMENT)) - F.regexp_count("value", F.lit(_EMPTY))).alias("filled"),
+                          F.when(follows, F.from_json(body, FEATURE_COLLECTION["features"].dataType)).alias("features"))
+    # Per file: all records but the last open a feature, all but the head go on with one, and every collection that is not empty opens its first.
+    found = records.groupBy("_path").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("first") | F.col("next")).alias("opens"), F.count_if("follows").alias("follows"),
+        F.count_if("first").alias("first"), F.sum("filled").alias("filled"), F.count_if(F.col("follows") & F.col("features").isNull()).alias("broken"))
+    odd = found.where("opens != n - 1 OR follows != n - 1 OR first != filled OR broken > 0")
+    odd = [r[0] for r in odd.select("_path").collect()]  # names of odd files
+    cut = records.where("follows" if not odd else F.col("follows") & ~F.col("_path").isin(odd))
+    out = flatten_features(cut.select("features", "_path"), _tag(region))
+    if odd:
+        out = out.unionByName(read_feature_collections(spark, [unquote(p) for p in odd], region))
+    return out
+
+
+def land_collections(events: DataFrame, path: str, page: int = CHUNK_LIMIT) -> None:
+    """Write events as multi-feature collections, ``region=<tag>`` folders, pages of some ``page`` features (a service's
+    page limit): what the service would have landed. Pages are numbered by hash, so no order of the whole is needed."""
+    features = events_as_collections(events).select(
+        F.col("source").alias("region"), F.get_json_object("json", "$.features[0]").alias("feature"), F.xxhash64("json").alias("_h"))
+    counts = features.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / page).alias("_pages"))
+    paged = features.join(counts, "region").withColumn("_page", F.pmod("_h", F.col("_pages")))
+    docs = paged.groupBy("region", "_page").agg(F.array_join(F.sort_array(F.collect_list(F.regexp_replace("feature", r"^\{", '{"type":"Feature",'))), ",\n").alias("body"))
+    text = F.concat(F.lit('{"type":"FeatureCollection","metadata":{"status":200},"features":['), F.col("body"), F.lit('],"bbox":[-180,-90,180,90]}'))
+    docs.select("region", text.alias("value")).write.mode("overwrite").partitionBy("region").text(path)
 
 
 def events_as_collections(events: DataFrame) -> DataFrame:
