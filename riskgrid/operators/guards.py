@@ -46,21 +46,41 @@ def guard_one_split(table: DataFrame) -> DataFrame:
 
 
 def guard_forbidden(table: DataFrame, variants=VARIANTS) -> DataFrame:
-    """Neither the table nor any variant holds a column whose role is excluded. Reads the table's own columns."""
-    inputs = {c for v in variants.values() for part in v.columns() for c in part}
-    excluded = ", ".join(sorted(c for c in inputs.union(table.columns) if role_of(c) == ROLE_EXCLUDED))
-    verdict = _row(4, "leak-prone columns never used", F.lit(not excluded), F.lit(f"offending columns: {excluded or 'none'}"))
-    return table.agg(F.count(F.lit(1)).alias("n")).select(verdict.alias("r")).select("r.*")
+    """Neither the table nor any variant holds a column whose role is excluded.
+
+    A column of the table counts if any of its rows holds a value; a variant's input by its name.
+    """
+    named = {c for v in variants.values() for part in v.columns() for c in part if role_of(c) == ROLE_EXCLUDED}
+    held = [c for c in table.columns if role_of(c) == ROLE_EXCLUDED]
+    filled = table.agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(c) for c in held])
+    used = F.array_sort(F.array_distinct(F.concat(F.array(*[F.lit(c) for c in sorted(named)]).cast("array<string>"), F.array_compact(
+        F.array(*[F.when(F.col(c) > 0, F.lit(c)) for c in held]).cast("array<string>")))))
+    text = F.when(F.size(used) > 0, F.concat_ws(", ", used)).otherwise("none")
+    return filled.select(_row(4, "leak-prone columns never used", F.size(used) == 0, F.concat(F.lit("excluded columns in use: "), text)).alias("r")).select("r.*")
+
+
+def median_ranks(rows: DataFrame, column: str, value: float) -> DataFrame:
+    """Whether ``value`` is the (interpolated) median of the column's non-null rows: one row, a boolean.
+
+    Judged by ranks, not by another median: the middle rows are ``value`` itself, or it lies midway between them. Counts and
+    extremes only, so no task holds the column.
+    """
+    x, v = F.col(column), F.lit(float(value))
+    at = rows.agg(F.count(x).alias("n"), F.count_if(x < v).alias("below"), F.count_if(x == v).alias("equal"),
+                  F.max(F.when(x < v, x)).alias("left"), F.min(F.when(x > v, x)).alias("right"))
+    half = F.floor((F.col("n") - 1) / 2)
+    in_rows = (F.col("below") <= half) & (F.col("below") + F.col("equal") > F.floor(F.col("n") / 2))
+    between = (F.col("equal") == 0) & (F.col("below") * 2 == F.col("n")) & (F.abs((F.col("left") + F.col("right")) / 2 - v) < F.lit(1e-9))
+    return at.select(F.coalesce((F.col("n") > 0) & (in_rows | between), F.lit(False)).alias("is_median"))
 
 
-def guard_train_only(table: DataFrame, column: str = "avg_mag_7d") -> DataFrame:
-    """The fitted imputer median equals the train median (fit saw train rows only)."""
+def guard_train_only(table: DataFrame, column: str = "avg_mag_7d", fitted: float | None = None) -> DataFrame:
+    """The imputer's median (``fitted``; by default that of a fit on the train rows) is the train rows' median, judged by ranks."""
     train = table.filter(F.col("split") == "train")
-    f = F.lit(fit_numeric(train, [column])[column][0])
-    recomputed = train.agg(F.median(column).alias("train_median"),)
-    return recomputed.select(_row(5, "preprocessing fit on train only",
-                                  F.coalesce(F.abs(f - F.col("train_median")) < F.lit(1e-9), F.lit(False)),
-                                  F.lit(f"{column}: fitted median = train median")).alias("r")).select("r.*")
+    if fitted is None:
+        fitted = fit_numeric(train, [column])[column][0]
+    return median_ranks(train, column, fitted).select(
+        _row(5, "preprocessing fit on train only", F.col("is_median"), F.lit(f"{column}: fitted median = train median")).alias("r")).select("r.*")
 
 
 def guard_label(table: DataFrame, label: str = "label_7d") -> DataFrame:

@@ -140,6 +140,11 @@ def drift_flags(scored_by_year: DataFrame, yearly_counts: DataFrame, drop_ratio:
 
 
 # X10 -----------------------------------------------------------------------
+def before_test(table: DataFrame, spec: SplitSpec) -> DataFrame:
+    """Region-days whose label window ends before the sealed test block begins."""
+    return table.where(F.date_add("date", spec.embargo_days) < F.lit(spec.test_start))
+
+
 def hashed_split(df: DataFrame, train: float = 0.70, validate: float = 0.15) -> DataFrame:
     """Replace ``split`` by a deterministic pseudo-random one (a hash of region and day),
     ignoring time: the 'shuffled' control for the embargoed date split."""

@@ -38,7 +38,10 @@ def null_rates(df: DataFrame, columns) -> DataFrame:
 def duplicates(df: DataFrame, id_col: str = "id") -> DataFrame:
     ids = df.groupBy(id_col).count().agg(F.count_if(F.col("count") > 1).alias("duplicate_ids"),
                                          F.sum("count").alias("n_rows"))
-    rows = df.groupBy(*df.columns).count().select(F.count_if(F.col("count") > 1)).scalar()
+    # Equal rows have equal ids: only rows of repeated and null ids are compared as a whole.
+    repeated = df.groupBy(F.col(id_col).alias("_id")).count().where("count > 1").select("_id")
+    suspects = df.join(repeated, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
+    rows = suspects.groupBy(*df.columns).count().select(F.count_if(F.col("count") > 1)).scalar()
     return ids.select("n_rows", "duplicate_ids", rows.alias("duplicate_rows"))
 
 
@@ -249,34 +252,3 @@ def spatial_bins(df: DataFrame, deg: float = 10.0) -> DataFrame:
     return df.groupBy((F.floor(F.col("latitude") / deg) * deg).alias("lat_bin"),
                       (F.floor(F.col("longitude") / deg) * deg).alias("lon_bin")) \
              .agg(F.count(F.lit(1)).alias("n"))
-
-
-# D9 / D12 p-values ----------------------------------------------------------
-def attach_p_values(stats: DataFrame, kind: str) -> DataFrame:
-    """Add ``p_value`` to a handful of result rows (one per region/scope).
-
-    The statistic is computed by Spark; its tail probability comes from the
-    distributions Spark itself ships (commons-math on the JVM classpath),
-    evaluated on the driver for these few rows only.
-    kind='t': two-sided p for t_stat with n-2 dof; kind='chi2': upper tail of chi2 with
-    months_seen-1 dof.
-    """
-    spark = stats.sparkSession
-    dist = spark.sparkContext._jvm.org.apache.commons.math3.distribution
-    rows = stats.collect()
-    out = []
-    for r in rows:
-        d = r.asDict()
-        if kind == "t":
-            t, n = d.get("t_stat"), d.get("n")
-            p = None if t is None or n is None or n <= 2 else \
-                2.0 * (1.0 - dist.TDistribution(float(n - 2)).cumulativeProbability(abs(float(t))))
-        else:
-            c, k = d.get("chi2"), d.get("months_seen")
-            p = None if c is None or k is None or k < 2 else \
-                1.0 - dist.ChiSquaredDistribution(float(k - 1)).cumulativeProbability(float(c))
-        d["p_value"] = p
-        out.append(d)
-    from pyspark.sql import types as T
-    schema = T.StructType(list(stats.schema.fields) + [T.StructField("p_value", T.DoubleType())])
-    return spark.createDataFrame([tuple(d[f.name] for f in schema.fields) for d in out], schema)

@@ -127,3 +127,75 @@ def q_refreshed_features(spark, sf):
     for number in (1, 2, 3, 2):
         store.apply(events.where(F.col("landed") == number).drop("landed"), number)
     return store.features()
+
+
+# --- X3 / X5: time-forward search --------------------------------------------
+
+from riskgrid.plans.queries import _CUTOFFS as CUTOFFS  # noqa: E402
+from riskgrid.plans.search import GRID, fold, folded, search  # noqa: E402
+
+FOLD_DAYS = 365
+
+
+@query("expanding_search")
+def q_expanding_search(spark, sf):
+    """Average precision of each config on each expanding fold, the mean, and the one chosen."""
+    return search(_table(spark, sf), P.split, CUTOFFS, FOLD_DAYS)[1]
+
+
+def _folds_sql():
+    parts = []
+    for end in CUTOFFS:
+        case = O.split_case("date", fold(end, FOLD_DAYS, P.split.embargo_days))
+        parts.append(f"SELECT DATE '{end}' AS train_end, {case} AS split, region, date FROM ft WHERE date + 7 < DATE '{P.split.test_start}'")
+    folds = "\nUNION ALL\n".join(parts)
+    return O.with_ft(f"""SELECT train_end, split, COUNT(*) AS rows, MAX(date) AS last_day,
+       CASE WHEN split = 'validate' THEN {len(GRID)} * COUNT(*) ELSE 0 END AS scored, MAX(date) + 7 >= DATE '{P.split.test_start}' AS sealed_days
+FROM ({folds}) f WHERE split IN ('train', 'validate') GROUP BY train_end, split""")
+
+
+@query("expanding_search_folds", _folds_sql())
+def q_expanding_search_folds(spark, sf):
+    """Rows and last day of each fold, validation rows scored by all configs, and whether any lies in the sealed block."""
+    table = _table(spark, sf)
+    scores, _ = search(table, P.split, CUTOFFS, FOLD_DAYS)
+    scored = scores.groupBy("train_end").agg(F.count("score").alias("n"))
+    rows = M._union([folded(table, P.split, end, FOLD_DAYS).select(F.lit(end).alias("train_end"), "split", "date") for end in CUTOFFS])
+    per = rows.groupBy("train_end", "split").agg(F.count(F.lit(1)).alias("rows"), F.max("date").alias("last_day"))
+    return per.join(scored, "train_end", "left").select(
+        "train_end", "split", "rows", "last_day", F.when(F.col("split") == "validate", F.coalesce("n", F.lit(0))).otherwise(0).cast("long").alias("scored"),
+        (F.date_add("last_day", P.horizon) >= F.lit(P.split.test_start)).alias("sealed_days"))
+
+
+# --- E10 / X6: the run log of all runners, drift between runs -----------------
+
+@query("run_log_all")
+def q_run_log_all(spark, sf):
+    """One run of every runner (variants, per region, interactions, reference scorers), as it is logged."""
+    return M.all_runs(_table(spark, sf), _regions())
+
+
+#: What the first of two logged refreshes had seen of the validation block.
+_SEEN = dt.date(1999, 12, 31)
+
+
+def _drift_sql():
+    def one(n, where):
+        return (f"SELECT {n} AS k, * FROM (WITH ft AS (SELECT * FROM ft_all WHERE {where}),\n{O.metrics_cte()}\nSELECT * FROM metrics)")
+    return O.with_ft(f"""SELECT run, split, region, metric, round(previous, 9) AS previous, round(current, 9) AS current, round(current - previous, 9) AS change,
+       COALESCE(CASE WHEN metric = 'log_loss' THEN current - previous ELSE previous - current END > 0.02, false) AS drift
+FROM (SELECT run, split, region, metric, MAX(value) FILTER (WHERE k = 1) AS previous, MAX(value) FILTER (WHERE k = 2) AS current
+      FROM ({one(1, f"NOT (split = 'validate' AND date > DATE '{_SEEN}')")} UNION ALL {one(2, "true")}) l GROUP BY ALL) d
+WHERE current IS NOT NULL""", "ft_all AS (SELECT * FROM ft)")
+
+
+@query("run_drift", _drift_sql())
+def q_run_drift(spark, sf):
+    """Change of every logged metric of the reference scorers between the last two logged runs, and which fell."""
+    from riskgrid.plans.scoring import closed_form_metrics
+    table, path = _table(spark, sf), _store(spark, "runs")
+    earlier = table.where(~((F.col("split") == "validate") & (F.col("date") > F.lit(_SEEN))))
+    for run_id, rows, at in (("refresh-1", earlier, REFRESHED_AT - dt.timedelta(days=7)), ("refresh-2", table, REFRESHED_AT)):
+        M.append_runs(M.run_log(closed_form_metrics(rows), []), path, run_id, at)
+    d = M.drift(spark.read.parquet(path), max_fall=0.02)
+    return d.select("run", "split", "region", "metric", *[F.round(c, 9).alias(c) for c in ("previous", "current", "change")], "drift")

@@ -295,12 +295,31 @@ def evaluate(scored: DataFrame) -> DataFrame:
     return metric_table(scored, ("run", "split"), True)
 
 
+#: Parameters of the scorers that are not fitted.
+REFERENCE_PARAMS = {
+    "prior": {"model": "dummy", "strategy": "prior", "variant": "reference"},
+    "persistence": {"model": "heuristic", "rule": "large_30d >= 1", "variant": "reference"},
+    "activity": {"model": "closed_form", "rule": "quakes_7d / (quakes_7d + 10) >= 0.5", "variant": "reference"},
+}
+
+
+def run_params(m: FittedModel) -> dict:
+    """What is logged of a fitted run: its variant and inputs beside the fitter's parameters."""
+    region, _, rest = m.run.rpartition("|")
+    variant = rest if rest in VARIANTS else rest.partition("_")[2] if rest.partition("_")[2] in VARIANTS else "interactions"
+    out = {"variant": variant, "features": ", ".join(m.names), "n_features": len(m.numeric) + len(m.categories), "class_weight": "balanced", "imputation": "median"}
+    if region:
+        out["region"] = region
+    if variant in VARIANTS:
+        out["description"] = VARIANTS[variant].description
+    return {k: str(v) for k, v in (m.params | out).items()}
+
+
 def run_log(metrics: DataFrame, fitted: list) -> DataFrame:
-    """Params + train_/val_ metrics per run, as one DataFrame."""
+    """Params + train_/val_ metrics per run, as one DataFrame; runs of reference scorers have their fixed parameters."""
     spark = metrics.sparkSession
-    params = spark.createDataFrame(
-        [(m.run, {k: str(v) for k, v in m.params.items()} | {"features": ", ".join(m.names)}) for m in fitted],
-        "run string, params map<string,string>")
+    known = REFERENCE_PARAMS | {m.run: run_params(m) for m in fitted}
+    params = spark.createDataFrame(list(known.items()), "run string, params map<string,string>")
     named = metrics.withColumn("name", F.concat(F.when(F.col("split") == "train", F.lit("train_"))
                                                 .otherwise(F.lit("val_")), F.col("metric"),
                                                 F.when(F.col("region").isNotNull(),
@@ -308,6 +327,35 @@ def run_log(metrics: DataFrame, fitted: list) -> DataFrame:
     return named.join(params, "run").select("run", "params", "split", "region", "metric", "name", "value")
 
 
-def write_run_log(log: DataFrame, path: str) -> None:
-    """One partition per run: logging a run again replaces its rows, and leaves the others."""
-    log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path)
+def all_runs(table: DataFrame, regions, variants=PARITY_VARIANTS, experiments=INTERACTION_EXPERIMENTS) -> DataFrame:
+    """Log rows of every runner: pooled variants, per-region variants, interactions and the reference scorers."""
+    from riskgrid.plans.scoring import closed_form_metrics
+    from riskgrid.session import materialize
+    scored, fitted = [], []
+    for frame, models in (ablation(table, variants), per_region(table, regions, variants), interaction_runs(table, regions, experiments)):
+        scored.append(frame)
+        fitted += models
+    metrics = evaluate(materialize(_union(scored), "all-run-scores"))
+    return run_log(metrics.unionByName(closed_form_metrics(table)), fitted)
+
+
+def append_runs(log: DataFrame, path: str, run_id: str, logged_at) -> None:
+    """Append one logged run of the runners, under its id and time. A run logged again under its id replaces itself only."""
+    rows = log.select("*", F.lit(logged_at).cast("timestamp").alias("logged_at"), F.lit(run_id).alias("run_id"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+
+
+def drift(log: DataFrame, max_fall: float = 0.1, as_of=None) -> DataFrame:
+    """Each metric's value in the last two logged runs that hold it (by ``as_of``), its change, and whether it got worse by more
+    than ``max_fall`` (log-loss: rose)."""
+    from pyspark.sql import Window
+    if as_of is not None:
+        log = log.where(F.col("logged_at") <= F.lit(as_of))
+    keys = ["run", "split", "region", "metric"]
+    order = Window.partitionBy(*keys).orderBy(F.col("logged_at").desc(), F.col("run_id").desc())
+    last = log.withColumn("_k", F.row_number().over(order)).where("_k <= 2").groupBy(*keys).agg(
+        F.max(F.when(F.col("_k") == 2, F.col("value"))).alias("previous"), F.max(F.when(F.col("_k") == 1, F.col("value"))).alias("current"),
+        F.max(F.when(F.col("_k") == 1, F.col("logged_at"))).alias("logged_at"))
+    change = F.col("current") - F.col("previous")
+    worse = F.when(F.col("metric") == "log_loss", change).otherwise(-change) > max_fall
+    return last.select(*keys, "logged_at", "previous", "current", change.alias("change"), F.coalesce(worse, F.lit(False)).alias("drift"))

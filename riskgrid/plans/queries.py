@@ -298,11 +298,10 @@ def q_variant_projection(spark, sf):
     for c in FEATURE_COLUMNS)))
 def q_impute_median(spark, sf):
     """Exact (interpolated) train median of every numeric feature."""
-    from riskgrid.operators.prep import median_frame
-    st = median_frame(_train(feature_table(spark, sf, P, written=True)), FEATURE_COLUMNS)
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"med_{c}").alias("median"))
-                      for c in FEATURE_COLUMNS])
-    return st.select(F.explode(pairs).alias("p")).select("p.feature", F.round("p.median", ROUND).alias("median"))
+    from riskgrid.operators.prep import train_medians
+    fitted = train_medians(_train(feature_table(spark, sf, P, written=True)), FEATURE_COLUMNS)
+    rows = spark.createDataFrame(list(fitted.items()), "feature string, median double")  # a number per feature
+    return rows.select("feature", F.round("median", ROUND).alias("median"))
 
 
 def _prep_sql(numeric, cats, keep="region, date, split"):
@@ -381,28 +380,36 @@ def q_interactions(spark, sf):
 
 # --- G1-G6: leakage guards ----------------------------------------------------
 
-def _guard_sql():
+def _guard_sql(ft="ft", fitted="quantile_cont(avg_mag_7d, 0.5) FILTER (WHERE split = 'train')"):
+    """The guards' SQL over table ``ft``; ``fitted`` is the imputer's median."""
     emb = []
     for cid, a, z in ((1, "train", "validate"), (2, "validate", "test")):
         emb.append(
             f"SELECT {cid} AS check_id, 'embargo {a} -> {z}' AS guard, "
             f"COALESCE({a}_max + 7 < {z}_min, false) AS passed, "
             f"'{a}_max ' || COALESCE(CAST({a}_max AS VARCHAR), 'none') || ' + 7d < {z}_min ' || "
-            f"COALESCE(CAST({z}_min AS VARCHAR), 'none') AS detail FROM b")
-    emb_sql = "\nUNION ALL\n".join(emb)
-    one = ("SELECT 3 AS check_id, 'one split per (region, date)' AS guard, COALESCE(m = 1, true) AS passed, "
+            f"COALESCE(CAST({z}_min AS VARCHAR), 'none') AS detail FROM (SELECT "
+            f"max(CASE WHEN split = '{a}' THEN date END) AS {a}_max, min(CASE WHEN split = '{z}' THEN date END) AS {z}_min FROM {ft}) b")
+    one = ("SELECT 3 AS check_id, 'one split per (region, date)' AS guard, COALESCE(m = 1, false) AS passed, "
            "'max distinct splits per key = ' || COALESCE(CAST(m AS VARCHAR), '0') AS detail "
-           "FROM (SELECT max(k) AS m FROM (SELECT count(DISTINCT split) AS k FROM ft GROUP BY region, date) x) y")
-    forb = ("SELECT 4 AS check_id, 'leak-prone columns never used' AS guard, true AS passed, "
-            "'offending columns: none' AS detail")
-    train = ("SELECT 5 AS check_id, 'preprocessing fit on train only' AS guard, "
-             "COALESCE(abs(m - m) < 1e-9, false) AS passed, "
-             "'avg_mag_7d: fitted median = train median' AS detail FROM (SELECT median(avg_mag_7d) AS m FROM ft "
-             "WHERE split = 'train') x")
+           f"FROM (SELECT max(k) AS m FROM (SELECT count(DISTINCT split) AS k FROM {ft} GROUP BY region, date) x) y")
+    from riskgrid.schema import LEAKAGE_COLUMNS
+    roles = ", ".join(f"('{c}')" for c in LEAKAGE_COLUMNS)
+    inputs = ", ".join(f"('{c}')" for c in sorted({c for v in VARIANTS.values() for part in v.columns() for c in part}))
+    # The table's own columns, as DuckDB sees them, and the variants' inputs, against the excluded roles.
+    forb = ("SELECT 4 AS check_id, 'leak-prone columns never used' AS guard, COUNT(c) = 0 AS passed, "
+            "'excluded columns in use: ' || COALESCE(string_agg(c, ', ' ORDER BY c), 'none') AS detail FROM ("
+            f"SELECT DISTINCT name AS c FROM (UNPIVOT (SELECT COLUMNS(*)::VARCHAR FROM {ft}) ON COLUMNS(*) INTO NAME name VALUE held) "
+            f"WHERE name IN (SELECT * FROM (VALUES {roles}) r) UNION SELECT * FROM (VALUES {inputs}) i(c) WHERE c IN (SELECT * FROM (VALUES {roles}) r)) z")
+    train = ("SELECT 5 AS check_id, 'preprocessing fit on train only' AS guard, COALESCE(abs(fitted - middle) < 1e-9, false) AS passed, "
+             "'avg_mag_7d: fitted median = train median' AS detail FROM "
+             f"(SELECT {fitted} AS fitted FROM {ft}) f, (SELECT avg(avg_mag_7d) AS middle FROM ("
+             "SELECT avg_mag_7d, row_number() OVER (ORDER BY avg_mag_7d) AS rk, COUNT(*) OVER () AS n "
+             f"FROM {ft} WHERE split = 'train' AND avg_mag_7d IS NOT NULL) r WHERE rk IN ((n + 1) // 2, n // 2 + 1)) m")
     lab = ("SELECT 6 AS check_id, 'label is a clean binary target' AS guard, nulls = 0 AND bad = 0 AS passed, "
            "'nulls=' || CAST(nulls AS VARCHAR) || ', non-binary=' || CAST(bad AS VARCHAR) AS detail FROM "
            "(SELECT COUNT(*) FILTER (WHERE label_7d IS NULL) AS nulls, "
-           "COUNT(*) FILTER (WHERE label_7d NOT IN (0, 1)) AS bad FROM ft) x")
+           f"COUNT(*) FILTER (WHERE label_7d NOT IN (0, 1)) AS bad FROM {ft}) x")
     fwd = ("SELECT 7 AS check_id, 'label reads only D+1..D+7, features only <= D' AS guard, bad = 0 AS passed, "
            "'mismatched rows = ' || CAST(bad AS VARCHAR) AS detail FROM (SELECT COUNT(*) FILTER (WHERE "
            "label_7d <> CAST(fut >= 1 AS INTEGER) OR quakes_7d <> CAST(pn AS DOUBLE)) AS bad FROM ("
@@ -410,15 +417,11 @@ def _guard_sql():
            "COALESCE((SELECT SUM(large) FROM tally t WHERE t.region = f.region AND t.date > f.date "
            "AND t.date <= f.date + 7), 0) AS fut, "
            "COALESCE((SELECT SUM(n) FROM tally t WHERE t.region = f.region AND t.date >= f.date - 6 "
-           "AND t.date <= f.date), 0) AS pn FROM ft f) x) y")
-    b = ("b AS (SELECT max(CASE WHEN split = 'train' THEN date END) AS train_max, "
-         "max(CASE WHEN split = 'validate' THEN date END) AS validate_max, "
-         "min(CASE WHEN split = 'validate' THEN date END) AS validate_min, "
-         "min(CASE WHEN split = 'test' THEN date END) AS test_min FROM ft)")
-    return b, {"embargo": emb_sql, "one": one, "forb": forb, "train": train, "label": lab, "fwd": fwd}
+           f"AND t.date <= f.date), 0) AS pn FROM {ft} f) x) y")
+    return {"embargo": "\nUNION ALL\n".join(emb), "one": one, "forb": forb, "train": train, "label": lab, "fwd": fwd}
 
 
-_GB, _G = _guard_sql()
+_G = _guard_sql()
 
 
 def _ft_and_tally(spark, sf):
@@ -426,7 +429,57 @@ def _ft_and_tally(spark, sf):
     return feature_table(spark, sf, P, written=True), stored_tally(spark, sf, P)
 
 
-@query("guard_embargo", O.with_ft(_G["embargo"], _GB))
+@query("guard_forbidden", O.with_ft(_G["forb"]))
+def q_guard_forbidden(spark, sf):
+    """Neither the table nor a variant uses a leak-prone detection column (nst, gap, dmin, rms)."""
+    from riskgrid.operators.guards import guard_forbidden
+    return guard_forbidden(feature_table(spark, sf, P, written=True))
+
+
+# Tables that break one guard each: days of the next block moved over the embargo, days in two splits, a detection
+# column, missing labels, and counts that include the next day.
+_BROKEN = {
+    "embargo": "SELECT * REPLACE (CASE WHEN date BETWEEN DATE '1999-01-01' AND DATE '1999-01-04' THEN 'train' "
+               "WHEN date BETWEEN DATE '2000-07-01' AND DATE '2000-07-03' THEN 'validate' ELSE split END AS split) FROM ft",
+    "one": "SELECT * FROM ft UNION ALL SELECT * REPLACE ('train' AS split) FROM ft WHERE split = 'validate' AND date < DATE '1999-02-01'",
+    "forb": "SELECT *, max_mag_30d AS gap, days_since_last AS rms FROM ft",
+    "train": "SELECT * FROM ft",
+    "label": "SELECT * REPLACE (CASE WHEN quakes_7d = 0 THEN NULL WHEN quakes_7d = 1 THEN 2 ELSE label_7d END AS label_7d) FROM ft",
+    "fwd": "SELECT * REPLACE (quakes_7d + CASE WHEN label_7d = 1 THEN 1.0 ELSE 0.0 END AS quakes_7d) FROM ft",
+}
+
+
+def _broken_sql():
+    parts = []
+    for k in _BROKEN:
+        sql = _guard_sql(f"bad_{k}", **({"fitted": "median(avg_mag_7d)"} if k == "train" else {}))
+        parts.append(f"SELECT * FROM ({sql[k]}) g_{k}")
+    return O.with_ft("\nUNION ALL\n".join(parts), ",\n".join(f"bad_{k} AS ({v})" for k, v in _BROKEN.items()))
+
+
+@query("guards_on_broken_tables", _broken_sql())
+def q_guards_on_broken_tables(spark, sf):
+    """G1-G5 and the forward-only guard, each on a table that breaks it: every verdict must be false."""
+    from riskgrid.operators import guards as G
+    from riskgrid.operators.prep import train_medians
+    ft, tally = _ft_and_tally(spark, sf)
+    day, split, label = F.col("date"), F.col("split"), F.col("label_7d")
+    moved = (F.when(day.between(F.lit("1999-01-01"), F.lit("1999-01-04")), "train")
+             .when(day.between(F.lit("2000-07-01"), F.lit("2000-07-03")), "validate").otherwise(split))
+    twice = ft.where((split == "validate") & (day < F.lit("1999-02-01"))).withColumn("split", F.lit("train"))
+    unclean = F.when(F.col("quakes_7d") == 0, F.lit(None)).when(F.col("quakes_7d") == 1, 2).otherwise(label).cast("int")
+    whole = train_medians(ft, ["avg_mag_7d"])["avg_mag_7d"]  # a fit that saw all splits
+    parts = [G.guard_embargo(ft.withColumn("split", moved)), G.guard_one_split(ft.unionByName(twice)),
+             G.guard_forbidden(ft.withColumn("gap", F.col("max_mag_30d")).withColumn("rms", F.col("days_since_last"))),
+             G.guard_train_only(ft, fitted=whole), G.guard_label(ft.withColumn("label_7d", unclean)),
+             G.guard_forward_only(ft.withColumn("quakes_7d", F.col("quakes_7d") + F.when(label == 1, 1.0).otherwise(0.0)), tally)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("guard_embargo", O.with_ft(_G["embargo"]))
 def q_guard_embargo(spark, sf):
     """G1: max(train) + 7d < min(validate); max(validate) + 7d < min(test)."""
     from riskgrid.operators.guards import guard_embargo
@@ -441,25 +494,22 @@ def q_guard_one_split(spark, sf):
 
 
 @query("guard_train_only", O.with_ft(
-    "SELECT g.*, round(f.fitted_median, 12) AS fitted_median, round(f.fitted_median, 12) AS train_median, "
+    "SELECT g.*, round(f.train_median, 12) AS fitted_median, round(f.train_median, 12) AS train_median, "
     "round(f.full_median, 12) AS full_median FROM (" + _G["train"] + ") g, "
-    "(SELECT (SELECT median(avg_mag_7d) FROM ft WHERE split = 'train') AS fitted_median, "
+    "(SELECT median(avg_mag_7d) FILTER (WHERE split = 'train') AS train_median, "
     "median(avg_mag_7d) AS full_median FROM ft) f"))
 def q_guard_train_only(spark, sf):
-    """The fitted median equals the train median; the full-data median is reported beside it."""
+    """The fitted median is the train rows' median; those of the train rows and of all rows are reported beside it."""
+    from riskgrid.operators.guards import guard_train_only
     from riskgrid.operators.prep import fit_numeric
+    from riskgrid.operators.profile import exact_median
     t = feature_table(spark, sf, P, written=True)
-    fitted = fit_numeric(t.filter(F.col("split") == "train"), ["avg_mag_7d"])["avg_mag_7d"][0]
-    meds = t.agg(F.median(F.when(F.col("split") == "train", F.col("avg_mag_7d"))).alias("train_median"),
-                 F.median("avg_mag_7d").alias("full_median"))
-    # One aggregate row carries the verdict and the three medians (no join).
-    passed = F.coalesce(F.abs(F.lit(fitted) - F.col("train_median")) < F.lit(1e-9), F.lit(False))
-    return meds.select(F.lit(5).alias("check_id"), F.lit("preprocessing fit on train only").alias("guard"),
-                       passed.alias("passed"),
-                       F.lit("avg_mag_7d: fitted median = train median").alias("detail"),
-                       F.round(F.lit(fitted), 12).alias("fitted_median"),
-                       F.round("train_median", 12).alias("train_median"),
-                       F.round("full_median", 12).alias("full_median"))
+    fitted = fit_numeric(_train(t), ["avg_mag_7d"])["avg_mag_7d"][0]
+    known = t.where("avg_mag_7d IS NOT NULL").select("split", F.explode(F.array(F.lit("full"), F.when(F.col("split") == "train", F.lit("train")))).alias("part"), "avg_mag_7d")
+    meds = {r["part"]: r["median"] for r in exact_median(known.where("part IS NOT NULL").select("part", "avg_mag_7d"), ["part"], "avg_mag_7d").collect()}
+    lit = lambda v: F.round(F.lit(v).cast("double"), 12)
+    return guard_train_only(t, fitted=fitted).select(
+        "*", lit(fitted).alias("fitted_median"), lit(meds.get("train")).alias("train_median"), lit(meds.get("full")).alias("full_median"))
 
 
 @query("guard_label", O.with_ft(_G["label"]))
@@ -478,7 +528,7 @@ def q_guard_forward_only(spark, sf):
 
 
 @query("guard_report", O.with_ft("\nUNION ALL\n".join(_G[k] for k in
-                                                    ("embargo", "one", "forb", "train", "label", "fwd")), _GB))
+                                                    ("embargo", "one", "forb", "train", "label", "fwd"))))
 def q_guard_report(spark, sf):
     """All guards as (check_id, guard, passed, detail) rows."""
     from riskgrid.operators.guards import guard_report
@@ -1009,7 +1059,8 @@ def q_asof_refresh(spark, sf):
     return PL.asof_rows(_grid_feats(spark, sf)).select("region", "date", *FEATURE_COLUMNS)
 
 
-_CUTOFFS = [_dt.date(1997, 12, 31), _dt.date(1998, 12, 31), _dt.date(1999, 12, 31)]
+# The last fold's year ends before the sealed test block and its embargo.
+_CUTOFFS = [_dt.date(1996, 12, 31), _dt.date(1997, 12, 31), _dt.date(1998, 12, 31)]
 
 
 def _expanding_sql():
@@ -1140,26 +1191,6 @@ def q_drift_check(spark, sf):
                     F.round("ap_prev", ROUND).alias("ap_prev"), "drift")
 
 
-@query("correlation_pvalues")
-def q_correlation_pvalues(spark, sf):
-    """Two-sided p-value of each correlation (t with n-2 dof), on the few result rows."""
-    c = PR.correlations(_catalog(spark, sf), "magnitude", "depth_km")
-    return PR.attach_p_values(c, "t")
-
-
-@query("seasonality_test")
-def q_seasonality_test(spark, sf):
-    """Chi-square goodness-of-fit p-value of the month profile per region."""
-    return PR.attach_p_values(PR.seasonality(_catalog(spark, sf)), "chi2")
-
-
-@query("guard_forbidden", O.with_ft(_G["forb"] + " FROM (SELECT COUNT(*) AS n FROM ft) x"))
-def q_guard_forbidden(spark, sf):
-    """No variant uses a leak-prone detection column (nst, gap, dmin, rms)."""
-    from riskgrid.operators.guards import guard_forbidden
-    return guard_forbidden(feature_table(spark, sf, P, written=True))
-
-
 @query("inter_event_time_events", """
 WITH g AS (SELECT event_type AS region,
                   epoch_us(ts) - LAG(epoch_us(ts)) OVER (PARTITION BY event_type ORDER BY epoch_us(ts)) AS gap
@@ -1177,7 +1208,7 @@ def q_shuffled_split_control(spark, sf):
     """The chosen LR evaluated under the embargoed date split and under a hashed
     (shuffled) split of the same region-days; the gap shows what shuffling leaks."""
     from riskgrid.plans import models as M
-    t = feature_table(spark, sf, P, written=True)
+    t = PL.before_test(feature_table(spark, sf, P, written=True), P.split)
     out = []
     for kind, table in (("date", t), ("shuffled", PL.hashed_split(t))):
         scored, _ = M.ablation(table, [CHOSEN_VARIANT])
@@ -1192,7 +1223,7 @@ def q_expanding_retrain(spark, sf):
     from riskgrid.operators.split import split_of
     from riskgrid.plans import models as M
     from riskgrid.schema import SplitSpec
-    base = feature_table(spark, sf, P, written=True).drop("split")
+    base = PL.before_test(feature_table(spark, sf, P, written=True), P.split).drop("split")
     parts = []
     for end in _CUTOFFS:
         ve = end + _dt.timedelta(days=365)
@@ -1207,6 +1238,24 @@ def q_expanding_retrain(spark, sf):
     return out
 
 
+@query("sealed_days_used", "SELECT CAST(NULL AS VARCHAR) AS used_by, CAST(NULL AS VARCHAR) AS region, CAST(NULL AS DATE) AS date WHERE false")
+def q_sealed_days_used(spark, sf):
+    """Days of the test block that a fold or the shuffled control would read. There must be none."""
+    from riskgrid.operators.split import split_of
+    from riskgrid.schema import SplitSpec
+    t = PL.before_test(feature_table(spark, sf, P, written=True), P.split)
+    used = [PL.hashed_split(t).where("split IS NOT NULL").select(F.lit("shuffled control").alias("used_by"), "region", "date")]
+    for end in _CUTOFFS:
+        ve = end + _dt.timedelta(days=365)
+        fold = split_of(F.col("date"), SplitSpec(end, end + _dt.timedelta(days=1), ve, ve + _dt.timedelta(days=1), P.horizon))
+        used.append(feature_table(spark, sf, P, written=True).where(fold.isin("train", "validate")).select(F.lit(f"fold {end}").alias("used_by"), "region", "date"))
+    out = used[0]
+    for u in used[1:]:
+        out = out.unionByName(u)
+    # A day's label reads the horizon behind it.
+    return out.where(F.date_add("date", P.horizon) >= F.lit(P.split.test_start))
+
+
 @query("model_comparison")
 def q_model_comparison(spark, sf):
     """The published comparison table's shape: no-skill prior, persistence heuristic, the five

@@ -315,8 +315,8 @@ def test_train_medians_histogram_path_equals_aggregate(spark, monkeypatch):
     rnd = random.Random(4)
     rows = [(rnd.choice([None, round(rnd.uniform(0, 5), 1)]), float(rnd.randint(0, 30))) for _ in range(501)]
     df = spark.createDataFrame(rows, "a double, b double")
-    row = prep.median_frame(df, ["a", "b"]).collect()[0]
-    small = {c: row[f"med_{c}"] for c in "ab"}
+    from pyspark.sql import functions as F
+    small = df.agg(F.median("a").alias("a"), F.median("b").alias("b")).first().asDict()
     assert prep.train_medians(df, ["a", "b"]) == pytest.approx(small)
     monkeypatch.setattr(ranking, "ROWS_PER_RANGE", 3)
     big = prep.train_medians(df, ["a", "b"])

@@ -44,7 +44,7 @@ def test_pipeline_steps(spark):
     raw = PL.ingest(spark, f"{root}/landed", f"{root}/raw")
     assert raw.count() == 3 * 750
     assert set(raw.columns) >= {"id", "region", "time", "magnitude", "nst"}
-    segs = PL.load_segments(f"{root}/landed/lines.json")
+    segs = PL.load_segments(spark, f"{root}/landed/lines.json")
     assert len(segs) == 3
     clean = PL.clean_and_enrich(spark, f"{root}/raw", f"{root}/clean", segs)
     assert clean.filter(F.col("type") != "earthquake").count() == 0
@@ -54,10 +54,40 @@ def test_pipeline_steps(spark):
     assert {r[0] for r in feats.select("split").distinct().collect()} == {"train", "validate", "test"}
     report = PL.check(spark, f"{root}/features")
     assert report.filter("not passed").count() == 0
-    board = PL.train(spark, f"{root}/features", f"{root}/runs", ["base", "depth"]).collect()
+    assert report.count() == 7
+    audit = spark.read.parquet(f"{root}/raw-audit")
+    assert audit.count() == 3 * 5 and audit.agg(F.sum("n")).first()[0] == raw.count()
+    done = spark.read.parquet(f"{root}/clean-report").first()
+    assert (done["rows_before"], done["rows_after"]) == (raw.count(), clean.count())
+    board = PL.train(spark, f"{root}/features", f"{root}/runs", ["base", "depth"], f"{root}/models", "run-1").collect()
+    PL.train(spark, f"{root}/features", f"{root}/runs", ["base"], f"{root}/models", "run-2")
+    PL.train(spark, f"{root}/features", f"{root}/runs", ["base"], None, "run-2")
+    log = spark.read.parquet(f"{root}/runs")
+    assert {(r["run_id"], r["run"]) for r in log.collect()} == {("run-1", "logreg_base"), ("run-1", "logreg_depth"), ("run-2", "logreg_base")}
+    assert log.groupBy("run_id", "run", "split", "region", "metric").count().where("count > 1").count() == 0
+    week = PL.forecast(spark, f"{root}/clean", f"{root}/models", f"{root}/forecast").collect()
+    assert len(week) == 3 and {r["date"] for r in week} == {clean.agg(F.max(F.to_date("time"))).first()[0]}
     assert [r["run"] for r in board] and all(0 <= r["val_ap"] <= 1 for r in board)
-    assert spark.read.parquet(f"{root}/runs").select("run").distinct().count() == 2
     # The command-line entry point runs the same steps.
     PL.main(["features", "--clean", f"{root}/clean", "--out", f"{root}/features_cli"])
     PL.main(["check", "--features", f"{root}/features_cli"])
     assert spark.read.parquet(f"{root}/features_cli").count() == feats.count()
+
+
+def test_ingest_keeps_what_was_requested_and_misses_no_region(spark):
+    import pytest
+
+    from riskgrid.plans import pipeline as PL
+    root = tempfile.mkdtemp(prefix="pipe-", dir="/tmp")
+    _land(f"{root}/landed")
+    far = {"type": "FeatureCollection", "features": [
+        {"type": "Feature", "id": i, "geometry": {"coordinates": [x, 36.0, 1.0]}, "properties": {"time": 0, "mag": mag, "type": "earthquake", "status": "x"}}
+        for i, x, mag in (("far", 0.0, 5.0), ("weak", -120.0, 1.9), ("none", -120.0, None), ("edge", -125.0, 2.0))]}
+    with open(f"{root}/landed/region=california/more.json", "w") as f:
+        json.dump(far, f)
+    raw = PL.ingest(spark, f"{root}/landed", f"{root}/raw")
+    assert raw.count() == 3 * 750 + 1 and raw.filter("id = 'edge'").count() == 1
+    os.makedirs(f"{root}/one")
+    os.rename(f"{root}/landed/region=japan", f"{root}/one/region=japan")
+    with pytest.raises(FileNotFoundError):
+        PL.ingest(spark, f"{root}/one", f"{root}/raw_one")

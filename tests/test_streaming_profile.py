@@ -62,14 +62,6 @@ def test_sizing_conf():
     assert c["spark.sql.adaptive.enabled"] == "true"
 
 
-def test_p_values_known_points(spark):
-    from riskgrid.operators.profile import attach_p_values
-    t = spark.createDataFrame([("s", 12, 0.5, 2.228138851986)], "scope string, n bigint, r double, t_stat double")
-    assert attach_p_values(t, "t").collect()[0]["p_value"] == pytest.approx(0.05, abs=1e-9)
-    c = spark.createDataFrame([("r", 19.67513757268249, 12)], "region string, chi2 double, months_seen bigint")
-    assert attach_p_values(c, "chi2").collect()[0]["p_value"] == pytest.approx(0.05, abs=1e-9)
-
-
 def test_inter_event_gaps_with_a_burst_of_identical_times(spark, ranking_path):
     import datetime as dt
     from riskgrid.operators.profile import inter_event_time
