@@ -441,3 +441,47 @@ def test_mix_of_many_groups_joined_in_salted_parts_is_the_same(edges, sample, mo
             monkeypatch.setattr(mixing, "BROADCAST_GROUPS", groups)
             got.append(sorted(map(str, mixing.mix(docs).select("doc_id", "copy", "shuffle_key").collect())))
         assert got[0] == got[1] and got[0]
+
+
+def lines_kept(spark, rows):
+    out = line_templates.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return {r.row.doc_id: r for r in out}
+
+
+def test_pages_that_are_mostly_boilerplate_lose_it(spark):
+    rnd = random.Random(12)
+    menu = ["Home About Contact", "Terms", words(rnd, 9)]
+    out = lines_kept(spark, [(i, "\n".join([*menu[:2], words(rnd, 12), menu[2]])) for i in range(200)])
+    assert all(out[i].n_dropped == 3 and len(out[i].text_kept.split("\n")) == 1 for i in range(200))
+
+
+def test_short_templates_need_equal_content(spark):
+    rnd = random.Random(13)
+    rows = [(i, f"{words(rnd, 9)}\nThe weather will be fine {words(rnd, 1)}{i % 7 * 'x'}\n{words(rnd, 8)}") for i in range(30)]
+    rows += [(100 + i, f"{words(rnd, 9)}\nSubscribe to our free weekly newsletter\n{words(rnd, 8)}") for i in range(30)]
+    rows += [(200 + i, f"{words(rnd, 9)}\nShare this page on {words(rnd, 1)}{i} now\n{words(rnd, 8)}") for i in range(30)]
+    out = lines_kept(spark, rows)
+    assert all(out[i].n_dropped == 0 for i in range(30))
+    assert all(out[100 + i].n_dropped == 1 and "Subscribe" not in out[100 + i].text_kept for i in range(30))
+    assert all(out[200 + i].n_dropped == 1 for i in range(30))
+
+
+def test_edited_copies_keep_their_lines(spark):
+    rnd = random.Random(14)
+    own = [words(rnd, 12) for _ in range(20)]
+    rows = []
+    for i in range(300):
+        text = list(own)
+        for k in rnd.sample(range(20), 2):
+            text[k] = words(rnd, 1) + " " + text[k]
+        rows.append((i, "\n".join(text)))
+    assert all(r.n_dropped == 0 for r in lines_kept(spark, rows).values())
+
+
+def test_long_texts_with_many_dropped_lines(spark):
+    rnd = random.Random(15)
+    head = words(rnd, 6)
+    rows = [(i, "\n".join(x for k in range(3000 if i == 0 else 3) for x in (head, "", words(rnd, 5)))) for i in range(12)]
+    out = lines_kept(spark, rows)
+    for i, text in rows:
+        assert out[i].text_kept == "\n".join(x for x in text.split("\n") if x != head)
