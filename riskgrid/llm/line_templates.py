@@ -69,7 +69,8 @@ def templates(lines: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, Da
     """(recurring paths with the fixed values of each part, the lines on paths that enough documents hold)."""
     holders = lines.select(*KEY, "path").distinct().groupBy("path").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     # Only lines on such paths go on; the rest of the corpus ends here.
-    hot = materialize(lines.join(holders.select("path"), "path", "left_semi"), "line-paths")
+    holders = materialize(holders, "line-holders")
+    hot = materialize(lines.join(if_small(holders).select("path"), "path", "left_semi"), "line-paths")
     # The two first paths of each document in each order; a document's lines lie together, so one row each goes to the shuffle.
     orders = F.sequence(F.lit(0).cast("long"), F.lit(ORDERS - 1).cast("long"))
     least = lines.groupBy(*KEY).agg(F.collect_set("path").alias("paths")).select(*KEY, F.transform(orders, lambda k: F.slice(
