@@ -8,14 +8,16 @@ The current tally is the newest row per (region, day) of the changelog, so a
 replayed batch (after a failure) rewrites the same keys and the view stays
 exact. Trailing row frames are not allowed on streams, so the windows and the
 label run as a batch job on the tally (``plans.feature_table``). Events later
-than the watermark are dropped by Spark and need a batch rebuild, so the delay
-must cover how far out of order files can arrive (a day's landing: days; a
+than the watermark are dropped by Spark; ``run_to_changelog`` returns how many partial
+sums of such events it dropped, and if there are any, their batch must be applied by
+``plans.refresh``, which takes late events of any age. The delay should cover how far out of order files can arrive (a day's landing: days; a
 replay of yearly slices: more than a year). State is one row per (region, day)
 inside the delay, so a long delay stays small.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -52,8 +54,9 @@ def streaming_tally(events: DataFrame, regions, watermark: str = "30 days") -> D
 
 
 def run_to_changelog(spark: SparkSession, source_dir: str, schema, regions, changelog: str,
-                     state_dir: str, files_per_batch: int = 8, watermark: str = "30 days") -> None:
-    """Drain everything landed in ``source_dir`` (availableNow) into the changelog."""
+                     state_dir: str, files_per_batch: int = 8, watermark: str = "30 days") -> int:
+    """Drain everything landed in ``source_dir`` (availableNow) into the changelog; returns how many partial sums of
+    rows came too late for the watermark and were dropped (over the batches whose progress Spark keeps: 100 unless set otherwise)."""
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
            .parquet(source_dir))
 
@@ -66,6 +69,8 @@ def run_to_changelog(spark: SparkSession, source_dir: str, schema, regions, chan
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    # The last batches' progress is kept by the query (``spark.sql.streaming.numRecentProgressUpdates`` of them).
+    return sum(o["numRowsDroppedByWatermark"] for p in q.recentProgress for o in json.loads(p.json)["stateOperators"])
 
 
 def current_tally(spark: SparkSession, changelog: str) -> DataFrame:

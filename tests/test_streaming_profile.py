@@ -28,6 +28,28 @@ def test_streaming_tally_equals_batch(spark):
     assert sorted(tuple(r) for r in ST.current_tally(spark, log).select(*cols).collect()) == want
 
 
+def test_rows_behind_the_watermark_are_counted(spark):
+    import datetime as dt
+
+    from riskgrid.schema import STANDIN_REGIONS
+    from riskgrid.streaming import tally as ST
+    schema = "id long, region string, time timestamp, magnitude double, depth_km double, latitude double, longitude double"
+
+    def land(path, days):
+        rows = [(d, "ASIA", dt.datetime(2001, 1, 1) + dt.timedelta(days=d), 1.0, 1.0, 0.0, 0.0) for d in days]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+
+    src, log, state = ST.scratch(spark, "src"), ST.scratch(spark, "log"), ST.scratch(spark, "state")
+    run = lambda: ST.run_to_changelog(spark, src, schema, STANDIN_REGIONS, log, state)
+    land(src, [0, 100])
+    assert run() == 0
+    land(src, [101, 90])  # within 30 days
+    assert run() == 0
+    land(src, [5, 6, 102])
+    assert run() > 0
+    assert {r["date"].day for r in ST.current_tally(spark, log).filter("date < '2001-02-01'").collect()} == {1}
+
+
 @pytest.fixture(params=["one", "many"])
 def ranking_path(request, monkeypatch):
     from riskgrid.operators import ranking
