@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from riskgrid.session import materialize
 
-__all__ = ["KEY", "arrow_map", "empty_text", "if_small", "key_columns", "key_match", "materialize", "read", "split_lines"]
+__all__ = ["KEY", "arrow_map", "batch_bytes", "empty_text", "if_small", "key_columns", "key_match", "materialize", "read", "split_lines"]
 
 #: A row's key: its id and a hash of its text. Repeated rows share a key and get the same result.
 KEY = ("__key_id", "__key_text")
@@ -47,6 +48,19 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
+@contextmanager
+def batch_bytes(spark: SparkSession, most: int) -> Iterator[None]:
+    """Arrow batches of at most some ``most`` bytes for what runs inside; the session's values come back after it."""
+    names = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    before = [spark.conf.get(n) for n in names]
+    spark.conf.set(names[0], str(most))
+    try:
+        yield
+    finally:
+        for n, value in zip(names, before):
+            spark.conf.set(n, value)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -1,32 +1,39 @@
-"""Substring dedup: paragraph MinHash banding, exact check, removal by components; repeated passages by windows of words.
-
-A paragraph is a line; a long line is cut further at sentence ends chosen by a hash of their last
-words, so that equal passages are cut alike wherever they stand. Paragraphs of at least
-``MIN_WORDS`` words take part. Bands of two coordinates are tuned for recall (a pair at similarity
-0.8 shares one with a chance of 0.9992); colliding paragraphs are checked by the exact Jaccard
-similarity of their sets of five-word shingles, and linked paragraphs form components. The first
-paragraph of a component (by document, then place) stays; the others are removed.
-
-Passages that are no paragraph, standing inside longer lines, over several lines or on lines wrapped
-elsewhere, are found by windows of ``WINDOW`` words over all words of a text, whatever its line
-ends: of each ``SPREAD`` neighbouring windows the one with the smallest hash is taken, so two texts
-with ``PASSAGE`` equal words in a row (A-Z in lower case) take a window alike. Of equal windows the
-first (by document, then place) stays; the words of the others are removed, with the line ends
-between them. At most ``SPREAD`` - 1 words at either end of a repeated passage stay.
-
-Equal paragraphs are one node of the search, however many documents hold them; large candidate
-groups are cut into blocks as in ``near_dup``, whose search this uses.
-
-Nulls and empty texts have no paragraphs: zeros and empty lists. Null ids match each other and come
-first. Repeated rows share a result: their paragraphs count as repeated, and where theirs is the
+"""Substring dedup: paragraph MinHash banding, exact check, removal by components.
+
+Units of two kinds go through one search, from one scan of the texts:
+
+* A paragraph is a line; a long line is cut further at sentence ends chosen by a hash of their last
+  words, so that equal passages are cut alike wherever they stand. Paragraphs of at least
+  ``MIN_WORDS`` words take part; a text without any, too short for a window, is one. Bands of two coordinates are tuned for recall (a pair at similarity
+  0.8 shares one with a chance of 0.9992).
+* A window is a piece of ``WINDOW`` words, cut at a content-defined place over all words of a text,
+  whatever its line ends: of each ``SPREAD`` neighbouring starts the one whose five-word shingle has
+  the smallest hash is taken, so two texts with ``PASSAGE`` equal words in a row (A-Z in lower case)
+  hold an equal window. Windows have one band of their own: equal windows always share it, near ones
+  (similarity 0.8) with a chance of 0.64 each. Windows whose bucket no other place holds are let go
+  before the search.
+
+Colliding units of a kind are checked by the exact Jaccard similarity of their sets of five-word
+shingles, and linked units form components. The first paragraph of a component (by document, then
+place) stays; the others are removed. Of equal windows the first stays and the others are removed,
+with the line ends inside them; where it is linked to other windows, and isn't the first of their
+component, the words of the shingles that it shares with that one are removed. So every word removed
+stands in a unit that stays. Windows of the same document that overlap the one that stays, stay too.
+At most ``SPREAD`` - 1 words at either end of a passage repeated outside of paragraphs stay.
+
+Equal units are one node of the search, however many documents hold them; large candidate groups are
+cut into blocks as in ``near_dup``, whose search this uses.
+
+Nulls and empty texts have no units: zeros and empty lists. An empty table gives an empty one. Null
+ids match each other and come first, but aren't named in ``first_docs``. Very long texts are taken whole: memory grows with the longest
+text and with ``BATCH_BYTES``, not with the batch. Repeated rows share a result: where theirs is the
 first place, it stays in each of them. Extra columns are ignored. ``n_paragraphs``, ``n_repeated``
-and ``n_removed`` count paragraphs; ``removed`` and ``first_docs`` hold the passages too.
+and ``n_removed`` count paragraphs; ``removed`` and ``first_docs`` hold the windows too.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +42,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskgrid.llm.common import KEY, arrow_map, empty_text, if_small, key_columns, key_match, materialize
-from riskgrid.llm.near_dup import _mix64, describe, link_components
+from riskgrid.llm.common import KEY, arrow_map, batch_bytes, empty_text, if_small, key_columns, key_match, materialize
+from riskgrid.llm.near_dup import _band_table, _coordinates, _mix64, link_components
 
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 7, 2
@@ -46,121 +53,142 @@ LONG_LINE, SENTENCES = 60, 3
 #: Passages of over 50 words: of SPREAD neighbouring windows of WINDOW words, one is taken.
 WINDOW, SPREAD = 32, 20
 PASSAGE = WINDOW + SPREAD - 1
+#: Bytes of text handed to a Python worker at a time (a longer text comes alone), units given back at a time, shingles signed at a time.
+BATCH_BYTES, UNITS, SIGNED = 8 << 20, 20_000, 8192
+#: Places of the rows that aren't paragraphs: a document's own row, and a window.
+DOCUMENT, PIECE = -1, -2
 
-SPACES = " \t\n\r\x0b\x0c"
-_LINE = re.compile(r"[^\n]+")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Odd factors of the two rolling hashes, and their inverses mod 2^64.
-_FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+def _words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The code points of a text, and the starts and ends of its words."""
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    inside = np.zeros(len(points) + 2, np.int8)
+    inside[1:-1] = (points != 32) & ((points < 9) | (points > 13))
+    step = np.diff(inside)
+    return points, np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+
+
+def _cuts(text: str, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The paragraphs that take part, as rows (first word, word after the last)."""
+    line = np.searchsorted(np.flatnonzero(points == 10), starts)
+    edge = np.append(np.flatnonzero(np.diff(line, prepend=-1)), len(line))
+    out = []
+    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        if b - a > LONG_LINE:
+            closing = a + 1 + np.flatnonzero(np.isin(points[ends[a + 1:b] - 1], (33, 46, 63)))
+            cut = [a, *(i for i in closing.tolist()
+                        if xxhash.xxh3_64_intdigest(text[starts[i - 1]:ends[i]].encode()) % SENTENCES == 0), b]
+            out += [(x, y) for x, y in zip(cut, cut[1:]) if y - x >= MIN_WORDS]
+        elif b - a >= MIN_WORDS:
+            out.append((a, b))
+    if not out and MIN_WORDS <= len(starts) < WINDOW:
+        out = [(0, len(starts))]
+    return np.array(out, np.int64).reshape(-1, 2)
 
 
 def paragraphs(text: str) -> list[tuple[int, int]]:
     """(start, end) of the paragraphs that take part, in code points."""
-    out = []
-    for m in _LINE.finditer(text):
-        line = m[0]
-        n = len(line.encode().split())
-        if n < MIN_WORDS:
-            continue
-        if n <= LONG_LINE:
-            out.append((m.end() - len(line.lstrip(SPACES)), m.start() + len(line.rstrip(SPACES))))
-            continue
-        words = [w.span() for w in _WORD.finditer(text, m.start(), m.end())]
-        ends = [i + 1 for i, (a, b) in enumerate(words) if text[b - 1] in ".!?" and i
-                and xxhash.xxh3_64_intdigest(text[words[i - 1][0]:b].encode()) % SENTENCES == 0]
-        cuts = sorted({0, len(words), *ends})
-        out += [(words[a][0], words[b - 1][1]) for a, b in zip(cuts, cuts[1:]) if b - a >= MIN_WORDS]
-    return out
+    points, starts, ends = _words(text)
+    return [(int(starts[a]), int(ends[b - 1])) for a, b in _cuts(text, points, starts, ends)]
 
 
-def paragraph_table(docs: DataFrame, id_col: str, text_col: str, buckets: bool) -> DataFrame:
-    """A row for each paragraph, and one with ``place`` -1 for each document. Without ``buckets``, no signatures."""
-    id_type = docs.schema[id_col].dataType.simpleString()
+def _shingles(h: np.ndarray) -> np.ndarray:
+    """Hashes of the shingles at each word, from those of the words; the same as in ``near_dup.shingles``."""
+    out = np.full(len(h) - SHINGLE + 1, SHINGLE, np.uint64)
+    for k in range(SHINGLE):
+        out = _mix64(out ^ h[k:k + len(out)]) + np.uint64(k + 1)
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, place, start, end, texts = [], [], [], [], []
-            for i, text in enumerate(batch.column(2).to_pylist()):
-                spans = paragraphs(text or "")
-                rows += [i] * (len(spans) + 1)
-                place += range(-1, len(spans))
-                start += [0, *(a for a, _ in spans)]
-                end += [0, *(b for _, b in spans)]
-                texts += ["", *(text[a:b] for a, b in spans)]
-            # Equal words, equal node; other texts with an equal set are linked by the search.
-            keys = [hashlib.md5(b" ".join(t.encode().lower().split())).digest() if t else None for t in texts]
-            at = pa.array(rows, pa.int32())
-            columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(place, pa.int32()), pa.array(start, pa.int32()),
-                       pa.array(end, pa.int32()), pa.array(keys, pa.binary())]
-            names = [*KEY, "place", "start", "end", "node"]
-            if buckets:
-                counts, _, held = describe(texts, SHINGLE, BANDS, ROWS)
-                columns, names = [*columns, pa.array(counts, pa.int32()), pa.array(held, pa.list_(pa.int64()))], [*names, "n_shingles", "buckets"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return arrow_map(docs.select(*key_columns(id_col, text_col), F.col(text_col).cast("string").alias("text")), run,
-                     f"{KEY[0]} {id_type}, {KEY[1]} long, place int, start int, end int, node binary"
-                     + ", n_shingles int, buckets array<long>" * buckets)
-
-
-def _powers(factor: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers, at least, of a factor and of its inverse mod 2^64."""
-    if factor not in _POWERS or len(_POWERS[factor][0]) < n:
-        _POWERS[factor] = tuple(np.cumprod(np.append(np.uint64(1), np.full(2 * n, f, np.uint64))) for f in (factor, pow(factor, -1, 1 << 64)))
-    return _POWERS[factor]
-
-
-def windows(text: str, seen: dict[str, int]) -> tuple[list[int], list[int], np.ndarray, np.ndarray]:
-    """(start, end) in code points of the windows taken, and their 128-bit hashes in two halves. ``seen`` holds words' hashes."""
-    spans = [m.span() for m in _WORD.finditer(text)] if len(text) >= 2 * PASSAGE - 1 else []
-    n = len(spans)
-    if n < PASSAGE:
-        return [], [], np.empty(0, np.int64), np.empty(0, np.int64)
-    words = [text[a:b] for a, b in spans]
-    h = np.array([seen[w] if w in seen else seen.setdefault(w, xxhash.xxh3_64_intdigest(w.encode().lower())) for w in words], np.uint64)
-    halves = []
-    for factor in _FACTORS:
-        power, inverse = _powers(factor, n)
-        total = np.append(np.uint64(0), np.cumsum(h * power[:n]))
-        halves.append(_mix64((total[WINDOW:] - total[:-WINDOW]) * inverse[:n - WINDOW + 1]))
-        h = _mix64(h)
-    near = np.lib.stride_tricks.sliding_window_view(halves[0], SPREAD)
-    taken = np.unique(np.arange(len(near)) + near.argmin(axis=1))
-    at = taken.tolist()
-    return [spans[i][0] for i in at], [spans[i + WINDOW - 1][1] for i in at], halves[0][taken].view(np.int64), halves[1][taken].view(np.int64)
-
-
-def passage_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """A row for each window taken: key, ``start``, ``end``, and its hash ``a, b``."""
+def _buckets(shingle: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Bucket keys of paragraphs; they don't overlap, so their shingles are signed in stretches."""
+    lo, hi = cuts[:, 0], cuts[:, 1] - SHINGLE + 1
+    out, i = [np.empty((0, BANDS), np.int64)], 0
+    while i < len(cuts):
+        j = max(i + 1, int(np.searchsorted(hi, lo[i] + SIGNED, side="right")))
+        part = _coordinates(shingle[lo[i]:hi[j - 1]], BANDS * ROWS)
+        # Every second stretch lies between paragraphs; the last one has no end to name.
+        at = np.stack([lo[i:j], hi[i:j]], axis=1).ravel()[:-1] - lo[i]
+        out.append(_band_table(np.minimum.reduceat(part, at, axis=0)[::2], BANDS, ROWS))
+        i = j
+    return np.concatenate(out)
+
+
+def _taken(shingle: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words of the windows taken, and their bucket keys."""
+    n = len(shingle) - (WINDOW - SHINGLE)
+    if n < 1:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    near = np.lib.stride_tricks.sliding_window_view(shingle[:n], min(n, SPREAD))
+    at = np.unique(np.arange(len(near)) + near.argmin(axis=1))
+    low = np.lib.stride_tricks.sliding_window_view(_coordinates(shingle, ROWS), WINDOW - SHINGLE + 1, axis=0)
+    sigs = np.concatenate([np.empty((0, ROWS), np.uint32), *(low[at[i:i + SIGNED]].min(axis=2) for i in range(0, len(at), SIGNED))])
+    # A band of their own: windows meet windows.
+    return at, _mix64(_band_table(sigs, 1, ROWS)[:, 0].view(np.uint64) ^ np.uint64(BANDS)).view(np.int64)
+
+
+def _units(text: str, seen: dict[bytes, int]) -> dict[str, list]:
+    """The units of a text, after its own row, as columns. ``seen`` holds hashes of words."""
+    points, starts, ends = _words(text)
+    cuts, at, buckets, keys = np.empty((0, 2), np.int64), np.empty(0, np.int64), np.empty((0, BANDS), np.int64), np.empty(0, np.int64)
+    h = np.empty(0, np.uint64)
+    if len(starts) >= MIN_WORDS:
+        words = text.encode().lower().split()
+        h = np.array([seen[w] if w in seen else seen.setdefault(w, xxhash.xxh3_64_intdigest(w)) for w in words], np.uint64)
+        cuts = _cuts(text, points, starts, ends)
+        shingle = _shingles(h)
+        buckets, (at, keys) = _buckets(shingle, cuts), _taken(shingle)
+    data, p, w = h.tobytes(), len(cuts), len(at)
+    return {
+        "place": [DOCUMENT, *range(p), *[PIECE] * w],
+        "start": [0, *starts[cuts[:, 0]].tolist(), *starts[at].tolist()],
+        "end": [0, *ends[cuts[:, 1] - 1].tolist(), *ends[at + WINDOW - 1].tolist()],
+        # Equal words, equal node; other units with an equal set are linked by the search.
+        "node": [None, *(hashlib.md5(data[8 * a:8 * b]).digest() for a, b in cuts.tolist()), *[None] * w],
+        "n_shingles": [p, *(cuts[:, 1] - cuts[:, 0] - SHINGLE + 1).tolist(), *[WINDOW - SHINGLE + 1] * w],
+        "buckets": [None, *buckets, *[None] * w],
+        "bucket": [None] * (p + 1) + keys.tolist(),
+        "words": [None] * (p + 1) + [xxhash.xxh3_64_intdigest(data[8 * a:8 * (a + WINDOW)]) - (1 << 63) for a in at.tolist()],
+    }
+
+
+_TYPES = {"place": pa.int32(), "start": pa.int32(), "end": pa.int32(), "node": pa.binary(), "n_shingles": pa.int32(),
+          "buckets": pa.list_(pa.int64()), "bucket": pa.int64(), "words": pa.int64()}
+
+
+def unit_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """A row for each document (its ``n_shingles``: its paragraphs), paragraph and window, by ``place``."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[str, int] = {}
-            held = [windows(text or "", seen) for text in batch.column(2).to_pylist()]
-            at = pa.array(np.repeat(np.arange(len(held)), [len(x[0]) for x in held]), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array([i for x in held for i in x[0]], pa.int32()),
-                 pa.array([i for x in held for i in x[1]], pa.int32()),
-                 *(pa.array(np.concatenate([np.empty(0, np.int64), *(x[k] for x in held)]), pa.int64()) for k in (2, 3))],
-                names=[*KEY, "start", "end", "a", "b"])
+            seen: dict[bytes, int] = {}
+            rows: list[int] = []
+            held: dict[str, list] = {c: [] for c in _TYPES}
+            for i, text in enumerate(batch.column(2)):
+                found = _units(text.as_py() or "", seen)
+                rows += [i] * len(found["place"])
+                for c in _TYPES:
+                    held[c] += found[c]
+                if len(rows) >= UNITS or i == len(batch) - 1:
+                    at = pa.array(rows, pa.int32())
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *(pa.array(held[c], t) for c, t in _TYPES.items())],
+                                                     names=[*KEY, *_TYPES])
+                    rows, held = [], {c: [] for c in _TYPES}
 
     return arrow_map(docs.select(*key_columns(id_col, text_col), F.col(text_col).cast("string").alias("text")), run,
-                     f"{KEY[0]} {id_type}, {KEY[1]} long, start int, end int, a long, b long")
+                     f"{KEY[0]} {id_type}, {KEY[1]} long, place int, start int, end int, node binary, n_shingles int,"
+                     " buckets array<long>, bucket long, words long")
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Key, ``start, end`` of the windows that repeat an earlier one, and that one's id as ``first_doc``."""
-    taken = materialize(passage_table(docs, id_col, text_col), "passages")
-    again = if_small(materialize(taken.groupBy("a", "b").count().where("count > 1").select("a", "b"), "repeated-windows"))
-    hits = materialize(taken.join(again, ["a", "b"]), "passage-places")
-    first = if_small(materialize(hits.groupBy("a", "b").agg(F.min(F.struct(*KEY, "start", "end")).alias("first")), "first-windows"))
-    own = F.col(KEY[0]).eqNullSafe(F.col(f"first.{KEY[0]}")) & (F.col(KEY[1]) == F.col(f"first.{KEY[1]}"))
-    # A window may overlap its own first place, whose words stay.
-    return hits.join(first, ["a", "b"]).where(~(own & (F.col("start") == F.col("first.start")))).select(
-        *KEY, F.when(own, F.greatest("start", "first.end")).otherwise(F.col("start")).alias("start"), "end",
-        F.col(f"first.{KEY[0]}").alias("first_doc")).where("start < end")
+def shared_windows(units: DataFrame) -> DataFrame:
+    """The windows whose bucket another document holds too, or the same one at a place that doesn't overlap."""
+    windows = units.where(F.col("place") == PIECE)
+    row = F.xxhash64(*KEY)
+    held = windows.groupBy("bucket").agg(F.min(row).alias("lo"), F.max(row).alias("hi"), F.min("end").alias("first"), F.max("start").alias("last"))
+    shared = if_small(materialize(held.where("lo <> hi OR last >= first").select("bucket"), "shared-buckets"))
+    node = F.unhex(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in ("bucket", "words")]))
+    return windows.join(shared, "bucket").select(*KEY, "place", "start", "end", node.alias("node"), "n_shingles", F.array("bucket").alias("buckets"))
 
 
 def _disjoint(spans: str) -> Column:
@@ -173,41 +201,78 @@ def _disjoint(spans: str) -> Column:
     return F.aggregate(spans, F.array().cast("array<struct<start:int,end:int>>"), add)
 
 
+def shared_spans(near: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node, shared``: the stretches of a window's text (from its start) whose shingles its ``first_node`` holds too."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = []
+            for text, other in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                _, starts, ends = _words(text)
+                own, theirs = (_shingles(np.array([xxhash.xxh3_64_intdigest(w) for w in t.encode().lower().split()], np.uint64)) for t in (text, other))
+                inside = np.zeros(len(starts) + 2, np.int8)
+                for i in np.flatnonzero(np.isin(own, theirs)).tolist():
+                    inside[i + 1:i + 1 + SHINGLE] = 1
+                step = np.diff(inside)
+                spans.append([{"start": int(starts[a]), "end": int(ends[b - 1])} for a, b in zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1))])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], names=["node", "shared"])
+
+    firsts = texts.select(F.col("node").alias("first_node"), F.col("text").alias("other"))
+    return arrow_map(near.join(texts, "node").join(firsts, "first_node").select("node", "text", "other"), run, "node binary, shared array<struct<start:int,end:int>>")
+
+
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document key: ``n_paragraphs, n_repeated, n_removed, removed`` (spans) and ``first_docs`` (ids)."""
-    held = materialize(paragraph_table(docs, id_col, text_col, buckets=False), "paragraphs")
-    nodes = materialize(
-        paragraph_table(docs, id_col, text_col, buckets=True).where("node IS NOT NULL").groupBy("node").agg(
-            F.min(F.struct(*KEY, "place", "start", "end")).alias("one"), F.first("n_shingles").alias("n_shingles"),
-            F.first("buckets").alias("buckets"), F.count("*").alias("copies")), "paragraph-sets")
+    with batch_bytes(docs.sparkSession, BATCH_BYTES):
+        units = materialize(unit_table(docs, id_col, text_col), "units")
+    windows = materialize(shared_windows(units), "windows")
+    searched = units.where("place >= 0").select(windows.columns).unionByName(windows)
+    nodes = materialize(searched.groupBy("node").agg(
+        F.min(F.struct(*KEY, "place", "start", "end")).alias("one"), F.first("n_shingles").alias("n_shingles"),
+        F.first("buckets").alias("buckets"), F.count("*").alias("copies")), "unit-sets")
+    rows = units.where(F.col("place") == DOCUMENT).groupBy(*KEY).agg(F.count("*").alias("copies"), F.first("n_shingles").alias("n_paragraphs"))
+    rows = materialize(rows, "unit-documents")
+    repeats = not rows.where("copies > 1").isEmpty()
 
     def texts(wanted: DataFrame) -> DataFrame:
         place = if_small(materialize(nodes.select("node", "one.*").join(wanted, "node"), "wanted"))
-        rows = docs.select(*key_columns(id_col, text_col), empty_text(text_col).alias("__doc"))
-        cut = rows.join(place, key_match(rows, place)).select(
+        whole = docs.select(*key_columns(id_col, text_col), empty_text(text_col).alias("__doc"))
+        cut = whole.join(place, key_match(whole, place)).select(
             *wanted.columns, F.substring(F.col("__doc"), F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
         return cut.dropDuplicates(["node"]) if repeats else cut
 
-    copies = held.where("place < 0").groupBy(*KEY).agg(F.count("*").alias("copies"))
-    repeats = not copies.where("copies > 1").isEmpty()
     roots = link_components(nodes, texts, SHINGLE, PERCENT)
-    named = nodes.join(roots, "node", "left").where("copies > 1 OR root IS NOT NULL").select(
-        "node", F.coalesce("root", "node").alias("root"), F.col("one"))
-    first = named.groupBy("root").agg(F.min(F.struct(*[F.col(f"one.{c}").alias(c) for c in (*KEY, "place")])).alias("first"))
-    marks = named.select("node", "root").join(first, "root").select("node", "first")
-    seen = held.join(marks, "node", "left")
-    stays = F.col(KEY[0]).eqNullSafe(F.col(f"first.{KEY[0]}")) & (F.col(KEY[1]) == F.col(f"first.{KEY[1]}")) & (F.col("place") == F.col("first.place"))
-    gone = F.col("first").isNotNull() & ~stays
-    span = F.struct("start", "end")
-    cuts = seen.select(*KEY, "place", F.when(F.col("first").isNotNull(), F.col("place")).alias("again"), F.when(gone, F.col("place")).alias("gone"),
-                       F.when(gone, span).alias("cut"), F.col("first").isNotNull().alias("repeats"), F.col(f"first.{KEY[0]}").alias("first_doc"))
-    passages = repeated_passages(docs, id_col, text_col).select(*KEY, span.alias("cut"), F.lit(True).alias("repeats"), "first_doc")
-    found = cuts.unionByName(passages, allowMissingColumns=True).groupBy(*KEY).agg(
-        F.count_if(F.col("place") < 0).alias("copies"), (F.max("place") + 1).cast("long").alias("n_paragraphs"),
-        F.size(F.collect_set("again")).cast("long").alias("n_repeated"), F.size(F.collect_set("gone")).cast("long").alias("n_removed"),
-        F.array_sort(F.collect_set("cut")).alias("removed"),
-        F.array_sort(F.collect_set(F.when(F.col("repeats"), F.col("first_doc")))).alias("first_docs"))
-    return found.withColumn("removed", _disjoint("removed"))
+    named = materialize(nodes.join(roots, "node", "left").where("copies > 1 OR root IS NOT NULL").select(
+        "node", F.coalesce("root", "node").alias("root"), "one"), "repeated-units")
+    first = named.groupBy("root").agg(F.min(F.struct("one", "node")).alias("least")).select("root", F.col("least.one").alias("first"), F.col("least.node").alias("first_node"))
+    marks = materialize(named.join(first, "root").drop("root"), "unit-marks")
+    near = marks.where((F.col("one.place") == PIECE) & (F.col("node") != F.col("first_node"))).select("node", "first_node")
+    wanted = near.select(F.explode(F.array("node", "first_node")).alias("node")).distinct()
+    shared = shared_spans(near, materialize(texts(wanted), "near-windows"))
+    marks = if_small(materialize(marks.join(shared, "node", "left"), "marks"))
+
+    def own(of: str) -> Column:
+        return F.col(KEY[0]).eqNullSafe(F.col(f"{of}.{KEY[0]}")) & (F.col(KEY[1]) == F.col(f"{of}.{KEY[1]}"))
+
+    paragraph = F.col("place") >= 0
+    whole, nothing = F.array(F.struct("start", "end")), F.array().cast("array<struct<start:int,end:int>>")
+    moved = F.transform("shared", lambda x: F.struct((x["start"] + F.col("start")).alias("start"), (x["end"] + F.col("start")).alias("end")))
+    same_place = own("one") & (F.col("start") == F.col("one.start"))
+    # Of equal windows the first place stays, but for what it shares with its component's first window.
+    piece = F.when(same_place, F.when(own("first") & (F.col("start") < F.col("first.end")), nothing).otherwise(F.coalesce(moved, nothing))).when(
+        own("one") & (F.col("start") < F.col("one.end")), nothing).otherwise(whole)
+    gone = F.when(paragraph, F.when(own("first") & (F.col("place") == F.col("first.place")), nothing).otherwise(whole)).otherwise(piece)
+    seen = searched.select(*KEY, "place", "start", "end", "node").join(marks, "node").withColumn("gone", gone)
+    removed = F.size("gone") > 0
+    found = seen.groupBy(*KEY).agg(
+        F.size(F.collect_set(F.when(paragraph, F.col("place")))).cast("long").alias("n_repeated"),
+        F.size(F.collect_set(F.when(paragraph & removed, F.col("place")))).cast("long").alias("n_removed"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("removed"),
+        F.array_sort(F.collect_set(F.when(paragraph | removed, F.col(f"first.{KEY[0]}")))).alias("first_docs"))
+    out = rows.join(found, key_match(rows, found), "left").select(
+        *[rows[k] for k in KEY], "copies", F.col("n_paragraphs").cast("long").alias("n_paragraphs"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_repeated", "n_removed")],
+        *[F.coalesce(c, F.array().cast(found.schema[c].dataType)).alias(c) for c in ("removed", "first_docs")])
+    return out.withColumn("removed", _disjoint("removed"))
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -220,7 +285,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the removed paragraphs and passages cut out of the text; line ends outside of them stay."""
+    """``docs`` with the removed paragraphs and windows cut out of the text; line ends outside of them stay."""
     found = repeated_paragraphs(docs, id_col, text_col).where(F.size("removed") > 0).select(*KEY, "removed")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), empty_text(text_col).alias("__doc"), *key_columns(id_col, text_col))
     joined = rows.join(found, key_match(rows, found), "left")
