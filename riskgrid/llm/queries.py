@@ -26,8 +26,9 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = token_counts.prefix_counts(read(spark, sf_dir, "documents"), vocabulary())
-    return out.select("doc_id", "n_bytes", "n_tokens", token_counts.over_limit())
+    table = token_counts.prefix_counts(read(spark, sf_dir, "documents"), vocabulary())
+    out = token_counts.answers(table, budgets=(token_counts.LIMIT,), lengths=(1000,))
+    return out.select("doc_id", "n_bytes", "n_tokens", token_counts.over_limit(), "chars_within_512", "tokens_of_1000")
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,14 +3,15 @@
 For byte-pair encoding, the encoding of a prefix ends in the one vocabulary token t that is a
 suffix of the prefix and stays apart from the last token of the encoding of what lies before t.
 So ``count[i] = count[i - len(t)] + 1``: one pass over a piece counts all its prefixes. The
-result is a byte for each code point, the change of the count there; sums of it answer
-how long a truncated text is, and where a token budget ends, without encoding again.
+result is a table of the changes of the count at each code point, a byte each (two bytes in a text
+with a change beyond a signed byte: ``width``). ``answers`` reads it to tell how long a truncated text
+is, and where a token budget ends, without encoding again.
 
 Pieces are cut by the vocabulary's pattern, as the library cuts them; special strings are one
-token. Prefixes end at code points. Texts stay whole; each distinct piece is worked out once
-per worker, in a table of bounded size.
+token. Prefixes end at code points. Texts stay whole, very long ones too; each distinct piece is worked
+out once per worker, in tables of bounded bytes.
 
-Null and empty texts have 0 bytes, 0 tokens and an empty table. Rows are treated one by one, so
+An empty table gives an empty one. Null and empty texts have 0 bytes, 0 tokens and no changes. Rows are treated one by one, so
 repeated rows, ties and null ids just pass through. Extra columns are ignored.
 """
 
@@ -35,8 +36,10 @@ PIECES = r" ?{L}+| ?{N}+|'(?:s|t|re|ve|m|ll|d)| ?[^{W}{l}{n}]+|[{W}]+(?![^{W}])|
 #: Letters and numbers below U+0100.
 LATIN = {"L": "[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]", "N": "[0-9\xb2\xb3\xb9\xbc-\xbe]",
          "l": "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "n": "0-9\xb2\xb3\xb9\xbc-\xbe", "W": WS}
-#: Pieces kept by a worker at most; then the table starts anew.
-PIECES_KEPT = 400_000
+#: Bytes of pieces, and of pairs of tokens, kept by a worker at most; then the table starts anew.
+PIECE_BYTES, PAIR_BYTES = 64 << 20, 96 << 20
+#: Bytes that an entry takes beside its own characters: objects and its place in the table.
+PIECE_ENTRY, PAIR_ENTRY = 200, 250
 LIMIT = 512
 
 
@@ -49,7 +52,7 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class PrefixCounter(dict):
-    """piece -> the changes of its token count at each code point (as bytes)."""
+    """piece -> the changes of its token count at each code point (as bytes, two each)."""
 
     def __init__(self, path: str):
         super().__init__()
@@ -68,6 +71,7 @@ class PrefixCounter(dict):
         special_set = set(specials)
         self.vocab = {as_bytes(t) for t in spec["model"]["vocab"] if t not in special_set and all(c in alphabet for c in t)}
         self.begins = {t[:k] for t in self.vocab for k in range(1, len(t) + 1)}
+        self.piece_bytes = 0
         self.known: dict[tuple, bool] = {}
         self.edges: dict[tuple, list] = {}
         self.cut = re.compile(PIECES.format(**LATIN))
@@ -108,7 +112,7 @@ class PrefixCounter(dict):
         key = (before, token)
         known = self.known.get(key)
         if known is None:
-            if len(self.known) > 4 * PIECES_KEPT:
+            if len(self.known) * PAIR_ENTRY > PAIR_BYTES:
                 self.known.clear()
             if before is None:
                 pair = self.split.get(token)
@@ -135,8 +139,10 @@ class PrefixCounter(dict):
         return count
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) > PIECES_KEPT:
+        self.piece_bytes += PIECE_ENTRY + 6 * len(piece)
+        if self.piece_bytes > PIECE_BYTES:
             self.clear()
+            self.piece_bytes = PIECE_ENTRY + 6 * len(piece)
         data = piece.encode()
         count = self.counts(data)
         if len(data) == len(piece):
@@ -149,10 +155,8 @@ class PrefixCounter(dict):
         if len(piece) == 3 and piece[0] == "'" and piece[1:].isalpha():
             # 're, 've and 'll are cut differently while their second letter is missing.
             at = [0, at[1], at[1] + self.counts(piece[1].encode())[-1], at[3]]
-        change = np.diff(np.asarray(at))
-        if change.size and (change.max() > 127 or change.min() < -128):
-            raise ValueError("a token is longer than the table's range")
-        out = self[piece] = change.astype(np.int8).tobytes()
+        # No change is larger than the longest token.
+        out = self[piece] = np.diff(np.asarray(at)).astype(np.int16).tobytes()
         return out
 
     def plain(self, text: str) -> np.ndarray:
@@ -162,14 +166,14 @@ class PrefixCounter(dict):
             pieces = self.cut.findall(text)
         except UnicodeEncodeError:  # letters beyond follow the library's own Unicode tables
             pieces = [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
-        out = np.frombuffer(b"".join(map(self.__getitem__, pieces)), dtype=np.int8)
+        out = np.frombuffer(b"".join(map(self.__getitem__, pieces)), dtype=np.int16)
         runs = [m.span() for m in self.spaces.finditer(text)]
         if runs:
             # A run of spaces gives its last one to what follows; a prefix that ends there still has it whole.
             out = out.copy()
             total = np.concatenate([[0], np.cumsum(out, dtype=np.int64)])
             for a, b in runs:
-                more = int(total[a]) + int(np.frombuffer(self[text[a:b]], dtype=np.int8).sum()) - int(total[b])
+                more = int(total[a]) + int(np.frombuffer(self[text[a:b]], dtype=np.int16).sum(dtype=np.int64)) - int(total[b])
                 out[b - 1] += more
                 out[b] -= more
         return out
@@ -184,7 +188,7 @@ class PrefixCounter(dict):
             # Inside the special string, a prefix is ordinary text; at its end it is one token.
             inside = self.plain(text[start:b - 1])
             before, now = int(inside[:a - start].sum(dtype=np.int64)), int(inside.sum(dtype=np.int64))
-            out += [inside, np.array([before + 1 - now], dtype=np.int8)]
+            out += [inside, np.array([before + 1 - now], dtype=np.int16)]
             start = b
         return np.concatenate([*out, self.plain(text[start:])])
 
@@ -196,7 +200,7 @@ def counter(path: str) -> PrefixCounter:
 
 def prefix_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                   table: bool = True) -> DataFrame:
-    """``doc_id, n_bytes, n_chars, n_tokens`` and, with ``table``, ``changes``: a signed byte for each code point."""
+    """``doc_id, n_bytes, n_chars, n_tokens`` and, with ``table``, ``width, changes``: so many bytes, signed, for each code point."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,23 +214,58 @@ def prefix_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                 "n_chars": pa.array(map(len, texts), pa.int64()),
                 "n_tokens": pa.array([int(c.sum(dtype=np.int64)) for c in changes], pa.int64())}
             if table:
-                columns["changes"] = pa.array([c.tobytes() for c in changes], pa.binary())
+                small = [narrow(c) for c in changes]
+                columns["width"] = pa.array([c.itemsize for c in small], pa.int32())
+                columns["changes"] = pa.array([c.tobytes() for c in small], pa.binary())
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    schema = f"doc_id {id_type}, n_bytes long, n_chars long, n_tokens long" + ", changes binary" * table
+    schema = f"doc_id {id_type}, n_bytes long, n_chars long, n_tokens long" + ", width int, changes binary" * table
     return arrow_map(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), run, schema)
 
 
-def tokens_at(changes: bytes, n_chars: int) -> int:
+def narrow(changes: np.ndarray) -> np.ndarray:
+    """The changes as signed bytes, if they all fit."""
+    fits = not changes.size or -128 <= changes.min() and changes.max() <= 127
+    return changes.astype(np.int8) if fits else changes
+
+
+def _read(changes: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(changes, dtype=np.int8 if width == 1 else np.int16)
+
+
+def tokens_at(changes: bytes, n_chars: int, width: int = 1) -> int:
     """Token count of the first ``n_chars`` code points."""
-    return int(np.frombuffer(changes, dtype=np.int8)[:n_chars].sum(dtype=np.int64))
+    return int(_read(changes, width)[:n_chars].sum(dtype=np.int64))
 
 
-def longest_within(changes: bytes, budget: int) -> int:
+def longest_within(changes: bytes, budget: int, width: int = 1) -> int:
     """Code points of the longest prefix of at most ``budget`` tokens."""
-    fits = np.flatnonzero(np.concatenate([[0], np.cumsum(np.frombuffer(changes, dtype=np.int8), dtype=np.int64)]) <= budget)
+    fits = np.flatnonzero(np.concatenate([[0], np.cumsum(_read(changes, width), dtype=np.int64)]) <= budget)
     return int(fits[-1]) if fits.size else 0
 
 
+def answers(table: DataFrame, budgets: tuple[int, ...] = (), lengths: tuple[int, ...] = ()) -> DataFrame:
+    """``table`` (of ``prefix_counts``) with the answers in place of ``width, changes``, read from the table alone.
+
+    ``chars_within_<b>``: code points of the longest prefix of at most b tokens; ``tokens_of_<c>``: tokens of the
+    first c code points (of all, if fewer).
+    """
+    kept = [c for c in table.columns if c not in ("width", "changes")]
+    names = [f"chars_within_{b}" for b in budgets] + [f"tokens_of_{c}" for c in lengths]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list[int]] = [[] for _ in names]
+            for width, changes in zip(batch.column("width").to_pylist(), batch.column("changes")):
+                data = changes.as_py()
+                found = [longest_within(data, b, width) for b in budgets] + [tokens_at(data, c, width) for c in lengths]
+                for column, x in zip(out, found):
+                    column.append(x)
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [pa.array(x, pa.int64()) for x in out], names=kept + names)
+
+    fields = [f"`{c}` {table.schema[c].dataType.simpleString()}" for c in kept] + [f"{n} long" for n in names]
+    return arrow_map(table, run, ", ".join(fields))
+
+
 def over_limit(limit: int = LIMIT) -> Column:
     return (F.col("n_tokens") > limit).alias("over_limit")

@@ -129,10 +129,10 @@ def test_prefix_counts_equal_the_library_at_every_prefix():
              "\x1c", "\x85", "aaa", "    ", "=====", "²", "hello world", "İ"]
     for _ in range(400):
         text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 10)))
-        changes = count.text(text).tobytes()
+        changes = token_counts.narrow(count.text(text)).tobytes()
         for i in range(len(text) + 1):
             assert token_counts.tokens_at(changes, i) == size(text[:i]), (text, i)
-    changes = count.text("hello world and all that").tobytes()
+    changes = token_counts.narrow(count.text("hello world and all that")).tobytes()
     assert token_counts.longest_within(changes, 2) == len("hello world")
 
 
@@ -143,6 +143,39 @@ def test_token_counts_equal_the_library(sample, texts):
         assert (r.n_bytes, r.over_limit) == (len(texts[r.doc_id].encode()), r.n_tokens > 512)
 
 
+def test_answers_of_the_prefix_table_equal_encoding_again(sample, texts, edges):
+    library = token_counts.counter(queries.vocabulary()).library
+    size = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    table = token_counts.prefix_counts(sample, queries.vocabulary())
+    out = token_counts.answers(table, budgets=(0, 64), lengths=(0, 300, 10 ** 9)).collect()
+    assert len(out) == len(texts)
+    for r in out[::5]:
+        t = texts[r.doc_id]
+        assert (r.tokens_of_0, r.tokens_of_300, r.tokens_of_1000000000) == (0, size(t[:300]), size(t))
+        assert r.chars_within_0 == 0 and r.chars_within_64 == max(k for k in range(min(len(t), 2000) + 1) if size(t[:k]) <= 64)
+    got = token_counts.answers(token_counts.prefix_counts(edges, queries.vocabulary()), budgets=(3,)).where("n_bytes = 0").collect()
+    assert len(got) == 4 and all((r.n_chars, r.n_tokens, r.chars_within_3) == (0, 0, 0) for r in got)
+
+
+def test_changes_beyond_a_signed_byte_take_two_bytes():
+    changes = np.array([1, 200, -300, 5], np.int16)
+    wide = token_counts.narrow(changes)
+    assert wide.itemsize == 2 and token_counts.narrow(changes[:1]).itemsize == 1
+    assert [token_counts.tokens_at(wide.tobytes(), k, 2) for k in range(5)] == [0, 1, 201, -99, -94]
+    assert token_counts.longest_within(wide.tobytes(), 0, 2) == 4
+
+
+def test_token_caches_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(token_counts, "PIECE_BYTES", 20_000)
+    monkeypatch.setattr(token_counts, "PAIR_BYTES", 20_000)
+    count = token_counts.PrefixCounter(queries.vocabulary())
+    rnd = random.Random(12)
+    for _ in range(40):
+        t = words(rnd, 200)
+        assert int(count.text(t).sum(dtype=np.int64)) == len(count.library.encode(t, add_special_tokens=False).ids)
+        assert len(count) <= 100 and len(count.known) <= 20_000 // token_counts.PAIR_ENTRY + 200
+
+
 def components_by_brute_force(sets, percent):
     root = {i: i for i in sets}
 
