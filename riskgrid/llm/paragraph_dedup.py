@@ -182,13 +182,24 @@ def unit_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def shared_windows(units: DataFrame) -> DataFrame:
-    """The windows whose bucket another document holds too, or the same one at a place that doesn't overlap."""
-    windows = units.where(F.col("place") == PIECE)
+    """The windows whose bucket another document holds too, or the same one at a place that doesn't overlap.
+
+    ``alone``: all windows of its bucket are equal, so it has no other window to be near to.
+    """
+    windows = units.where(F.col("place") == PIECE).select(*KEY, "start", "end", "bucket", "words")
     row = F.xxhash64(*KEY)
-    held = windows.groupBy("bucket").agg(F.min(row).alias("lo"), F.max(row).alias("hi"), F.min("end").alias("first"), F.max("start").alias("last"))
-    shared = if_small(materialize(held.where("lo <> hi OR last >= first").select("bucket"), "shared-buckets"))
-    node = F.unhex(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in ("bucket", "words")]))
-    return windows.join(shared, "bucket").select(*KEY, "place", "start", "end", node.alias("node"), "n_shingles", F.array("bucket").alias("buckets"))
+    held = windows.groupBy("bucket").agg(F.min(row).alias("lo"), F.max(row).alias("hi"), F.min("end").alias("first"), F.max("start").alias("last"),
+                                         (F.min("words") == F.max("words")).alias("alone"))
+    shared = if_small(materialize(held.where("lo <> hi OR last >= first").select("bucket", "alone"), "shared-buckets"))
+    return windows.join(shared, "bucket")
+
+
+def colliding(nodes: DataFrame) -> DataFrame:
+    """The nodes that share a bucket with another one, with those of their buckets; counted before any node is moved."""
+    held = nodes.select("node", F.explode("buckets").alias("bucket"))
+    shared = if_small(materialize(held.groupBy("bucket").count().where("count > 1").select("bucket"), "colliding-buckets"))
+    kept = held.join(shared, "bucket").groupBy("node").agg(F.collect_list("bucket").alias("buckets"))
+    return materialize(kept.join(nodes.select("node", "n_shingles"), "node"), "colliding")
 
 
 def _disjoint(spans: str) -> Column:
@@ -225,6 +236,9 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     with batch_bytes(docs.sparkSession, BATCH_BYTES):
         units = materialize(unit_table(docs, id_col, text_col), "units")
     windows = materialize(shared_windows(units), "windows")
+    node = F.unhex(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in ("bucket", "words")]))
+    windows = windows.select(*KEY, F.lit(PIECE).alias("place"), "start", "end", node.alias("node"), F.lit(WINDOW - SHINGLE + 1).alias("n_shingles"),
+                             F.when(~F.col("alone"), F.array("bucket")).alias("buckets"))
     searched = units.where("place >= 0").select(windows.columns).unionByName(windows)
     nodes = materialize(searched.groupBy("node").agg(
         F.min(F.struct(*KEY, "place", "start", "end")).alias("one"), F.first("n_shingles").alias("n_shingles"),
@@ -240,7 +254,7 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             *wanted.columns, F.substring(F.col("__doc"), F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
         return cut.dropDuplicates(["node"]) if repeats else cut
 
-    roots = link_components(nodes, texts, SHINGLE, PERCENT)
+    roots = link_components(colliding(nodes), texts, SHINGLE, PERCENT)
     named = materialize(nodes.join(roots, "node", "left").where("copies > 1 OR root IS NOT NULL").select(
         "node", F.coalesce("root", "node").alias("root"), "one"), "repeated-units")
     first = named.groupBy("root").agg(F.min(F.struct("one", "node")).alias("least")).select("root", F.col("least.one").alias("first"), F.col("least.node").alias("first_node"))
