@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from riskgrid.llm.common import KEY, empty_text, key_columns, key_match
 
 SIZE = 10
-#: At about 100 bytes a window, this is 100 MB on each executor.
+#: Windows, and items in their lists, of a broadcast; at about 100 bytes each, this is 100 MB on each executor.
 BROADCAST_WINDOWS = 1_000_000
 #: Anchors that are tested inside the scan; they are part of the plan, at about 20 bytes each.
 SCAN_ANCHORS = 50_000
@@ -77,7 +77,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, id_co
     """Per distinct document key: n_words, the sorted items, and the numbers of the hit words (from 0)."""
     grams = item_windows(benchmark, size, item_col)
     # At most ``size`` lengths, one aggregate row each; then the anchors, if they are few enough.
-    counted = {r["len"]: r["n"] for r in grams.groupBy("len").agg(F.count("*").alias("n")).collect()}
+    counted = {r["len"]: r["n"] for r in grams.groupBy("len").agg(F.sum(1 + F.size("items")).alias("n")).collect()}
     small = sum(counted.values()) <= BROADCAST_WINDOWS
     words = docs.select(*key_columns(id_col, text_col), words_of(empty_text(text_col)).alias("w"))
     w = F.col("w")
