@@ -54,12 +54,18 @@ class FittedModel:
 
 
 def balanced(train: DataFrame, label: str = TARGET) -> tuple[DataFrame, int]:
-    """Train rows with w = n / (2 n_c); returns (rows, n). One small aggregate to the driver."""
+    """Train rows with w = n / (k n_c) over the k classes that occur, so that weights sum to n; returns (rows, n).
+
+    Rows of one class only (with enough events every day has a large one ahead) weigh 1: what is fitted on them
+    is that class everywhere, as MLlib does it (logistic regression: coefficients 0, intercept without bound).
+    One small aggregate to the driver.
+    """
     row = train.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("pos")).collect()[0]
     n, pos = int(row["n"]), int(row["pos"])
-    if pos == 0 or pos == n:
-        raise ValueError("train split has a single class; class weights are undefined")
-    w1, w0 = n / (2.0 * pos), n / (2.0 * (n - pos))
+    if n == 0:
+        raise ValueError("train split has no rows")
+    k = 2 if 0 < pos < n else 1
+    w1, w0 = n / (k * max(pos, 1)), n / (k * max(n - pos, 1))
     return train.withColumn("weight", F.when(F.col(label) == 1, F.lit(w1)).otherwise(F.lit(w0))), n
 
 
@@ -76,6 +82,11 @@ def _assembled(train_w: DataFrame, numeric, cats, stats, names) -> DataFrame:
         .select("features", F.col(TARGET).cast("double").alias("label"), "weight")
 
 
+def _two_classes(data: DataFrame) -> DataFrame:
+    """Says that labels are 0 and 1, which trees would otherwise take from the largest one seen."""
+    return data.withMetadata("label", {"ml_attr": {"type": "nominal", "num_vals": 2}})
+
+
 def fit_logreg(train: DataFrame, numeric, categorical, run: str, C: float = 1.0,
                max_iter: int = 1000, tol: float = 1e-9) -> FittedModel:
     """M1: weighted L2 logistic regression on the preprocessed train rows."""
@@ -97,7 +108,7 @@ def fit_forest(train: DataFrame, numeric, categorical, run: str, trees: int = 30
     forests match the reference in quality, not bit for bit."""
     stats, cats, names = _design(train, numeric, categorical)
     train_w, n = balanced(train)
-    data = _assembled(train_w, numeric, cats, stats, names).cache()
+    data = _two_classes(_assembled(train_w, numeric, cats, stats, names)).cache()
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                                 numTrees=trees, minInstancesPerNode=min_leaf, maxDepth=max_depth,
                                 maxBins=256, featureSubsetStrategy="sqrt", seed=seed,
@@ -114,7 +125,7 @@ def fit_gbt(train: DataFrame, numeric, categorical, run: str, iters: int = 100,
     """Gradient-boosted trees with the same preprocessing and balanced weights."""
     stats, cats, names = _design(train, numeric, categorical)
     train_w, n = balanced(train)
-    data = _assembled(train_w, numeric, cats, stats, names).cache()
+    data = _two_classes(_assembled(train_w, numeric, cats, stats, names)).cache()
     gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                         maxIter=iters, maxDepth=depth, seed=seed)
     model = gbt.fit(data)
