@@ -80,18 +80,25 @@ def current_tally(spark: SparkSession, changelog: str) -> DataFrame:
     return log.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1").drop("_rk", "batch_id")
 
 
+#: Rows a landed file holds at most, more or less (some 50 MB).
+ROWS_PER_FILE = 1_000_000
+
+
 def land_in_time_order(events: DataFrame, source_dir: str, time_col: str = "time",
                        unit: str = "year", files_per_slice: int | None = None) -> int:
     """Test harness: land events as files, one append per ``unit`` slice, oldest first,
-    so file arrival order follows event time as a live feed's would. Each slice is
-    written with its own parallelism (range-partitioned by time), never funnelled
-    through one task. (A real deployment lands files from outside; this only
-    replays the given table.)"""
-    n = files_per_slice or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = [r[0] for r in events.select(F.date_trunc(unit, F.col(time_col)).alias("s"))
-              .distinct().orderBy("s").collect()]
+    so file arrival order follows event time as a live feed's would. The events are worked
+    out once, laid out by slice. Each slice is range-partitioned by time into files by its rows, two at
+    least: a stream pays for each micro-batch, so the number of files must not follow the number of shuffle
+    partitions. (A real deployment lands files from outside; this only replays the given table.)"""
+    spark, at = events.sparkSession, scratch(events.sparkSession, "slices")
+    name = F.concat(F.lit("s"), F.date_trunc(unit, F.col(time_col)).cast("string"))
+    events.where(F.col(time_col).isNotNull()).withColumn("_slice", name).write.partitionBy("_slice").parquet(at)
+    laid = spark.read.schema(events.withColumn("_slice", name).schema).parquet(at)
+    slices = laid.groupBy("_slice").count().orderBy("_slice").collect()
     for s in slices:
-        (events.filter(F.date_trunc(unit, F.col(time_col)) == F.lit(s))
+        n = files_per_slice or max(2, -(-s["count"] // ROWS_PER_FILE))
+        (laid.filter(F.col("_slice") == F.lit(s["_slice"])).drop("_slice")
          .repartitionByRange(n, time_col).write.mode("append").parquet(source_dir))
     return len(slices)
 

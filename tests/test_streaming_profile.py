@@ -94,3 +94,23 @@ def test_inter_event_gaps_with_a_burst_of_identical_times(spark, ranking_path):
     # gaps: 0, 0, 0, 0, 2h, 6h -> median (0 + 0) / 2 = 0, mean 8h / 6
     assert r["n_gaps"] == 6 and r["median_gap_h"] == 0.0
     assert r["mean_gap_h"] == pytest.approx(8 / 6)
+
+
+def test_landed_files_follow_rows_not_shuffle_partitions(spark):
+    import datetime as dt
+    import os
+
+    from riskgrid.streaming import tally as ST
+    rows = [(i, dt.datetime(1999 + i % 2, 3, 1) + dt.timedelta(days=i)) for i in range(60)] + [(None, dt.datetime(2000, 1, 1)), (7, None)]
+    events = spark.createDataFrame(rows, "id long, time timestamp_ntz")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 50)
+    try:
+        src = ST.scratch(spark, "src")
+        assert ST.land_in_time_order(events, src) == 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    landed = spark.read.parquet(src)
+    assert landed.schema == events.schema
+    assert sorted(landed.collect(), key=str) == sorted([r for r in events.collect() if r["time"] is not None], key=str)
+    assert len([f for f in os.listdir(src.removeprefix("file:")) if f.endswith(".parquet")]) <= 4
