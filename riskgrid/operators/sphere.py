@@ -4,9 +4,11 @@ Places and segment ends are unit vectors, so poles and the date line are places
 shorter great-circle arc between its ends; one of length zero, or between opposite points, counts as its ends.
 
 The map is a table ``x1, y1, x2, y2`` (degrees). An index over latitude-longitude cells is built from coarse to fine: a
-cell keeps each segment that is nearest to some point of it. With d the angle from the cell's centre to its nearest
-segment and r the largest angle from the centre to a point of the cell, that segment is at most d + 2 r
-from the centre; so a cell keeps the segments within that, and hands them to the cells it is cut into.
+cell keeps each segment that is nearest to some point of it. With d the angle from the cell's centre to any
+segment and r the largest angle from the centre to a point of the cell, the nearest one is at most d + 2 r
+from the centre; so a cell keeps the segments within that, and hands them to the cells it is cut into. The d of each cell
+comes first, from a segment of each cell that segments begin in (at most as many as cells, whatever the map); then
+each segment goes down the broadcast cells by projections alone, so what is written grows as the map does.
 Only cells that hold events are refined. A cell's segments then meet its events in a join on the cell, and the
 least angle of each event is taken before anything is shuffled again: exact, with no list of a cell's segments or events in
 one row. A cell crowded with events or segments is one join key, which Spark splits (AQE skew join).
@@ -85,23 +87,53 @@ def _centre(number: Column, side: float) -> tuple[list[Column], Column]:
     return c, reach
 
 
+CENTRE = ("cx", "cy", "cz")
+
+
+def _far() -> Column:
+    """Angle from the centre of a cell to the arc beside it."""
+    return arc_angle([F.col(k) for k in CENTRE], [F.col(k) for k in ENDS[:3]], [F.col(k) for k in ENDS[3:]])
+
+
+def _with_centre(df: DataFrame, side: float) -> DataFrame:
+    c, reach = _centre(F.col("cell"), side)
+    return df.select("*", *[x.alias(k) for k, x in zip(CENTRE, c)], reach.alias("reach"))
+
+
+def _handed_down(arcs: DataFrame, cells: DataFrame, i: int) -> DataFrame:
+    """The arcs beside the cells of level ``i`` that they may be nearest in; above the first level they carry the ``cell`` above."""
+    return arcs.join(F.broadcast(cells)) if i == 0 else arcs.withColumnRenamed("cell", "above").join(F.broadcast(cells), "above").drop("above")
+
+
+def _kept(arcs: DataFrame, limits: list) -> DataFrame:
+    """``cell`` and ends of the arcs within the limit of each cell from the coarsest level down: projections beside
+    broadcast cells, nothing is shuffled or written."""
+    for i, cells in enumerate(limits):
+        arcs = _handed_down(arcs, cells, i).where(_far() <= F.col("limit")).select("cell", *ENDS)
+    return arcs
+
+
 def segment_index(segments: DataFrame, cells: DataFrame) -> DataFrame:
     """``cell`` and the ends of each segment that may be nearest to a point of it, for the finest cells given in ``cells``."""
     a, b = unit(F.col("y1").cast("double"), F.col("x1").cast("double")), unit(F.col("y2").cast("double"), F.col("x2").cast("double"))
     arcs = segments.select(*[c.alias(k) for k, c in zip(ENDS, a + b)]).where(" AND ".join(f"{k} IS NOT NULL AND NOT isnan({k})" for k in ENDS)).distinct()
-    held = None
+    arcs = materialize(arcs, "sphere-arcs")
+    lat, lon = F.degrees(F.asin("az")), F.degrees(F.atan2("ay", "ax"))
+    limits, some = [], None
     for i, side in enumerate(SIDES):
+        # One segment of each cell that segments begin in, beside those of the coarser cells: at most as many as cells.
+        own = _with_centre(arcs.withColumn("cell", cell(lat, lon, side)), side).withColumn("far", _far())
+        nearest = own.groupBy("cell").agg(F.min(F.struct("far", *ENDS)).alias("s")).select(*[f"s.{k}" for k in ENDS])
+        some = materialize((nearest if some is None else some.unionByName(nearest)).distinct(), "sphere-some")
         wanted = cells.select(_parent(F.col("cell"), SIDES[-1], side).alias("cell")).distinct() if side != SIDES[-1] else cells
-        if held is None:  # the coarsest cells are few: at most 72
-            met = arcs.join(F.broadcast(wanted))
-        else:
-            met = wanted.withColumn("above", _parent(F.col("cell"), side, SIDES[i - 1])).join(held.withColumnRenamed("cell", "above"), "above").drop("above")
-        c, reach = _centre(F.col("cell"), side)
-        far = met.withColumn("far", arc_angle(c, [F.col(k) for k in ENDS[:3]], [F.col(k) for k in ENDS[3:]])).withColumn("reach", reach)
-        far = materialize(far, "sphere-level")
-        nearest = far.groupBy("cell").agg(F.min("far").alias("least"))
-        held = far.join(nearest, "cell").where(F.col("far") <= F.col("least") + 2 * F.col("reach") + SLACK).select("cell", *ENDS)
-    return held
+        if i:
+            wanted = wanted.withColumn("above", _parent(F.col("cell"), side, SIDES[i - 1]))
+        # Written with their centres: a condition of a join would work them out again for each arc.
+        wanted = materialize(_with_centre(wanted, side), "sphere-wanted")
+        least = _handed_down(_kept(some, limits), wanted, i).groupBy("cell").agg(F.min(_far()).alias("least"))
+        limit = (F.col("least") + 2 * F.col("reach") + SLACK).alias("limit")
+        limits.append(materialize(wanted.join(F.broadcast(least), "cell").select("cell", *(["above"] if i else []), *CENTRE, limit), "sphere-limits"))
+    return _kept(arcs, limits)
 
 
 def nearest_segment_km(events: DataFrame, segments: DataFrame, lat: str = "latitude", lon: str = "longitude", out: str = "geodesic_km") -> DataFrame:
@@ -112,7 +144,7 @@ def nearest_segment_km(events: DataFrame, segments: DataFrame, lat: str = "latit
     la, lo = F.col(lat).cast("double"), F.col(lon).cast("double")
     places = events.select(la.alias("lat"), lo.alias("lon")).distinct().withColumn("cell", cell(F.col("lat"), F.col("lon"), SIDES[-1])).where("cell IS NOT NULL")
     places = materialize(places.select("lat", "lon", "cell", *[c.alias(k) for k, c in zip(XYZ, unit(F.col("lat"), F.col("lon")))]), "sphere-places")
-    index = materialize(segment_index(segments, materialize(places.select("cell").distinct(), "sphere-cells")), "sphere-index")
+    index = segment_index(segments, materialize(places.select("cell").distinct(), "sphere-cells"))
     met = places.join(index, "cell")
     least = met.groupBy("lat", "lon").agg(F.min(arc_angle([F.col(k) for k in XYZ], [F.col(k) for k in ENDS[:3]], [F.col(k) for k in ENDS[3:]])).alias("least"))
     found = least.select(F.col("lat").alias("__lat"), F.col("lon").alias("__lon"), (F.col("least") * EARTH_KM).alias(out))

@@ -77,3 +77,14 @@ def test_cells_and_their_parents(spark):
         assert places.where(sphere._parent(at(fine), fine, coarse) != at(coarse)).count() == 0
         c, reach = sphere._centre(at(fine), fine)
         assert places.where(sphere.angle(c, sphere.unit(F.col("lat"), F.col("lon"))) > reach + 1e-12).count() == 0
+
+
+def test_what_is_written_grows_as_the_map_does(spark, monkeypatch):
+    rnd = np.random.default_rng(5)
+    segments = [(float(x), float(y), float(x) + 1.0, float(y)) for x, y in zip(rnd.uniform(-180, 179, 4000), rnd.uniform(-80, 80, 4000))]
+    places = [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(rnd.uniform(-80, 80, 100), rnd.uniform(-180, 180, 100)))]
+    written, kept = [], sphere.materialize
+    monkeypatch.setattr(sphere, "materialize", lambda df, name: written.append(kept(df, name)) or written[-1])
+    got = sphere.nearest_segment_km(spark.createDataFrame(places, PLACES), spark.createDataFrame(segments, SEGMENTS))
+    assert got.where("geodesic_km IS NOT NULL").count() == len(places)
+    assert sum(df.count() for df in written) < 5 * len(segments)
