@@ -176,6 +176,21 @@ def test_token_caches_are_bounded_by_bytes(monkeypatch):
         assert len(count) <= 100 and len(count.known) <= 20_000 // token_counts.PAIR_ENTRY + 200
 
 
+def test_token_beginnings_are_numbered_and_long_pieces_counted():
+    count = token_counts.PrefixCounter(queries.vocabulary())
+    whole = {t for t in count.tokens if t is not None}
+    for token in (b"a", b" the", "é".encode(), max(whole, key=len)):
+        at = 0
+        for byte in token:
+            at = count.after[256 * at + byte]
+        assert count.tokens[at] == token
+    assert len(whole) >= 50_000 and count.longest == max(map(len, whole))
+    rnd = random.Random(13)
+    for text in ("a" * 3000, "".join(rnd.choice("abcéß") for _ in range(3000)), "=" * 700, "日本語" * 200):
+        assert int(count.text(text).sum(dtype=np.int64)) == len(count.library.encode(text, add_special_tokens=False).ids)
+    assert all(isinstance(k, int) for k in count.known)
+
+
 def components_by_brute_force(sets, percent):
     root = {i: i for i in sets}
 
