@@ -55,6 +55,26 @@ class RefreshStore:
         found = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
         return self.spark.read.option("mergeSchema", False).parquet(f"{self.root}/{name}") if found else None
 
+    def _events(self) -> DataFrame | None:
+        """The landed rows that have a region and a day."""
+        events = self._read("events")
+        return None if events is None else events.where("region IS NOT NULL AND date IS NOT NULL")
+
+    def _move(self, source: str, target: str) -> None:
+        """Put a batch in the place of what ``target`` holds; rows without a day stay behind, they are in no month."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        old, new = path(target), path(source)
+        files = old.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(path(f"{source}/month=__HIVE_DEFAULT_PARTITION__"), True)
+        files.delete(old, True)
+        files.mkdirs(old.getParent())
+        if not files.rename(new, old):
+            raise OSError(f"{source} could not be moved to {target}")
+
+    def _by_month(self, rows: DataFrame) -> DataFrame:
+        """A file a month, written by all cores: of few rows, months would otherwise come together in one task."""
+        return rows.withColumn("month", _month()).repartition(self.spark.sparkContext.defaultParallelism, "month")
+
     def features(self) -> DataFrame:
         return self._read("features").select(*KEYS, *FEATURE_COLUMNS, TARGET)
 
@@ -69,8 +89,7 @@ class RefreshStore:
         if old is not None:
             kept = old.where(F.col("month").isin(months)).drop("month").join(keys, KEYS, "left_anti")
             rows = kept.unionByName(rows)
-        rows = materialize(rows, f"refresh-{name}").withColumn("month", _month())
-        rows.repartition("month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(f"{self.root}/{name}")
+        self._by_month(materialize(rows, f"refresh-{name}")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(f"{self.root}/{name}")
 
     # -- a batch -------------------------------------------------------------
 
@@ -81,7 +100,11 @@ class RefreshStore:
         it may have changed, whether the features were rebuilt, and the feature rows worked out.
         """
         day = F.to_date(F.col("date") if "date" in batch.columns else F.col("time"))
-        rows = materialize(batch.withColumn("date", day), "refresh-batch")
+        rows = batch.withColumn("date", day).withColumn("month", _month())
+        # Written once, as the events are laid out, and moved among them when its keys are noted.
+        landing = f"{self.root}/landing/batch={number}"
+        rows.write.mode("overwrite").partitionBy("month").parquet(landing)
+        rows = self.spark.read.schema(rows.schema).parquet(landing)
         keyed = rows.where("region IS NOT NULL AND date IS NOT NULL")
         before = self.tally()
         known = before.agg(F.min("date").alias("first"), F.max("date").alias("last")).first() if before is not None else None
@@ -90,7 +113,7 @@ class RefreshStore:
                         F.count_if(F.col("region").isNotNull() & (F.datediff(behind, F.col("date")) > self.late_days)).alias("late")).first()
 
         changed = self._note(keyed, number)
-        keyed.withColumn("month", _month()).write.mode("overwrite").partitionBy("month").parquet(f"{self.root}/events/batch={number}")
+        self._move(landing, f"{self.root}/events/batch={number}")
         self._upsert("tally", self._tally_of(changed), changed)
 
         now = self.tally().agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
@@ -102,14 +125,14 @@ class RefreshStore:
             fresh = materialize(self._features_of(slices, now), "refresh-features-new")
             worked = fresh.count()
             if rebuilt:
-                fresh.withColumn("month", _month()).repartition("month").write.mode("overwrite").partitionBy("month").parquet(f"{self.root}/features")
+                self._by_month(fresh).write.mode("overwrite").partitionBy("month").parquet(f"{self.root}/features")
             elif worked:
                 self._upsert("features", fresh, fresh.select(*KEYS))
         return self.spark.createDataFrame([(number, seen["rows"], seen["unkeyed"], seen["late"], changed.count(), rebuilt, worked)], REPORT)
 
     def _note(self, keyed: DataFrame, number: int) -> DataFrame:
         """The keys that the batch can change, noted before anything else; and the ids that other batches hold too."""
-        keys, events = keyed.select(*KEYS), self._read("events")
+        keys, events = keyed.select(*KEYS), self._events()
         own_ids = keyed.select("id").where("id IS NOT NULL").distinct()
         if events is not None:
             keys = keys.unionByName(events.where(F.col("batch") == number).select(*KEYS))
@@ -125,7 +148,7 @@ class RefreshStore:
     def _tally_of(self, changed: DataFrame) -> DataFrame:
         """One row per changed key, from all events that count; 0 where none is left."""
         months = [r[0] for r in changed.select(_month()).distinct().collect()]
-        events = self._read("events").where(F.col("month").isin(months)).join(changed, KEYS, "left_semi")
+        events = self._events().where(F.col("month").isin(months)).join(changed, KEYS, "left_semi")
         newest = self._read("superseded").groupBy("id").agg(F.max("newest").alias("newest"))
         left = events.join(newest, "id", "left").where("newest IS NULL OR batch = newest")
         tally = daily_tally(left.drop("month", "batch", "newest"), self.params.regions)

@@ -166,3 +166,16 @@ def test_a_batch_cut_off_before_its_tally_is_mended_by_applying_it_again(spark,
     same(store, spark, batches)
     assert store.tally().groupBy(*KEYS).count().where("count > 1").count() == 0
     assert store._read("tally").agg(F.min("n")).first()[0] >= 0
+
+
+def test_a_batch_is_written_once_and_only_rows_with_a_key_count(spark, tmp_path, monkeypatch):
+    from riskgrid.plans import refresh
+    written = []
+    monkeypatch.setattr(refresh, "materialize", lambda df, name, keep=refresh.materialize: written.append(name) or keep(df, name))
+    rnd = random.Random(6)
+    rows = [event(rnd, i, 0, 60) for i in range(30)]
+    store = RefreshStore(spark, str(tmp_path / "store"), PARAMS)
+    report = store.apply(spark.createDataFrame(rows + [(900, None, START, 6.0, 1.0, 0.0, 0.0, 1.0), (901, "a", None, 6.0, 1.0, 0.0, 0.0, 1.0)], SCHEMA), 1).first()
+    assert "refresh-batch" not in written and not (tmp_path / "store/landing/batch=1").exists()
+    assert (report["rows"], report["unkeyed"]) == (32, 2) and sorted(r["id"] for r in store._events().collect()) == list(range(30))
+    same(store, spark, {1: rows})
