@@ -31,13 +31,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskgrid.llm.common import KEY, arrow_map, empty_text, if_small, key_columns, key_match, materialize
+from riskgrid.llm.common import KEY, arrow_map, empty_text, few, key_columns, key_match, materialize
 
 LENGTH = 200
 GRAM = 32
 RUN = 256
 #: Bytes of distinct segments in one suffix array, about.
 BUNDLE = 1_500_000
+#: Of the texts that a join moves.
+CODEC = "zstd"
 
 _TABLE = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -214,18 +216,38 @@ def _bundle_repeats(length: int):
     return run
 
 
+def packed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``KEY, packed, size``: each text's bytes compressed (null: empty), for joins that move texts, and how many there are."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t.encode() for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([pa.compress(t, codec=CODEC, asbytes=True) for t in texts], pa.binary()),
+                 pa.array(map(len, texts), pa.int32())], names=[*KEY, "packed", "size"])
+
+    return arrow_map(docs.select(*key_columns(id_col, text_col), empty_text(text_col).alias("text")), run,
+                     f"{KEY[0]} {id_type}, {KEY[1]} long, packed binary, size int")
+
+
+def _unpacked(packed: pa.Array, size: pa.Array) -> list[bytes]:
+    return [pa.decompress(p, n, codec=CODEC, asbytes=True) for p, n in zip(packed.to_pylist(), size.to_pylist())]
+
+
 def _fetch(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
-    """The bytes of the wanted segments, cut from one document each."""
-    per_doc = materialize(wanted.groupBy(*KEY).agg(F.collect_list(F.struct("name", "digest", "copies", "bundle", "start", "windows")).alias("segs")), "wanted")
-    rows = docs.select(*key_columns(id_col, text_col), F.col(text_col).cast("string").alias("text"))
-    held = if_small(per_doc, F.size("segs"))
-    joined = rows.join(held, key_match(rows, held)).select("text", "segs")
+    """The bytes of the wanted segments, cut from one document each.
+
+    Texts go to the wanted places by shuffle at any size, compressed, and only those long enough for a segment.
+    """
+    per_doc = wanted.groupBy(*KEY).agg(F.collect_list(F.struct("name", "digest", "copies", "bundle", "start", "windows")).alias("segs")).hint("merge")
+    rows = packed_texts(docs.where(F.octet_length(F.col(text_col).cast("string")) >= length), id_col, text_col)
+    joined = rows.join(per_doc, key_match(rows, per_doc)).select("packed", "size", "segs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, segs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                data = text.encode()
+            for data, segs in zip(_unpacked(batch.column(0), batch.column(1)), batch.column(2).to_pylist()):
                 out += [(s["name"], s["digest"], s["copies"], s["bundle"], data[s["start"]:s["start"] + s["windows"] + length - 1]) for s in segs]
             cols = list(zip(*out)) if out else [()] * 5
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
@@ -289,15 +311,20 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, bundle: int = BUNDLE, i
 def remove_repeats(docs: DataFrame, length: int = LENGTH, bundle: int = BUNDLE, id_col: str = "doc_id", text_col: str = "text",
                    keep_text: bool = False) -> DataFrame:
     """Per row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and, with ``keep_text``, ``kept``: the bytes left."""
-    runs = if_small(repeated_runs(docs, length, bundle, id_col, text_col), F.size("runs"))
-    rows = docs.select(*key_columns(id_col, text_col), empty_text(text_col).alias("text"))
-    joined = rows.join(runs, key_match(rows, runs), "left").select(rows[KEY[0]].alias("doc_id"), "text", "runs")
+    runs = repeated_runs(docs, length, bundle, id_col, text_col)
+    small = few(runs, F.size("runs"))
+    if small:
+        rows = docs.select(*key_columns(id_col, text_col), empty_text(text_col).alias("text"), F.lit(0).alias("size"))
+        runs = F.broadcast(runs)
+    else:
+        rows = packed_texts(docs, id_col, text_col).withColumnRenamed("packed", "text")
+    joined = rows.join(runs, key_match(rows, runs), "left").select(rows[KEY[0]].alias("doc_id"), "text", "size", "runs")
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.encode() for t in batch.column(1).to_pylist()]
-            found = [[(s["lo"], s["hi"]) for s in r or []] for r in batch.column(2).to_pylist()]
+            texts = [t.encode() for t in batch.column(1).to_pylist()] if small else _unpacked(batch.column(1), batch.column(2))
+            found = [[(s["lo"], s["hi"]) for s in r or []] for r in batch.column(3).to_pylist()]
             kept = [b"".join(t[a:b] for a, b in zip([0, *(hi for _, hi in r)], [*(lo for lo, _ in r), len(t)])) for t, r in zip(texts, found)]
             out = {"doc_id": batch.column(0), "n_bytes": pa.array(map(len, texts), pa.int64()),
                    "n_removed": pa.array([sum(b - a for a, b in r) for r in found], pa.int64()), "n_spans": pa.array(map(len, found), pa.int64()),

@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,6 +113,22 @@ def covered_bytes(texts, length):
     return out
 
 
+def test_suffix_dedup_moves_texts_compressed(spark):
+    texts = ["", None, "ü" * 3 + "ab " * 400, "x y z " * 300]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = {r[0]: r for r in suffix_dedup.packed_texts(docs, "doc_id", "text").collect()}
+    for i, t in enumerate(texts):
+        data = (t or "").encode()
+        assert rows[i]["size"] == len(data) and (len(data) < 100 or len(rows[i]["packed"]) < len(data) / 5)
+        assert suffix_dedup._unpacked(pa.array([rows[i]["packed"]]), pa.array([rows[i]["size"]])) == [data]
+    key = docs.select(*suffix_dedup.key_columns("doc_id", "text"))
+    wanted = key.where(f"{key.columns[0]} >= 2").selectExpr("*", f"{key.columns[0]} AS name", "7L AS digest", "2L AS copies", "0L AS bundle", "1 AS start", "5 AS windows")
+    found = suffix_dedup._fetch(docs, wanted, "doc_id", "text", 60)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {r.name: bytes(r.bytes) for r in found.collect()} == {i: texts[i].encode()[1:65] for i in (2, 3)}
+
+
 @pytest.mark.parametrize("bundle", [suffix_dedup.BUNDLE, 1500])
 def test_suffix_dedup_equals_brute_force(sample, texts, bundle):
     ids = sorted(texts)
