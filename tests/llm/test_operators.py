@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -415,6 +416,100 @@ def test_units_of_one_scan_equal_those_of_single_texts(texts):
             assert (found["buckets"][k] == near_dup.describe([t[a:b]], 5, 7, 2)[2][0]).all()
 
 
+def test_units_of_texts_cut_together_equal_those_of_single_texts(texts):
+    some = [*list(texts.values())[:60], "", "a b", " \n ", "é " * 40 + "\n" + "ü. " * 80, "x " * 31, "Zß\ty\x0b" * 25, "ab " * 52]
+    seen = {}
+    together = paragraph_dedup._units([t.encode() for t in some], seen)
+    for i, t in enumerate(some):
+        alone, own = paragraph_dedup._units(t, {}), together["text"] == i
+        assert own.sum() == len(alone["text"])
+        assert all(np.array_equal(together[c][own], alone[c]) for c in alone if c not in ("text", "node"))
+        assert [x for x, mine in zip(together["node"], own) if mine] == alone["node"]
+    place = together["place"]
+    arrays = dict(zip(paragraph_dedup._COLUMNS[2:], paragraph_dedup._unit_arrays(together)))
+    assert all(arrays["buckets"].is_valid().to_numpy(False) == (place >= 0)) and all(arrays["bucket"].is_valid().to_numpy(False) == (place == paragraph_dedup.PIECE))
+    assert (np.array(arrays["buckets"].drop_null().to_pylist()) == together["buckets"][place >= 0]).all()
+
+
+def test_words_hashed_together_have_the_hashes_of_the_library():
+    rnd = random.Random(3)
+    some = [bytes(rnd.randrange(33, 256) for _ in range(rnd.randrange(1, 20))) for _ in range(3000)]
+    got = paragraph_dedup._Words([b" ".join(some[:2000]), b"", b"\t\n".join(some[2000:])], {})
+    assert got.hashes.tolist() == [xxhash.xxh3_64_intdigest(w.lower()) for w in some]
+    assert got.first.tolist() == [0, 2000, 2000, 3000]
+
+
+def test_windows_of_a_text_are_the_first_least_of_their_neighbours():
+    rnd = random.Random(8)
+    for n in (31, 32, 40, 50, 51, 52, 70, 200):
+        shingle = np.array([rnd.randrange(9) for _ in range(3 + n - 4)], np.uint64)  # many ties; three words of a text before
+        count = max(n - 31, 0)
+        want = {i + int(shingle[3 + i:3 + i + min(count, 20)].argmin()) for i in range(count - min(count, 20) + 1)} if count else set()
+        at, keys = paragraph_dedup._taken(shingle, np.array([0, 3, 3 + n]))
+        assert (at - 3).tolist() == sorted(want) and len(keys) == len(at)
+
+
+@pytest.mark.parametrize("pairs, together", [(1_000_000, 500_000), (40, 1), (0, 200)])
+def test_links_of_many_blocks_equal_brute_force(spark, monkeypatch, pairs, together):
+    """Blocks worked on together, by shared shingles or node by node, find the links of each block alone."""
+    monkeypatch.setattr(near_dup, "PAIRS", pairs)
+    monkeypatch.setattr(near_dup, "TOGETHER", together)
+    rnd = random.Random(21)
+    rows = []
+    for block in range(12):
+        base = words(rnd, 40).split()
+        for k in range(rnd.choice([1, 2, 5, 20])):
+            w = list(base)
+            for _ in range(rnd.choice([0, 1, 2, 9])):
+                w[rnd.randrange(len(w))] = f"z{rnd.randrange(50)}"
+            rows.append((block % 2, block, f"{block}-{k}".encode(), f"{block}-{k // 4 * 4 if block % 3 else k}".encode(), " ".join(w)))
+    rows += [(0, 0, b"short", b"short", "one two"), (0, 0, b"again", b"again", "one two"), rows[0]]
+    groups = {}
+    for grp, block, node, label, text in rows:
+        groups.setdefault((grp, block), {})[node] = label, text
+    size = 5
+    got = list(zip(*near_dup._group_links(list(groups.values()), size, 80)))
+    df = spark.createDataFrame(rows, "grp int, block int, node binary, label binary, text string")
+    by_spark = [(bytes(r.a), bytes(r.b)) for r in near_dup.block_links(df, ["grp", "block"], size, 80).collect()]
+    for g in groups.values():
+        sets = {x: set(near_dup.shingles(t, size).tolist()) for x, (_, t) in g.items()}
+        want = components_by_brute_force(sets, 80)
+        for edges in (got, by_spark):
+            root = {x: x for x in g}
+
+            def top(x):
+                while root[x] != x:
+                    x = root[x]
+                return x
+            first = {}
+            same_label = [(x, first.setdefault(label, x)) for x, (label, _) in sorted(g.items())]
+            linked = [(a, b) for a, b in edges if a in g]
+            assert all(b in g and g[a][0] != g[b][0] for a, b in linked)
+            for a, b in linked + same_label:
+                root[max(top(a), top(b))] = min(top(a), top(b))
+            both = {x: x for x in g}
+
+            def high(x):
+                while both[x] != x:
+                    x = both[x]
+                return x
+            for a, b in [*want.items(), *same_label]:
+                both[max(high(a), high(b))] = min(high(a), high(b))
+            assert {x: top(x) for x in g} == {x: high(x) for x in g}
+
+
+def test_components_write_each_node_once(spark, monkeypatch):
+    """A round writes its own nodes only; all nodes are written again once, at the end."""
+    written = []
+    real = near_dup.materialize
+    monkeypatch.setattr(near_dup, "materialize", lambda df, name: written.append((name, (out := real(df, name)).count())) or out)
+    n = 300
+    chain = [(f"{i * 7919 % n:03}".encode(), f"{(i + 1) * 7919 % n:03}".encode()) for i in range(n - 1)]
+    got = {bytes(r.node): bytes(r.root) for r in near_dup.components(spark.createDataFrame(chain, "a binary, b binary")).collect()}
+    assert got == {f"{i:03}".encode(): b"000" for i in range(n)}
+    assert sum(count for name, count in written if name != "edges") < 3 * n, written
+
+
 def test_edge_rows_of_paragraph_dedup(edges):
     got = defaultdict(list)
     for r in paragraph_dedup.report(edges).collect():
