@@ -498,6 +498,24 @@ def test_links_of_many_blocks_equal_brute_force(spark, monkeypatch, pairs, toget
             assert {x: top(x) for x in g} == {x: high(x) for x in g}
 
 
+def test_tables_of_the_search_are_dropped_when_done(spark, monkeypatch):
+    """What is left of a paragraph search is what its result reads."""
+    written = {}
+    for module in (near_dup, paragraph_dedup):
+        real = module.materialize
+        monkeypatch.setattr(module, "materialize", lambda df, name, real=real: written.setdefault(f"{name} {len(written)}", real(df, name)))
+    rnd = random.Random(4)
+    base = words(rnd, 60)
+    texts = [base, base + " end", *(words(rnd, 50) for _ in range(4)), base.replace(base.split()[30], "other", 1)]
+    found = paragraph_dedup.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    files = {name: df.inputFiles() for name, df in written.items()}
+    left = {name.split()[0] for name, own in files.items() if own and all(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f).getFileSystem(
+        spark.sparkContext._jsc.hadoopConfiguration()).exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f)) for f in own)}
+    assert {"units", "windows", "unit-documents", "marks"} <= left
+    assert not left & {"edges", "members", "wanted", "links", "colliding", "unit-sets", "unit-marks", "repeated-units", "near-windows"}, left
+    assert sum(r.n_removed for r in found.collect()) > 0
+
+
 def test_components_write_each_node_once(spark, monkeypatch):
     """A round writes its own nodes only; all nodes are written again once, at the end."""
     written = []
