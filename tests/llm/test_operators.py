@@ -1,9 +1,11 @@
 """The training-data operators against brute force, and their edge cases."""
 
 import hashlib
+import os
 import random
 import re
-from collections import defaultdict
+import time
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -516,6 +518,85 @@ def test_tables_of_the_search_are_dropped_when_done(spark, monkeypatch):
     assert sum(r.n_removed for r in found.collect()) > 0
 
 
+def test_units_that_share_no_bucket_are_not_carried(spark, monkeypatch):
+    """Only documents, and units that another place may hold too, are written as rows."""
+    written = {}
+    real = paragraph_dedup.materialize
+    monkeypatch.setattr(paragraph_dedup, "materialize", lambda df, name: written.setdefault(name, real(df, name)))
+    rnd = random.Random(21)
+    texts = ["\n".join(words(rnd, 40) for _ in range(5)) for _ in range(30)]
+    # One window's bucket held twice by one text, at places that overlap: a period of 7 words.
+    texts.append(" ".join(["a1 b2 c3 d4 e5 f6 g7"] * 8))
+    assert not any(removed_spans(spark, texts).values())
+    assert written["units"].where("place >= 0").count() == written["windows"].count() == 0
+    written.clear()
+    assert removed_spans(spark, [*texts, "x " + texts[3].replace("\n", " ")])[30 + 1]
+    held = Counter(r[0] for r in written["windows"].select("__key_id").collect())
+    assert held[3] > 10 and held[31] > 10 and sum(held.values()) - held[3] - held[31] < 10
+    assert written["units"].where("place = -1").count() == 32
+
+
+def test_keys_held_twice_pass_the_filter(spark, monkeypatch):
+    rnd = np.random.default_rng(5)
+    units = paragraph_dedup._units([b"\n".join(b"%d" % x for x in rnd.integers(0, 9, 400))] + [b"a b c d e f g h i " * 9], {})
+    own = units["place"] == paragraph_dedup.PIECE
+    windows = pa.RecordBatch.from_arrays([pa.array(units[c][own]) for c in ("start", "end", "bucket", "words", "text")], names=["start", "end", "bucket", "words", "text"])
+    want = Counter()
+    for text, key in set(zip(units["text"][own].tolist(), units["bucket"][own].tolist())):
+        at = own & (units["text"] == text) & (units["bucket"] == key)
+        want[key] += 1 + bool(units["start"][at].max() >= units["end"][at].min())
+    once, apart = paragraph_dedup._held(windows)
+    assert Counter([*once.tolist(), *apart.tolist()]) == want and max(want.values()) > 1
+    monkeypatch.setattr(paragraph_dedup, "NAMES", 500)
+    texts = [f"{words(random.Random(i % 40), 60)}" for i in range(60)]
+    parts = paragraph_dedup.unit_parts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), "doc_id", "text")
+    bits, width = paragraph_dedup.key_filter(paragraph_dedup.repeated_keys(parts))
+    bits = np.frombuffer(bits, np.uint8)
+    every = [paragraph_dedup._units(t, {}) for t in texts]
+    held = [np.unique(np.append(u["buckets"][u["place"] >= 0].ravel(), u["bucket"][u["place"] == paragraph_dedup.PIECE])) for u in every]
+    keys = np.concatenate(held)
+    times = Counter(keys.tolist())
+    passes = paragraph_dedup._may_repeat(keys, bits, width)
+    twice = np.array([times[k] > 1 for k in keys.tolist()])
+    assert passes[twice].all() and twice.sum() > 200 and (passes & ~twice).sum() <= 0.02 * len(keys)
+
+
+def test_shuffle_files_of_a_paragraph_search_go_when_a_table_is_written(spark):
+    def files() -> set[str]:
+        dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in dirs for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+
+    rnd = random.Random(8)
+    base = words(rnd, 60)
+    docs = spark.createDataFrame(list(enumerate([base, base + " end", *(words(rnd, 50) for _ in range(4))])), "doc_id long, text string")
+    key = next(iter(paragraph_dedup.CLEANED))
+    before, own = files(), spark.conf.get(key)
+    paragraph_dedup.repeated_paragraphs(docs)
+    for _ in range(40):
+        if not (left := files() - before):
+            break
+        time.sleep(0.25)
+    assert not left and spark.conf.get(key) == own
+
+
+def test_blocks_of_unlinked_sets_with_common_shingles(monkeypatch):
+    """Sets that share many common shingles and aren't linked are not compared node by node."""
+    rnd = random.Random(3)
+    common = words(rnd, 12).split()
+
+    def window():
+        w = words(rnd, 20).split()
+        k = rnd.randrange(20)
+        return " ".join(w[:k] + common + w[k:])
+
+    texts = {i.to_bytes(4, "big"): window() for i in range(1500)}
+    groups = [{x: (x, t) for x, t in texts.items()}]
+    groups[0][b"copy"] = (b"copy", texts[(7).to_bytes(4, "big")].upper())
+    monkeypatch.setattr(near_dup, "linked", lambda *_: pytest.fail("node by node"))
+    a, b = near_dup._group_links(groups, 5, 80)
+    assert {*a, *b} == {b"copy", (7).to_bytes(4, "big")}
+
+
 def test_components_write_each_node_once(spark, monkeypatch):
     """A round writes its own nodes only; all nodes are written again once, at the end."""
     written = []
